@@ -10,7 +10,7 @@ from sensorloom.functions import columns as C
 from sensorloom.functions import fixed
 from sensorloom.functions.columns import US_PER_DAY, US_PER_HOUR, US_PER_MIN
 from sensorloom.operators.response import time_in_range
-from sensorloom.operators.temporal import Moments, first_row, interval_agg, rolling_sums
+from sensorloom.operators.temporal import centre, first_row, interval_agg, rolling_moments, spread
 
 
 def prior_activity(events: DataFrame, sport: DataFrame, scale: int = 1, key: str = "meal_id",
@@ -135,32 +135,28 @@ def rolling_user(events: DataFrame, readings: DataFrame, scale: int = 1, key: st
     # [t - 30 d, t), or up to t - response window for `safe`
     delay = fixed.POST_MIN * US_PER_MIN * scale if safe else 1
     past = events.select(user, F.col("us").alias("r_us"), "peak_value", "time_to_peak_min")
-    meals = rolling_sums(
+    meals = rolling_moments(
         events.select(key, user, (F.col("us") - delay + 1).alias("us")),
         past, key, [user], fixed.ROLL_MEALS_DAYS * US_PER_DAY - delay + 1,
         ["peak_value", "time_to_peak_min"], meal_chunks,
     )
-    series = rolling_sums(
+    series = rolling_moments(
         events, readings.select(user, "r_us", "r_value"), key, [user],
         fixed.ROLL_READINGS_DAYS * US_PER_DAY, ["r_value"], reading_chunks,
     )
 
-    def moments(name: str) -> Moments:
-        return Moments(F.col(f"{name}_n"), F.col(f"{name}_sum"), F.col(f"{name}_sq"))
-
     enough = F.col("n_rows") >= fixed.ROLL_MEALS_MIN
-    peak, ttp, level = moments("peak_value"), moments("time_to_peak_min"), moments("r_value")
     m = meals.select(
         key,
-        F.when(enough, peak.mean).alias("user_peak_mean_roll"),
-        F.when(enough, peak.std).alias("user_peak_std_roll"),
-        F.when(enough, ttp.mean).alias("user_ttp_mean_roll"),
+        F.when(enough, centre("peak_value")).alias("user_peak_mean_roll"),
+        F.when(enough, spread("peak_value")).alias("user_peak_std_roll"),
+        F.when(enough, centre("time_to_peak_min")).alias("user_ttp_mean_roll"),
     )
     enough = F.col("n_rows") >= fixed.ROLL_READINGS_MIN
     r = series.select(
         key,
-        F.when(enough, level.mean).alias("user_glucose_mean_roll"),
-        F.when(enough, level.std).alias("user_glucose_std_roll"),
+        F.when(enough, centre("r_value")).alias("user_glucose_mean_roll"),
+        F.when(enough, spread("r_value")).alias("user_glucose_std_roll"),
     )
     return events.join(m, key, "left").join(r, key, "left")
 

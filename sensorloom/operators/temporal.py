@@ -7,7 +7,6 @@ of all rows is thus spread over as many groups as the series has buckets.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -158,25 +157,7 @@ def previous_in_series(
     )
 
 
-@dataclass(frozen=True)
-class Moments:
-    """Mean and sample spread from count, sum and sum of squares."""
-
-    n: Column
-    total: Column
-    squares: Column
-
-    @property
-    def mean(self) -> Column:
-        return F.when(self.n > 0, self.total / self.n)
-
-    @property
-    def std(self) -> Column:
-        spread = self.squares - self.total * self.total / self.n
-        return F.when(self.n > 1, F.sqrt(F.greatest(spread, F.lit(0.0)) / (self.n - 1)))
-
-
-def rolling_sums(
+def rolling_moments(
     events: DataFrame,
     series: DataFrame,
     key: str,
@@ -187,13 +168,14 @@ def rolling_sums(
     event_us: str = "us",
     series_us: str = "r_us",
 ) -> DataFrame:
-    """n, sum and sum of squares of the series over [t - width, t) per event.
+    """Rows, and n, mean and m2 (squared deviations) of each value, over [t - width, t).
 
     The axis is cut into chunks of width / `chunks`. An event then needs the end
     of the chunk holding t - width, the whole chunks in between and the start of
-    the chunk holding t. All three come from one running sum per (keys, chunk),
-    so no pair of event and reading is ever built. Raise `chunks` to make the
-    groups finer; an event adds `chunks` + 1 probe rows.
+    the chunk holding t. All three are running moments per (keys, chunk), so no
+    pair of event and reading is ever built. The parts are then merged without
+    differences of large sums. Raise `chunks` to make the groups finer; an event
+    adds `chunks` + 1 probe rows.
     """
     if width % chunks:
         raise ValueError("width must be a multiple of chunks")
@@ -221,31 +203,69 @@ def rolling_sums(
         *[F.col(v).cast("double").alias(v) for v in values],
     )
     rows = probes.unionByName(readings).withColumn("_chunk", bucket_start("_us", step))
-    chunk = Window.partitionBy(*on, "_chunk").orderBy("_us")
-    before = chunk.rangeBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*on, "_chunk")
-    is_row = F.col("_part").isNull()
-    parts: dict[str, Column] = {"n_rows": F.when(is_row, F.lit(1)).cast("double")}
+    up = Window.partitionBy(*on, "_chunk").orderBy("_us")
+    down = Window.partitionBy(*on, "_chunk").orderBy(F.desc("_us"))
+    frames = {
+        "start": up.rangeBetween(Window.unboundedPreceding, -1),
+        "end": down.rangeBetween(Window.unboundedPreceding, 0),
+    }
+    if chunks > 1:
+        frames["whole"] = Window.partitionBy(*on, "_chunk")
+    is_row = F.when(F.col("_part").isNull(), F.lit(1))
+
+    def moments(frame) -> Column:
+        fields = [F.count(is_row).over(frame).alias("rows")]
+        for v in values:
+            n = F.count(v).over(frame)
+            fields += [
+                n.alias(f"{v}_n"),
+                F.coalesce(F.avg(v).over(frame), F.lit(0.0)).alias(f"{v}_mean"),
+                F.coalesce(F.var_pop(v).over(frame) * n, F.lit(0.0)).alias(f"{v}_m2"),
+            ]
+        return F.struct(*fields)
+
+    found = rows.select("_key", "_part", *[moments(f).alias(n) for n, f in frames.items()])
+    pick = F.col("end")
+    for n in frames:
+        pick = F.when(F.col("_part") == n, F.col(n)).otherwise(pick)
+    parts = found.where(F.col("_part").isNotNull()).select(F.col("_key").alias(key), pick.alias("_m"))
+    # chunks + 1 parts per event
+    merged = parts.groupBy(key).agg(F.collect_list("_m").alias("_p"))
+    out = {"n_rows": F.aggregate("_p", F.lit(0).cast("long"), lambda s, p: s + p["rows"])}
     for v in values:
-        parts[f"{v}_n"] = F.when(is_row & F.col(v).isNotNull(), F.lit(1)).cast("double")
-        parts[f"{v}_sum"] = F.col(v)
-        parts[f"{v}_sq"] = F.col(v) * F.col(v)
-    rows = rows.select("_key", "_part", *on, "_us", "_chunk", *[e.alias(n) for n, e in parts.items()])
-
-    def share(name: str) -> Column:
-        head = F.coalesce(F.sum(name).over(before), F.lit(0.0))
-        total = F.coalesce(F.sum(name).over(whole), F.lit(0.0))
-        return F.when(F.col("_part") == "start", head).when(F.col("_part") == "whole", total).otherwise(
-            total - head
+        out[v] = _merge_moments(F.col("_p"), v)
+    wide = merged.select(key, *[c.alias(n) for n, c in out.items()])
+    return wide.select(
+        key, "n_rows", *[F.col(v)[f].alias(f"{v}_{f}") for v in values for f in ("n", "mean", "m2")]
+    )
+
+
+def _merge_moments(parts: Column, v: str) -> Column:
+    """Pairwise merge of (n, mean, m2); see Chan, Golub and LeVeque 1979."""
+
+    def step(s: Column, p: Column) -> Column:
+        pn = p[f"{v}_n"].cast("double")
+        n = s["n"] + pn
+        gap = p[f"{v}_mean"] - s["mean"]
+        return F.when(pn == 0, s).otherwise(
+            F.struct(
+                n.alias("n"),
+                (s["mean"] + gap * F.try_divide(pn, n)).alias("mean"),
+                (s["m2"] + p[f"{v}_m2"] + gap * gap * F.try_divide(s["n"] * pn, n)).alias("m2"),
+            )
         )
 
-    out = (
-        rows.select("_key", "_part", *[share(n).alias(n) for n in parts])
-        .where(F.col("_part").isNotNull())
-        .groupBy(F.col("_key").alias(key))
-        .agg(*[F.sum(n).alias(n) for n in parts])
-    )
-    return out
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    return F.aggregate(parts, zero, step)
+
+
+def spread(name: str) -> Column:
+    """Sample standard deviation from merged moments."""
+    return F.when(F.col(f"{name}_n") > 1, F.sqrt(F.col(f"{name}_m2") / (F.col(f"{name}_n") - 1)))
+
+
+def centre(name: str) -> Column:
+    return F.when(F.col(f"{name}_n") > 0, F.col(f"{name}_mean"))
 
 
 def chunks_for(series: DataFrame, on: Sequence[str], width: int, us: str, max_rows: int) -> int:

@@ -1 +1,8 @@
-
+from sensorloom.operators.context import rolling_user
+from sensorloom.plans.q_response import both, responses
+from sensorloom.sources import roles
+from pyspark.sql import functions as F
+def predictions(spark, sf_dir):
+    _, readings = both(spark, sf_dir)
+    out = rolling_user(responses(spark, sf_dir), readings, roles.SCALE)
+    return out.where(F.col("user_peak_mean_roll").isNotNull()).withColumn("prediction", F.col("user_peak_mean_roll"))

@@ -27,7 +27,25 @@ CTES = {
     " CASE WHEN p_type IN ('PROMO', 'SMALL') THEN 'Si' ELSE 'No' END AS atri_high_glycemic_index,"
     " CASE WHEN p_type = 'LARGE' THEN p_brand ELSE CAST(p_size AS VARCHAR) END AS portion FROM part",
 }
-NEEDS = {"items": ("raw_items",)}
+CTES["nutr"] = (
+    "SELECT meal_id, coalesce(sum(calories), 0) AS total_calories, coalesce(sum(protein), 0) AS total_protein,"
+    " coalesce(sum(fat), 0) AS total_fat, coalesce(sum(carbs), 0) AS total_carbs, count(id) AS n_items,"
+    " bool_or(calories IS NULL) AS has_nan_calories, bool_or(protein IS NULL) AS has_nan_macros,"
+    " coalesce(sum(fibre_gram_value * amount / 100), 0) AS total_fibre,"
+    " bool_or(fibre_gram_value IS NOT NULL) AS fibre_available,"
+    " avg(CASE WHEN fibre_gram_value IS NULL THEN 0.0 ELSE 1.0 END) AS pct_items_with_fibre,"
+    " count(*) FILTER (WHERE atri_ultraprocessed = 'Si') AS n_ultraprocessed,"
+    " count(*) FILTER (WHERE atri_high_glycemic_index = 'Si') AS n_high_gi,"
+    " avg(saturated_fatty_acid) AS avg_saturated_fat, count(DISTINCT food_group_id) AS n_food_groups"
+    " FROM items LEFT JOIN foods USING (food_id) GROUP BY meal_id"
+)
+CTES["nutrition"] = (
+    "SELECT *, total_carbs * 4 / nullif(total_calories, 0) * 100 AS pct_cal_carbs,"
+    " total_protein * 4 / nullif(total_calories, 0) * 100 AS pct_cal_protein,"
+    " total_fat * 9 / nullif(total_calories, 0) * 100 AS pct_cal_fat,"
+    " total_fibre / nullif(total_carbs, 0) AS fibre_carb_ratio FROM nutr"
+)
+NEEDS = {"items": ("raw_items",), "nutr": ("items", "foods"), "nutrition": ("nutr",)}
 
 HOUR = 3_600_000_000  # one window unit: a minute taken as an hour
 

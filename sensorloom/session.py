@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,13 @@ def durable(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="sensorloom-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder name under the shared folder (a local one for a local master)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="sensorloom-scratch-")
+    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"

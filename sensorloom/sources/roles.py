@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sensorloom.functions import columns as C
+from sensorloom.operators.clean import clean_items
 
 SCALE = 60
 
@@ -85,3 +86,59 @@ def foods(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("p_type").isin("PROMO", "SMALL"), "Si").otherwise("No").alias("atri_high_glycemic_index"),
         F.when(F.col("p_type") == "LARGE", F.col("p_brand")).otherwise(F.col("p_size").cast("string")).alias("portion"),
     )
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean_items(raw_items(spark, sf_dir))
+
+
+def raw_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as text in mixed formats, some of them unreadable."""
+    kind = F.pmod(_k(), F.lit(5))
+    day, clock = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")
+    return table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"),
+        F.when(kind == 0, F.concat(day, F.lit(" "), clock, F.lit("+00")))
+        .when(kind == 1, F.concat(day, F.lit("T"), clock, F.lit("Z")))
+        .when(kind == 2, F.concat(day, F.lit(" "), clock))
+        .when(kind == 3, F.concat(day, F.lit("?"), clock))
+        .otherwise(F.lit("")).alias("timestamp"),
+        F.col("value").alias("value_decimal"),
+    )
+
+
+ACTIVITY_WORDS = (
+    "Correr", "Trail running", "Ciclismo", "VirtualRide", "Caminar", "Senderismo", "Natación", "WeightTraining",
+    "Crossfit", "Fútbol", "Tenis", "Esquí", "NordicSki", "Elíptica", "Escalada", "EBikeRide", "Yoga", "Juggling",
+)
+
+
+def raw_sport(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = F.array(*[F.lit(w) for w in ACTIVITY_WORDS])
+    return events(spark, sf_dir, "error").select(
+        F.col("event_id").alias("id"), "user_id", F.col("ts").alias("timestamp"),
+        F.get(words, F.pmod(_k(), F.lit(len(ACTIVITY_WORDS)))).alias("type"),
+        # a third without a duration, some over the limit
+        F.when(F.pmod(_k(), F.lit(3)) == 0, 0.0).otherwise(F.col("value") * 2).alias("duration"),
+    )
+
+
+def raw_morning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"),
+        (F.col("c_nationkey") * 10.0).alias("resting_hr"),
+        (F.col("c_acctbal") / 20).alias("glucose_basal"),
+        (F.col("c_acctbal") / 10).alias("sleep_time"),
+        (F.col("c_acctbal") / 25).alias("hr_variability"),
+    )
+
+
+def order_meals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("ts"),
+        F.col("o_orderpriority").alias("type"),
+    )
+
+
+def arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
