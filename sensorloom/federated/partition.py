@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from sensorloom.operators.ranks import hash_rank
 
@@ -81,7 +81,7 @@ def dirichlet(df: DataFrame, ids: Sequence[str], label: str, k: int, alpha: floa
     shares = dirichlet_shares(counts, k, alpha, seed, least, balance)
     edges = df.sparkSession.createDataFrame(
         [(name, e) for name, e in shares.items()],
-        df.select(label).schema.add("_edges", "array<double>"),
+        df.select(label).schema.add("_edges", T.ArrayType(T.DoubleType())),
     )
     ranked = hash_rank(df, ids, seed, [label], "_rank", "_total").join(edges, label)
     # position inside the label, in the middle of the row's own slot

@@ -5,9 +5,9 @@ from __future__ import annotations
 import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from sensorloom.operators.ranks import exact_quantiles, group_medians, hash_rank, scalars, wide_medians
+from sensorloom.operators.ranks import group_medians, hash_rank, scalars, wide_medians
 
 # Users up to this many are placed one by one on the driver: two numbers each.
 GREEDY_USERS = 100_000
@@ -30,7 +30,7 @@ def group_folds(df: DataFrame, k: int = 5, user: str = "user_id", fold: str = "f
             load, i = heapq.heappop(loads)
             placed.append((row[user], i))
             heapq.heappush(loads, (load + row["_n"], i))
-        schema = df.select(user).schema.add(fold, "int")
+        schema = df.select(user).schema.add(fold, T.IntegerType())
         table = df.sparkSession.createDataFrame(placed, schema)
     else:
         table = dealt_folds(counts, k, user, fold)
@@ -94,8 +94,3 @@ def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFra
         }
     ).drop(*[f"_a_{c}" for c in columns], *[f"_s_{c}" for c in columns])
 
-
-__all__ = [
-    "group_folds", "dealt_folds", "impute_median", "impute_median_by_fold", "impute_user_median",
-    "zscore", "exact_quantiles",
-]

@@ -26,23 +26,23 @@ def hash_rank(
     in 16^digits hash ranges per group: the ranges are even whatever the group
     sizes are, and each gets the count of the ranges before it.
     """
-    keyed = df.withColumn("_h", hash_key(seed, *ids)).withColumn("_p", F.substring("_h", 1, digits))
-    group = [*within, "_p"]
-    counts = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    keyed = df.withColumn("_hkey", hash_key(seed, *ids)).withColumn("_hp", F.substring("_hkey", 1, digits))
+    group = [*within, "_hp"]
+    counts = keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("_hn"))
     # at most 16^digits rows per group from here on
-    by_range = Window.partitionBy(*within).orderBy("_p") if within else Window.orderBy("_p")
+    by_range = Window.partitionBy(*within).orderBy("_hp") if within else Window.orderBy("_hp")
     whole = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
     starts = counts.select(
         *group,
-        (F.sum("_n").over(by_range) - F.col("_n")).alias("_start"),
-        F.sum("_n").over(whole).alias(total),
+        (F.sum("_hn").over(by_range) - F.col("_hn")).alias("_hstart"),
+        F.sum("_hn").over(whole).alias(total),
     )
-    local = Window.partitionBy(*group).orderBy("_h", *ids)
+    local = Window.partitionBy(*group).orderBy("_hkey", *ids)
     return (
-        keyed.withColumn("_rn", F.row_number().over(local))
+        keyed.withColumn("_hrn", F.row_number().over(local))
         .join(starts, group)
-        .withColumn(rank, F.col("_start") + F.col("_rn"))
-        .drop("_h", "_p", "_rn", "_start")
+        .withColumn(rank, F.col("_hstart") + F.col("_hrn"))
+        .drop("_hkey", "_hp", "_hrn", "_hstart")
         .select(*df.columns, rank, total)
     )
 

@@ -265,7 +265,7 @@ TOTALS = {"carbs": "carbs_100g * amount / 100", "fat": "fat_100g * amount / 100"
     " WHERE amount > 0) SELECT m.meal_id, "
     + ", ".join(f"{r(f'coalesce(sum({e}), 0)', 4)} AS {n}" for n, e in TOTALS.items())
     + ", count(carbs_100g) AS n_items, count(*) FILTER (WHERE high_gi >= 0.5) AS n_high_gi,"
-    f" {r('coalesce(avg(saturated_fat_100g * amount / 100), 0)')} AS avg_sat_fat FROM (SELECT DISTINCT l_orderkey AS meal_id"
+    f" {r('coalesce(avg(saturated_fat_100g * amount / 100), 0)', 9)} AS avg_sat_fat FROM (SELECT DISTINCT l_orderkey AS meal_id"
     " FROM lineitem) m LEFT JOIN j USING (meal_id) GROUP BY m.meal_id",
 )
 def meal_totals(spark, sf_dir):
@@ -277,4 +277,5 @@ def meal_totals(spark, sf_dir):
     )
     t = N.meal_totals(chosen, food)
     out = t.withColumns({c: F.round(c, 4) + F.lit(0.0) for c in TOTALS})
-    return r6(out, "avg_sat_fat").select("meal_id", *TOTALS, "n_items", "n_high_gi", "avg_sat_fat")
+    fat = F.round("avg_sat_fat", 9) + F.lit(0.0)
+    return out.select("meal_id", *TOTALS, "n_items", "n_high_gi", fat.alias("avg_sat_fat"))
