@@ -13,6 +13,9 @@ from sensorloom.functions.columns import normalise
 from sensorloom.operators.ranks import hash_rank
 from sensorloom.session import durable
 
+LOCAL_SCHEMA = (
+    "experiment string, partition_id int, shard int, block string, values array<double>, n_examples long"
+)
 # Most rows one task trains on. A larger client is trained in shards of this size,
 # whose parameters are averaged by their rows, as those of clients are.
 SHARD_ROWS = 20_000
@@ -36,7 +39,10 @@ def weighted_metrics(df: DataFrame, metrics: Sequence[str], by: Sequence[str] =
 
 def local_trainer(params: dict[str, np.ndarray], keys: Sequence[str], rate: float, epochs: int, batch: int,
                   momentum: float, seed: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-    """Softmax regression by mini-batches from the given global parameters (class x feature + 1)."""
+    """Softmax regression by mini-batches from the given global parameters (class x feature + 1).
+
+    Comes back as blocks, the loss being one of them, so that one weighted mean serves both.
+    """
 
     def train(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_order")
@@ -61,8 +67,11 @@ def local_trainer(params: dict[str, np.ndarray], keys: Sequence[str], rate: floa
                 speed = momentum * speed + p.T @ x[pick] / len(pick)
                 w = w - rate * speed
         return pd.DataFrame(
-            [[*key, "linear", w.ravel().tolist(), float(np.mean(losses)), len(x)]],
-            columns=[*keys, "block", "values", "train_loss", "n_examples"],
+            [
+                [*key, "linear", w.ravel().tolist(), len(x)],
+                [*key, "train_loss", [float(np.mean(losses))], len(x)],
+            ],
+            columns=[*keys, "block", "values", "n_examples"],
         )
 
     return train
@@ -128,10 +137,6 @@ def run(clients: DataFrame, central: DataFrame, classes: int, width: int, rounds
     params = {n: np.zeros((classes, width + 1)) for n in names}
     keys = ["experiment", "partition_id", "shard"]
     train_rows = clients.where(F.col("split") == "train").select(*keys, "x", "label", "_order")
-    schema = (
-        "experiment string, partition_id int, shard int, block string, values array<double>,"
-        " train_loss double, n_examples long"
-    )
     # the share of clients that report their local metrics, at least one
     parts = clients.select("experiment", "partition_id").distinct()
     order = hash_rank(parts, ["experiment", "partition_id"], seed, ["experiment"], "_rank", "_total")
@@ -139,31 +144,40 @@ def run(clients: DataFrame, central: DataFrame, classes: int, width: int, rounds
         "experiment", "partition_id"
     )
     held = clients.where(F.col("split") == "test").join(F.broadcast(chosen), ["experiment", "partition_id"])
-    tests = held.select("experiment", "x", "label", "partition_id")
-    central_rows = central.select("x", "label", F.explode(F.array(*[F.lit(n) for n in names])).alias("experiment"))
+    nobody = F.lit(None).cast("int").alias("partition_id")
+    whole = central.select(
+        F.explode(F.array(*[F.lit(n) for n in names])).alias("experiment"), nobody, "x", "label"
+    )
+    # read by every round
+    tests = durable(whole.unionByName(held.select("experiment", "partition_id", "x", "label")))
     history: list[tuple] = []
     train_loss: dict[str, float | None] = {n: None for n in names}
     for step in range(rounds + 1):
         if step:
             trainer = local_trainer(params, keys, rate, epochs, batch, momentum, seed + step)
-            local = train_rows.groupBy(*keys).applyInPandas(trainer, schema)
-            # one row per shard comes back from the workers; the mean is one row per experiment
-            local = local.persist()
-            mean = weighted_mean(local, ["experiment", "block"])
-            loss = weighted_metrics(local, ["train_loss"], ["experiment"])
-            merged = mean.join(loss, "experiment").collect()
-            local.unpersist()
-            params = {r["experiment"]: np.array(r["values"]).reshape(classes, width + 1) for r in merged}
-            train_loss = {r["experiment"]: r["train_loss"] for r in merged}
+            local = train_rows.groupBy(*keys).applyInPandas(trainer, LOCAL_SCHEMA)
+            # two rows per shard come back from the workers, two per experiment from the mean
+            for r in weighted_mean(local, ["experiment", "block"]).collect():
+                if r["block"] == "linear":
+                    params[r["experiment"]] = np.array(r["values"]).reshape(classes, width + 1)
+                else:
+                    train_loss[r["experiment"]] = r["values"][0]
         table = spark.createDataFrame(
             [(n, w.ravel().tolist()) for n, w in params.items()], "experiment string, values array<double>"
         )
-        whole = evaluate(central_rows, table, classes, width, ["experiment"])
-        local_eval = weighted_metrics(
-            evaluate(tests, table, classes, width, ["experiment", "partition_id"]),
-            ["loss", "accuracy"], ["experiment"],
-        ).select("experiment", F.col("loss").alias("eval_loss"), F.col("accuracy").alias("eval_acc"))
-        rows = whole.join(local_eval, "experiment", "left").collect()
+        scored = evaluate(tests, table, classes, width, ["experiment", "partition_id"])
+        on_all, on_clients = F.col("partition_id").isNull(), F.col("partition_id").isNotNull()
+        n = F.col("n_examples")
+
+        def client_mean(metric: str) -> Column:
+            return F.sum(F.when(on_clients, F.col(metric) * n)) / F.sum(F.when(on_clients, n))
+
+        rows = scored.groupBy("experiment").agg(
+            F.max(F.when(on_all, F.col("accuracy"))).alias("accuracy"),
+            F.max(F.when(on_all, F.col("loss"))).alias("loss"),
+            client_mean("accuracy").alias("eval_acc"),
+            client_mean("loss").alias("eval_loss"),
+        ).collect()
         fresh = [
             (r["experiment"], step, r["accuracy"], r["loss"], train_loss[r["experiment"]], r["eval_acc"], r["eval_loss"])
             for r in rows

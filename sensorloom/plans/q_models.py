@@ -1 +1,199 @@
+"""Models on the feature tables. Fits are no SQL: these are checked by invariants.
 
+The published numbers of trees and rounds are the defaults of the library; the
+queries here set fewer, so that all of them run in a short session.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from sensorloom.functions import columns as C
+from sensorloom.functions import fixed
+from sensorloom.models import cluster, learn
+from sensorloom.operators import metrics as M
+from sensorloom.operators.folds import zscore
+from sensorloom.operators.profiles import nutrition_profile, response_profile
+from sensorloom.plans import modelling as G
+from sensorloom.plans import pipeline
+from sensorloom.plans.registry import query
+from sensorloom.session import durable, scratch_dir
+from sensorloom.sources import io, roles
+
+ROUNDS = 20
+TREES = 20
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def dataset(spark, sf_dir) -> DataFrame:
+    """The peak feature table, written once per session and read by every model."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = f"{scratch_dir(spark)}/modeling_dataset_peak"
+        t = roles.domain(spark, sf_dir)
+        base = durable(pipeline.modeling_dataset(t, roles.SCALE).withColumn("total_carbs", F.coalesce("total_carbs", F.lit(0.0))))
+        io.write_table(pipeline.peak_dataset(base, t, roles.SCALE), path)
+        _STORED[key] = path
+    return io.read_table(spark, _STORED[key])
+
+
+@query("j01_modeling_dataset")
+def modeling(spark, sf_dir):
+    return pipeline.modeling_dataset(roles.domain(spark, sf_dir), roles.SCALE)
+
+
+@query("j01_peak_dataset")
+def peak(spark, sf_dir):
+    return dataset(spark, sf_dir)
+
+
+@query("m02_user_clusters")
+def clusters(spark, sf_dir):
+    profiles = G.cluster_profiles(dataset(spark, sf_dir), roles.readings(spark, sf_dir))
+    return profiles.select("user_id", "nutri_cluster", "nutri_cluster_name", "glyc_cluster", "glyc_cluster_name")
+
+
+def _scaled(spark, sf_dir, kind: str):
+    df = dataset(spark, sf_dir)
+    if kind == "nutrition":
+        profile, cols = nutrition_profile(df), fixed.NUTRITION_CLUSTER_INPUTS
+    else:
+        profile, cols = response_profile(df, roles.readings(spark, sf_dir)), fixed.RESPONSE_CLUSTER_INPUTS
+    return durable(zscore(durable(profile), cols)), [f"{c}_z" for c in cols]
+
+
+@query("m03_cluster_sweep")
+def cluster_sweep(spark, sf_dir):
+    parts = []
+    for kind in ("nutrition", "response"):
+        rows, cols = _scaled(spark, sf_dir, kind)
+        parts.append(cluster.sweep(rows, cols, restarts=2).withColumn("profile", F.lit(kind)))
+    return parts[0].unionByName(parts[1])
+
+
+@query("a41_silhouette")
+def silhouette(spark, sf_dir):
+    rows, cols = _scaled(spark, sf_dir, "response")
+    fitted = cluster.kmeans(rows, cols, 2, restarts=3)
+    out = [cluster.silhouette(fitted), cluster.silhouette(fitted, exact_points=0)]
+    return learn.results_table(spark, out, "silhouette double, distance string")
+
+
+def _fold_query(name: str, model, **args):
+    @query(name)
+    def run(spark, sf_dir):
+        rows, _ = G.peak_table(dataset(spark, sf_dir), production=False)
+        return M.regression_by_fold(learn.out_of_fold(rows, model(), G.K, ["meal_id"], **args))
+
+
+_fold_query("m07_ridge", learn.ridge)
+_fold_query("m08_forest", lambda: learn.forest(trees=TREES))
+_fold_query("m09_boosted", lambda: learn.boosted(rounds=ROUNDS))
+_fold_query("m10_boosted_extra", lambda: learn.boosted_extra(rounds=ROUNDS))
+
+
+@query("m11_late_or_fast")
+def late(spark, sf_dir):
+    rows, _ = G.late_table(dataset(spark, sf_dir))
+    oof = learn.out_of_fold(
+        rows, learn.boosted_class(rounds=ROUNDS, weight="weight"), G.K, ["meal_id", "user_id"], probability=True
+    )
+    scored = oof.withColumn("pred_binary", (F.col("probability") >= 0.5).cast("int"))
+    return M.binary_by(scored, ["fold"], "label", "pred_binary")
+
+
+@query("m12_three_classes")
+def three(spark, sf_dir):
+    rows, _ = G.time_table(dataset(spark, sf_dir))
+    classed = durable(rows.withColumn("label", C.time_class("label").cast("double")))
+    oof = learn.out_of_fold(classed, learn.three_class(rounds=5, depth=4), G.K, ["meal_id"])
+    return M.macro_by(oof, ["fold"], "label", "prediction", [0, 1, 2])
+
+
+@query("m13_out_of_fold")
+def oof(spark, sf_dir):
+    rows, _ = G.peak_table(dataset(spark, sf_dir))
+    return M.with_errors(learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id", "user_id", "ts"]))
+
+
+@query("m14_log_target")
+def log_target(spark, sf_dir):
+    df = dataset(spark, sf_dir)
+    coded = pipeline.with_codes(df).where(F.col("iauc").isNotNull())
+    cols = pipeline.feature_columns(coded, False)
+    rows = learn.assemble(pipeline.training_table(coded, cols, "iauc", []), cols)
+    out = None
+    for kind in ("plain", "corrected"):
+        preds = durable(learn.out_of_fold(rows, learn.boosted(rounds=ROUNDS), G.K, ["meal_id"], log=kind))
+        both = M.regression_metrics(preds).select(
+            F.lit(kind).alias("back_transform"), "mae", "rmse", "r2",
+            M.regression_metrics(preds, "_fit_label", "prediction_log").select("r2").scalar().alias("r2_log"),
+        )
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+@query("m16_weighted_fit")
+def weighted(spark, sf_dir):
+    rows, _ = G.peak_table(dataset(spark, sf_dir))
+    plain = durable(learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id", "user_id"]))
+    w = M.user_weights(M.with_errors(plain)).select("user_id", "weight")
+    heavier = durable(rows.join(w, "user_id"))
+    again = learn.out_of_fold(heavier, learn.boosted_extra(rounds=ROUNDS, weight="weight"), G.K, ["meal_id"])
+    return G.result_row(spark, "plain", plain).unionByName(G.result_row(spark, "weighted", again, "weights"))
+
+
+@query("m17_search")
+def search(spark, sf_dir):
+    rows, _ = G.peak_table(dataset(spark, sf_dir))
+    params = [{**p, "maxIter": 5, "maxDepth": min(p["maxDepth"], 4)} for p in learn.draw(learn.RANGES["first"], 3)]
+    table, _ = learn.search(rows, learn.boosted_extra(), params, G.K)
+    return table
+
+
+@query("m18_isotonic")
+def isotonic(spark, sf_dir):
+    rows, _ = G.peak_table(dataset(spark, sf_dir))
+    preds = durable(learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"]))
+    return learn.calibrate(learn.fit_isotonic(preds), preds).select("meal_id", "fold", "label", "prediction", "calibrated")
+
+
+@query("m19_cascade")
+def cascade(spark, sf_dir):
+    df = dataset(spark, sf_dir)
+    times, _ = G.time_table(df)
+    second = durable(learn.out_of_fold(times, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"]))
+    rows, cols = G.peak_table(df)
+    joined = learn.with_cascade(rows.drop("features"), second)
+    stacked = durable(learn.assemble(joined, [*cols, "pred_time_to_peak", "pred_ttp_category"]))
+    both = learn.out_of_fold(stacked, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"])
+    alone = learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"])
+    return G.result_row(spark, "alone", alone).unionByName(G.result_row(spark, "cascade", both, "time to peak"))
+
+
+@query("m20_importance")
+def importance(spark, sf_dir):
+    rows, cols = G.peak_table(dataset(spark, sf_dir))
+    return learn.importance(learn.boosted_extra(rounds=ROUNDS), rows, cols)
+
+
+@query("s06_model_round_trip")
+def round_trip(spark, sf_dir):
+    rows, cols = G.peak_table(dataset(spark, sf_dir))
+    path = f"{scratch_dir(spark)}/peak_model"
+    learn.save(learn.fit_pipeline(rows.drop("features"), learn.boosted_extra(rounds=5), cols), path)
+    loaded = learn.load_pipeline(path)
+    assert learn.feature_order(loaded) == cols
+    return loaded.transform(rows.drop("features")).select("meal_id", "label", "prediction")
+
+
+@query("m22_batch_scoring")
+def scoring(spark, sf_dir):
+    df = dataset(spark, sf_dir)
+    made = G.production(df, rounds=ROUNDS, late_rounds=ROUNDS)
+    rows = G.scoring_table(df, list(dict.fromkeys([*made["columns"], *made["late_columns"]])))
+    scored = learn.score(rows, made["peak"], made["calibrator"], made["late"])
+    return scored.select(
+        "meal_id", "peak_raw", "peak_value_predicted", "ttp_probability", "ttp_label", "ttp_minutes", "classification",
+        "amplitude_predicted",
+    )

@@ -140,5 +140,28 @@ def order_meals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def domain(spark: SparkSession, sf_dir: str):
+    """All inputs of the feature stages. Meals take their items by the same key."""
+    from sensorloom.operators.nutrition import meal_nutrition
+    from sensorloom.plans.pipeline import Tables
+
+    kinds = F.array(*[F.lit(w) for w in ("main", "snack", "drink")])
+    timed = events(spark, sf_dir, "purchase").select(
+        F.col("event_id").alias("meal_id"), "user_id", "ts", C.micros("ts").alias("us"),
+        F.get(kinds, F.pmod(_k(), F.lit(3))).alias("meal_type"),
+    )
+    a = answers(spark, sf_dir)
+    keys = ("user_id", "ts", "id")
+    score, level, flag = F.col("score"), F.col("level"), F.col("flag")
+    return Tables(
+        timed,
+        readings(spark, sf_dir),
+        sport(spark, sf_dir),
+        a.select(*keys, score.alias("sleep_time"), level.alias("sleep_quality"), flag.alias("sickness")),
+        a.select(*keys, score.alias("trainning_effort"), level.alias("anxiety_level"), flag.alias("out_of_routine")),
+        meal_nutrition(items(spark, sf_dir), foods(spark, sf_dir)),
+    )
+
+
 def arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
