@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
@@ -18,6 +19,7 @@ from pyspark.ml.regression import (
 )
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.util import inheritable_thread_target
 
 from sensorloom.functions import columns as C
 
@@ -108,29 +110,36 @@ def _estimator(model: Estimator | Factory, train: DataFrame) -> Estimator:
 
 
 def out_of_fold(df: DataFrame, model: Estimator | Factory, k: int, keep: Sequence[str], label: str = "label",
-                fold: str = "fold", log: str | None = None, probability: bool = False) -> DataFrame:
+                fold: str = "fold", log: str | None = None, probability: bool = False,
+                parallelism: int = 5) -> DataFrame:
     """Predictions of each fold by a model fitted on the others.
 
     `df` holds the feature vector, label and fold; make it durable first, since
     it is read twice per fold. `log` fits log1p(label) and turns predictions
     back, floored at 0: "plain", or "corrected" by half the residual variance of
-    the training rows.
+    the training rows. The fits of the folds are independent and run side by side.
     """
-    out = None
     y = f"_fit_{label}" if log else label
     data = df.withColumn(y, C.log_floor(label)) if log else df
-    for i in range(k):
-        train, test = data.where(F.col(fold) != i), data.where(F.col(fold) == i)
+
+    def fit(i: int):
+        train = data.where(F.col(fold) != i)
         estimator = _estimator(model, train)
         if log:
             estimator = estimator.copy().setLabelCol(y)
-        fitted = estimator.fit(train)
-        p = F.col("prediction")
-        scored = fitted.transform(test)
+        return estimator.fit(train)
+
+    with ThreadPool(min(parallelism, k)) as pool:
+        fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(k))
+    out = None
+    p = F.col("prediction")
+    for i, one in enumerate(fitted):
+        scored = one.transform(data.where(F.col(fold) == i))
         if log:
             shift = F.lit(0.0)
             if log == "corrected":
-                shift = fitted.transform(train).agg((F.var_pop(F.col(y) - p) / 2).alias("s")).scalar()
+                residual = one.transform(data.where(F.col(fold) != i))
+                shift = residual.agg((F.var_pop(F.col(y) - p) / 2).alias("s")).scalar()
             scored = scored.withColumns(
                 {"prediction_log": p, "prediction": C.unlog_floor(p + shift)}
             )

@@ -42,7 +42,7 @@ def peak_table(dataset: DataFrame, production: bool = True, keep: Sequence[str]
     coded = with_codes(dataset).where(F.col("peak_value") > 0)
     columns = feature_columns(coded, production)
     rows = training_table(coded, columns, "peak_value", [*keep, "ts"], K)
-    return learn.assemble(rows, columns), columns
+    return rows, columns
 
 
 def time_table(dataset: DataFrame, production: bool = True) -> tuple[DataFrame, list[str]]:
@@ -51,7 +51,7 @@ def time_table(dataset: DataFrame, production: bool = True) -> tuple[DataFrame,
     coded = with_codes(dataset).where((t > 0) & (t <= fixed.POST_MIN))
     columns = feature_columns(coded, production)
     rows = training_table(coded, columns, "time_to_peak_min", [], K)
-    return learn.assemble(rows, columns), columns
+    return rows, columns
 
 
 def late_table(dataset: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -60,7 +60,7 @@ def late_table(dataset: DataFrame) -> tuple[DataFrame, list[str]]:
     coded = coded.withColumn("is_late", C.late_label("time_to_peak_min"))
     columns = feature_columns(coded, True, late=True)
     rows = training_table(coded, columns, "is_late", ["time_to_peak_min"], K)
-    return learn.class_weight(learn.assemble(rows, columns)), columns
+    return learn.class_weight(rows), columns
 
 
 def result_row(spark, name: str, oof: DataFrame, extra: str = "") -> DataFrame:
@@ -69,7 +69,8 @@ def result_row(spark, name: str, oof: DataFrame, extra: str = "") -> DataFrame:
 
 def benchmark(dataset: DataFrame, rounds: int = 200, trees: int = 200) -> DataFrame:
     """Fold means of the first models on the peak value, best first."""
-    rows, _ = peak_table(dataset, production=False)
+    rows, columns = peak_table(dataset, production=False)
+    rows = learn.assemble(rows, columns)
     models = {
         "ridge": learn.ridge(),
         "forest": learn.forest(trees=trees),
@@ -90,7 +91,13 @@ def production(dataset: DataFrame, earlier: DataFrame | None = None, rounds: int
     `earlier`: predictions with user_id and abs_error, for the weights; without it
     the unweighted model of this run gives them.
     """
-    rows, columns = peak_table(dataset)
+    return fit_production(*peak_table(dataset), *late_table(dataset), earlier, rounds, draws, late_rounds)
+
+
+def fit_production(rows: DataFrame, columns: list[str], late_rows: DataFrame, late_columns: list[str],
+                   earlier: DataFrame | None = None, rounds: int = 455, draws: int = 0, late_rounds: int = 200) -> dict:
+    """`production` on training tables that are at hand."""
+    rows, late_rows = learn.assemble(rows, columns), learn.assemble(late_rows, late_columns)
     spark = rows.sparkSession
     keep = ["meal_id", "user_id"]
     plain = durable(learn.out_of_fold(rows, learn.boosted_extra(rounds=rounds), K, keep))
@@ -118,7 +125,6 @@ def production(dataset: DataFrame, earlier: DataFrame | None = None, rounds: int
     pooled = M.pooled_metrics(calibrated, "label", "calibrated").select(
         F.lit("calibrated").alias("model"), "mae", "rmse", "r2", F.lit("weights, isotonic (seen rows)").alias("changes")
     )
-    late_rows, late_columns = late_table(dataset)
     late_model = learn.boosted_class(rounds=late_rounds, weight="weight")
     late_oof = learn.out_of_fold(late_rows, late_model, K, keep, probability=True)
     return {

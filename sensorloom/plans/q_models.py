@@ -20,21 +20,46 @@ from sensorloom.plans.registry import query
 from sensorloom.session import durable, scratch_dir
 from sensorloom.sources import io, roles
 
-ROUNDS = 20
+ROUNDS = 5
 TREES = 20
-_STORED: dict[tuple[str, str], str] = {}
+_STORED: dict[tuple, tuple[str, list[str]]] = {}
 
 
-def dataset(spark, sf_dir) -> DataFrame:
-    """The peak feature table, written once per session and read by every model."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def stored(spark, sf_dir, name: str, make) -> tuple[DataFrame, list[str]]:
+    """A stage of the plan, written once per session and read by all later ones."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STORED:
-        path = f"{scratch_dir(spark)}/modeling_dataset_peak"
+        path = f"{scratch_dir(spark)}/{name}"
+        df, columns = make()
+        io.write_table(df, path)
+        _STORED[key] = path, columns
+    path, columns = _STORED[key]
+    return io.read_table(spark, path), columns
+
+
+def dataset(spark, sf_dir) -> DataFrame:
+    """The peak feature table."""
+
+    def make():
         t = roles.domain(spark, sf_dir)
-        base = durable(pipeline.modeling_dataset(t, roles.SCALE).withColumn("total_carbs", F.coalesce("total_carbs", F.lit(0.0))))
-        io.write_table(pipeline.peak_dataset(base, t, roles.SCALE), path)
-        _STORED[key] = path
-    return io.read_table(spark, _STORED[key])
+        base = durable(pipeline.modeling_dataset(t, roles.SCALE))
+        return pipeline.peak_dataset(base, t, roles.SCALE), []
+
+    return stored(spark, sf_dir, "modeling_dataset_peak", make)[0]
+
+
+TABLES = {
+    "peak_first": lambda df: G.peak_table(df, production=False),
+    "peak": G.peak_table,
+    "time": G.time_table,
+    "late": G.late_table,
+}
+
+
+def training(spark, sf_dir, kind: str) -> tuple[DataFrame, list[str]]:
+    """Training table with its feature vector, and the feature names."""
+    rows, columns = stored(spark, sf_dir, f"train_{kind}", lambda: TABLES[kind](dataset(spark, sf_dir)))
+    return learn.assemble(rows, columns), columns
 
 
 @query("j01_modeling_dataset")
@@ -82,7 +107,7 @@ def silhouette(spark, sf_dir):
 def _fold_query(name: str, model, **args):
     @query(name)
     def run(spark, sf_dir):
-        rows, _ = G.peak_table(dataset(spark, sf_dir), production=False)
+        rows, _ = training(spark, sf_dir, "peak_first")
         return M.regression_by_fold(learn.out_of_fold(rows, model(), G.K, ["meal_id"], **args))
 
 
@@ -94,7 +119,7 @@ _fold_query("m10_boosted_extra", lambda: learn.boosted_extra(rounds=ROUNDS))
 
 @query("m11_late_or_fast")
 def late(spark, sf_dir):
-    rows, _ = G.late_table(dataset(spark, sf_dir))
+    rows, _ = training(spark, sf_dir, "late")
     oof = learn.out_of_fold(
         rows, learn.boosted_class(rounds=ROUNDS, weight="weight"), G.K, ["meal_id", "user_id"], probability=True
     )
@@ -104,7 +129,7 @@ def late(spark, sf_dir):
 
 @query("m12_three_classes")
 def three(spark, sf_dir):
-    rows, _ = G.time_table(dataset(spark, sf_dir))
+    rows, _ = training(spark, sf_dir, "time")
     classed = durable(rows.withColumn("label", C.time_class("label").cast("double")))
     oof = learn.out_of_fold(classed, learn.three_class(rounds=5, depth=4), G.K, ["meal_id"])
     return M.macro_by(oof, ["fold"], "label", "prediction", [0, 1, 2])
@@ -112,7 +137,7 @@ def three(spark, sf_dir):
 
 @query("m13_out_of_fold")
 def oof(spark, sf_dir):
-    rows, _ = G.peak_table(dataset(spark, sf_dir))
+    rows, _ = training(spark, sf_dir, "peak")
     return M.with_errors(learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id", "user_id", "ts"]))
 
 
@@ -121,7 +146,8 @@ def log_target(spark, sf_dir):
     df = dataset(spark, sf_dir)
     coded = pipeline.with_codes(df).where(F.col("iauc").isNotNull())
     cols = pipeline.feature_columns(coded, False)
-    rows = learn.assemble(pipeline.training_table(coded, cols, "iauc", []), cols)
+    made = stored(spark, sf_dir, "train_iauc", lambda: (pipeline.training_table(coded, cols, "iauc", []), cols))
+    rows = learn.assemble(*made)
     out = None
     for kind in ("plain", "corrected"):
         preds = durable(learn.out_of_fold(rows, learn.boosted(rounds=ROUNDS), G.K, ["meal_id"], log=kind))
@@ -135,7 +161,7 @@ def log_target(spark, sf_dir):
 
 @query("m16_weighted_fit")
 def weighted(spark, sf_dir):
-    rows, _ = G.peak_table(dataset(spark, sf_dir))
+    rows, _ = training(spark, sf_dir, "peak")
     plain = durable(learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id", "user_id"]))
     w = M.user_weights(M.with_errors(plain)).select("user_id", "weight")
     heavier = durable(rows.join(w, "user_id"))
@@ -145,7 +171,7 @@ def weighted(spark, sf_dir):
 
 @query("m17_search")
 def search(spark, sf_dir):
-    rows, _ = G.peak_table(dataset(spark, sf_dir))
+    rows, _ = training(spark, sf_dir, "peak")
     params = [{**p, "maxIter": 5, "maxDepth": min(p["maxDepth"], 4)} for p in learn.draw(learn.RANGES["first"], 3)]
     table, _ = learn.search(rows, learn.boosted_extra(), params, G.K)
     return table
@@ -153,17 +179,16 @@ def search(spark, sf_dir):
 
 @query("m18_isotonic")
 def isotonic(spark, sf_dir):
-    rows, _ = G.peak_table(dataset(spark, sf_dir))
+    rows, _ = training(spark, sf_dir, "peak")
     preds = durable(learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"]))
     return learn.calibrate(learn.fit_isotonic(preds), preds).select("meal_id", "fold", "label", "prediction", "calibrated")
 
 
 @query("m19_cascade")
 def cascade(spark, sf_dir):
-    df = dataset(spark, sf_dir)
-    times, _ = G.time_table(df)
+    times, _ = training(spark, sf_dir, "time")
     second = durable(learn.out_of_fold(times, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"]))
-    rows, cols = G.peak_table(df)
+    rows, cols = training(spark, sf_dir, "peak")
     joined = learn.with_cascade(rows.drop("features"), second)
     stacked = durable(learn.assemble(joined, [*cols, "pred_time_to_peak", "pred_ttp_category"]))
     both = learn.out_of_fold(stacked, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"])
@@ -173,13 +198,13 @@ def cascade(spark, sf_dir):
 
 @query("m20_importance")
 def importance(spark, sf_dir):
-    rows, cols = G.peak_table(dataset(spark, sf_dir))
+    rows, cols = training(spark, sf_dir, "peak")
     return learn.importance(learn.boosted_extra(rounds=ROUNDS), rows, cols)
 
 
 @query("s06_model_round_trip")
 def round_trip(spark, sf_dir):
-    rows, cols = G.peak_table(dataset(spark, sf_dir))
+    rows, cols = training(spark, sf_dir, "peak")
     path = f"{scratch_dir(spark)}/peak_model"
     learn.save(learn.fit_pipeline(rows.drop("features"), learn.boosted_extra(rounds=5), cols), path)
     loaded = learn.load_pipeline(path)
@@ -190,7 +215,11 @@ def round_trip(spark, sf_dir):
 @query("m22_batch_scoring")
 def scoring(spark, sf_dir):
     df = dataset(spark, sf_dir)
-    made = G.production(df, rounds=ROUNDS, late_rounds=ROUNDS)
+    peak_rows, late_rows = training(spark, sf_dir, "peak"), training(spark, sf_dir, "late")
+    made = G.fit_production(
+        peak_rows[0].drop("features"), peak_rows[1], late_rows[0].drop("features"), late_rows[1],
+        rounds=ROUNDS, late_rounds=ROUNDS,
+    )
     rows = G.scoring_table(df, list(dict.fromkeys([*made["columns"], *made["late_columns"]])))
     scored = learn.score(rows, made["peak"], made["calibrator"], made["late"])
     return scored.select(
