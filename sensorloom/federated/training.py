@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sensorloom.functions import fixed
 from sensorloom.functions.columns import normalise
 from sensorloom.operators.ranks import hash_rank
-from sensorloom.session import durable
+from sensorloom.session import bucketed, durable
 
 LOCAL_SCHEMA = (
     "experiment string, partition_id int, shard int, block string, values array<double>, n_examples long"
@@ -104,7 +104,7 @@ def evaluate(rows: DataFrame, params: DataFrame, classes: int, width: int, by: S
 
 def prepare_clients(assigned: DataFrame, ids: Sequence[str], features: str, label: str,
                     shard_rows: int = SHARD_ROWS, partitions: int | None = None) -> DataFrame:
-    """Normalised features, local split and shard per row, laid out by shard and made durable.
+    """Normalised features, local split and shard per row, stored in buckets by shard.
 
     The rounds group by exactly these keys, so none of them shuffles the rows again.
     """
@@ -119,8 +119,7 @@ def prepare_clients(assigned: DataFrame, ids: Sequence[str], features: str, labe
         *rows.columns, F.col("_rank").alias("_order"), shard.alias("shard"),
         F.when(test, "test").otherwise("train").alias("split"),
     )
-    layout = [*keys, "shard"]
-    return durable(laid.repartition(*([partitions] if partitions else []), *layout))
+    return bucketed(laid, [*keys, "shard"], partitions)
 
 
 def run(clients: DataFrame, central: DataFrame, classes: int, width: int, rounds: int = fixed.FED_ROUNDS,

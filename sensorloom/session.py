@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,17 @@ def scratch_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="sensorloom-scratch-")
     return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Write a table bucketed by `keys` into the shared folder and read it back.
+
+    Grouping by the same keys then needs no shuffle, however often it is done. (A
+    checkpoint would lose the layout under adaptive execution.)
+    """
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_dir(spark)
+    name = "bucketed_" + path.rsplit("-", 1)[1]
+    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
+    return spark.table(name)
