@@ -9,7 +9,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from sensorloom.operators.ranks import hash_rank
+from sensorloom.operators.ranks import FEW_LABELS, broadcast_if_few, hash_rank
 
 
 def iid(df: DataFrame, ids: Sequence[str], k: int, seed: int = 42, out: str = "partition_id") -> DataFrame:
@@ -39,7 +39,7 @@ def pathological(df: DataFrame, ids: Sequence[str], label: str, k: int, classes:
 
     Rows of a label nobody owns (k * classes below the number of labels) get no client.
     """
-    owners = label_owners(df, label, k, classes)
+    owners = broadcast_if_few(label_owners(df, label, k, classes), FEW_LABELS)
     ranked = hash_rank(df, ids, seed, [label], "_rank", "_total").join(owners, label)
     n = F.size("_owners")
     turn = F.pmod(F.col("_rank") - 1, F.greatest(n, F.lit(1))).cast("int")

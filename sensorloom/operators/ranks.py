@@ -18,7 +18,7 @@ def hash_rank(
     within: Sequence[str] = (),
     rank: str = "rank",
     total: str = "total",
-    digits: int = 2,
+    digits: int = 3,
 ) -> DataFrame:
     """1-based position in hash order inside each `within` group, and the group size.
 
@@ -52,6 +52,12 @@ def hash_sample(df: DataFrame, ids: Sequence[str], n: int, seed: int | str) -> D
     return df.orderBy(hash_key(seed, *ids), *ids).limit(n)
 
 
+def _place(v: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Equal-width bin of a value, 0-based."""
+    at = F.least(F.floor((v - lo) / (hi - lo) * bins), F.lit(bins - 1))
+    return F.when(hi > lo, at).otherwise(F.lit(0)).cast("long")
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -62,66 +68,86 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles (linear interpolation) of many columns, per group.
 
-    Rows: group, feature, q, n, value. Values are counted first, so repeats merge
-    map-side; then each (group, feature) is cut into `bins` equal ranges, the
-    range holding each wanted rank is found from the counts, and only that range
-    is sorted. `levels` > 1 cuts the found ranges again before sorting. No group
-    is ever held by one task.
+    Rows: group, feature, q, n, value. The first pass takes the ends of each
+    column, the second counts `bins` equal ranges between them (merged map-side to
+    a few counts), and only the values of the ranges that hold a wanted rank are
+    shuffled, counted and sorted. `levels` > 1 cuts those ranges again before the
+    sort. No group is ever held by one task. `df` is read three times, so give it
+    something stored. Rows with a null group are left out.
     """
-    cols = [c for c in columns]
-    long = df.select(
+    cols = list(columns)
+    ids = [*group, "feature"]
+    vals = df.select(*group, *[F.col(c).cast("double").alias(c) for c in cols])
+    ends = vals.groupBy(*group).agg(
+        *[
+            F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(c).alias("n")).alias(f"_e_{c}")
+            for c in cols
+        ]
+    )
+    rows = vals.join(ends, list(group)) if group else scalars(vals, ends)
+    long = rows.select(
         *group,
         F.explode(
-            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in cols])
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(c).alias("feature"), F.col(c).alias("v"),
+                        _place(F.col(c), F.col(f"_e_{c}")["lo"], F.col(f"_e_{c}")["hi"], bins).alias("bin"),
+                    )
+                    for c in cols
+                ]
+            )
         ).alias("_s"),
-    ).select(*group, F.col("_s.feature").alias("feature"), F.col("_s.v").alias("v"))
-    ids = [*group, "feature"]
-    counted = long.where(F.col("v").isNotNull()).groupBy(*ids, "v").agg(F.count(F.lit(1)).alias("_n"))
+    ).select(*group, F.col("_s.feature").alias("feature"), F.col("_s.v").alias("v"), F.col("_s.bin").alias("_bin"))
+    long = long.where(F.col("v").isNotNull())
 
-    # wanted ranks, 0-based, two per quantile
-    sizes = counted.groupBy(*ids).agg(F.sum("_n").alias("n"))
+    # wanted ranks, 0-based, one or two per quantile
+    sizes = ends.select(
+        *group,
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_e_{c}")["n"].alias("n")) for c in cols])
+        ).alias("_s"),
+    ).select(*group, F.col("_s.feature").alias("feature"), F.col("_s.n").alias("n"))
     wanted = F.array(*[F.lit(float(q)) for q in quantiles])
     pos = F.col("q") * (F.col("n") - 1)
     targets = (
-        sizes.select(*ids, "n", F.explode(wanted).alias("q"))
-        .select(*ids, "n", "q", F.explode(F.array(F.floor(pos), F.ceil(pos))).alias("_k"))
-        .distinct()
-        .withColumn("_cell", F.lit(0).cast("long"))
-        .withColumn("_rank", F.col("_k"))
+        sizes.where(F.col("n") > 0)
+        .select(*ids, "n", F.explode(wanted).alias("q"))
+        .select(*ids, "n", "q", F.explode(F.array_distinct(F.array(F.floor(pos), F.ceil(pos)))).alias("_k"))
+        .select("*", F.lit(0).cast("long").alias("_cell"), F.col("_k").alias("_rank"))
     )
-    cells = counted.withColumn("_cell", F.lit(0).cast("long"))
     path = [*ids, "_cell"]
-    # without a group there is one edge row per column: a bound the data cannot move
+    # without a group there are at most two target rows per column and quantile: a
+    # bound the data cannot move
     small = (lambda d: d) if group else F.broadcast
-    for _ in range(levels):
-        edges = cells.groupBy(*path).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
-        place = F.when(
-            F.col("_hi") > F.col("_lo"),
-            F.least(
-                F.floor((F.col("v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins),
-                F.lit(bins - 1),
-            ),
-        ).otherwise(F.lit(0))
-        placed = cells.join(small(edges), path).select(*path, "v", "_n", place.cast("long").alias("_bin"))
+
+    def narrow(targets: DataFrame, placed: DataFrame, weight: Column) -> tuple[DataFrame, DataFrame]:
+        """Targets moved into the bin that holds them, and the values of those bins."""
         run = Window.partitionBy(*path).orderBy("_bin")
-        hist = placed.groupBy(*path, "_bin").agg(F.sum("_n").alias("_n")).select(
-            *path, "_bin", F.sum("_n").over(run).alias("_upto"), F.col("_n").alias("_size")
+        hist = placed.groupBy(*path, "_bin").agg(F.sum(weight).alias("_size")).select(
+            *path, "_bin", F.sum("_size").over(run).alias("_upto"), "_size"
         )
-        hit = (F.col("_rank") >= F.col("_upto") - F.col("_size")) & (F.col("_rank") < F.col("_upto"))
+        before = F.col("_upto") - F.col("_size")
+        hit = (F.col("_rank") >= before) & (F.col("_rank") < F.col("_upto"))
         deeper = (F.col("_cell") * bins + F.col("_bin")).alias("_cell")
-        targets = targets.join(hist, path).where(hit).select(
-            *ids, "n", "q", "_k", deeper,
-            (F.col("_rank") - (F.col("_upto") - F.col("_size"))).alias("_rank"),
+        moved = small(targets).join(hist, path).where(hit).select(
+            *ids, "n", "q", "_k", deeper, (F.col("_rank") - before).alias("_rank")
         )
-        cells = placed.select(*ids, deeper, "v", "_n").join(
-            targets.select(*path).distinct(), path, "left_semi"
+        kept = placed.select(*ids, deeper, "v", weight.alias("_w")).join(
+            small(moved.select(*path).distinct()), path, "left_semi"
         )
+        return moved, kept.groupBy(*path, "v").agg(F.sum("_w").alias("_n"))
+
+    targets, cells = narrow(targets, long.withColumn("_cell", F.lit(0).cast("long")), F.lit(1))
+    for _ in range(levels - 1):
+        edges = cells.groupBy(*path).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+        placed = cells.join(small(edges), path).withColumn("_bin", _place(F.col("v"), F.col("_lo"), F.col("_hi"), bins))
+        targets, cells = narrow(targets, placed, F.col("_n"))
     run = Window.partitionBy(*path).orderBy("v")
     ranked = cells.select(*path, "v", F.sum("_n").over(run).alias("_upto"), F.col("_n").alias("_size"))
     hit = (F.col("_rank") >= F.col("_upto") - F.col("_size")) & (F.col("_rank") < F.col("_upto"))
-    found = targets.join(ranked, path).where(hit)
-    lo = F.min_by("v", "_k")
-    hi = F.max_by("v", "_k")
+    found = small(targets).join(ranked, path).where(hit)
+    lo, hi = F.min_by("v", "_k"), F.max_by("v", "_k")
     share = F.first("q") * (F.first("n") - 1)
     return found.groupBy(*ids, "q").agg(
         F.first("n").alias("n"), (lo + (hi - lo) * (share - F.floor(share))).alias("value")
@@ -150,12 +176,24 @@ def scalars(df: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
+def broadcast_if_few(df: DataFrame, most: int) -> DataFrame:
+    """Broadcast a table whose row count is checked; a longer one is left to the planner."""
+    head = df.limit(most + 1).collect()
+    if len(head) > most:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
+
+
+FEW_LABELS = 10_000
+
+
 def label_codes(df: DataFrame, column: str, code: str, missing: str = "unknown") -> DataFrame:
     """Code of each label by its place in sorted order; null counts as `missing`.
 
-    Only the distinct labels are ranked; they merge map-side first.
+    Only the distinct labels are ranked; they merge map-side first. While there are
+    few, they are broadcast: a shuffle by label would put most rows into few tasks.
     """
     filled = df.withColumn("_label", F.coalesce(F.col(column).cast("string"), F.lit(missing)))
     labels = filled.select("_label").distinct()
     codes = labels.select("_label", (F.dense_rank().over(Window.orderBy("_label")) - 1).alias(code))
-    return filled.join(codes, "_label").drop("_label")
+    return filled.join(broadcast_if_few(codes, FEW_LABELS), "_label").drop("_label")

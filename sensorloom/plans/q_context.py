@@ -17,27 +17,25 @@ SCALE = roles.SCALE
 DAY = 86_400_000_000
 ACT = 60 * HOUR  # one hour of the activity windows at this scale
 
-ACT_SQL = ctes(
-    "meals", "sport",
-    extra={
-        "w": "SELECT m.meal_id, m.us, s.r_us, s.duration, s.intensity_category AS lv, m.us - s.r_us AS d,"
-        " CASE s.intensity_category WHEN 'low' THEN 1.0 WHEN 'moderate' THEN 2.0 WHEN 'high' THEN 3.0 ELSE 0 END AS sc"
-        f" FROM meals m JOIN sport s ON s.user_id = m.user_id AND s.r_us >= m.us - {48 * ACT} AND s.r_us < m.us",
-        "a": f"SELECT meal_id, sum(duration) FILTER (WHERE d <= {24 * ACT}) AS d24,"
-        f" count(*) FILTER (WHERE d <= {24 * ACT}) AS n24,"
-        f" max(CASE WHEN d <= {24 * ACT} THEN CASE lv WHEN 'high' THEN 3 WHEN 'moderate' THEN 2 ELSE 1 END END) AS top,"
-        f" max(r_us) FILTER (WHERE d <= {24 * ACT}) AS last_us, sum(duration) FILTER (WHERE d <= {2 * ACT}) AS d2,"
-        f" sum(duration) FILTER (WHERE d <= {6 * ACT}) AS d6, sum(duration) AS d48, count(*) AS n48,"
-        " CASE WHEN sum(coalesce(duration, 0)) > 0 THEN sum(sc * coalesce(duration, 0)) / sum(coalesce(duration, 0))"
-        " ELSE avg(sc) END AS score FROM w GROUP BY meal_id",
-        "act": "SELECT m.meal_id, m.user_id, coalesce(d24, 0) AS sport_prior_duration, coalesce(n24, 0) AS sport_prior_sessions,"
-        " CASE top WHEN 3 THEN 'high' WHEN 2 THEN 'moderate' WHEN 1 THEN 'low' ELSE 'none' END AS sport_prior_intensity,"
-        f" (m.us - last_us) / {float(ACT)} AS hours_since_last_sport, coalesce(d2, 0) AS sport_2h_duration,"
-        " coalesce(d6, 0) AS sport_6h_duration, coalesce(d48, 0) AS sport_48h_duration,"
-        " coalesce(n48, 0) AS sport_48h_sessions, coalesce(score, 0) AS sport_intensity_score"
-        " FROM meals m LEFT JOIN a USING (meal_id)",
-    },
-)
+ACT_PARTS = {
+    "aw": "SELECT m.meal_id, m.us, s.r_us, s.duration, s.intensity_category AS lv, m.us - s.r_us AS d,"
+    " CASE s.intensity_category WHEN 'low' THEN 1.0 WHEN 'moderate' THEN 2.0 WHEN 'high' THEN 3.0 ELSE 0 END AS sc"
+    f" FROM meals m JOIN sport s ON s.user_id = m.user_id AND s.r_us >= m.us - {48 * ACT} AND s.r_us < m.us",
+    "aa": f"SELECT meal_id, sum(duration) FILTER (WHERE d <= {24 * ACT}) AS d24,"
+    f" count(*) FILTER (WHERE d <= {24 * ACT}) AS n24,"
+    f" max(CASE WHEN d <= {24 * ACT} THEN CASE lv WHEN 'high' THEN 3 WHEN 'moderate' THEN 2 ELSE 1 END END) AS top,"
+    f" max(r_us) FILTER (WHERE d <= {24 * ACT}) AS last_us, sum(duration) FILTER (WHERE d <= {2 * ACT}) AS d2,"
+    f" sum(duration) FILTER (WHERE d <= {6 * ACT}) AS d6, sum(duration) AS d48, count(*) AS n48,"
+    " CASE WHEN sum(coalesce(duration, 0)) > 0 THEN sum(sc * coalesce(duration, 0)) / sum(coalesce(duration, 0))"
+    " ELSE avg(sc) END AS score FROM aw GROUP BY meal_id",
+    "act": "SELECT m.meal_id, m.user_id, coalesce(d24, 0) AS sport_prior_duration, coalesce(n24, 0) AS sport_prior_sessions,"
+    " CASE top WHEN 3 THEN 'high' WHEN 2 THEN 'moderate' WHEN 1 THEN 'low' ELSE 'none' END AS sport_prior_intensity,"
+    f" (m.us - last_us) / {float(ACT)} AS hours_since_last_sport, coalesce(d2, 0) AS sport_2h_duration,"
+    " coalesce(d6, 0) AS sport_6h_duration, coalesce(d48, 0) AS sport_48h_duration,"
+    " coalesce(n48, 0) AS sport_48h_sessions, coalesce(score, 0) AS sport_intensity_score"
+    " FROM meals m LEFT JOIN aa USING (meal_id)",
+}
+ACT_SQL = ctes("meals", "sport", extra=ACT_PARTS)
 
 
 def _act(name, *cols, plain=()):
@@ -55,9 +53,6 @@ _act("a20_activity_bundle", "sport_prior_duration", "hours_since_last_sport",
      plain=("sport_prior_sessions", "sport_prior_intensity"))
 _act("a21_intensity_score", "sport_intensity_score")
 
-FIRST = "SELECT user_id, CAST(ts AS DATE) AS d, arg_min({c}, (ts, id)) AS {c} FROM answers GROUP BY ALL"
-
-
 def _daily_sql(lag: int, names: dict[str, str], flag: str) -> str:
     return (
         ctes("meals", "answers")
@@ -133,13 +128,13 @@ ROLL = ctes("readings", "meals", extra={**PARTS, **ROLL_PARTS})
 
 
 def _roll(name, *cols, **args):
-    sql = ROLL + "SELECT " + ", ".join(["meal_id", *[f"{r(c)} AS {c}" for c in cols]]) + " FROM roll"
+    sql = ROLL + "SELECT " + ", ".join(["meal_id", *[f"{r(c, 9)} AS {c}" for c in cols]]) + " FROM roll"
 
     @query(name, sql)
     def run(spark, sf_dir):
         _, readings = both(spark, sf_dir)
         rolled = X.rolling_user(responses(spark, sf_dir), readings, SCALE, **args)
-        return r6(rolled, *cols).select("meal_id", *cols)
+        return rolled.select("meal_id", *[(F.round(c, 9) + F.lit(0.0)).alias(c) for c in cols])
 
 
 _roll("w04_rolling_response", "user_peak_mean_roll", "user_peak_std_roll", "user_ttp_mean_roll")

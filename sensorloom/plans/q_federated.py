@@ -168,6 +168,12 @@ def local_training(spark, sf_dir):
     return clients.where(F.col("split") == "train").groupBy(*keys).applyInPandas(trainer, T.LOCAL_SCHEMA)
 
 
+@query("l06_average_parameters")
+def average(spark, sf_dir):
+    mean = T.weighted_mean(local_training(spark, sf_dir), ["experiment", "block"])
+    return mean.select("experiment", "block", F.posexplode("values").alias("pos", "value"))
+
+
 @query("l07_local_evaluation")
 def local_evaluation(spark, sf_dir):
     clients, central = experiments(spark, sf_dir, [fixed.FED_EXPERIMENTS[0]])

@@ -16,7 +16,10 @@ from sensorloom.operators.folds import zscore
 from sensorloom.operators.profiles import nutrition_profile, response_profile
 from sensorloom.plans import modelling as G
 from sensorloom.plans import pipeline
+from sensorloom.plans.q_context import ACT_PARTS, ROLL_PARTS
+from sensorloom.plans.q_response import PARTS, PRE_SQL
 from sensorloom.plans.registry import query
+from sensorloom.plans.sql_text import K, ctes, r
 from sensorloom.session import durable, scratch_dir
 from sensorloom.sources import io, roles
 
@@ -62,14 +65,91 @@ def training(spark, sf_dir, kind: str) -> tuple[DataFrame, list[str]]:
     return learn.assemble(rows, columns), columns
 
 
-@query("j01_modeling_dataset")
-def modeling(spark, sf_dir):
-    return pipeline.modeling_dataset(roles.domain(spark, sf_dir), roles.SCALE)
+SLEEP_SQL = (
+    "SELECT *, CAST(ts AS DATE) AS d, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, id) AS rn FROM answers"
+)
+DATASET_PARTS = {
+    # meals that have items, in place of all
+    "meals": "SELECT event_id AS meal_id, user_id, ts, epoch_us(ts) AS us, value AS carbs,"
+    f" ['main', 'snack', 'drink'][{K} % 3 + 1] AS meal_type FROM events WHERE event_type = 'purchase'"
+    " AND event_id IN (SELECT l_orderkey FROM lineitem)",
+    **PARTS,
+    **ACT_PARTS,
+    "ans": SLEEP_SQL,
+    "ust": "SELECT user_id, avg(r_value) AS user_glucose_mean, stddev_samp(r_value) AS user_glucose_std,"
+    " median(r_value) AS user_glucose_median, quantile_cont(r_value, 0.25) AS user_glucose_q25,"
+    " quantile_cont(r_value, 0.75) AS user_glucose_q75,"
+    " avg(CASE WHEN r_value BETWEEN 70 AND 140 THEN 100.0 ELSE 0 END) AS user_time_in_range FROM readings GROUP BY user_id",
+    "ds": "SELECT r.* EXCLUDE (carbs), m.meal_type, CAST(hour(r.ts) AS INTEGER) AS hour_of_day, a.* EXCLUDE (meal_id, user_id),"
+    " s.score AS sleep_time_prev, s.level AS sleep_quality_prev, coalesce(s.flag, false) AS is_sick,"
+    " e.score AS training_effort_prev, e.level AS anxiety_prev, coalesce(e.flag, false) AS out_of_routine_prev,"
+    " u.* EXCLUDE (user_id), n.* EXCLUDE (meal_id) FROM resp r JOIN meals m USING (meal_id) JOIN act a USING (meal_id)"
+    " LEFT JOIN ans s ON s.rn = 1 AND s.user_id = r.user_id AND s.d = CAST(r.ts AS DATE)"
+    " LEFT JOIN ans e ON e.rn = 1 AND e.user_id = r.user_id AND e.d = CAST(r.ts AS DATE) - 1"
+    " LEFT JOIN ust u ON u.user_id = r.user_id LEFT JOIN nutrition n ON n.meal_id = r.meal_id",
+}
+DATASET = ctes("readings", "meals", "sport", "answers", "nutrition", extra=DATASET_PARTS)
+DATASET_REAL = (
+    "peak_value", "time_to_peak_min", "amplitude", "iauc", "recovery_time_min", "cv_postprandial", "glucose_2h",
+    "sport_prior_duration", "hours_since_last_sport", "sport_6h_duration", "sport_intensity_score", "sleep_time_prev",
+    "anxiety_prev", "user_glucose_std", "user_glucose_median", "user_time_in_range", "total_calories", "total_fibre",
+    "pct_cal_fat", "fibre_carb_ratio", "pct_items_with_fibre",
+)
+DATASET_PLAIN = (
+    "meal_id", "user_id", "n_readings_post", "meal_type", "hour_of_day", "sport_prior_intensity", "is_sick",
+    "out_of_routine_prev", "n_items", "n_high_gi", "n_food_groups",
+)
+
+
+def dataset_sql(head: str, table: str, plain, real) -> str:
+    return head + "SELECT " + ", ".join([*plain, *[f"{r(c, digits(c))} AS {c}" for c in real]]) + f" FROM {table}"
+
 
+def digits(column: str) -> int:
+    """Means over a power of two rows end on a 5 at the seventh digit or so; these keep more."""
+    return 9 if column.startswith("user_") else 6
 
-@query("j01_peak_dataset")
+
+def rounded(df: DataFrame, columns) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c).cast("double"), digits(c)) + F.lit(0.0) for c in columns})
+
+
+@query("j01_modeling_dataset", dataset_sql(DATASET, "ds", DATASET_PLAIN, DATASET_REAL))
+def modeling(spark, sf_dir):
+    base = pipeline.modeling_dataset(roles.domain(spark, sf_dir), roles.SCALE)
+    return rounded(base, DATASET_REAL).select(*DATASET_PLAIN, *DATASET_REAL)
+
+
+PEAK_PARTS = {
+    **DATASET_PARTS,
+    **PRE_SQL,
+    "rm": ROLL_PARTS["rm"].replace("resp ", "ds "),
+    "rg": ROLL_PARTS["rg"].replace("resp ", "ds "),
+    "sd": "SELECT a.meal_id, count(b.meal_id) AS prev_meals_today, max(b.peak_value) AS prev_peak_today_max,"
+    " (any_value(a.us) - max(b.us)) / 3600000000.0 AS hours_since_last_meal, coalesce(sum(b.total_carbs), 0) AS carbs_load_today"
+    " FROM ds a LEFT JOIN ds b ON a.user_id = b.user_id AND CAST(a.ts AS DATE) = CAST(b.ts AS DATE) AND b.us < a.us"
+    " GROUP BY a.meal_id",
+    "pk": "SELECT ds.*, p.cgm_slope_best, p.cgm_delta_30m, p.cgm_std_90m, p.cgm_tir_pre, p.n_readings_pre_60m, p.cgm_window_used,"
+    " greatest(total_carbs - coalesce(total_fibre, 0), 0) AS net_carbs, total_fat * total_carbs AS fat_delay_score,"
+    " CASE WHEN rm.n >= 3 THEN pm END AS user_peak_mean_roll, CASE WHEN rm.n >= 3 THEN ps END AS user_peak_std_roll,"
+    " CASE WHEN rg.n >= 10 THEN gm END AS user_glucose_mean_roll, sd.prev_meals_today, sd.prev_peak_today_max,"
+    " sd.hours_since_last_meal, sd.carbs_load_today, sport_2h_duration * sport_intensity_score AS sport_2h_insulin_proxy"
+    " FROM ds JOIN prew p USING (meal_id) LEFT JOIN rm USING (meal_id) LEFT JOIN rg USING (meal_id) JOIN sd USING (meal_id)",
+}
+PEAK_REAL = (
+    "peak_value", "iauc", "cgm_slope_best", "cgm_delta_30m", "cgm_std_90m", "cgm_tir_pre", "net_carbs", "fat_delay_score",
+    "user_peak_mean_roll", "user_peak_std_roll", "user_glucose_mean_roll", "prev_peak_today_max", "hours_since_last_meal",
+    "carbs_load_today", "sport_2h_insulin_proxy",
+)
+PEAK_PLAIN = ("meal_id", "user_id", "n_readings_pre_60m", "cgm_window_used", "prev_meals_today")
+
+
+@query(
+    "j01_peak_dataset",
+    dataset_sql(ctes("readings", "meals", "sport", "answers", "nutrition", extra=PEAK_PARTS), "pk", PEAK_PLAIN, PEAK_REAL),
+)
 def peak(spark, sf_dir):
-    return dataset(spark, sf_dir)
+    return rounded(dataset(spark, sf_dir), PEAK_REAL).select(*PEAK_PLAIN, *PEAK_REAL)
 
 
 @query("m02_user_clusters")
