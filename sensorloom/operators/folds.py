@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from sensorloom.operators.ranks import group_medians, hash_rank, scalars, wide_medians
+from sensorloom.session import durable
 
 # Users up to this many are placed one by one on the driver: two numbers each.
 GREEDY_USERS = 100_000
@@ -75,6 +76,7 @@ def impute_user_median(df: DataFrame, columns: Sequence[str], user: str = "user_
     by_user = df.join(med, user, "left").withColumns(
         {c: F.coalesce(F.col(c).cast("double"), f"_u_{c}") for c in columns}
     ).select(df.columns)
+    by_user = durable(by_user)  # the second medians read it three times
     filled = scalars(by_user, wide_medians(by_user, columns, "_m_"))
     tail = [] if last is None else [F.lit(last)]
     return filled.withColumns({c: F.coalesce(c, f"_m_{c}", *tail) for c in columns}).select(df.columns)

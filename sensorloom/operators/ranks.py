@@ -76,42 +76,29 @@ def exact_quantiles(
     something stored. Rows with a null group are left out.
     """
     cols = list(columns)
-    ids = [*group, "feature"]
-    vals = df.select(*group, *[F.col(c).cast("double").alias(c) for c in cols])
-    ends = vals.groupBy(*group).agg(
-        *[
-            F.struct(F.min(c).alias("lo"), F.max(c).alias("hi"), F.count(c).alias("n")).alias(f"_e_{c}")
-            for c in cols
-        ]
-    )
-    rows = vals.join(ends, list(group)) if group else scalars(vals, ends)
-    long = rows.select(
-        *group,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("feature"), F.col(c).alias("v"),
-                        _place(F.col(c), F.col(f"_e_{c}")["lo"], F.col(f"_e_{c}")["hi"], bins).alias("bin"),
-                    )
-                    for c in cols
-                ]
-            )
-        ).alias("_s"),
-    ).select(*group, F.col("_s.feature").alias("feature"), F.col("_s.v").alias("v"), F.col("_s.bin").alias("_bin"))
-    long = long.where(F.col("v").isNotNull())
+    ids = [*group, "_f"]
+    # one array per row and one expression for all columns keep the plan small
+    vals = df.select(*group, F.array(*[F.col(c).cast("double") for c in cols]).alias("_vals"))
+    flat = vals.select(*group, F.posexplode("_vals").alias("_f", "v"))
+    ends = flat.groupBy(*ids).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"), F.count("v").alias("n"))
+    if group:
+        # the ends of a group travel as one array, so the join moves each row once
+        by_group = ends.groupBy(*group).agg(
+            F.array_sort(F.collect_list(F.struct("_f", "_lo", "_hi"))).alias("_ends")
+        )
+        long = vals.join(by_group, list(group)).select(*group, "_ends", F.posexplode("_vals").alias("_f", "v"))
+        end = F.get("_ends", F.col("_f"))
+        lo, hi = end["_lo"], end["_hi"]
+    else:
+        long = flat.join(F.broadcast(ends), "_f")
+        lo, hi = F.col("_lo"), F.col("_hi")
+    long = long.where(F.col("v").isNotNull()).select(*ids, "v", _place(F.col("v"), lo, hi, bins).alias("_bin"))
 
     # wanted ranks, 0-based, one or two per quantile
-    sizes = ends.select(
-        *group,
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_e_{c}")["n"].alias("n")) for c in cols])
-        ).alias("_s"),
-    ).select(*group, F.col("_s.feature").alias("feature"), F.col("_s.n").alias("n"))
     wanted = F.array(*[F.lit(float(q)) for q in quantiles])
     pos = F.col("q") * (F.col("n") - 1)
     targets = (
-        sizes.where(F.col("n") > 0)
+        ends.where(F.col("n") > 0)
         .select(*ids, "n", F.explode(wanted).alias("q"))
         .select(*ids, "n", "q", F.explode(F.array_distinct(F.array(F.floor(pos), F.ceil(pos)))).alias("_k"))
         .select("*", F.lit(0).cast("long").alias("_cell"), F.col("_k").alias("_rank"))
@@ -149,9 +136,11 @@ def exact_quantiles(
     found = small(targets).join(ranked, path).where(hit)
     lo, hi = F.min_by("v", "_k"), F.max_by("v", "_k")
     share = F.first("q") * (F.first("n") - 1)
-    return found.groupBy(*ids, "q").agg(
+    out = found.groupBy(*ids, "q").agg(
         F.first("n").alias("n"), (lo + (hi - lo) * (share - F.floor(share))).alias("value")
     )
+    names = F.array(*[F.lit(c) for c in cols])
+    return out.select(*group, F.get(names, F.col("_f")).alias("feature"), "q", "n", "value")
 
 
 def wide_medians(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:

@@ -16,7 +16,7 @@ from sensorloom.operators.folds import zscore
 from sensorloom.operators.profiles import nutrition_profile, response_profile
 from sensorloom.plans import modelling as G
 from sensorloom.plans import pipeline
-from sensorloom.plans.q_context import ACT_PARTS, ROLL_PARTS
+from sensorloom.plans.q_context import ACT_PARTS, ROLL_PARTS, digits
 from sensorloom.plans.q_response import PARTS, PRE_SQL
 from sensorloom.plans.registry import query
 from sensorloom.plans.sql_text import K, ctes, r
@@ -105,11 +105,6 @@ def dataset_sql(head: str, table: str, plain, real) -> str:
     return head + "SELECT " + ", ".join([*plain, *[f"{r(c, digits(c))} AS {c}" for c in real]]) + f" FROM {table}"
 
 
-def digits(column: str) -> int:
-    """Means over a power of two rows end on a 5 at the seventh digit or so; these keep more."""
-    return 9 if column.startswith("user_") else 6
-
-
 def rounded(df: DataFrame, columns) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits(c)) + F.lit(0.0) for c in columns})
 
