@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
+from pyspark.util import inheritable_thread_target
 
 from sensorloom.models.learn import SEED, assemble
 from sensorloom.operators.folds import zscore
@@ -22,12 +24,14 @@ SLICE = 512
 def kmeans(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, out: str = "cluster") -> DataFrame:
     """Best of several seeded starts. `df` is read many times; make it durable."""
     vectors = assemble(df, columns)
-    best = None
-    for i in range(restarts):
-        model = KMeans(k=k, seed=SEED + i, predictionCol=out).fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best.transform(vectors)
+
+    def fit(i: int):
+        return KMeans(k=k, seed=SEED + i, predictionCol=out).fit(vectors)
+
+    # the starts are independent
+    with ThreadPool(min(restarts, 5)) as pool:
+        fitted = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))
+    return min(fitted, key=lambda m: m.summary.trainingCost).transform(vectors)
 
 
 def silhouette(df: DataFrame, cluster: str = "cluster", exact_points: int = EXACT_POINTS) -> tuple[float, str]:

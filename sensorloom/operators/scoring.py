@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sensorloom.functions import columns as C
 from sensorloom.functions import fixed
 from sensorloom.operators.ranks import scalars
 
 
-def _lookup(column: str, table: dict) -> F.Column:
+def _lookup(column: str, table: dict) -> Column:
     out = F
     for key, value in table.items():
         out = out.when(F.col(column) == key, F.lit(float(value)))

@@ -113,8 +113,7 @@ def fit_production(rows: DataFrame, columns: list[str], late_rows: DataFrame, la
     if draws:
         params = learn.draw(learn.RANGES["production_peak"], draws)
         found, best = learn.search(weighted_rows, model, params, K)
-        model = model.copy()
-        model._set(**best)
+        model = model.copy({model.getParam(n): v for n, v in best.items()})
         oof = durable(learn.out_of_fold(weighted_rows, model, K, keep))
         results.append(result_row(spark, "searched", oof, "weights, search"))
     calibrator = learn.fit_isotonic(oof)

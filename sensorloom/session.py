@@ -69,7 +69,7 @@ def bucketed(df: DataFrame, keys: Sequence[str], buckets: int | None = None) ->
     checkpoint would lose the layout under adaptive execution.)
     """
     spark = df.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or spark.sparkContext.defaultParallelism
     path = scratch_dir(spark)
     name = "bucketed_" + path.rsplit("-", 1)[1]
     df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
