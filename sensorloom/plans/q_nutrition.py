@@ -116,14 +116,17 @@ def joined(spark, sf_dir):
     "e08_interactions_basic",
     DS + ", m AS (SELECT median(glucose_preprandial) AS g, median(total_fat / nullif(total_protein, 0)) AS q FROM ds)"
     f" SELECT meal_id, {r('total_carbs - coalesce(total_fibre, 0)')} AS net_carbs, {r('total_carbs * hour_of_day')}"
-    f" AS carbs_x_hour, {r('total_carbs * coalesce(glucose_preprandial, g)')} AS carbs_x_preprandial,"
+    f" AS carbs_x_hour, {r('total_carbs * coalesce(glucose_preprandial, g)', 8)} AS carbs_x_preprandial,"
     f" {r('coalesce(total_fat / nullif(total_protein, 0), q)')} AS fat_protein_ratio,"
     " CAST(coalesce(nullif(n_items, 1), 0) AS INTEGER) AS nutri_cluster_num FROM ds, m",
 )
 def basic(spark, sf_dir):
     ds = joined(spark, sf_dir).withColumn("nutri_cluster", F.nullif("n_items", F.lit(1)))
-    cols = ("net_carbs", "carbs_x_hour", "carbs_x_preprandial", "fat_protein_ratio")
-    return r6(N.interactions_basic(ds), *cols).select("meal_id", *cols, "nutri_cluster_num")
+    cols = ("net_carbs", "carbs_x_hour", "fat_protein_ratio")
+    # a product of four and three decimals
+    product = F.round("carbs_x_preprandial", 8) + F.lit(0.0)
+    out = r6(N.interactions_basic(ds), *cols)
+    return out.select("meal_id", *cols, product.alias("carbs_x_preprandial"), "nutri_cluster_num")
 
 
 PEAK = {
