@@ -85,17 +85,18 @@ def benchmark(dataset: DataFrame, rounds: int = 200, trees: int = 200) -> DataFr
 
 
 def production(dataset: DataFrame, earlier: DataFrame | None = None, rounds: int = 455, draws: int = 0,
-               late_rounds: int = 200) -> dict:
+               late_rounds: int = 200, ranges: dict | None = None) -> dict:
     """Weighted, searched and calibrated peak model, and the late/fast model.
 
     `earlier`: predictions with user_id and abs_error, for the weights; without it
     the unweighted model of this run gives them.
     """
-    return fit_production(*peak_table(dataset), *late_table(dataset), earlier, rounds, draws, late_rounds)
+    return fit_production(*peak_table(dataset), *late_table(dataset), earlier, rounds, draws, late_rounds, ranges)
 
 
 def fit_production(rows: DataFrame, columns: list[str], late_rows: DataFrame, late_columns: list[str],
-                   earlier: DataFrame | None = None, rounds: int = 455, draws: int = 0, late_rounds: int = 200) -> dict:
+                   earlier: DataFrame | None = None, rounds: int = 455, draws: int = 0, late_rounds: int = 200,
+                   ranges: dict | None = None) -> dict:
     """`production` on training tables that are at hand."""
     rows, late_rows = learn.assemble(rows, columns), learn.assemble(late_rows, late_columns)
     spark = rows.sparkSession
@@ -111,7 +112,7 @@ def fit_production(rows: DataFrame, columns: list[str], late_rows: DataFrame, la
     results = [result_row(spark, "plain", plain), result_row(spark, "weighted", oof, "weights")]
     found = None
     if draws:
-        params = learn.draw(learn.RANGES["production_peak"], draws)
+        params = learn.draw(ranges or learn.RANGES["production_peak"], draws)
         found, best = learn.search(weighted_rows, model, params, K)
         model = model.copy({model.getParam(n): v for n, v in best.items()})
         oof = durable(learn.out_of_fold(weighted_rows, model, K, keep))
