@@ -21,18 +21,20 @@ def nutrition(spark, sf_dir):
     return N.meal_nutrition(roles.items(spark, sf_dir), roles.foods(spark, sf_dir))
 
 
-def _nutrition(name, *cols, plain=()):
-    sql = NUTRITION + "SELECT " + ", ".join(["meal_id", *plain, *[f"{r(c)} AS {c}" for c in cols]]) + " FROM nutrition"
+def _nutrition(name, *cols, plain=(), digits=6):
+    sql = NUTRITION + "SELECT " + ", ".join(["meal_id", *plain, *[f"{r(c, digits)} AS {c}" for c in cols]]) + " FROM nutrition"
 
     @query(name, sql)
     def run(spark, sf_dir):
-        return r6(nutrition(spark, sf_dir), *cols).select("meal_id", *plain, *cols)
+        rounded = [(F.round(c, digits) + F.lit(0.0)).alias(c) for c in cols]
+        return nutrition(spark, sf_dir).select("meal_id", *plain, *rounded)
 
 
 _nutrition("a04_macro_sums", "total_calories", "total_protein", "total_fat", "total_carbs", plain=("n_items",))
 _nutrition("a05_null_flags", plain=("has_nan_calories", "has_nan_macros"))
 _nutrition("a06_fibre", "total_fibre", "pct_items_with_fibre", plain=("fibre_available",))
-_nutrition("a07_attributes", "avg_saturated_fat", plain=("n_ultraprocessed", "n_high_gi", "n_food_groups"))
+# a mean over a power of two items ends on a 5 at the sixth digit or so
+_nutrition("a07_attributes", "avg_saturated_fat", plain=("n_ultraprocessed", "n_high_gi", "n_food_groups"), digits=9)
 _nutrition("e01_safe_ratio", "fibre_carb_ratio")
 _nutrition("e07_energy_shares", "pct_cal_carbs", "pct_cal_protein", "pct_cal_fat", "fibre_carb_ratio")
 
