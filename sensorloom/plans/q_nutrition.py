@@ -140,13 +140,17 @@ PEAK = {
 }
 
 
+# the product is in the millions, the quotients end on a 5 at the seventh digit or so
+PEAK_DIGITS = {c: 6 if c == "fat_delay_score" else 9 for c in PEAK}
+
+
 @query(
     "e09_interactions_peak",
-    NUTRITION + "SELECT meal_id, " + ", ".join(f"{r(e, 9)} AS {n}" for n, e in PEAK.items()) + " FROM nutrition",
+    NUTRITION + "SELECT meal_id, " + ", ".join(f"{r(e, PEAK_DIGITS[n])} AS {n}" for n, e in PEAK.items()) + " FROM nutrition",
 )
 def peak(spark, sf_dir):
     out = N.interactions_peak(nutrition(spark, sf_dir))
-    return out.select("meal_id", *[(F.round(c, 9) + F.lit(0.0)).alias(c) for c in PEAK])
+    return out.select("meal_id", *[(F.round(c, PEAK_DIGITS[c]) + F.lit(0.0)).alias(c) for c in PEAK])
 
 
 @query("e02_clip", NUTRITION + f"SELECT meal_id, {r(PEAK['net_carbs'])} AS net_carbs, "
