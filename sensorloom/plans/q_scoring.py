@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions import columns as C
 from sensorloom.functions import fixed
-from sensorloom.functions.curve import curve
+from sensorloom.functions.curve import curve_points
 from sensorloom.operators.profiles import default_row
 from sensorloom.operators.scoring import feature_rows
 from sensorloom.plans.q_metrics import PRED, predictions
@@ -134,5 +134,4 @@ def curves(spark, sf_dir):
     df = predictions(spark, sf_dir).select(
         "meal_id", F.coalesce("glucose_preprandial", F.lit(100.0)).alias("g"), "prediction", C.ttp_minutes("p").alias("m")
     )
-    points = df.select("meal_id", F.explode(curve(F.col("g"), F.col("prediction"), F.col("m"))).alias("_s"))
-    return r6(points.select("meal_id", "_s.minute", "_s.value"), "minute", "value")
+    return r6(curve_points(df, "g", "prediction", "m").select("meal_id", "minute", "value"), "minute", "value")

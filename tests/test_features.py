@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensorloom.functions import columns as C
-from sensorloom.functions.curve import curve
+from sensorloom.functions.curve import curve_points
 from sensorloom.operators import clean, context, folds, metrics, nutrition, profiles, ranks
 from sensorloom.operators.response import pre_window
 from tests.conftest import MIN
@@ -263,7 +263,7 @@ def test_macro_f1_leaves_absent_class_out(spark):
 
 def test_curve_ends(spark):
     df = spark.createDataFrame([(100.0, 160.0, 60)], "b double, p double, m int")
-    points = row(df.select(curve(F.col("b"), F.col("p"), F.col("m")).alias("c"))).c
+    points = sorted(curve_points(df, "b", "p", "m").collect(), key=lambda r: r.minute)
     assert len(points) == 30 + 59 + 119
     assert points[0].minute == -30 and points[29].minute == 0 and points[29].value == 100
     assert points[88].minute == pytest.approx(60) and points[88].value == pytest.approx(160)
