@@ -61,9 +61,11 @@ def listed(captures: DataFrame, entries: DataFrame, key: str = "page_id", url: s
     spans = intervals(entries)
     active = (F.col("_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("_at") < F.col("valid_to")))
     hits = asked.join(spans, "pattern").filter(active)
-    found = hits.groupBy("_url", "_at").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("pattern")).alias("patterns"))
-    same = plain["_url"].eqNullSafe(found["_url"]) & plain["_at"].eqNullSafe(found["_at"])
+    found = hits.groupBy(F.col("_url").alias("_u"), F.col("_at").alias("_t")).agg(
+        F.count("*").alias("n"), F.array_sort(F.collect_set("pattern")).alias("patterns")
+    )
+    same = F.col("_url").eqNullSafe(F.col("_u")) & F.col("_at").eqNullSafe(F.col("_t"))
     return plain.join(found, same, "left").select(
-        F.col("_key").alias(key), plain["_at"].alias(fetched), F.coalesce("n", F.lit(0)).alias("n_active"),
+        F.col("_key").alias(key), F.col("_at").alias(fetched), F.coalesce("n", F.lit(0)).alias("n_active"),
         F.coalesce(F.array_join("patterns", ","), F.lit("")).alias("active_entries"), F.col("n").isNotNull().alias("blocked"),
     )
