@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.llm.texts import LOWER, SPACES, UPPER
+from sensorloom.llm.texts import LOWER, SPACES, UPPER, stored
 
 LEAST_POINTS = 10
 LEAST_DOCUMENTS = 2
@@ -42,7 +42,8 @@ def drops(docs: DataFrame, key: str, text: str, least: int = LEAST_DOCUMENTS) ->
         common = lines.groupBy("digest").agg(F.min("doc").alias("keeper"), F.max("doc").alias("last")).filter("keeper <> last")
     else:
         common = lines.groupBy("digest").agg(F.min("doc").alias("keeper"), F.count_distinct("doc").alias("n")).filter(F.col("n") >= least)
-    lost = lines.join(common.select("digest", "keeper"), "digest").filter(F.col("doc") != F.col("keeper"))
+    common = stored(common.select("digest", "keeper"))  # a table of its own, so that the join's hot digests may be split
+    lost = lines.join(common, "digest").filter(F.col("doc") != F.col("keeper"))
     return lost.groupBy("doc").agg(F.collect_set("digest").alias("dropped"))
 
 
