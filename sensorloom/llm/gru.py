@@ -139,7 +139,8 @@ class Lanes:
     @classmethod
     def of(cls, tokens: np.ndarray, begin: np.ndarray, lanes: int) -> Lanes:
         sizes = np.diff(begin)
-        lanes = min(lanes, len(sizes))
+        # no more lanes than the longest document leaves work for
+        lanes = min(lanes, len(sizes), -(-int(sizes.sum()) // int(sizes.max())))
         heap = [(0, b) for b in range(lanes)]
         held: list[list[int]] = [[] for _ in range(lanes)]
         for d in np.argsort(-sizes, kind="stable").tolist():
