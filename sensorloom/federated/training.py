@@ -122,81 +122,6 @@ def prepare_clients(assigned: DataFrame, ids: Sequence[str], features: str, labe
     return bucketed(laid, [*keys, "shard"], partitions)
 
 
-def run(clients: DataFrame, central: DataFrame, classes: int, width: int, rounds: int = fixed.FED_ROUNDS,
-        rate: float = fixed.FED_RATE, epochs: int = fixed.FED_LOCAL_EPOCHS, batch: int = fixed.FED_BATCH,
-        momentum: float = fixed.FED_MOMENTUM, eval_share: float = fixed.FED_EVAL_SHARE, seed: int = 42,
-        history_path: str | None = None) -> DataFrame:
-    """Rounds for every experiment in `clients` at once; one history row per experiment and round.
-
-    Only parameters (classes x (width + 1) numbers per experiment) and metrics
-    pass through the driver. `central`: x, label of the held-out split.
-    """
-    spark = clients.sparkSession
-    names = [r[0] for r in clients.select("experiment").distinct().collect()]
-    params = {n: np.zeros((classes, width + 1)) for n in names}
-    keys = ["experiment", "partition_id", "shard"]
-    train_rows = clients.where(F.col("split") == "train").select(*keys, "x", "label", "_order")
-    # the share of clients that report their local metrics, at least one
-    parts = clients.select("experiment", "partition_id").distinct()
-    order = hash_rank(parts, ["experiment", "partition_id"], seed, ["experiment"], "_rank", "_total")
-    chosen = order.where(F.col("_rank") <= F.greatest(F.ceil(eval_share * F.col("_total")), F.lit(1))).select(
-        "experiment", "partition_id"
-    )
-    held = clients.where(F.col("split") == "test").join(F.broadcast(chosen), ["experiment", "partition_id"])
-    nobody = F.lit(None).cast("int").alias("partition_id")
-    whole = central.select(
-        F.explode(F.array(*[F.lit(n) for n in names])).alias("experiment"), nobody, "x", "label"
-    )
-    # read by every round
-    tests = durable(whole.unionByName(held.select("experiment", "partition_id", "x", "label")))
-    history: list[tuple] = []
-    train_loss: dict[str, float | None] = {n: None for n in names}
-    for step in range(rounds + 1):
-        if step:
-            trainer = local_trainer(params, keys, rate, epochs, batch, momentum, seed + step)
-            local = train_rows.groupBy(*keys).applyInPandas(trainer, LOCAL_SCHEMA)
-            # two rows per shard come back from the workers, two per experiment from the mean
-            for r in weighted_mean(local, ["experiment", "block"]).collect():
-                if r["block"] == "linear":
-                    params[r["experiment"]] = np.array(r["values"]).reshape(classes, width + 1)
-                else:
-                    train_loss[r["experiment"]] = r["values"][0]
-        table = spark.createDataFrame(
-            [(n, w.ravel().tolist()) for n, w in params.items()], "experiment string, values array<double>"
-        )
-        scored = evaluate(tests, table, classes, width, ["experiment", "partition_id"])
-        on_all, on_clients = F.col("partition_id").isNull(), F.col("partition_id").isNotNull()
-        n = F.col("n_examples")
-
-        def client_mean(metric: str) -> Column:
-            return F.sum(F.when(on_clients, F.col(metric) * n)) / F.sum(F.when(on_clients, n))
-
-        rows = scored.groupBy("experiment").agg(
-            F.max(F.when(on_all, F.col("accuracy"))).alias("accuracy"),
-            F.max(F.when(on_all, F.col("loss"))).alias("loss"),
-            client_mean("accuracy").alias("eval_acc"),
-            client_mean("loss").alias("eval_loss"),
-        ).collect()
-        fresh = [
-            (r["experiment"], step, r["accuracy"], r["loss"], train_loss[r["experiment"]], r["eval_acc"], r["eval_loss"])
-            for r in rows
-        ]
-        history += fresh
-        if history_path:
-            from sensorloom.sources.io import append_history
-
-            append_history(history_table(spark, fresh), history_path)
-    return history_table(spark, history)
-
-
-def history_table(spark, rows) -> DataFrame:
-    return spark.createDataFrame(
-        rows,
-        "experiment string, round int, accuracy double, loss double, train_loss double, eval_acc double,"
-        " eval_loss double",
-    )
-
-
 def summary(history: DataFrame, specs: Sequence[dict], rounds: Sequence[int] = (1, 5, 10)) -> DataFrame:
     """Accuracy at some rounds, loss at the last, and the gap of few to many clients."""
     last = rounds[-1]

@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.util import inheritable_thread_target
 
 from sensorloom.models.learn import SEED, assemble
 from sensorloom.operators.folds import zscore
 
-# Up to this many points every distance is taken; the points are then one small matrix.
-EXACT_POINTS = 5_000
-SLICE = 512
-
 
 def kmeans(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, out: str = "cluster") -> DataFrame:
     """Best of several seeded starts. `df` is read many times; make it durable."""
@@ -34,56 +27,17 @@ def kmeans(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 10, ou
     return min(fitted, key=lambda m: m.summary.trainingCost).transform(vectors)
 
 
-def silhouette(df: DataFrame, cluster: str = "cluster", exact_points: int = EXACT_POINTS) -> tuple[float, str]:
-    """Mean silhouette and the distance it uses.
-
-    Euclidean over all pairs while the table has at most `exact_points` rows (one
-    per user). Beyond, squared Euclidean, whose sums per cluster need no pairs.
-    """
-    head = df.select(vector_to_array("features").alias("x"), F.col(cluster).alias("c")).limit(exact_points + 1)
-    if head.count() > exact_points:
-        value = ClusteringEvaluator(predictionCol=cluster, featuresCol="features").evaluate(df)
-        return float(value), "squaredEuclidean"
-    points = head.toPandas()
-    x = np.array(points["x"].tolist(), dtype=float)
-    c = points["c"].to_numpy()
-    labels = np.unique(c)
-    member = (c[:, None] == labels[None, :]).astype(float)
-    size = member.sum(axis=0)
-    shared = df.sparkSession.sparkContext.broadcast((x, member, size, labels))
-
-    def widths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        px, pm, ps, pl = shared.value
-        norms = (px * px).sum(axis=1)
-        for b in batches:
-            for start in range(0, len(b), SLICE):
-                part = b.iloc[start : start + SLICE]
-                rows = np.array(part["x"].tolist(), dtype=float)
-                square = (rows * rows).sum(axis=1)[:, None] + norms[None, :] - 2 * rows @ px.T
-                d = np.sqrt(np.maximum(square, 0.0)) @ pm
-                own = np.searchsorted(pl, part["c"].to_numpy())
-                i = np.arange(len(rows))
-                mates = ps[own] - 1
-                a = d[i, own] / np.maximum(mates, 1)
-                other = d / ps
-                other[i, own] = np.inf
-                near = other.min(axis=1)
-                top = np.maximum(a, near)
-                s = np.where((mates > 0) & (top > 0), (near - a) / np.where(top > 0, top, 1), 0.0)
-                yield pd.DataFrame({"s": s})
-
-    rows = df.select(vector_to_array("features").alias("x"), F.col(cluster).alias("c"))
-    value = rows.mapInPandas(widths, "s double").agg(F.avg("s")).first()[0]
-    return float(value), "euclidean"
+def silhouette(df: DataFrame, cluster: str = "cluster") -> float:
+    """Mean silhouette by squared Euclidean distance, whose sums per cluster need no pairs."""
+    return float(ClusteringEvaluator(predictionCol=cluster, featuresCol="features").evaluate(df))
 
 
 def sweep(df: DataFrame, columns: Sequence[str], ks: Sequence[int] = range(2, 8), restarts: int = 10) -> DataFrame:
     """Silhouette for each k, on z-scored columns."""
     rows = []
     for k in ks:
-        value, kind = silhouette(kmeans(df, columns, k, restarts))
-        rows.append((int(k), value, kind))
-    return df.sparkSession.createDataFrame(rows, "k int, silhouette double, distance string")
+        rows.append((int(k), silhouette(kmeans(df, columns, k, restarts))))
+    return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
 def cluster_users(profiles: DataFrame, columns: Sequence[str], k: int, out: str, restarts: int = 10) -> DataFrame:

@@ -2,40 +2,23 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sensorloom.operators.ranks import group_medians, hash_rank, scalars, wide_medians
 from sensorloom.session import durable
 
-# Users up to this many are placed one by one on the driver: two numbers each.
-GREEDY_USERS = 100_000
 
-
-def group_folds(df: DataFrame, k: int = 5, user: str = "user_id", fold: str = "fold",
-                greedy_users: int = GREEDY_USERS) -> DataFrame:
+def group_folds(df: DataFrame, k: int = 5, user: str = "user_id", fold: str = "fold") -> DataFrame:
     """Fold per row; all rows of a user share it, and folds are even in rows.
 
-    Up to `greedy_users` users: largest user first into the lightest fold. Beyond
-    that the users are laid out by size and dealt in turns (0..k-1, k-1..0), a
-    distributed rule whose folds also differ by at most the largest user.
+    The users are laid out by size and dealt in turns (0..k-1, k-1..0), so that folds
+    differ by at most the largest user. Rows without a user are one user.
     """
     counts = df.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
-    head = counts.limit(greedy_users + 1).collect()
-    if len(head) <= greedy_users:
-        loads = [(0, i) for i in range(k)]
-        placed = []
-        for row in sorted(head, key=lambda r: (-r["_n"], r[user])):
-            load, i = heapq.heappop(loads)
-            placed.append((row[user], i))
-            heapq.heappush(loads, (load + row["_n"], i))
-        schema = df.select(user).schema.add(fold, T.IntegerType())
-        table = df.sparkSession.createDataFrame(placed, schema)
-    else:
-        table = dealt_folds(counts, k, user, fold)
-    return df.join(table, user)
+    dealt = dealt_folds(counts, k, user, fold).withColumnRenamed(user, "_fold_user")
+    return df.join(dealt, F.col(user).eqNullSafe(F.col("_fold_user"))).select(*df.columns, fold)
 
 
 def dealt_folds(counts: DataFrame, k: int, user: str = "user_id", fold: str = "fold") -> DataFrame:

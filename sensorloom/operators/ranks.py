@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -37,10 +39,12 @@ def hash_rank(
         (F.sum("_hn").over(by_range) - F.col("_hn")).alias("_hstart"),
         F.sum("_hn").over(whole).alias(total),
     )
+    starts = starts.withColumnsRenamed({c: f"_s_{c}" for c in group})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in group])  # a null group keeps its rows
     local = Window.partitionBy(*group).orderBy("_hkey", *ids)
     return (
         keyed.withColumn("_hrn", F.row_number().over(local))
-        .join(starts, group)
+        .join(starts, same)
         .withColumn(rank, F.col("_hstart") + F.col("_hrn"))
         .drop("_hkey", "_hp", "_hrn", "_hstart")
         .select(*df.columns, rank, total)
@@ -165,24 +169,13 @@ def scalars(df: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def broadcast_if_few(df: DataFrame, most: int) -> DataFrame:
-    """Broadcast a table whose row count is checked; a longer one is left to the planner."""
-    head = df.limit(most + 1).collect()
-    if len(head) > most:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(head, df.schema))
-
-
-FEW_LABELS = 10_000
-
-
 def label_codes(df: DataFrame, column: str, code: str, missing: str = "unknown") -> DataFrame:
     """Code of each label by its place in sorted order; null counts as `missing`.
 
-    Only the distinct labels are ranked; they merge map-side first. While there are
-    few, they are broadcast: a shuffle by label would put most rows into few tasks.
+    Only the distinct labels are ranked; they merge map-side first. Adaptive execution
+    broadcasts them by their measured size, or splits a label with most rows.
     """
     filled = df.withColumn("_label", F.coalesce(F.col(column).cast("string"), F.lit(missing)))
     labels = filled.select("_label").distinct()
     codes = labels.select("_label", (F.dense_rank().over(Window.orderBy("_label")) - 1).alias(code))
-    return filled.join(broadcast_if_few(codes, FEW_LABELS), "_label").drop("_label")
+    return filled.join(codes, "_label").drop("_label")

@@ -174,24 +174,6 @@ def average(spark, sf_dir):
     return mean.select("experiment", "block", F.posexplode("values").alias("pos", "value"))
 
 
-@query("l07_local_evaluation")
-def local_evaluation(spark, sf_dir):
-    clients, central = experiments(spark, sf_dir, [fixed.FED_EXPERIMENTS[0]])
-    return T.run(clients, central, CLASSES, WIDTH, rounds=1).select("experiment", "round", "eval_acc", "eval_loss")
-
-
-@query("l09_rounds")
-def rounds(spark, sf_dir):
-    clients, central = experiments(spark, sf_dir, [fixed.FED_EXPERIMENTS[0]])
-    return T.run(clients, central, CLASSES, WIDTH)
-
-
-@query("l10_experiments")
-def all_experiments(spark, sf_dir):
-    clients, central = experiments(spark, sf_dir, fixed.FED_EXPERIMENTS)
-    return T.summary(T.run(clients, central, CLASSES, WIDTH), fixed.FED_EXPERIMENTS)
-
-
 @query(
     "a44_experiment_summary",
     "WITH h AS (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'small-iid' WHEN '2-HIGH' THEN 'large-iid' WHEN '3-MEDIUM' THEN"

@@ -175,8 +175,7 @@ def cluster_sweep(spark, sf_dir):
 def silhouette(spark, sf_dir):
     rows, cols = _scaled(spark, sf_dir, "response")
     fitted = cluster.kmeans(rows, cols, 2, restarts=3)
-    out = [cluster.silhouette(fitted), cluster.silhouette(fitted, exact_points=0)]
-    return learn.results_table(spark, out, "silhouette double, distance string")
+    return learn.results_table(spark, [(cluster.silhouette(fitted),)], "silhouette double")
 
 
 def _fold_query(name: str, model, **args):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -34,32 +33,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: cuts the lineage and survives lost executors.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: `spark.checkpoint.dir`, else the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
-    The folder is the session's `spark.checkpoint.dir`. Only a local master may
-    fall back to a temporary folder.
-    """
+
+def durable(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="sensorloom-checkpoint-")
-        context.setCheckpointDir(folder)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder name under the shared folder (a local one for a local master)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="sensorloom-scratch-")
-    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    """A new folder name under the shared folder."""
+    return f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
 
 
 def bucketed(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:

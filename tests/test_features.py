@@ -232,14 +232,18 @@ def test_hash_rank_is_a_row_number(spark):
 
 def test_group_folds(spark):
     sizes = {1: 9, 2: 7, 3: 6, 4: 5, 5: 5, 6: 4}
+    sizes[None] = 3
     df = spark.createDataFrame([(u, i) for u, n in sizes.items() for i in range(n)], "user_id long, i long")
-    for greedy in (100, 0):
-        out = folds.group_folds(df, 2, greedy_users=greedy)
-        assert out.groupBy("user_id").agg(F.count_distinct("fold").alias("n")).where("n > 1").count() == 0
-        loads = sorted(r["count"] for r in out.groupBy("fold").count().collect())
-        assert sum(loads) == 36 and loads[1] - loads[0] <= 9
-        if greedy:
-            assert loads == [18, 18]
+    out = folds.group_folds(df, 2)
+    assert out.groupBy("user_id").agg(F.count_distinct("fold").alias("n")).where("n > 1").count() == 0
+    loads = sorted(r["count"] for r in out.groupBy("fold").count().collect())
+    assert sum(loads) == 39 and loads[1] - loads[0] <= 9
+
+
+def test_hash_rank_keeps_rows_without_a_group(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, None)], "id long, g string")
+    got = sorted((r.id, r.total) for r in ranks.hash_rank(df, ["id"], 1, ["g"], "rank", "total").collect())
+    assert got == [(1, 1), (2, 2), (3, 2)]
 
 
 def test_zscore_without_spread(spark):
