@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 
 from sensorloom.llm.texts import pieces
 
-BATCH_BYTES = 12_000_000
-MOST_WORDS = 400_000  # pre-tokens remembered between batches
+BATCH_BYTES = 4_000_000
+MOST_WORDS = 120_000  # pre-tokens remembered between batches
 CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")  # fixed values of the pre-tokenizer
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 
@@ -256,7 +256,7 @@ def encode_decode(
                 id_digest.append(sha256(ids.encode()).hexdigest())
                 text_digest.append(sha256(back.encode()).hexdigest())
                 if with_ids:
-                    all_ids.append([int(x) for x in ids.split(",")] if ids else [])
+                    all_ids.append(np.array(ids.split(",") if ids else [], np.int32))
                 if with_text:
                     all_texts.append(back)
             made = {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(id_digest, pa.string()),

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
-from sensorloom.llm.pair_bpe import BATCH_BYTES, Words, encoder
+from sensorloom.llm.pair_bpe import BATCH_BYTES, MOST_WORDS, Words, encoder
 from sensorloom.llm.texts import PIECE_BYTES, stored
 
 ENTRY = "content binary, tokenizer string, n_tokens long"
@@ -84,7 +84,7 @@ def _counter(path: str):
                 if total > BATCH_BYTES:
                     yield flush()
                     held = total = 0
-                    if len(words.number) > 400_000:
+                    if len(words.number) > MOST_WORDS:
                         words = Words(encoder(path))
         yield flush()
 
