@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from sensorloom.llm.texts import pieces
+from sensorloom.llm.texts import give_back, pieces
 
 BATCH_BYTES = 4_000_000
 MOST_WORDS = 120_000  # pre-tokens remembered between batches
@@ -238,6 +238,7 @@ def _batches(batches: Iterator[pa.RecordBatch], path: str, strings: bool) -> Ite
                 rows += [slots[a:b] for a, b in zip(at[:-1], at[1:])]
             words.learn(strings)
             yield batch, words, rows
+            give_back()
 
 
 def encode_decode(

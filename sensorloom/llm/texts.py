@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -54,6 +55,14 @@ def pieces(batch: pa.RecordBatch, text: str, limit: int = PIECE_BYTES) -> Iterat
         a = b
 
 
+def give_back() -> None:
+    """Freed memory back to the system: a worker lives on through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_texts(
     df: DataFrame, text: str, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch], limit: int = PIECE_BYTES
 ) -> DataFrame:
@@ -63,6 +72,7 @@ def map_texts(
         for batch in batches:
             for piece in pieces(batch, text, limit):
                 yield fn(piece)
+            give_back()
 
     return df.mapInArrow(run, schema)
 
