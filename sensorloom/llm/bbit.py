@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.llm.components import components
-from sensorloom.llm.texts import blank_words, constants, map_texts, mix64, stored, text_bytes
+from sensorloom.llm.texts import blank_words, constants, in_tasks, map_texts, mix64, stored, text_bytes
 
 SHINGLE = 5
 BANDS, ROWS, BITS = 28, 6, 4
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     members = members.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rid")
     in_groups = members.join(reps.select("rid", "bits"), "rid").repartition(*GROUP).sortWithinPartitions(*GROUP)
-    found = stored(in_groups.mapInArrow(_forests(percent), "bucket long, i int, j int, a long, b long, more boolean"))
+    found = stored(in_tasks(in_groups, _forests(percent), "bucket long, i int, j int, a long, b long, more boolean"))
 
     pairs = found.select("a", "b").distinct()
     ends = found.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
@@ -288,7 +288,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     def side(name: str, column: str) -> DataFrame:
         return one.select(F.col("rid").alias(name), F.col("shingles").alias(column))
 
-    links = stored(pairs.join(side("a", "sa"), "a").join(side("b", "sb"), "b").select("a", "b", "sa", "sb").mapInArrow(_confirmed(percent), "a long, b long"))
+    links = stored(in_tasks(pairs.join(side("a", "sa"), "a").join(side("b", "sb"), "b").select("a", "b", "sa", "sb"), _confirmed(percent), "a long, b long"))
     parts = stored(components(links))
 
     open_ = found.filter("more").select(*GROUP, F.explode(F.array("a", "b")).alias("rid")).distinct()
@@ -297,7 +297,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", tex
     rest = open_.join(several, [*GROUP]).join(members.select(*GROUP, "rid", "own"), [*GROUP, "rid"])
     rest = rest.join(reps.select("rid", "bits", "bands"), "rid").join(one, "rid")
     rest = rest.select(*GROUP, "own", "rid", "part", "bits", "bands", "shingles").repartition(*GROUP).sortWithinPartitions(*GROUP)
-    late = stored(rest.mapInArrow(_rest(percent), "a long, b long"))
+    late = stored(in_tasks(rest, _rest(percent), "a long, b long"))
 
     parts = stored(components(links.union(late)))
     named = reps.select("digest", "rid", "least").join(parts.withColumnRenamed("node", "rid"), "rid", "left")

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sensorloom.llm.texts import PIECE_BYTES, Splitter, pieces, text_bytes
+from sensorloom.llm.texts import PIECE_BYTES, Splitter, in_tasks, pieces, text_bytes
 
 WINDOW = 13
 BLOCK_CHARS = 4_000_000
@@ -152,7 +152,7 @@ def searched(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_t
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     for b in range(n):
         part = [(r.item, r.text) for r in numbered.filter(F.col("block") == b).toLocalIterator()]  # about block_chars
-        out = out.mapInArrow(_step(Block(part, window), b > 0), f"{schema}, {FOUND}")
+        out = in_tasks(out, _step(Block(part, window), b > 0), f"{schema}, {FOUND}")
     return out
 
 

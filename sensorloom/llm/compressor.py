@@ -20,7 +20,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.llm.texts import map_texts, stored
+from sensorloom.llm.texts import in_tasks, map_texts, stored
 
 BLOCK_BYTES = 512
 DICTIONARY_SIZE = 32_000
@@ -103,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, learnable: Column, key: str = "doc_i
                 own = blocks(t.as_py())
                 yield pa.RecordBatch.from_arrays([pa.array([y.as_py()] * len(own), pa.int32()), pa.array(own, pa.binary())], names=["y", "block"])
 
-    cuts = sample.filter("use = 'words'").select(F.col("y").cast("int"), "text").mapInArrow(cut, "y int, block binary")
+    cuts = in_tasks(sample.filter("use = 'words'").select(F.col("y").cast("int"), "text"), cut, "y int, block binary")
     made = {}
     for y in (0, 1):
         mine = cuts.filter(F.col("y") == y).orderBy(F.xxhash64("block"), "block").limit(DICTIONARY_BYTES // BLOCK_BYTES)

@@ -27,7 +27,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.llm.texts import blank_words, constants, pieces, stored, text_bytes
+from sensorloom.llm.texts import blank_words, constants, in_tasks, pieces, stored, text_bytes
 
 HIDDEN, SHORTLIST, CLASS_SIZE = 16, 512, 24
 ROUNDS = 2
@@ -385,7 +385,7 @@ def train(documents: DataFrame, counts: Counts) -> np.ndarray:
     """documents: (packed, part) of training documents; part: the round in which a document is learned."""
     params = flat(first_params(counts))
     for part in range(ROUNDS):
-        made = documents.filter(F.col("part") == part).select("packed").mapInArrow(_learner(params, counts), "tokens long, params array<double>")
+        made = in_tasks(documents.filter(F.col("part") == part).select("packed"), _learner(params, counts), "tokens long, params array<double>")
         rows = made.select("tokens", F.posexplode("params").alias("place", "value"))
         mean = rows.groupBy("place").agg((F.sum(F.col("value") * F.col("tokens")) / F.sum("tokens")).alias("value")).collect()
         if mean:  # as many rows as the model has parameters
@@ -425,7 +425,7 @@ def _scorer(params: np.ndarray, counts: Counts):
 def scores(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key (a long), held_out, token counts, the score of single words and the score of the network, in log10."""
     plain = docs.select(F.col(key).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
-    blocks = stored(plain.mapInArrow(_packed, PACKED), "kind")
+    blocks = stored(in_tasks(plain, _packed, PACKED), "kind")
     words = blocks.filter("kind = 'word'").select("block", "word", "n")
     documents = blocks.filter("kind = 'doc'").select("block", "id", "held_out", "packed")
     totals = stored(words.groupBy("word").agg(F.sum("n").alias("count")))

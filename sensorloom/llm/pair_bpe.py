@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from sensorloom.llm.texts import give_back, pieces
+from sensorloom.llm.texts import give_back, in_tasks, pieces
 
 BATCH_BYTES = 4_000_000
 MOST_WORDS = 120_000  # pre-tokens remembered between batches
@@ -271,4 +271,4 @@ def encode_decode(
     picked = docs.select(key, text)
     schema = f"`{key}` {picked.schema[key].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * with_ids + ", decoded string" * with_text
-    return picked.mapInArrow(run, schema)
+    return in_tasks(picked, run, schema)

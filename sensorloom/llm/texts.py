@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_BYTES = 4_000_000  # sent to a task's worker at once; a longer row is sent alone
 PIECE_BYTES = 2_000_000  # text handled at once in a task; a longer document is a piece of its own
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -63,6 +64,13 @@ def give_back() -> None:
         trim(0)
 
 
+def in_tasks(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """`mapInArrow` with the session's Arrow batches bounded in bytes: ten thousand rows of text may be far more than a
+    worker needs at once."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
 def map_texts(
     df: DataFrame, text: str, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch], limit: int = PIECE_BYTES
 ) -> DataFrame:
@@ -74,7 +82,7 @@ def map_texts(
                 yield fn(piece)
             give_back()
 
-    return df.mapInArrow(run, schema)
+    return in_tasks(df, run, schema)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.llm.pair_bpe import BATCH_BYTES, MOST_WORDS, Words, encoder
-from sensorloom.llm.texts import PIECE_BYTES, stored
+from sensorloom.llm.texts import PIECE_BYTES, in_tasks, stored
 
 ENTRY = "content binary, tokenizer string, n_tokens long"
 
@@ -108,8 +108,8 @@ def cached_counts(docs: DataFrame, path: str, folder: str, limit: int, key: str
         F.col(key), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), content_digest(text).alias("content"), F.col(text).alias("raw"),
     )
     have = read_cache(docs, folder).filter(F.col("tokenizer") == version).select("content").hint("shuffle_hash")
-    misses = digested.select("content", "raw").mapInArrow(_local_distinct, "content binary, packed binary")
-    counted = misses.repartition("content").join(have, "content", "left_anti").mapInArrow(_counter(path), "content binary, n_tokens long")
+    misses = in_tasks(digested.select("content", "raw"), _local_distinct, "content binary, packed binary")
+    counted = in_tasks(misses.repartition("content").join(have, "content", "left_anti"), _counter(path), "content binary, n_tokens long")
     counted.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(folder)
     known = read_cache(docs, folder).filter(F.col("tokenizer") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     known = stored(known)  # a table of its own, so that the join's hot digests may be split
