@@ -89,6 +89,26 @@ MEAL_PERIOD_HOURS = {"Desayuno": 8, "Media mañana": 11, "Almuerzo": 14, "Merien
 MEAL_PERIOD_CODES = {"Desayuno": 0, "Media mañana": 3, "Almuerzo": 2, "Merienda": 5, "Cena": 1}
 MEAL_TYPE_CODES = {"Desayuno": 3, "Media mañana": 2, "Almuerzo": 2, "Merienda": 5, "Cena": 1}
 
+# --- fixed values: scoring requests (request column -> feature column), energy per gram, minutes of the windows ---
+REQUEST_COLUMNS = {
+    "carbs": "total_carbs", "fat": "total_fat", "protein": "total_protein", "fibre": "total_fibre",
+    "avg_sat_fat": "avg_saturated_fat", "sport_2h": "sport_2h_duration", "sport_6h": "sport_6h_duration",
+    "sport_intensity": "sport_intensity_score",
+}
+ENERGY = {"protein": 4.0, "fat": 9.0, "carbs": 4.0}
+SLOPE_MINUTES = {"best": 60, "30m": 30, "90m": 90}
+SPREADS = ("cgm_std_30m", "cgm_std_90m")
+# a feature without a median: its value, or first the median of another feature
+STAND_INS = {
+    "cgm_slope_best": 0.007, "cgm_delta_best": 0.0, "cgm_slope_90m": 0.007, "cgm_delta_90m": 0.0,
+    "cgm_std_30m": 2.5, "cgm_std_90m": 2.5, "sport_intensity_score": 2.0, "n_readings_pre_60m": 12.0,
+    "hour_of_day": 14.0, "day_of_week": 3.0, "is_weekend": 0.0,
+}
+STAND_IN_OF = {
+    "cgm_slope_best": "cgm_slope_60m", "cgm_delta_best": "cgm_delta_60m", "cgm_slope_90m": "cgm_slope_60m",
+    "cgm_delta_90m": "cgm_delta_60m", "cgm_std_90m": "cgm_std_30m",
+}
+
 # --- fixed values: feature lists ----------------------------------------------
 NUTRITION_CLUSTER_INPUTS = [
     "avg_pct_carbs", "avg_pct_protein", "avg_pct_fat", "avg_fibre_carb_ratio",

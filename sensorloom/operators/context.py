@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from sensorloom.functions import columns as C
 from sensorloom.functions import fixed
 from sensorloom.functions.columns import US_PER_DAY, US_PER_HOUR, US_PER_MIN
+from sensorloom.operators.ranks import exact_quantiles
 from sensorloom.operators.response import time_in_range
 from sensorloom.operators.temporal import centre, first_row, interval_agg, rolling_moments, spread
 
@@ -102,25 +103,27 @@ def with_calendar(events: DataFrame, ts: str = "ts") -> DataFrame:
 def user_stats(readings: DataFrame, user: str = "user_id", value: str = "r_value") -> DataFrame:
     """Mean, spread, quartiles and time in range per user.
 
-    Values are counted per user first: readings repeat on the sensor's grid, so
-    the exact percentile merges counts of at most that many values.
+    The quartiles come from counts of value ranges, so no task holds a user's values whole.
     """
-    counted = readings.groupBy(user, value).agg(F.count(F.lit(1)).alias("_n"))
-    quart = counted.groupBy(user).agg(
-        F.expr(f"percentile({value}, array(0.25, 0.5, 0.75), _n)").alias("_q")
+    q = exact_quantiles(readings, [value], [0.25, 0.5, 0.75], [user])
+    quart = q.groupBy(user).agg(
+        *[
+            F.max(F.when(F.col("q") == share, F.col("value"))).alias(name)
+            for name, share in (("user_glucose_q25", 0.25), ("user_glucose_median", 0.5), ("user_glucose_q75", 0.75))
+        ]
     )
     plain = readings.groupBy(user).agg(
         F.avg(value).alias("user_glucose_mean"),
         F.stddev_samp(value).alias("user_glucose_std"),
         time_in_range(value).alias("user_time_in_range"),
     )
-    return plain.join(quart, user).select(
+    return plain.join(quart, user, "left").select(
         user,
         "user_glucose_mean",
         "user_glucose_std",
-        F.col("_q")[1].alias("user_glucose_median"),
-        F.col("_q")[0].alias("user_glucose_q25"),
-        F.col("_q")[2].alias("user_glucose_q75"),
+        "user_glucose_median",
+        "user_glucose_q25",
+        "user_glucose_q75",
         "user_time_in_range",
     )
 

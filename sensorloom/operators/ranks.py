@@ -8,6 +8,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sensorloom.session import durable
+
 
 def hash_key(seed: int | str, *ids: Column | str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(i) if isinstance(i, str) else i for i in ids]))
@@ -68,7 +70,7 @@ def exact_quantiles(
     quantiles: Sequence[float],
     group: Sequence[str] = (),
     bins: int = 1024,
-    levels: int = 1,
+    levels: int = 2,
 ) -> DataFrame:
     """Exact quantiles (linear interpolation) of many columns, per group.
 
@@ -76,13 +78,13 @@ def exact_quantiles(
     column, the second counts `bins` equal ranges between them (merged map-side to
     a few counts), and only the values of the ranges that hold a wanted rank are
     shuffled, counted and sorted. `levels` > 1 cuts those ranges again before the
-    sort. No group is ever held by one task. `df` is read three times, so give it
-    something stored. Rows with a null group are left out.
+    sort, for columns with a heavy tail. The columns are stored once, as they are read
+    three times. Rows with a null group are left out.
     """
     cols = list(columns)
     ids = [*group, "_f"]
     # one array per row and one expression for all columns keep the plan small
-    vals = df.select(*group, F.array(*[F.col(c).cast("double") for c in cols]).alias("_vals"))
+    vals = durable(df.select(*group, F.array(*[F.col(c).cast("double") for c in cols]).alias("_vals")))
     flat = vals.select(*group, F.posexplode("_vals").alias("_f", "v"))
     ends = flat.groupBy(*ids).agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"), F.count("v").alias("n"))
     if group:

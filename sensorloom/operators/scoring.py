@@ -4,18 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sensorloom.functions import columns as C
 from sensorloom.functions import fixed
+from sensorloom.operators.nutrition import interactions_late, interactions_peak
 from sensorloom.operators.ranks import scalars
 
 
-def _lookup(column: str, table: dict) -> Column:
-    out = F
-    for key, value in table.items():
-        out = out.when(F.col(column) == key, F.lit(float(value)))
-    return out.otherwise(F.lit(None).cast("double"))
+def requested_meals(requests: DataFrame) -> DataFrame:
+    """Requests in the columns of the feature tables, with the features that these derive from them."""
+    meals = requests.withColumnsRenamed(fixed.REQUEST_COLUMNS)
+    energy = sum(F.col(f"total_{part}") * kcal for part, kcal in fixed.ENERGY.items())
+    meals = meals.withColumn("total_calories", F.greatest(energy, F.lit(1.0)))
+    shares = {f"pct_cal_{part}": C.energy_share(f"total_{part}", kcal, "total_calories") for part, kcal in fixed.ENERGY.items()}
+    meals = meals.withColumns({**shares, "fibre_carb_ratio": C.ratio("total_fibre", "total_carbs")})
+    meals = interactions_late(interactions_peak(meals))
+    # without items all carbohydrates count as one
+    return meals.withColumn("carbs_per_item", F.coalesce("carbs_per_item", "total_carbs"))
+
+
+def before_meal(meals: DataFrame) -> DataFrame:
+    """Columns of the pre-meal windows, from the one level and the one slope that a request states."""
+    level, slope = F.col("glucose_preprandial"), F.col("cgm_slope")
+    inside, above = level.between(fixed.TARGET_LO, fixed.TARGET_HI), level > fixed.TARGET_HI
+    windows = {f"cgm_slope_{w}": slope for w in fixed.SLOPE_MINUTES}
+    windows |= {f"cgm_delta_{w}": slope * minutes for w, minutes in fixed.SLOPE_MINUTES.items()}
+    windows["cgm_tir_pre"] = F.when(inside, 100.0).otherwise(0.0)
+    windows["cgm_pct_above_target"] = F.when(above, 100.0).otherwise(0.0)
+    windows["n_readings_pre_60m"] = F.lit(fixed.STAND_INS["n_readings_pre_60m"])
+    return meals.withColumns(windows)
+
+
+def period_codes(meals: DataFrame) -> DataFrame:
+    return meals.withColumns(
+        {
+            "hour_of_day": C.map_values("period", fixed.MEAL_PERIOD_HOURS),
+            "meal_period_enc": C.map_values("period", fixed.MEAL_PERIOD_CODES),
+            "meal_type_enc": C.map_values("period", fixed.MEAL_TYPE_CODES),
+        }
+    )
 
 
 def feature_rows(requests: DataFrame, defaults: DataFrame, wanted: Sequence[str]) -> DataFrame:
@@ -25,61 +53,14 @@ def feature_rows(requests: DataFrame, defaults: DataFrame, wanted: Sequence[str]
     n_high_gi, n_ultraprocessed, avg_sat_fat, cgm_slope, sport_2h, sport_6h,
     sport_intensity, period. `defaults` is a one-row table.
     """
-    carbs, fat, protein, fibre = (F.col(c) for c in ("carbs", "fat", "protein", "fibre"))
-    kcal = F.greatest(protein * 4 + fat * 9 + carbs * 4, F.lit(1.0))
-    items, gi, slope = F.col("n_items").cast("double"), F.col("n_high_gi").cast("double"), F.col("cgm_slope")
-    level = F.col("glucose_preprandial")
-    fibre_ratio = F.when(carbs > 0, fibre / carbs).otherwise(0.0)
-    sport, intensity = F.col("sport_2h").cast("double"), F.col("sport_intensity").cast("double")
-    named = {f"_d_{c}": F.col(c) for c in defaults.columns}
-    rows = scalars(requests, defaults.select(*[c.alias(n) for n, c in named.items()]))
+    meals = period_codes(before_meal(requested_meals(requests)))
+    rows = scalars(meals, defaults.select(*[F.col(c).alias(f"_d_{c}") for c in defaults.columns]))
 
-    def default(name: str, value: float):
-        return F.coalesce(F.col(f"_d_{name}"), F.lit(value)) if name in defaults.columns else F.lit(value)
+    def value(name: str):
+        if name in meals.columns:
+            return F.col(name)
+        last = F.lit(fixed.STAND_INS.get(name, 0.0)) if name in fixed.SPREADS else F.lit(0.0)
+        return F.coalesce(F.col(f"_d_{name}"), last) if name in defaults.columns else last
 
-    over = {
-        "glucose_preprandial": level,
-        "total_calories": kcal,
-        "total_protein": protein,
-        "total_fat": fat,
-        "total_carbs": carbs,
-        "total_fibre": fibre,
-        "n_items": items,
-        "pct_cal_carbs": carbs * 4 / kcal * 100,
-        "pct_cal_protein": protein * 4 / kcal * 100,
-        "pct_cal_fat": fat * 9 / kcal * 100,
-        "fibre_carb_ratio": fibre_ratio,
-        "n_high_gi": gi,
-        "n_ultraprocessed": F.col("n_ultraprocessed").cast("double"),
-        "avg_saturated_fat": F.col("avg_sat_fat"),
-        "net_carbs": C.net_carbs("carbs", "fibre"),
-        "fat_delay_score": fat * carbs,
-        "effective_gi_score": gi * (1 - (fat * 9 / kcal * 100) / 100),
-        "carbs_per_item": F.when(items > 0, carbs / items).otherwise(carbs),
-        "pct_high_gi_items": F.when(items > 0, gi / items).otherwise(0.0),
-        "hour_of_day": _lookup("period", fixed.MEAL_PERIOD_HOURS),
-        "meal_period_enc": _lookup("period", fixed.MEAL_PERIOD_CODES),
-        "meal_type_enc": _lookup("period", fixed.MEAL_TYPE_CODES),
-        "cgm_slope_best": slope,
-        "cgm_delta_best": slope * 60,
-        "cgm_slope_30m": slope,
-        "cgm_delta_30m": slope * 30,
-        "cgm_std_30m": default("cgm_std_30m", 2.5),
-        "cgm_slope_90m": slope,
-        "cgm_delta_90m": slope * 90,
-        "cgm_std_90m": default("cgm_std_90m", 2.5),
-        "cgm_tir_pre": F.when(level.between(fixed.TARGET_LO, fixed.TARGET_HI), 100.0).otherwise(0.0),
-        "cgm_pct_above_target": F.when(level > fixed.TARGET_HI, 100.0).otherwise(0.0),
-        "n_readings_pre_60m": F.lit(12.0),
-        "sport_2h_duration": sport,
-        "sport_6h_duration": F.col("sport_6h").cast("double"),
-        "sport_intensity_score": intensity,
-        "sport_2h_insulin_proxy": sport * intensity,
-        "fat_carb_ratio_meal": F.when(carbs > 0, fat / carbs).otherwise(0.0),
-        "gi_fiber_interaction": gi * (1 - F.least(F.lit(1.0), fibre_ratio)),
-    }
-    cols = []
-    for name in wanted:
-        value = over[name] if name in over else default(name, 0.0)
-        cols.append(F.coalesce(value.cast("double"), F.lit(0.0)).alias(name))
-    return rows.select("meal_id", *cols)
+    filled = [F.coalesce(value(name).cast("double"), F.lit(0.0)).alias(name) for name in wanted]
+    return rows.select("meal_id", *filled)
