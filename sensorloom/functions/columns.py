@@ -25,8 +25,10 @@ def micros(ts: Column | str) -> Column:
 
 
 def parse_timestamp(text: Column | str) -> Column:
-    """Text to timestamp; what cannot be read becomes null."""
-    return F.try_to_timestamp(_c(text))
+    """Text to timestamp: ISO forms first, then the listed formats, of which the first that fits counts (so months before
+    days). What cannot be read becomes null."""
+    text = F.trim(_c(text))
+    return F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in fixed.TIME_FORMATS])
 
 
 def bucket_start(us: Column | str, width: int) -> Column:
@@ -254,9 +256,6 @@ def normalise(values: Column | str, mean: float = 0.5, sd: float = 0.5) -> Colum
 
 # --- choices ----------------------------------------------------------------------
 
-def first_present(*cols: Column | str) -> Column:
-    return F.coalesce(*[_c(c) for c in cols])
-
 
 def existing(columns: Sequence[str], wanted: Sequence[str]) -> list[str]:
     """Wanted columns that are there, in wanted order."""

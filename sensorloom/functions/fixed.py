@@ -21,6 +21,12 @@ ROLL_READINGS_MIN = 10
 SLICE_PRE_MIN = 90
 SLICE_POST_MIN = 240
 
+# --- fixed values: time texts beside the ISO forms, in the order they are tried ---
+TIME_FORMATS = (
+    "yyyy/M/d[ H:mm[:ss]]", "yyyyMMdd'T'HHmmss", "yyyyMMdd", "yyyy-MM-dd hh:mm[:ss] a", "M/d/yyyy[ H:mm[:ss]]",
+    "d/M/yyyy[ H:mm[:ss]]", "MMMM d[,] yyyy[ H:mm[:ss]]", "d MMMM yyyy[ H:mm[:ss]]",
+)
+
 # --- fixed values: levels ----------------------------------------------------
 VALUE_LO, VALUE_HI = 40.0, 400.0
 TARGET_LO, TARGET_HI = 70.0, 140.0

@@ -7,9 +7,9 @@ from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     GBTRegressor,
@@ -33,15 +33,6 @@ def assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(columns), outputCol=FEATURES, handleInvalid="error").transform(df)
 
 
-def code_labels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Category codes by sorted label, null as 'unknown'."""
-    filled = df.withColumns({c: F.coalesce(F.col(c), F.lit("unknown")) for c in columns})
-    indexer = StringIndexer(
-        inputCols=list(columns), outputCols=[f"{c}_enc" for c in columns], stringOrderType="alphabetAsc"
-    )
-    return indexer.fit(filled).transform(filled)
-
-
 # --- estimators --------------------------------------------------------------------
 
 def ridge(alpha: float = 1.0, label: str = "label") -> Factory:
@@ -91,12 +82,6 @@ def three_class(label: str = "label", rounds: int = 200, depth: int = 5) -> Esti
     return OneVsRest(classifier=boosted_class(label, rounds, depth), featuresCol=FEATURES, labelCol=label)
 
 
-def forest_class(label: str = "label", trees: int = 200, depth: int = 10) -> Estimator:
-    return RandomForestClassifier(
-        featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=5, seed=SEED
-    )
-
-
 def class_weight(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
     """n0 / n1 for class 1, else 1."""
     ratio = df.agg(C.ratio(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).alias("r")).scalar()
@@ -276,4 +261,3 @@ def score(df: DataFrame, peak: PipelineModel, calibrator, late: PipelineModel) -
 def results_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
     """Small table of results, one row per model or setting."""
     return spark.createDataFrame(list(rows), schema)
-

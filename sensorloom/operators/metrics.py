@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -47,6 +47,16 @@ def pooled_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
     return rows.agg(*_regression(F.col(label), F.col(prediction)))
 
 
+def metrics_by_model(df: DataFrame, label: str, predictions: Mapping[str, str]) -> DataFrame:
+    """One row per model (name -> column of its predictions) with its pooled metrics, in one pass over `df`."""
+    y = F.col(label)
+    found = []
+    for name, column in predictions.items():
+        both = y.isNotNull() & F.col(column).isNotNull()
+        found.append(F.struct(F.lit(name).alias("model"), *_regression(F.when(both, y), F.when(both, F.col(column)))))
+    return df.agg(F.array(*found).alias("_all")).select(F.explode("_all").alias("_m")).select("_m.*")
+
+
 def mape(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Pooled over all rows with a label other than 0."""
     y, p = F.col(label), F.col(prediction)
@@ -96,10 +106,6 @@ def macro_by(df: DataFrame, keys: Sequence[str], label: str, prediction: str, cl
     )
 
 
-def fold_means(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(*[F.avg(c).alias(c) for c in columns])
-
-
 def bias_by_range(df: DataFrame, label: str, predictions: dict[str, str], least: int = 5) -> DataFrame:
     """Mean error and absolute error of each prediction by range of the label."""
     aggs = [F.count(F.lit(1)).alias("n")]

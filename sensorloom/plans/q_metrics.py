@@ -13,6 +13,7 @@ from sensorloom.plans.q_context import ROLL_PARTS
 from sensorloom.plans.q_response import PARTS, both, r6, responses
 from sensorloom.plans.registry import query
 from sensorloom.plans.sql_text import ctes, r
+from sensorloom.session import durable
 from sensorloom.sources import roles
 
 PRED_PARTS = {
@@ -241,15 +242,10 @@ RESULTS = " UNION ALL ".join(
 
 
 def results(spark, sf_dir):
-    df = predictions(spark, sf_dir)
+    df = durable(predictions(spark, sf_dir))
     mean = df.agg(F.avg("peak_value").alias("m")).scalar()
     by = {"rolling": F.col("prediction"), "last_value": F.coalesce("glucose_preprandial", "prediction"), "overall_mean": mean}
-    # a union of one-row tables: results of different models
-    out = None
-    for name, p in by.items():
-        rows = M.pooled_metrics(df.withColumn("_p", p), "peak_value", "_p").withColumn("model", F.lit(name))
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return out
+    return M.metrics_by_model(df.withColumns({f"_p_{name}": p for name, p in by.items()}), "peak_value", {n: f"_p_{n}" for n in by})
 
 
 @query("u03_append_results", PRED + f"SELECT model, {r('mae')} AS mae, {r('rmse')} AS rmse, {r('r2')} AS r2 FROM ({RESULTS})")

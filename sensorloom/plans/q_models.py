@@ -24,7 +24,6 @@ from sensorloom.session import durable, scratch_dir
 from sensorloom.sources import io, roles
 
 ROUNDS = 5
-TREES = 20
 _STORED: dict[tuple, tuple[str, list[str]]] = {}
 
 
@@ -167,14 +166,14 @@ def cluster_sweep(spark, sf_dir):
     parts = []
     for kind in ("nutrition", "response"):
         rows, cols = _scaled(spark, sf_dir, kind)
-        parts.append(cluster.sweep(rows, cols, restarts=2).withColumn("profile", F.lit(kind)))
+        parts.append(cluster.sweep(rows, cols).withColumn("profile", F.lit(kind)))
     return parts[0].unionByName(parts[1])
 
 
 @query("a41_silhouette")
 def silhouette(spark, sf_dir):
     rows, cols = _scaled(spark, sf_dir, "response")
-    fitted = cluster.kmeans(rows, cols, 2, restarts=3)
+    fitted = cluster.kmeans(rows, cols, 2)
     return learn.results_table(spark, [(cluster.silhouette(fitted),)], "silhouette double")
 
 
@@ -186,7 +185,7 @@ def _fold_query(name: str, model, **args):
 
 
 _fold_query("m07_ridge", learn.ridge)
-_fold_query("m08_forest", lambda: learn.forest(trees=TREES))
+_fold_query("m08_forest", lambda: learn.forest())
 _fold_query("m09_boosted", lambda: learn.boosted(rounds=ROUNDS))
 _fold_query("m10_boosted_extra", lambda: learn.boosted_extra(rounds=ROUNDS))
 

@@ -56,11 +56,6 @@ def read_raw(spark: SparkSession, folder: str, name: str, present: Sequence[str]
     return df.withColumns({c: C.nan_to_null(c) for c in floats}) if floats else df
 
 
-def read_column(spark: SparkSession, folder: str, name: str, column: str) -> DataFrame:
-    """One column of a raw table; the scan is pruned to it."""
-    return read_raw(spark, folder, name).select(column)
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -133,4 +128,3 @@ def load_clean(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "morning": clean.clean_morning(timed["questionnaire_morning"]),
         "night": timed["questionnaire_night"],
     }
-

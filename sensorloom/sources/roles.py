@@ -94,7 +94,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times as text in mixed formats, some of them unreadable."""
-    kind = F.pmod(_k(), F.lit(5))
+    kind = F.pmod(_k(), F.lit(9))
     day, clock = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", "HH:mm:ss")
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"),
@@ -102,7 +102,11 @@ def raw_times(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 1, F.concat(day, F.lit("T"), clock, F.lit("Z")))
         .when(kind == 2, F.concat(day, F.lit(" "), clock))
         .when(kind == 3, F.concat(day, F.lit("?"), clock))
-        .otherwise(F.lit("")).alias("timestamp"),
+        .when(kind == 4, F.lit(""))
+        .when(kind == 5, F.date_format("ts", "MM/dd/yyyy HH:mm:ss"))
+        .when(kind == 6, F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
+        .when(kind == 7, F.date_format("ts", "yyyyMMdd'T'HHmmss"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd hh:mm:ss a")).alias("timestamp"),
         F.col("value").alias("value_decimal"),
     )
 
