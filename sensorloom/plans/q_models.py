@@ -1,7 +1,9 @@
 """Models on the feature tables. Fits are no SQL: these are checked by invariants.
 
-The published numbers of trees and rounds are the defaults of the library; the
-queries here set fewer, so that all of them run in a short session.
+Forests and clusters run as published. The published numbers of boosting rounds are the
+library's defaults; the queries here set fewer, so that all of them run in a short
+session. The search over drawn settings is `learn.search`; it has no query, as it can't
+run whole in one.
 """
 
 from __future__ import annotations
@@ -242,14 +244,6 @@ def weighted(spark, sf_dir):
     return G.result_row(spark, "plain", plain).unionByName(G.result_row(spark, "weighted", again, "weights"))
 
 
-@query("m17_search")
-def search(spark, sf_dir):
-    rows, _ = training(spark, sf_dir, "peak")
-    params = [{**p, "maxIter": 5, "maxDepth": min(p["maxDepth"], 4)} for p in learn.draw(learn.RANGES["first"], 3)]
-    table, _ = learn.search(rows, learn.boosted_extra(), params, G.K)
-    return table
-
-
 @query("m18_isotonic")
 def isotonic(spark, sf_dir):
     rows, _ = training(spark, sf_dir, "peak")
