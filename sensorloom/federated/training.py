@@ -1,24 +1,15 @@
-"""Rounds of local training and example-weighted averaging."""
+"""Local training and example-weighted averaging."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.functions import fixed
+from sensorloom.federated.partition import split_local
 from sensorloom.functions.columns import normalise
-from sensorloom.operators.ranks import hash_rank
-from sensorloom.session import bucketed, durable
-
-LOCAL_SCHEMA = (
-    "experiment string, partition_id int, shard int, block string, values array<double>, n_examples long"
-)
-# Most rows one task trains on. A larger client is trained in shards of this size,
-# whose parameters are averaged by their rows, as those of clients are.
-SHARD_ROWS = 20_000
+from sensorloom.session import durable
+SALTS = 16  # parts of a client in a join
 
 
 def weighted_mean(params: DataFrame, by: Sequence[str] = ("block",), values: str = "values",
@@ -37,44 +28,58 @@ def weighted_metrics(df: DataFrame, metrics: Sequence[str], by: Sequence[str] =
     return df.groupBy(*by).agg(*[(F.sum(F.col(m) * w) / F.sum(w)).alias(m) for m in metrics])
 
 
-def local_trainer(params: dict[str, np.ndarray], keys: Sequence[str], rate: float, epochs: int, batch: int,
-                  momentum: float, seed: int) -> Callable[[tuple, pd.DataFrame], pd.DataFrame]:
-    """Softmax regression by mini-batches from the given global parameters (class x feature + 1).
+def _gradients(rows: DataFrame, weights: DataFrame, classes: int, width: int, keys: Sequence[str]) -> DataFrame:
+    """Per client: gradient of its mean loss (flat, class by class) and the loss.
 
-    Comes back as blocks, the loss being one of them, so that one weighted mean serves both.
+    A row's part of a class's gradient is its error in that class times its features. A client's rows meet its weights in
+    `SALTS` parts, whose sums are merged: no task holds a client whole.
     """
+    parted = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+    weights = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    z = parted.join(weights, [*keys, "_salt"]).withColumn("_z", _logits(F.col("x"), F.col("_w"), classes, width))
+    top = F.array_max("_z")
+    z = z.withColumn("_log_sum", top + F.log(F.aggregate("_z", F.lit(0.0), lambda s, v: s + F.exp(v - top))))
+    error = F.transform("_z", lambda v, c: F.exp(v - F.col("_log_sum")) - (c == F.col("label")).cast("double"))
+    loss = F.col("_log_sum") - F.get("_z", F.col("label"))
+    each = z.select(*keys, "x", loss.alias("_loss"), F.posexplode(error).alias("_class", "_error"))
+    means = [F.avg(F.col("_error") * F.get("x", F.lit(i))) for i in range(width)]
+    by_class = each.groupBy(*keys, "_class").agg(
+        F.array(*means, F.avg("_error")).alias("_g"), F.avg("_loss").alias("_loss")
+    )
+    whole = F.transform(F.array_sort(F.collect_list(F.struct("_class", "_g"))), lambda s: s["_g"])  # one per class
+    return by_class.groupBy(*keys).agg(F.flatten(whole).alias("_g"), F.max("_loss").alias("_loss"))
 
-    def train(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("_order")
-        x = np.array(rows["x"].tolist(), dtype=float)
-        x = np.hstack([x, np.ones((len(x), 1))])
-        y = rows["label"].to_numpy()
-        w = params[key[0]].copy()
-        speed = np.zeros_like(w)
-        rng = np.random.default_rng([seed, len(x)])
-        losses = []
-        for _ in range(epochs):
-            order = rng.permutation(len(x))
-            for start in range(0, len(x), batch):
-                pick = order[start : start + batch]
-                z = x[pick] @ w.T
-                z -= z.max(axis=1, keepdims=True)
-                p = np.exp(z)
-                p /= p.sum(axis=1, keepdims=True)
-                i = np.arange(len(pick))
-                losses.append(-np.log(np.maximum(p[i, y[pick]], 1e-300)).mean())
-                p[i, y[pick]] -= 1.0
-                speed = momentum * speed + p.T @ x[pick] / len(pick)
-                w = w - rate * speed
-        return pd.DataFrame(
-            [
-                [*key, "linear", w.ravel().tolist(), len(x)],
-                [*key, "train_loss", [float(np.mean(losses))], len(x)],
-            ],
-            columns=[*keys, "block", "values", "n_examples"],
-        )
 
-    return train
+def local_training(rows: DataFrame, start: DataFrame, classes: int, width: int, rate: float, epochs: int,
+                   momentum: float, keys: Sequence[str] = ("experiment", "partition_id"),
+                   on: Sequence[str] = ("experiment",)) -> DataFrame:
+    """Softmax regression of every client on its own rows (x, label), from the parameters in `start` (flat `values`).
+
+    One gradient step on all of a client's rows per epoch, the same at any size of a client. Comes back as blocks, the
+    loss being one of them, so that one weighted mean serves both. Rows without features or without one of the classes
+    as their label are left out; a client without rows has no blocks.
+    """
+    known = F.col("x").isNotNull() & F.col("label").between(0, classes - 1)
+    rows = rows.where(known).select(*keys, "x", F.col("label").cast("int").alias("label"))
+    zeros = F.array_repeat(F.lit(0.0), classes * (width + 1))
+    state = (
+        rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_examples"))
+        .join(start.select(*on, F.col("values").alias("_w")), list(on))
+        .select(*keys, "n_examples", "_w", zeros.alias("_speed"), F.lit(0.0).alias("_total"))
+    )  # one row per client
+    for _ in range(epochs):
+        state = durable(state)
+        step = state.join(_gradients(rows, state.select(*keys, "_w"), classes, width, keys), list(keys))
+        step = step.withColumn("_speed", F.zip_with("_speed", "_g", lambda v, g: v * momentum + g))
+        state = step.select(
+            *keys, "n_examples", F.zip_with("_w", "_speed", lambda w, v: w - v * rate).alias("_w"), "_speed",
+            (F.col("_total") + F.col("_loss")).alias("_total"),
+        )
+    blocks = F.array(
+        F.struct(F.lit("linear").alias("block"), F.col("_w").alias("values")),
+        F.struct(F.lit("train_loss").alias("block"), F.array(F.col("_total") / max(epochs, 1)).alias("values")),
+    )
+    return state.select(*keys, F.inline(blocks), "n_examples")
 
 
 def _logits(x: Column, w: Column, classes: int, width: int) -> Column:
@@ -102,24 +107,13 @@ def evaluate(rows: DataFrame, params: DataFrame, classes: int, width: int, by: S
     )
 
 
-def prepare_clients(assigned: DataFrame, ids: Sequence[str], features: str, label: str,
-                    shard_rows: int = SHARD_ROWS, partitions: int | None = None) -> DataFrame:
-    """Normalised features, local split and shard per row, stored in buckets by shard.
-
-    The rounds group by exactly these keys, so none of them shuffles the rows again.
-    """
+def prepare_clients(assigned: DataFrame, ids: Sequence[str], features: str, label: str) -> DataFrame:
+    """Normalised features and local split per row, stored, as every epoch reads them."""
     keys = ["experiment", "partition_id"]
     rows = assigned.where(F.col("partition_id").isNotNull()).select(
         *ids, *keys, normalise(features).alias("x"), F.col(label).cast("int").alias("label")
     )
-    ranked = hash_rank(rows, ids, "local", keys, "_rank", "_total")
-    test = F.col("_rank") <= F.ceil(0.2 * F.col("_total"))
-    shard = F.floor((F.col("_rank") - 1) / shard_rows).cast("int")
-    laid = ranked.select(
-        *rows.columns, F.col("_rank").alias("_order"), shard.alias("shard"),
-        F.when(test, "test").otherwise("train").alias("split"),
-    )
-    return bucketed(laid, [*keys, "shard"], partitions)
+    return durable(split_local(rows, ids, within=keys))
 
 
 def summary(history: DataFrame, specs: Sequence[dict], rounds: Sequence[int] = (1, 5, 10)) -> DataFrame:

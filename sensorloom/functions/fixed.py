@@ -171,11 +171,8 @@ TARGETS = [
 ]
 
 # --- fixed values: partitioned training -----------------------------------------
-FED_ROUNDS = 10
-FED_EVAL_SHARE = 0.5
 FED_LOCAL_EPOCHS = 1
 FED_RATE = 0.01
-FED_BATCH = 32
 FED_MOMENTUM = 0.9
 FED_EXPERIMENTS = [
     {"name": "small-iid", "clients": 5, "kind": "iid"},

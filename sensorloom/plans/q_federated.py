@@ -12,7 +12,6 @@ from sensorloom.plans.q_response import r6
 from sensorloom.plans.q_sources import IID5
 from sensorloom.plans.registry import query
 from sensorloom.plans.sql_text import r
-from sensorloom.session import durable
 from sensorloom.sources import roles
 
 CLASSES, WIDTH = 10, 64
@@ -144,34 +143,48 @@ def central_evaluation(spark, sf_dir):
     return r6(out, "loss", "accuracy")
 
 
-def experiments(spark, sf_dir, specs):
-    """Rows of every experiment with their client, and the held-out split."""
-    table = durable(split_table(spark, sf_dir))
-    train = table.where(F.col("split") == "train").drop("split")
-    assigned = None
-    for spec in specs:
-        part = P.assign(train, ["id"], "label", spec).withColumn("experiment", F.lit(spec["name"]))
-        assigned = part if assigned is None else assigned.unionByName(part)
-    clients = T.prepare_clients(assigned, ["id"], "embedding", "label")
-    central = table.where(F.col("split") == "test").select(normalise("embedding").alias("x"), "label")
-    return clients, durable(central)
+L5_STEP = (
+    f"WITH s AS ({L8_SPLIT}), p AS (SELECT vec_id, label, x, CAST((row_number() OVER (ORDER BY md5('42:' || vec_id), vec_id) - 1)"
+    " % 5 AS INTEGER) AS partition_id FROM s WHERE NOT test), k AS (SELECT *, row_number() OVER (PARTITION BY partition_id"
+    " ORDER BY md5('split42:' || vec_id), vec_id) <= ceil(0.2 * count(*) OVER (PARTITION BY partition_id)) AS held FROM p),"
+    " e AS (SELECT partition_id, c, i, ((0.1 - CASE WHEN label = c THEN 1.0 ELSE 0 END)"
+    " * CASE WHEN i = 65 THEN 1.0 ELSE x[i] END) AS g FROM k, range(0, 10) a(c), range(1, 66) b(i) WHERE NOT held),"
+    f" t AS (SELECT partition_id, 'linear' AS block, CAST(c * 65 + i - 1 AS INTEGER) AS pos, -{fixed.FED_RATE} * avg(g) AS value,"
+    " count(*) AS n_examples FROM e GROUP BY partition_id, c, i UNION ALL SELECT partition_id, 'train_loss', 0, ln(10), count(*)"
+    " FROM k WHERE NOT held GROUP BY partition_id)"
+)  # from zero weights all classes are equally likely, so the step is a mean of known errors
+
+
+def one_step(spark, sf_dir):
+    """Each client's parameters after an epoch from zero weights."""
+    spec = fixed.FED_EXPERIMENTS[0]
+    train = split_table(spark, sf_dir).where(F.col("split") == "train").drop("split")
+    assigned = P.assign(train, ["id"], "label", spec).withColumn("experiment", F.lit(spec["name"]))
+    clients = T.prepare_clients(assigned, ["id"], "embedding", "label").where(F.col("split") == "train")
+    zeros = F.array_repeat(F.lit(0.0), CLASSES * (WIDTH + 1))
+    start = spark.range(1).select(F.lit(spec["name"]).alias("experiment"), zeros.alias("values"))
+    return T.local_training(
+        clients, start, CLASSES, WIDTH, fixed.FED_RATE, fixed.FED_LOCAL_EPOCHS, fixed.FED_MOMENTUM
+    )
 
 
-@query("l05_local_training")
+@query("l05_local_training", f"{L5_STEP} SELECT 'small-iid' AS experiment, partition_id, block, pos, {r('value', 9)} AS value, n_examples FROM t")
 def local_training(spark, sf_dir):
-    import numpy as np
-
-    clients, _ = experiments(spark, sf_dir, [fixed.FED_EXPERIMENTS[0]])
-    keys = ["experiment", "partition_id", "shard"]
-    start = {fixed.FED_EXPERIMENTS[0]["name"]: np.zeros((CLASSES, WIDTH + 1))}
-    trainer = T.local_trainer(start, keys, fixed.FED_RATE, 1, fixed.FED_BATCH, fixed.FED_MOMENTUM, 1)
-    return clients.where(F.col("split") == "train").groupBy(*keys).applyInPandas(trainer, T.LOCAL_SCHEMA)
+    out = one_step(spark, sf_dir).select(
+        "experiment", "partition_id", "block", F.posexplode("values").alias("pos", "value"), "n_examples"
+    )
+    return out.withColumn("value", F.round("value", 9) + F.lit(0.0))
 
 
-@query("l06_average_parameters")
+@query(
+    "l06_average_parameters",
+    f"{L5_STEP} SELECT 'small-iid' AS experiment, block, pos, {r('sum(value * n_examples) / sum(n_examples)', 9)} AS value"
+    " FROM t GROUP BY block, pos",
+)
 def average(spark, sf_dir):
-    mean = T.weighted_mean(local_training(spark, sf_dir), ["experiment", "block"])
-    return mean.select("experiment", "block", F.posexplode("values").alias("pos", "value"))
+    mean = T.weighted_mean(one_step(spark, sf_dir), ["experiment", "block"])
+    out = mean.select("experiment", "block", F.posexplode("values").alias("pos", "value"))
+    return out.withColumn("value", F.round("value", 9) + F.lit(0.0))
 
 
 @query(

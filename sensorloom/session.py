@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings; safe to apply to a session somebody else built.
@@ -49,17 +47,3 @@ def durable(df: DataFrame) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder name under the shared folder."""
     return f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
-
-
-def bucketed(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
-    """Write a table bucketed by `keys` into the shared folder and read it back.
-
-    Grouping by the same keys then needs no shuffle, however often it is done. (A
-    checkpoint would lose the layout under adaptive execution.)
-    """
-    spark = df.sparkSession
-    n = buckets or spark.sparkContext.defaultParallelism
-    path = scratch_dir(spark)
-    name = "bucketed_" + path.rsplit("-", 1)[1]
-    df.repartition(n, *keys).write.bucketBy(n, *keys).option("path", path).saveAsTable(name)
-    return spark.table(name)

@@ -165,18 +165,50 @@ def assigned(labelled):
     return out
 
 
-def test_rounds_do_not_shuffle_the_rows_again(labelled):
-    clients = T.prepare_clients(assigned(labelled), ["id"], "embedding", "label", partitions=6)
-    keys = ["experiment", "partition_id", "shard"]
-    trainer = T.local_trainer({"a": np.zeros((6, 5)), "b": np.zeros((6, 5))}, keys, 0.1, 1, 32, 0.9, 1)
-    local = clients.where(F.col("split") == "train").groupBy(*keys).applyInPandas(trainer, T.LOCAL_SCHEMA)
-    assert "Exchange" not in local._jdf.queryExecution().sparkPlan().toString()
-    assert local.count() == 12
-    assert "Exchange hashpartitioning" not in local._jdf.queryExecution().executedPlan().toString()
-
-
-def test_large_clients_train_in_shards(labelled):
-    clients = T.prepare_clients(assigned(labelled), ["id"], "embedding", "label", shard_rows=50)
-    sizes = clients.groupBy("experiment", "partition_id", "shard").count()
-    assert sizes.agg(F.max("count")).first()[0] <= 50
-    assert sizes.groupBy("experiment").agg(F.sum("count").alias("n")).where("n <> 600").count() == 0
+def by_hand(x, y, classes, rate, epochs, momentum):
+    x = np.hstack([(x - 0.5) / 0.5, np.ones((len(x), 1))])
+    w = np.zeros((classes, x.shape[1]))
+    speed, losses = np.zeros_like(w), []
+    for _ in range(epochs):
+        z = x @ w.T
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        losses.append(-np.log(p[np.arange(len(y)), y]).mean())
+        p[np.arange(len(y)), y] -= 1
+        speed = momentum * speed + p.T @ x / len(x)
+        w = w - rate * speed
+    return w.ravel(), float(np.mean(losses))
+
+
+def zero_start(spark, names, n):
+    return spark.createDataFrame([(name, [0.0] * n) for name in names], "experiment string, values array<double>")
+
+
+def test_local_training_is_gradient_descent_on_each_client(spark, labelled):
+    clients = T.prepare_clients(assigned(labelled), ["id"], "embedding", "label").where(F.col("split") == "train")
+    out = T.local_training(clients, zero_start(spark, "ab", 30), 6, 4, 0.5, 3, 0.9)
+    got = {(r.experiment, r.partition_id, r.block): r for r in out.collect()}
+    assert len(got) == 12
+    raw = labelled.select("id", "embedding").join(clients.select("id", "experiment", "partition_id", "label"), "id").toPandas()
+    for key, part in raw.groupby(["experiment", "partition_id"]):
+        w, loss = by_hand(np.array(part["embedding"].tolist(), float), part["label"].to_numpy(), 6, 0.5, 3, 0.9)
+        assert got[*key, "linear"]["values"] == pytest.approx(w.tolist(), abs=1e-9)
+        assert got[*key, "train_loss"]["values"] == pytest.approx([loss])
+        assert got[*key, "linear"].n_examples == len(part)
+
+
+def test_local_training_has_one_rule_at_every_size(spark):
+    """Two rows repeated beyond the former limit of a shard (20,000) give the step of the two rows."""
+    two = [([0.1, 0.9], 0), ([0.8, 0.3], 1)]
+    kind = "x array<double>, label int"
+    few = spark.createDataFrame(two, kind).withColumns({"experiment": F.lit("a"), "partition_id": F.lit(0)})
+    many = few.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(15_000)))).drop("copy")
+    odd = spark.createDataFrame([(None, 0), ([0.5, 0.5], None), ([0.5, 0.5], 9)], kind)
+    odd = odd.withColumns({"experiment": F.lit("a"), "partition_id": F.lit(0)})
+    results = []
+    for rows in (few, many, many.unionByName(odd)):
+        out = T.local_training(rows, zero_start(spark, "a", 6), 2, 2, 0.1, 2, 0.9).where("block = 'linear'")
+        results.append(out.first())
+    assert [r.n_examples for r in results] == [2, 30_000, 30_000]
+    for r in results[1:]:
+        assert r["values"] == pytest.approx(results[0]["values"], abs=1e-12)
