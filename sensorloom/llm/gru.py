@@ -1,12 +1,15 @@
 """A gated recurrent language model in numpy, trained and applied by Spark tasks.
 
 One pass over the corpus packs the documents into blocks, one or more per task, and lists each block's distinct words with
-their counts. Spark sums the counts of all training documents and hands each block the counts of its own words, so
-that no task and no driver holds the whole vocabulary.
+their counts. Spark sums the counts of all training documents and hands each block the counts and paths of its own words,
+so that no task and no driver holds the whole vocabulary.
 
 The model: a small GRU; its output is a softmax over classes and another within the class. The most frequent words have
-classes by frequency; all other words share one class, in which a word has its smoothed share of the counts, so that the
-probabilities add up to 1 with one place for unknown words. Training covers all training documents once, in `ROUNDS` parts:
+classes by frequency. All other words of the training documents share one class, which is factored further by a binary tree
+down to the single word: by powers of two of the count, then by the word's hash. Where a node has words on both sides, its
+odds are those of their smoothed counts, moved by the state through a learned row: the upper nodes have rows of their own,
+the lower ones share rows by hash. The probabilities add up to 1 with one place for unknown words. As input, a word
+outside the shortlist is the sum of a common row and two learned rows by hash. Training covers all training documents once, in `ROUNDS` parts:
 in each part every task goes on from the common parameters over its own documents by truncated backpropagation, and the
 parameters are averaged by tokens. For scoring, the state is carried through the whole document, window after window.
 
@@ -18,7 +21,7 @@ Memory: one block (`BLOCK_BYTES` of text, or the longest document) and its words
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,7 +30,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.llm.texts import blank_words, constants, in_tasks, pieces, stored, text_bytes
+from sensorloom.llm.texts import blank_words, constants, give_back, in_tasks, mix64, pieces, stored, text_bytes
 
 HIDDEN, SHORTLIST, CLASS_SIZE = 16, 512, 24
 ROUNDS = 2
@@ -37,27 +40,146 @@ RATE = 0.01
 BLOCK_BYTES = 24_000_000
 END = int(constants(8, 1)[0].astype(np.int64))  # the end token's key among the words'
 CLASSES = -(-SHORTLIST // CLASS_SIZE)  # and one for all other words
+CONTEXTS = 1024  # hashed input rows, of each of two kinds
+TOP = 10  # levels of the tree whose counts the driver holds
+OWN_NODES, NODES = 64, 256  # rows of the upper nodes; with those that the lower nodes share
+ODDS = 8  # steps of the stored log odds in 1
+UNDECIDED = 127
+LOG_ODDS = np.concatenate([np.arange(127), [60 * ODDS], np.arange(-128, 0)]).astype(np.float32) / ODDS  # by stored number; sure where undecided
+CHUNK = 4096  # parameters in a row of the average
 SHAPES = {
     "inputs": (SHORTLIST + 1, 3 * HIDDEN), "carry": (HIDDEN, 3 * HIDDEN), "classes": (HIDDEN, CLASSES + 1), "class_bias": (CLASSES + 1,),
-    "words": (SHORTLIST, HIDDEN), "word_bias": (SHORTLIST,),
+    "words": (SHORTLIST, HIDDEN), "word_bias": (SHORTLIST,), "contexts": (2 * CONTEXTS, 3 * HIDDEN), "nodes": (NODES, HIDDEN),
 }
 Params = dict[str, np.ndarray]
 
 
 @dataclass(frozen=True)
 class Counts:
-    """What all training tokens add up to. `short`: keys of the shortlist, most frequent first; unused places stay free."""
+    """What all training tokens add up to. `short`: keys of the shortlist, most frequent first; unused places stay free.
+    `top`: (first bits, smoothed counts) of the other words."""
 
     tokens: int
     kinds: int
     short: tuple[int, ...]
     short_counts: tuple[int, ...]
+    top: tuple[tuple[int, int], ...] = ()
 
-    def other_log10(self, count: np.ndarray) -> np.ndarray:
-        """log10 share of a word among the words outside the shortlist."""
+    def known_log(self, count: np.ndarray) -> np.ndarray:
+        """Natural log of the share of all known words, or of the unknown one, among the words outside the shortlist."""
         n = self.tokens - sum(self.short_counts)
         v = self.kinds - sum(c > 0 for c in self.short_counts)
-        return np.log10((count + 1) / (n + v + 1))
+        return np.log(np.where(count > 0, max(n + v, 1), 1) / (n + v + 1))
+
+
+def tree_keys(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """A word's way from the root, first bit first: its count's power of two (frequent words first), then its hash."""
+    power = np.frexp(counts.astype(np.float64))[1] - 1
+    return (15 - np.clip(power, 0, 15)).astype(np.uint64) << np.uint64(60) | words.astype(np.uint64) >> np.uint64(4)
+
+
+def _level_odds(keys: np.ndarray, mass: np.ndarray, level: int) -> np.ndarray:
+    """Of sorted keys: log odds of the own side at the node of so many bits; the same number, negated, on the other side."""
+    node, side = (keys >> np.uint64(64 - level) if level else np.zeros_like(keys)), keys >> np.uint64(63 - level)
+    sums = []
+    for k in (node, side):
+        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        sums.append(np.repeat(np.add.reduceat(mass, start), np.diff(np.append(start, len(k)))))
+    right = (side & np.uint64(1)).astype(bool)
+    a, b = np.where(right, sums[1], sums[0] - sums[1]), np.where(right, sums[0] - sums[1], sums[1])
+    decided = (a > 0) & (b > 0)
+    odds = np.clip(np.rint(ODDS * (np.log(np.maximum(a, 1)) - np.log(np.maximum(b, 1)))), -126, 126)
+    return np.where(decided, np.where(right, odds, -odds), UNDECIDED).astype(np.int8)
+
+
+def lower_odds(keys: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    """Stored log odds below the top levels, of all words that share their first bits; each list ends at the last node
+    with words on both sides."""
+    order = np.argsort(keys)
+    k, mass = keys[order], counts[order] + 1
+    levels = 64 if len(k) < 2 else int(64 - np.frexp((k[1:] ^ k[:-1]).min().astype(np.float64))[1] + 2)
+    rows = [_level_odds(k, mass, level) for level in range(TOP, min(64, max(levels, TOP)))] if len(k) > 1 else []
+    out = [b""] * len(k)
+    if rows:
+        odds = np.stack(rows, axis=1)
+        used = odds.shape[1] - (odds[:, ::-1] != UNDECIDED).argmax(axis=1)
+        used[(odds == UNDECIDED).all(axis=1)] = 0
+        for at, row, n in zip(order.tolist(), odds, used.tolist()):
+            out[at] = row[:n].tobytes()
+    return out
+
+
+class Rest:
+    """The words of a block that are not in the shortlist: their nodes, sides and log odds, and their input rows."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, lower: list[bytes], totals: Counts):
+        keys, known = tree_keys(words, counts), counts > 0
+        first, mass = (np.array([t[i] for t in totals.top], np.uint64) for i in (0, 1))
+        upper = first << np.uint64(64 - TOP)
+        at = np.searchsorted(first, keys >> np.uint64(64 - TOP))
+        depth = TOP + max(map(len, lower), default=0)
+        odds = np.full((len(words), depth), UNDECIDED, np.int8)
+        for level in range(TOP if known.any() else 0):
+            odds[known, level] = _level_odds(upper, mass.astype(np.int64), level)[at[known]]
+        size = np.array([len(x) for x in lower], np.int64)
+        row = np.repeat(np.arange(len(words)), size)
+        column = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+        odds[row, TOP + column] = np.frombuffer(b"".join(lower), np.int8)
+        # nodes with words on both sides only, the upper ones first
+        decided = odds != UNDECIDED
+        self.many = decided.sum(axis=1)
+        shape = len(words), int(self.many.max(initial=0))
+        self.node, self.side, self.odds = np.zeros(shape, np.int16), np.zeros(shape, np.int8), np.full(shape, UNDECIDED, np.int8)
+        place = np.cumsum(decided, axis=1, dtype=np.int16) - 1
+        for level in range(depth):
+            w = np.flatnonzero(decided[:, level])
+            if len(w):
+                node = (keys[w] >> np.uint64(63 - level) >> np.uint64(1)) | np.uint64(1 << level)
+                own = node < OWN_NODES
+                self.node[w, place[w, level]] = np.where(own, node, OWN_NODES + mix64(node) % np.uint64(NODES - OWN_NODES))
+                self.side[w, place[w, level]] = 2 * (keys[w] >> np.uint64(63 - level) & np.uint64(1)).astype(np.int8) - 1
+                self.odds[w, place[w, level]] = odds[w, level]
+        self.fixed = totals.known_log(counts)
+        mixed = mix64(words.astype(np.uint64))
+        self.context = np.stack([mixed % np.uint64(CONTEXTS), CONTEXTS + (mixed >> np.uint64(32)) % np.uint64(CONTEXTS)], axis=1).astype(np.int32)
+
+    def turns(self, logits: np.ndarray, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, nodes, sides, log odds of the own side) of eight nodes at a time."""
+        for a in range(0, self.node.shape[1], 8):
+            rows = np.flatnonzero(self.many[words] > a)
+            if not len(rows):
+                break
+            w = words[rows]
+            node, side = self.node[w, a : a + 8], self.side[w, a : a + 8]
+            yield rows, node, side, LOG_ODDS[self.odds[w, a : a + 8]] + side * logits[rows[:, None], node]
+
+    def log(self, p: Params, state: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Natural log of each word's probability among the words outside the shortlist."""
+        out, logits = self.fixed[words], state @ p["nodes"].T
+        for rows, _, _, x in self.turns(logits, words):
+            out[rows] -= np.logaddexp(0, -x).sum(axis=1) if x.dtype == np.float64 else np.log1p(np.exp(-np.maximum(x, -60))).sum(axis=1)
+        return out
+
+    def gradient(self, p: Params, state: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """Of the loss, by row and node."""
+        at, d = [], []
+        for rows, node, side, x in self.turns(state @ p["nodes"].T, words):
+            at.append((rows[:, None] * NODES + node).ravel())
+            d.append((-side / (1 + np.exp(np.clip(x, -60, 60)))).ravel())
+        if not at:
+            return np.zeros((len(words), NODES), state.dtype)
+        sums = np.bincount(np.concatenate(at), np.concatenate(d), minlength=len(words) * NODES)
+        return sums.reshape(-1, NODES).astype(state.dtype)
+
+
+def entering(p: Params, x: np.ndarray, rest: Rest | None) -> np.ndarray:
+    """Input rows of words."""
+    e = p["inputs"][np.minimum(x, SHORTLIST)]
+    if rest is not None:
+        rows = x >= SHORTLIST
+        c = rest.context[x[rows] - SHORTLIST]
+        e[rows] += p["contexts"][c[:, 0]] + p["contexts"][c[:, 1]]
+    return e
 
 
 def first_params(counts: Counts) -> Params:
@@ -67,6 +189,7 @@ def first_params(counts: Counts) -> Params:
         n = int(np.prod(shape))
         even = constants(20 + i, n).astype(np.float64) / 2.0**64 - 0.5
         made[name] = (even * (0.5 if name in ("inputs", "carry") else 0.1)).reshape(shape).astype(np.float32)
+    made["nodes"][:] = 0  # the counts alone
     own = np.array([*counts.short_counts, *[0] * (SHORTLIST - len(counts.short_counts))], np.float64)
     own[: len(counts.short)] += 1
     own += 1e-3
@@ -96,7 +219,7 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
 
 def _by_class(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(class, rows) of targets in the shortlist."""
-    kind = target // CLASS_SIZE
+    kind = np.minimum(target, SHORTLIST) // CLASS_SIZE
     order = np.argsort(kind, kind="stable")
     cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
     for c in range(CLASSES):
@@ -106,20 +229,22 @@ def _by_class(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
             yield c, rows
 
 
-def output_log(p: Params, state: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Natural log of the class and, for the shortlist, of the word in it."""
+def output_log(p: Params, state: np.ndarray, target: np.ndarray, rest: Rest | None = None) -> np.ndarray:
+    """Natural log of the class and of the word in it; without `rest`, of the class alone for words outside the shortlist."""
     kind = np.where(target < SHORTLIST, target // CLASS_SIZE, CLASSES)
     out = _log_softmax(state @ p["classes"] + p["class_bias"])[np.arange(len(target)), kind]
     for c, rows in _by_class(target):
         own = slice(c * CLASS_SIZE, min(SHORTLIST, (c + 1) * CLASS_SIZE))
         logs = _log_softmax(state[rows] @ p["words"][own].T + p["word_bias"][own])
         out[rows] += logs[np.arange(len(rows)), target[rows] - c * CLASS_SIZE]
+    if rest is not None:
+        rows = np.flatnonzero(target >= SHORTLIST)
+        out[rows] += rest.log(p, state[rows], target[rows] - SHORTLIST)
     return out
 
 
-def step(p: Params, h: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
+def step(p: Params, h: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, ...]:
     g = h @ p["carry"]
-    e = p["inputs"][x]
     gates = 0.5 * np.tanh(0.5 * (e[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])) + 0.5
     z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
     own = g[:, 2 * HIDDEN :]
@@ -149,7 +274,7 @@ class Lanes:
             heapq.heappush(heap, (n + int(sizes[d]), b))
         length = np.array([sum(int(sizes[d]) for d in ds) for ds in held])
         steps = int(length.max(initial=0))
-        target, document, first = np.zeros((steps, lanes), np.int16), np.full((steps, lanes), -1, np.int32), np.zeros((steps, lanes), bool)
+        target, document, first = np.zeros((steps, lanes), np.int32), np.full((steps, lanes), -1, np.int32), np.zeros((steps, lanes), bool)
         for lane, b in enumerate(np.argsort(-length, kind="stable").tolist()):
             at = 0
             for d in held[b]:
@@ -168,7 +293,7 @@ class Lanes:
         return x
 
 
-def log10_by_document(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int) -> np.ndarray:
+def log10_by_document(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, rest: Rest | None = None) -> np.ndarray:
     """Sum over each document's tokens of the log10 probabilities that the network gives."""
     lanes = Lanes.of(tokens, begin, SCORE_LANES)
     x = lanes.inputs(end)
@@ -176,23 +301,26 @@ def log10_by_document(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
     for a in range(0, len(x), SCORE_WINDOW):
         states, targets, documents = [], [], []
+        e = entering(p, x[a : a + SCORE_WINDOW, : int(lanes.live[a])], rest)
         for t in range(a, min(a + SCORE_WINDOW, len(x))):
             n = int(lanes.live[t])
-            h = h[:n]
-            h[lanes.first[t, :n]] = 0
-            h = step(p, h, x[t, :n])[0]
+            # a copy: the states before are still to be read
+            h = np.where(lanes.first[t, :n, None], np.float32(0), h[:n])
+            h = step(p, h, e[t - a, :n])[0]
             states.append(h), targets.append(lanes.target[t, :n]), documents.append(lanes.document[t, :n])
-        logs = output_log(p, np.concatenate(states), np.concatenate(targets).astype(np.int64))
+        logs = output_log(p, np.concatenate(states), np.concatenate(targets).astype(np.int64), rest)
         out += np.bincount(np.concatenate(documents), logs, minlength=len(out))
     return out / np.log(10)
 
 
-def gradients(p: Params, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray, used: np.ndarray) -> tuple[Params, np.ndarray]:
+def gradients(
+    p: Params, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray, used: np.ndarray, rest: Rest | None = None
+) -> tuple[Params, np.ndarray]:
     """Of the summed loss of one window, backwards through it; and the state after it."""
-    steps = []
+    steps, e = [], entering(p, x, rest)
     for t in range(len(x)):
         before = np.where(first[t][:, None], np.float32(0), h)
-        h, z, r, n, own = step(p, before, x[t])
+        h, z, r, n, own = step(p, before, e[t])
         steps.append((before, z, r, n, own, h))
     state = np.stack([s[5] for s in steps])
     rows = np.flatnonzero(used.ravel())
@@ -210,6 +338,11 @@ def gradients(p: Params, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.
         d[np.arange(len(own_rows)), target[own_rows] - c * CLASS_SIZE] -= 1
         g["words"][own], g["word_bias"][own] = d.T @ s, d.sum(axis=0)
         back[own_rows] += d @ p["words"][own]
+    if rest is not None:
+        others = np.flatnonzero(target >= SHORTLIST)
+        d = rest.gradient(p, flat_state[others], target[others] - SHORTLIST)
+        g["nodes"] = d.T @ flat_state[others]
+        back[others] += d @ p["nodes"]
     from_output = np.zeros((x.size, HIDDEN), np.float32)
     from_output[rows] = back
     from_output = from_output.reshape(state.shape)
@@ -225,12 +358,23 @@ def gradients(p: Params, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.
         g["carry"] += before.T @ dg
         later = (dh * z + dg @ p["carry"].T) * ~first[t][:, None]
     flat_x, flat_e = x.ravel(), entered.reshape(-1, 3 * HIDDEN)
-    order = np.argsort(flat_x, kind="stable")
-    starts = np.flatnonzero(np.concatenate([[True], np.diff(flat_x[order]) != 0]))
-    g["inputs"][flat_x[order[starts]]] = np.add.reduceat(flat_e[order], starts, axis=0)
+    _add_rows(g["inputs"], np.minimum(flat_x, SHORTLIST), flat_e)
+    if rest is not None:
+        others = np.flatnonzero(flat_x >= SHORTLIST)
+        c, e = rest.context[flat_x[others] - SHORTLIST], flat_e[others]
+        for i in (0, 1):
+            _add_rows(g["contexts"], c[:, i], e)
     return g, h
 
 
+def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Sums of rows by place, into places that hold nothing yet."""
+    if len(at):
+        order = np.argsort(at, kind="stable")
+        starts = np.flatnonzero(np.concatenate([[True], np.diff(at[order]) != 0]))
+        to[at[order[starts]]] = np.add.reduceat(rows[order], starts, axis=0)
+
+
 class Adam:
     def __init__(self, p: Params):
         self.m = {n: np.zeros_like(v) for n, v in p.items()}
@@ -247,7 +391,7 @@ class Adam:
             p[n] -= np.float32(RATE) * step_
 
 
-def trained(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, adam: Adam) -> None:
+def trained(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, adam: Adam, rest: Rest | None = None) -> None:
     """One pass over the documents, window after window, the state carried from each to the next."""
     lanes = Lanes.of(tokens, begin, LANES)
     x, used = lanes.inputs(end), lanes.document >= 0
@@ -255,7 +399,7 @@ def trained(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, adam: Ad
     for a in range(0, len(x), WINDOW):
         n = int(lanes.live[a])
         w = slice(a, a + WINDOW)
-        g, h = gradients(p, h[:n], x[w, :n], lanes.target[w, :n], lanes.first[w, :n], used[w, :n])
+        g, h = gradients(p, h[:n], x[w, :n], lanes.target[w, :n], lanes.first[w, :n], used[w, :n], rest)
         adam.update(p, g, LANES * WINDOW)
 
 
@@ -305,7 +449,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 PACKED = "block long, kind string, id long, held_out boolean, packed binary, word long, n long"
 
 
-def _tokens(packed: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _tokens(packed: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Word keys of documents with the end token after each, piece by piece, and where each document begins."""
     unpack, split = zstandard.ZstdDecompressor(), blank_words(True)
     held: list[bytes] = []
@@ -351,77 +495,137 @@ class Shortlist:
         return np.where(self.sorted[at] == keys, self.order[at], SHORTLIST).astype(np.int16)
 
 
-def _learner(params: np.ndarray, counts: Counts):
+class Block:
+    """One block of documents, its words numbered: places in the shortlist, then the other words in the order of their keys."""
+
+    def __init__(self, row: dict, counts: Counts):
+        self.row = row
+        keys, number = np.array(row["words"], np.int64), np.array(row["counts"], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.count = keys[order], number[order]
+        place = Shortlist(counts).numbers(self.keys).astype(np.int32)
+        other = np.flatnonzero(place == SHORTLIST)
+        place[other] = SHORTLIST + np.arange(len(other))
+        self.place = place
+        self.rest = Rest(self.keys[other], self.count[other], [v.as_py() or b"" for v in row.pop("odds").take(pa.array(order[other]))], counts)
+        self.end = int(place[np.searchsorted(self.keys, END)])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], counts: Counts) -> Iterator[Block]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = {n: batch.column(n)[i].values for n in batch.schema.names}
+            row = {n: v if n in ("odds", "packed") else v.to_numpy(zero_copy_only=False) for n, v in row.items()}
+            yield Block(row, counts)
+            give_back()
+
+
+def _learner(params: np.ndarray, counts: Counts, part: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, short, n = unflat(params.copy()), Shortlist(counts), 0
-        p = {k: v.copy() for k, v in p.items()}
-        adam, end = Adam(p), int(Shortlist(counts).numbers(np.array([END]))[0])
-        parts, size = [], 0
-
-        def go() -> None:
-            nonlocal n, parts, size
-            if parts:
-                tokens, begin = _joined(parts)
-                trained(p, tokens, begin, end, adam)
-                n += len(tokens)
-                parts, size = [], 0
-
-        for batch in batches:
-            for keys, begin in _tokens(batch.column(0).to_pylist()):
-                parts.append((short.numbers(keys), begin))
+        p, n = {k: v.copy() for k, v in unflat(params.copy()).items()}, 0
+        adam = Adam(p)
+        for block in _blocks(batches, counts):
+            parts, size = [], 0
+
+            def go() -> None:
+                nonlocal n, parts, size
+                if parts:
+                    tokens, begin = _joined(parts)
+                    parts.clear()
+                    trained(p, tokens, begin, block.end, adam, block.rest)
+                    n += len(tokens)
+                    parts, size = [], 0
+
+            learn = np.flatnonzero(~block.row["held_out"].astype(bool) & (block.row["parts"] == part))
+            for keys, begin in _tokens(v.as_py() for v in block.row["packed"].take(pa.array(learn))):
+                parts.append((block.place[np.searchsorted(block.keys, keys)], begin))
                 size += len(keys)
                 if size > 4_000_000:
                     go()
-        go()
+            go()
         if n:
+            values = flat(p).astype(np.float32)
+            chunks = [values[a : a + CHUNK].tobytes() for a in range(0, len(values), CHUNK)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([n], pa.int64()), pa.array([flat(p).astype(np.float64)], pa.list_(pa.float64()))], names=["tokens", "params"]
+                [pa.array(np.arange(len(chunks)), pa.int64()), pa.array(np.full(len(chunks), n), pa.int64()), pa.array(chunks, pa.binary())],
+                names=["place", "tokens", "params"],
             )
 
     return run
 
 
-def train(documents: DataFrame, counts: Counts) -> np.ndarray:
-    """documents: (packed, part) of training documents; part: the round in which a document is learned."""
+def _mean(rows: pa.Table) -> pa.Table:
+    tokens = rows.column("tokens").to_numpy()
+    total = sum(np.frombuffer(v.as_py(), np.float32).astype(np.float64) * t for v, t in zip(rows.column("params"), tokens.tolist()))
+    mean = (total / tokens.sum()).astype(np.float32).tobytes()
+    return pa.table({"place": rows.column("place").slice(0, 1), "params": pa.array([mean], pa.binary())})
+
+
+def train(blocks: DataFrame, counts: Counts) -> np.ndarray:
+    """blocks: as `ready` makes them; a document's part is the round in which it is learned."""
     params = flat(first_params(counts))
     for part in range(ROUNDS):
-        made = in_tasks(documents.filter(F.col("part") == part).select("packed"), _learner(params, counts), "tokens long, params array<double>")
-        rows = made.select("tokens", F.posexplode("params").alias("place", "value"))
-        mean = rows.groupBy("place").agg((F.sum(F.col("value") * F.col("tokens")) / F.sum("tokens")).alias("value")).collect()
-        if mean:  # as many rows as the model has parameters
-            params = np.zeros(len(params), np.float32)
-            params[[r.place for r in mean]] = [r.value for r in mean]
+        made = in_tasks(blocks, _learner(params, counts, part), "place long, tokens long, params binary")
+        mean = made.groupBy("place").applyInArrow(_mean, "place long, params binary").collect()
+        if mean:  # as many numbers as the model has parameters
+            params = np.concatenate([np.frombuffer(r["params"], np.float32) for r in sorted(mean, key=lambda r: r["place"])])
     return params
 
 
 def _scorer(params: np.ndarray, counts: Counts):
-    def run(documents: pa.Table, words: pa.Table) -> pa.Table:
-        p, short = unflat(params), Shortlist(counts)
-        end = int(short.numbers(np.array([END]))[0])
-        keys, number = words.column("word").to_numpy(), words.column("count").to_numpy()
-        order = np.argsort(keys)
-        keys, number = keys[order], number[order]
-        place = short.numbers(keys)
-        base = np.log10((number + 1) / (counts.tokens + counts.kinds + 1))
-        other = np.where(place == SHORTLIST, counts.other_log10(number), 0)
-        parts, sums = [], []
-        for own, begin in _tokens(documents.column("packed").to_pylist()):
-            at = np.searchsorted(keys, own)
-            parts.append((place[at], begin))
-            sums.append([np.add.reduceat(v[at], begin[:-1]) for v in (base, other, number > 0)])
-        tokens, begin = _joined(parts)
-        of_base, of_other, known = (np.concatenate(v) for v in zip(*sums))
-        score = log10_by_document(p, tokens, begin, end) + of_other
-        n = len(score)
-        return pa.table({
-            "id": documents.column("id"), "held_out": documents.column("held_out"), "n_tokens": pa.array(np.diff(begin).astype(np.int64)),
-            "n_known": pa.array(known.astype(np.int64)), "train_tokens": pa.array(np.full(n, counts.tokens, np.int64)),
-            "base_score": pa.array(of_base), "score": pa.array(score),
-        })
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = unflat(params)
+        for block in _blocks(batches, counts):
+            row = block.row
+            if not len(row["packed"]):
+                continue
+            base = np.log10((block.count + 1) / (counts.tokens + counts.kinds + 1))
+            parts, sums = [], []
+            for own, begin in _tokens(v.as_py() for v in row["packed"]):
+                at = np.searchsorted(block.keys, own)
+                parts.append((block.place[at], begin))
+                sums.append([np.add.reduceat(v[at], begin[:-1]) for v in (base, block.count > 0)])
+            tokens, begin = _joined(parts)
+            parts.clear()
+            of_base, known = (np.concatenate(v) for v in zip(*sums))
+            score = log10_by_document(p, tokens, begin, block.end, block.rest)
+            n = len(score)
+            yield pa.RecordBatch.from_pydict({
+                "id": pa.array(row["ids"], pa.int64(), mask=row["no_id"].astype(bool)), "held_out": pa.array(row["held_out"].astype(bool)),
+                "n_tokens": pa.array(np.diff(begin).astype(np.int64)), "n_known": pa.array(known.astype(np.int64)),
+                "train_tokens": pa.array(np.full(n, counts.tokens, np.int64)), "base_score": pa.array(of_base), "score": pa.array(score),
+            })
 
     return run
 
 
+def _paths(words: pa.Table) -> pa.Table:
+    """Log odds of all words that share their first bits."""
+    word, count = (words.column(c).to_numpy() for c in ("word", "count"))
+    odds = lower_odds(tree_keys(word, count), count)
+    return pa.table({"word": words.column("word"), "count": words.column("count"), "odds": pa.array(odds, pa.binary())})
+
+
+READY = (
+    "packed array<binary>, ids array<long>, no_id array<int>, held_out array<int>, parts array<int>,"
+    " words array<long>, counts array<long>, odds array<binary>"
+)
+
+
+def _ready(documents: pa.Table, words: pa.Table) -> pa.Table:
+    """A block in one row."""
+    sorts = {"packed": pa.binary(), "ids": pa.int64(), "no_id": pa.int32(), "held_out": pa.int32(), "parts": pa.int32(),
+             "words": pa.int64(), "counts": pa.int64(), "odds": pa.binary()}
+    out = {}
+    for table, pairs in ((documents, ("packed", "ids", "no_id", "held_out", "parts")), (words, ("words", "counts", "odds"))):
+        for name in pairs:
+            values = table.column(name).combine_chunks()
+            values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
+            values = values.cast(sorts[name])
+            out[name] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    return pa.table(out)
+
+
 def scores(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key (a long), held_out, token counts, the score of single words and the score of the network, in log10."""
     plain = docs.select(F.col(key).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
@@ -432,10 +636,22 @@ def scores(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "
     seen = totals.filter("count > 0")
     n, kinds = seen.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
     short = seen.orderBy((F.col("word") == END).desc(), F.desc("count"), "word").limit(SHORTLIST).collect()
-    counts = Counts(n, kinds, tuple(r["word"] for r in short), tuple(r["count"] for r in short))
-    part = F.pmod(F.xxhash64("packed"), F.lit(ROUNDS))
-    params = train(documents.filter(~F.col("held_out")).select("packed", part.alias("part")), counts)
-    looked_up = words.select(F.col("block").alias("of_block"), "word").join(totals, "word")
+    in_tree = (F.col("count") > 0) & ~F.col("word").isin([r["word"] for r in short])
+    # as `tree_keys`, of its first bits
+    power = F.lit(15) - F.least(F.length(F.bin("count")) - 1, F.lit(15))
+    first = power * (1 << (TOP - 4)) + F.shiftrightunsigned("word", 64 - (TOP - 4))
+    grouped = totals.filter(in_tree).withColumn("first", first.cast("int"))
+    top = grouped.groupBy("first").agg(F.sum(F.col("count") + 1)).orderBy("first").collect()  # 1,024 rows at most
+    counts = Counts(n, kinds, tuple(r["word"] for r in short), tuple(r["count"] for r in short), tuple((r[0], r[1]) for r in top))
+    paths = grouped.groupBy("first").applyInArrow(_paths, "word long, count long, odds binary")
+    paths = stored(paths.unionByName(totals.filter(~in_tree).select("word", "count", F.lit(None).cast("binary").alias("odds"))))
+    looked_up = words.join(paths, "word").select(F.col("block").alias("of_block"), F.col("word").alias("words"), F.col("count").alias("counts"), "odds")
+    part = F.pmod(F.xxhash64("packed"), F.lit(ROUNDS)).cast("int")
+    own = documents.select(
+        "block", "packed", F.coalesce("id", F.lit(0)).alias("ids"), F.col("id").isNull().cast("int").alias("no_id"),
+        F.col("held_out").cast("int").alias("held_out"), part.alias("parts"),
+    )
+    ready = stored(own.groupBy("block").cogroup(looked_up.groupBy("of_block")).applyInArrow(_ready, READY))
+    params = train(ready, counts)
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    done = documents.groupBy("block").cogroup(looked_up.groupBy("of_block")).applyInArrow(_scorer(params, counts), schema)
-    return done.withColumnRenamed("id", key)
+    return in_tasks(ready, _scorer(params, counts), schema).withColumnRenamed("id", key)

@@ -259,6 +259,70 @@ def test_gradients_and_windows():
     assert abs(every.sum() - 1) < 1e-6
 
 
+def a_rest():
+    """300 words outside the shortlist, with their paths as Spark makes them, and one word that no training document has."""
+    rng = np.random.default_rng(5)
+    words, count = rng.integers(-(2**63), 2**63, 301), np.append(np.sort(rng.zipf(1.5, 300) % 5000 + 1), 0)
+    keys = gru.tree_keys(words[:-1], count[:-1])
+    lower, first = [b""] * 301, keys >> np.uint64(64 - gru.TOP)
+    for f in np.unique(first):
+        at = np.flatnonzero(first == f)
+        for i, odds in zip(at.tolist(), gru.lower_odds(keys[at], count[at])):
+            lower[i] = odds
+    top = tuple((int(f), int((count[:-1][first == f] + 1).sum())) for f in np.unique(first))
+    n = int(count.sum())
+    totals = gru.Counts(n + 512, 812, tuple(range(gru.SHORTLIST)), (1,) * gru.SHORTLIST, top)
+    return gru.Rest(words, count, lower, totals), count, totals
+
+
+def test_words_outside_the_shortlist():
+    """Each has a probability that depends on the state and not only through its class; all add up to 1; each is known as context."""
+    rest, count, totals = a_rest()
+    p = {k: v.astype(np.float64) for k, v in gru.first_params(totals).items()}
+    n, every = len(count), np.arange(gru.SHORTLIST + len(count))
+    rng = np.random.default_rng(2)
+    state = rng.normal(size=(2, gru.HIDDEN))
+
+    def logs():
+        return np.stack([gru.output_log(p, np.repeat(s[None], len(every), 0), every, rest) for s in state])
+
+    plain = logs()[:, gru.SHORTLIST :]
+    shares = np.log((count + 1) / (count + 1).sum())
+    for own in plain:  # before training as the counts say
+        assert np.abs(own - np.log(np.exp(own).sum()) - shares).max() < 0.5
+    p["nodes"] = rng.normal(size=p["nodes"].shape)
+    moved = logs()
+    assert np.abs(np.exp(moved).sum(axis=1) - 1).max() < 1e-6
+    turn = moved[0, gru.SHORTLIST :] - moved[1, gru.SHORTLIST :]
+    assert len(np.unique(np.round(turn, 9))) > 0.9 * n
+    seen = gru.entering(p, every[gru.SHORTLIST :], rest)
+    assert len(np.unique(np.round(seen, 9), axis=0)) == n
+
+
+def test_gradients_outside_the_shortlist():
+    rest, count, totals = a_rest()
+    p = {k: v.astype(np.float64) for k, v in gru.first_params(totals).items()}
+    rng = np.random.default_rng(4)
+    p["nodes"] = rng.normal(size=p["nodes"].shape)
+    tokens, begin = rng.integers(gru.SHORTLIST - 20, gru.SHORTLIST + len(count) - 1, 60), np.array([0, 25, 26, 60])
+    lanes = gru.Lanes.of(tokens, begin, 2)
+    x, used = lanes.inputs(0), lanes.document >= 0
+    g, _ = gru.gradients(p, np.zeros((2, gru.HIDDEN)), x, lanes.target, lanes.first, used, rest)
+
+    def loss():
+        return -gru.log10_by_document(p, tokens, begin, 0, rest).sum() * np.log(10)
+
+    row = rest.context[int(tokens[tokens >= gru.SHORTLIST][0]) - gru.SHORTLIST]
+    for name, at in (("nodes", (1, 3)), ("nodes", (5, 0)), ("nodes", (100, 2)), ("contexts", (int(row[0]), 9)), ("contexts", (int(row[1]), 20)), ("carry", (3, 7))):
+        old, eps = p[name][at], 1e-3
+        p[name][at] = old + eps
+        up = loss()
+        p[name][at] = old - eps
+        down = loss()
+        p[name][at] = old
+        assert abs((up - down) / (2 * eps) - g[name][at]) < 1e-2 * max(1, abs(g[name][at]))
+
+
 def test_url_lists(spark):
     entries = [("bad.org", date(2024, 1, 1), "add"), ("bad.org", date(2024, 2, 1), "remove"), ("bad.org", date(2024, 3, 1), "add"),
                ("ok.com/ads", date(2024, 1, 5), "add"), ("ok.com/ads", date(2024, 1, 5), "remove"), ("ok.com/x/y", date(2024, 1, 5), "add"),
