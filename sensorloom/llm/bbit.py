@@ -1,14 +1,14 @@
 """Near-duplicate documents by b-bit MinHash.
 
-1. Each document's distinct shingles are hashed; 28 bands of 6 minima give its buckets, and the low 4 bits of all minima,
-   packed, its signature. Documents with equal sets have equal digests and become one representative.
+1. Each document's distinct shingles are hashed; bands of minima, as many as the wanted similarity needs (28 of 6 at 0.85,
+   34 of 5 at 0.80), give its buckets, and the low 4 bits of all minima, packed, its signature. Documents with equal sets have equal digests and become one representative.
 2. Representatives in one bucket are compared by their packed bits (bit counts, corrected for chance collisions). Of the
    pairs above a low bar only a spanning forest leaves the task. A bucket of many members is compared in pairs of blocks,
    so that no task holds it whole.
 3. The forest's edges are confirmed on the full sets, and components are built.
 4. Where a bucket had more pairs above the bar than the forest shows and still holds several components, its remaining
    pairs between components are confirmed within the tasks, again with only a forest leaving them.
-So no link is lost but by the signature: a pair at 0.85 shares no band with probability 2e-6 and falls below the bar
+So no link is lost but by the signature: a pair at the limit shares no band with probability 2e-6 and falls below the bar
 (five standard errors) with 3e-7; pairs above it less often.
 
 No words or null text: no shingles, linked with nothing. Fewer words than a shingle: one shingle. Repeated rows have one
@@ -19,7 +19,9 @@ else holds its set or one near it. Empty table: empty result. Further columns ar
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
+from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -29,17 +31,32 @@ from sensorloom.llm.components import components
 from sensorloom.llm.texts import blank_words, constants, in_tasks, map_texts, mix64, stored, text_bytes
 
 SHINGLE = 5
-BANDS, ROWS, BITS = 28, 6, 4
-MINIMA = BANDS * ROWS
-SIGNATURE_LONGS = -(-MINIMA * BITS // 64)
+BITS = 4
+LOSS = 2e-6  # chance that a pair at the wanted similarity shares no band
 BLOCK = 512  # members of a bucket compared at once
 BAR = 5  # standard errors below the wanted similarity
 
-FACTORS = (constants(3, MINIMA) | np.uint64(1)).astype(np.uint32)[:, None]
-SHIFTS = constants(4, MINIMA).astype(np.uint32)[:, None]
 PLACES = constants(5, SHINGLE + 1) | np.uint64(1)
-BAND_NAMES = constants(6, BANDS)
-BAND_PLACES = constants(7, ROWS) | np.uint64(1)
+
+
+class Scheme:
+    """Bands and rows of a wanted similarity, and the fixed numbers of their minima."""
+
+    def __init__(self, percent: int):
+        self.rows = 6 if percent >= 85 else 5
+        shared = (percent / 100) ** self.rows
+        self.bands = 1 if shared == 1 else ceil(log(LOSS) / log1p(-shared))
+        self.minima = self.bands * self.rows
+        self.longs = -(-self.minima * BITS // 64)
+        self.factors = (constants(3, self.minima) | np.uint64(1)).astype(np.uint32)[:, None]
+        self.shifts = constants(4, self.minima).astype(np.uint32)[:, None]
+        self.band_names = constants(6, self.bands)
+        self.band_places = constants(7, self.rows) | np.uint64(1)
+
+
+@lru_cache(maxsize=8)
+def scheme(percent: int) -> Scheme:
+    return Scheme(percent)
 
 
 def shingle_sets(column: pa.Array) -> list[np.ndarray]:
@@ -64,40 +81,40 @@ def shingle_sets(column: pa.Array) -> list[np.ndarray]:
     return out
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
+def minima(shingles: np.ndarray, of: Scheme) -> np.ndarray:
     x = (shingles >> np.uint64(16)).astype(np.uint32)
-    least = np.full(MINIMA, 0xFFFFFFFF, np.uint32)
+    least = np.full(of.minima, 0xFFFFFFFF, np.uint32)
     for a in range(0, len(x), 512):
-        np.minimum(least, (x[a : a + 512] * FACTORS + SHIFTS).min(axis=1), out=least)
+        np.minimum(least, (x[a : a + 512] * of.factors + of.shifts).min(axis=1), out=least)
     return least
 
 
-def bands(least: np.ndarray) -> np.ndarray:
-    rows = least.astype(np.uint64).reshape(BANDS, ROWS)
-    return mix64((rows * BAND_PLACES).sum(axis=1, dtype=np.uint64) + BAND_NAMES).astype(np.int64)
+def bands(least: np.ndarray, of: Scheme) -> np.ndarray:
+    rows = least.astype(np.uint64).reshape(of.bands, of.rows)
+    return mix64((rows * of.band_places).sum(axis=1, dtype=np.uint64) + of.band_names).astype(np.int64)
 
 
-def packed(least: np.ndarray) -> np.ndarray:
+def packed(least: np.ndarray, of: Scheme) -> np.ndarray:
     """Low bits of the minima, in 64-bit words."""
     low = (mix64(least.astype(np.uint64)) & np.uint64((1 << BITS) - 1)).astype(np.uint64)
-    low = np.concatenate([low, np.zeros(SIGNATURE_LONGS * 64 // BITS - MINIMA, np.uint64)]).reshape(SIGNATURE_LONGS, -1)
+    low = np.concatenate([low, np.zeros(of.longs * 64 // BITS - of.minima, np.uint64)]).reshape(of.longs, -1)
     return (low << (np.arange(64 // BITS, dtype=np.uint64) * np.uint64(BITS))).sum(axis=1, dtype=np.uint64)
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def similarity(a: np.ndarray, b: np.ndarray, of: Scheme) -> np.ndarray:
     """Estimate from packed signatures, row by row, corrected for low bits that agree by chance."""
     x = a ^ b
     x |= x >> np.uint64(2)
     x |= x >> np.uint64(1)
     differ = np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(axis=1, dtype=np.int64)
     chance = 1 / (1 << BITS)
-    return ((MINIMA - differ) / MINIMA - chance) / (1 - chance)
+    return ((of.minima - differ) / of.minima - chance) / (1 - chance)
 
 
 def bar(percent: int) -> float:
     chance, s = 1 / (1 << BITS), percent / 100
     p = chance + (1 - chance) * s
-    return s - BAR * (p * (1 - p) / MINIMA) ** 0.5 / (1 - chance)
+    return s - BAR * (p * (1 - p) / scheme(percent).minima) ** 0.5 / (1 - chance)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -105,19 +122,23 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _signed(piece: pa.RecordBatch) -> pa.RecordBatch:
-    n, digests, all_bands, all_bits = [], [], [], []
-    for s in shingle_sets(piece.column("text")):
-        n.append(len(s))
-        least = minima(s) if len(s) else None
-        digests.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-        all_bands.append(bands(least) if len(s) else None)
-        all_bits.append(packed(least).tobytes() if len(s) else None)
-    return pa.RecordBatch.from_arrays(
-        [piece.column("id"), piece.column("place"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
-         pa.array(all_bands, pa.list_(pa.int64())), pa.array(all_bits, pa.binary())],
-        names=["id", "place", "n", "digest", "bands", "bits"],
-    )
+def _signed(percent: int):
+    def run(piece: pa.RecordBatch) -> pa.RecordBatch:
+        of = scheme(percent)
+        n, digests, all_bands, all_bits = [], [], [], []
+        for s in shingle_sets(piece.column("text")):
+            n.append(len(s))
+            least = minima(s, of) if len(s) else None
+            digests.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+            all_bands.append(bands(least, of) if len(s) else None)
+            all_bits.append(packed(least, of).tobytes() if len(s) else None)
+        return pa.RecordBatch.from_arrays(
+            [piece.column("id"), piece.column("place"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()),
+             pa.array(all_bands, pa.list_(pa.int64())), pa.array(all_bits, pa.binary())],
+            names=["id", "place", "n", "digest", "bands", "bits"],
+        )
+
+    return run
 
 
 def _sets(piece: pa.RecordBatch) -> pa.RecordBatch:
@@ -169,8 +190,10 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _candidates(table: pa.Table, bits: np.ndarray, least: float, also=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _candidates(table: pa.Table, percent: int, also=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows (x, y) of one group whose estimate reaches the bar, best first."""
+    of, least = scheme(percent), bar(percent)
+    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, of.longs)
     bucket, i, j, own = (table.column(c).to_numpy() for c in ("bucket", "i", "j", "own"))
     xs, ys, es = [], [], []
     for d in range(1, table.num_rows):
@@ -180,7 +203,7 @@ def _candidates(table: pa.Table, bits: np.ndarray, least: float, also=None) -> t
         x = x[(i[x] == j[x]) | (own[x] != own[x + d])]
         if also is not None:
             x = x[also(x, x + d)]
-        e = similarity(bits[x], bits[x + d])
+        e = similarity(bits[x], bits[x + d], of)
         good = e >= least
         xs.append(x[good]), ys.append(x[good] + d), es.append(e[good])
     if not xs:
@@ -191,14 +214,10 @@ def _candidates(table: pa.Table, bits: np.ndarray, least: float, also=None) -> t
     return x[order], y[order], e[order]
 
 
-def _signatures(table: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(-1, SIGNATURE_LONGS)
-
-
 def _forests(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
-            x, y, _ = _candidates(table, _signatures(table), bar(percent))
+            x, y, _ = _candidates(table, percent)
             forest = Forest(table.num_rows)
             edges, spare = [], []
             for a, b in zip(x.tolist(), y.tolist()):
@@ -237,7 +256,7 @@ def _rest(percent: int):
                 same = own_bands[x] == own_bands[y]
                 return (part[x] != part[y]) & (own_bands[x, same.argmax(axis=1)] == bucket[x])
 
-            x, y, _ = _candidates(table, _signatures(table), bar(percent), also)
+            x, y, _ = _candidates(table, percent, also)
             sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("shingles")]
             number = {p: k for k, p in enumerate(np.unique(part).tolist())}
             forest = Forest(len(number))
@@ -261,7 +280,7 @@ GROUP = ("bucket", "i", "j")
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key (a long), number of shingles, component (its smallest key) and whether the row's key is the component's."""
     raw = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
-    signed = stored(map_texts(raw, "text", "id long, place long, n long, digest binary, bands array<long>, bits binary", _signed))
+    signed = stored(map_texts(raw, "text", "id long, place long, n long, digest binary, bands array<long>, bits binary", _signed(percent)))
     # one representative of each set; a set held by rows without a key only gets a negative name
     reps = stored(
         signed.filter("digest is not null").groupBy("digest")

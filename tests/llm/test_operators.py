@@ -141,6 +141,24 @@ def test_near_duplicates_in_a_hot_group(spark, monkeypatch):
     assert rows_of(bbit.near_duplicates(df), "doc_id", "n_shingles", "component_id") == brute_components(rows)
 
 
+def test_bands_follow_the_limit():
+    assert (bbit.scheme(85).bands, bbit.scheme(85).rows) == (28, 6)
+    for percent in (70, 80, 85, 95):
+        of = bbit.scheme(percent)
+        assert (1 - (percent / 100) ** of.rows) ** of.bands <= 2.1e-6
+
+
+def test_pipeline_drops_near_copies_from_80_percent(spark):
+    import corpus_pipeline
+
+    base = words(1, 120).split()
+    rows = []
+    for i, at in enumerate(([], [40, 80], [20, 60, 100])):  # 106 of 126 shingles are shared with the first: 0.84; 101 of 131: 0.77
+        rows.append((i, " ".join(f"new{i}" if k in at else w for k, w in enumerate(base))))
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n_chars long")
+    assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()} == {0, 2}
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(5, 5)]
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
