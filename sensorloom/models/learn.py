@@ -69,6 +69,11 @@ def boosted_extra(label: str = "label", rounds: int = 500, weight: str | None =
     return boosted(label, rounds, 6, 0.05, 0.8, 20, "0.8", weight)
 
 
+def boosted_production(label: str = "label", rounds: int = 455, weight: str | None = None) -> Estimator:
+    """The published production settings, as far as they have a counterpart."""
+    return boosted(label, rounds, 9, 0.0193, 0.813, 47, "0.826", weight)
+
+
 def boosted_class(label: str = "label", rounds: int = 200, depth: int = 5, rate: float = 0.1,
                   weight: str | None = None, rows: float = 1.0, leaf: int = 1, columns: str = "all") -> Estimator:
     model = GBTClassifier(

@@ -101,13 +101,13 @@ def fit_production(rows: DataFrame, columns: list[str], late_rows: DataFrame, la
     rows, late_rows = learn.assemble(rows, columns), learn.assemble(late_rows, late_columns)
     spark = rows.sparkSession
     keep = ["meal_id", "user_id"]
-    plain = durable(learn.out_of_fold(rows, learn.boosted_extra(rounds=rounds), K, keep))
+    plain = durable(learn.out_of_fold(rows, learn.boosted_production(rounds=rounds), K, keep))
     errors = earlier if earlier is not None else M.with_errors(plain)
     weights = M.user_weights(errors).select("user_id", "weight")
     weighted_rows = durable(
         rows.join(weights, "user_id", "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))
     )
-    model = learn.boosted_extra(rounds=rounds, weight="weight")
+    model = learn.boosted_production(rounds=rounds, weight="weight")
     oof = durable(learn.out_of_fold(weighted_rows, model, K, keep))
     results = [result_row(spark, "plain", plain), result_row(spark, "weighted", oof, "weights")]
     found = None

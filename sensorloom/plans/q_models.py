@@ -1,9 +1,8 @@
 """Models on the feature tables. Fits are no SQL: these are checked by invariants.
 
-Forests and clusters run as published. The published numbers of boosting rounds are the
-library's defaults; the queries here set fewer, so that all of them run in a short
-session. The search over drawn settings is `learn.search`; it has no query, as it can't
-run whole in one.
+All run with the published settings, which are the library's defaults. The out-of-fold
+predictions of the production model are fitted once per session and stored. The search
+over drawn settings is `learn.search`; it has no query, as it can't run whole in one.
 """
 
 from __future__ import annotations
@@ -25,7 +24,6 @@ from sensorloom.plans.sql_text import K, ctes, r
 from sensorloom.session import durable, scratch_dir
 from sensorloom.sources import io, roles
 
-ROUNDS = 5
 _STORED: dict[tuple, tuple[str, list[str]]] = {}
 
 
@@ -188,15 +186,15 @@ def _fold_query(name: str, model, **args):
 
 _fold_query("m07_ridge", learn.ridge)
 _fold_query("m08_forest", lambda: learn.forest())
-_fold_query("m09_boosted", lambda: learn.boosted(rounds=ROUNDS))
-_fold_query("m10_boosted_extra", lambda: learn.boosted_extra(rounds=ROUNDS))
+_fold_query("m09_boosted", learn.boosted)
+_fold_query("m10_boosted_extra", learn.boosted_extra)
 
 
 @query("m11_late_or_fast")
 def late(spark, sf_dir):
     rows, _ = training(spark, sf_dir, "late")
     oof = learn.out_of_fold(
-        rows, learn.boosted_class(rounds=ROUNDS, weight="weight"), G.K, ["meal_id", "user_id"], probability=True
+        rows, learn.boosted_class(weight="weight"), G.K, ["meal_id", "user_id"], probability=True
     )
     scored = oof.withColumn("pred_binary", (F.col("probability") >= 0.5).cast("int"))
     return M.binary_by(scored, ["fold"], "label", "pred_binary")
@@ -206,14 +204,23 @@ def late(spark, sf_dir):
 def three(spark, sf_dir):
     rows, _ = training(spark, sf_dir, "time")
     classed = durable(rows.withColumn("label", C.time_class("label").cast("double")))
-    oof = learn.out_of_fold(classed, learn.three_class(rounds=5, depth=4), G.K, ["meal_id"])
+    oof = learn.out_of_fold(classed, learn.three_class(), G.K, ["meal_id"])
     return M.macro_by(oof, ["fold"], "label", "prediction", [0, 1, 2])
 
 
+def production_oof(spark, sf_dir) -> DataFrame:
+    """Out-of-fold predictions of the unweighted production model."""
+
+    def make():
+        rows, _ = training(spark, sf_dir, "peak")
+        return learn.out_of_fold(rows, learn.boosted_production(), G.K, ["meal_id", "user_id", "ts"]), []
+
+    return stored(spark, sf_dir, "production_oof", make)[0]
+
+
 @query("m13_out_of_fold")
 def oof(spark, sf_dir):
-    rows, _ = training(spark, sf_dir, "peak")
-    return M.with_errors(learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id", "user_id", "ts"]))
+    return M.with_errors(production_oof(spark, sf_dir))
 
 
 @query("m14_log_target")
@@ -225,7 +232,7 @@ def log_target(spark, sf_dir):
     rows = learn.assemble(*made)
     out = None
     for kind in ("plain", "corrected"):
-        preds = durable(learn.out_of_fold(rows, learn.boosted(rounds=ROUNDS), G.K, ["meal_id"], log=kind))
+        preds = durable(learn.out_of_fold(rows, learn.boosted(), G.K, ["meal_id"], log=kind))
         both = M.regression_metrics(preds).select(
             F.lit(kind).alias("back_transform"), "mae", "rmse", "r2",
             M.regression_metrics(preds, "_fit_label", "prediction_log").select("r2").scalar().alias("r2_log"),
@@ -237,43 +244,42 @@ def log_target(spark, sf_dir):
 @query("m16_weighted_fit")
 def weighted(spark, sf_dir):
     rows, _ = training(spark, sf_dir, "peak")
-    plain = durable(learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id", "user_id"]))
+    plain = production_oof(spark, sf_dir)
     w = M.user_weights(M.with_errors(plain)).select("user_id", "weight")
     heavier = durable(rows.join(w, "user_id"))
-    again = learn.out_of_fold(heavier, learn.boosted_extra(rounds=ROUNDS, weight="weight"), G.K, ["meal_id"])
+    again = learn.out_of_fold(heavier, learn.boosted_production(weight="weight"), G.K, ["meal_id"])
     return G.result_row(spark, "plain", plain).unionByName(G.result_row(spark, "weighted", again, "weights"))
 
 
 @query("m18_isotonic")
 def isotonic(spark, sf_dir):
-    rows, _ = training(spark, sf_dir, "peak")
-    preds = durable(learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"]))
+    preds = production_oof(spark, sf_dir)
     return learn.calibrate(learn.fit_isotonic(preds), preds).select("meal_id", "fold", "label", "prediction", "calibrated")
 
 
 @query("m19_cascade")
 def cascade(spark, sf_dir):
     times, _ = training(spark, sf_dir, "time")
-    second = durable(learn.out_of_fold(times, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"]))
+    second = durable(learn.out_of_fold(times, learn.boosted_extra(), G.K, ["meal_id"]))
     rows, cols = training(spark, sf_dir, "peak")
     joined = learn.with_cascade(rows.drop("features"), second)
     stacked = durable(learn.assemble(joined, [*cols, "pred_time_to_peak", "pred_ttp_category"]))
-    both = learn.out_of_fold(stacked, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"])
-    alone = learn.out_of_fold(rows, learn.boosted_extra(rounds=ROUNDS), G.K, ["meal_id"])
+    both = learn.out_of_fold(stacked, learn.boosted_production(), G.K, ["meal_id"])
+    alone = production_oof(spark, sf_dir)
     return G.result_row(spark, "alone", alone).unionByName(G.result_row(spark, "cascade", both, "time to peak"))
 
 
 @query("m20_importance")
 def importance(spark, sf_dir):
     rows, cols = training(spark, sf_dir, "peak")
-    return learn.importance(learn.boosted_extra(rounds=ROUNDS), rows, cols)
+    return learn.importance(learn.boosted_production(), rows, cols)
 
 
 @query("s06_model_round_trip")
 def round_trip(spark, sf_dir):
     rows, cols = training(spark, sf_dir, "peak")
     path = f"{scratch_dir(spark)}/peak_model"
-    learn.save(learn.fit_pipeline(rows.drop("features"), learn.boosted_extra(rounds=5), cols), path)
+    learn.save(learn.fit_pipeline(rows.drop("features"), learn.boosted_production(), cols), path)
     loaded = learn.load_pipeline(path)
     assert learn.feature_order(loaded) == cols
     return loaded.transform(rows.drop("features")).select("meal_id", "label", "prediction")
@@ -285,7 +291,6 @@ def scoring(spark, sf_dir):
     peak_rows, late_rows = training(spark, sf_dir, "peak"), training(spark, sf_dir, "late")
     made = G.fit_production(
         peak_rows[0].drop("features"), peak_rows[1], late_rows[0].drop("features"), late_rows[1],
-        rounds=ROUNDS, late_rounds=ROUNDS,
     )
     rows = G.scoring_table(df, list(dict.fromkeys([*made["columns"], *made["late_columns"]])))
     scored = learn.score(rows, made["peak"], made["calibrator"], made["late"])

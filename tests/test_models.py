@@ -212,3 +212,16 @@ def test_local_training_has_one_rule_at_every_size(spark):
     assert [r.n_examples for r in results] == [2, 30_000, 30_000]
     for r in results[1:]:
         assert r["values"] == pytest.approx(results[0]["values"], abs=1e-12)
+
+
+def test_published_settings(spark):
+    """Of the production model, and no query sets others."""
+    import inspect
+
+    from sensorloom.plans import q_models
+
+    model = learn.boosted_production()
+    got = (model.getMaxIter(), model.getMaxDepth(), model.getStepSize(), model.getSubsamplingRate(), model.getFeatureSubsetStrategy())
+    assert got == (455, 9, 0.0193, 0.813, "0.826") and model.getMinInstancesPerNode() == 47
+    text = inspect.getsource(q_models)
+    assert "rounds=" not in text and "depth=" not in text and "ROUNDS" not in text
