@@ -10,12 +10,15 @@ from sensorloom.llm.bbit import near_duplicates
 from sensorloom.llm.benchmark_suffixes import contamination
 from sensorloom.llm.compressor import fit, scored
 from sensorloom.llm.gru import scores
+from sensorloom.llm.guess_cost import secrets
 from sensorloom.llm.line_dedup import line_dedup
 from sensorloom.llm.pair_bpe import encode_decode
 from sensorloom.llm.ring import ring_shards
 from sensorloom.llm.suffix_repeats import repeat_rules
+from sensorloom.llm.target_resampling import resampled
 from sensorloom.llm.texts import LOWER, UPPER, shared_dir, table
 from sensorloom.llm.token_cache import cached_counts
+from sensorloom.llm.variant_trie import variants, vocabulary
 from sensorloom.session import prepare
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -32,6 +35,22 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+def crc_table() -> list[int]:
+    """What crc32 makes of each byte."""
+    out = list(range(256))
+    for _ in range(8):
+        out = [x >> 1 ^ (0xEDB88320 if x & 1 else 0) for x in out]
+    return out
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB expression: unsigned crc32 of a text's UTF-8 bytes."""
+    made = f"[{','.join(map(str, crc_table()))}]::BIGINT[]"
+    raw = f"[('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT for i in range(octet_length(encode({text})))]"
+    return f"""xor(list_reduce(list_concat([4294967295::BIGINT], {raw}),
+  lambda c, b: xor(({made})[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT)"""
+
+
 def remainder(key: str, parts: int) -> Column:
     """crc32 of the key as text; a row without a key is in no part."""
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(parts))
@@ -194,3 +213,47 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.pmod(number_of(F.concat_ws(" ", F.col("page_id").cast("string"), "url")), F.lit(365))
     captures = pages.withColumn("fetched", F.date_add(F.lit(FIRST_DAY).cast("date"), day))
     return url_lists.listed(captures, dated_entries(pages))
+
+
+@query("op11_guess_cost")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op12_vector_trie", rf"""
+WITH RECURSIVE runs AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents),
+low AS (SELECT doc_id, translate(run, '{UPPER}', '{LOWER}') AS run, count(*) AS n FROM runs GROUP BY ALL),
+dig AS (SELECT *, {crc32_sql("doc_id::VARCHAR || ':' || run")} AS h FROM low),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN run[1 : (h % length(run))::BIGINT] || run[(h % length(run))::BIGINT + 2 :] ELSE run END AS word, n FROM dig),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+less AS (SELECT word, n, i, word[1 : i - 1] || word[i + 1 :] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT less.word, v.word, v.n FROM less JOIN v ON less.rest = v.word
+  UNION SELECT v.word, less.word, less.n FROM less JOIN v ON less.rest = v.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS top FROM pairs GROUP BY word),
+forms AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top >= 10 * v.n THEN top END AS form_n,
+  CASE WHEN top >= 10 * v.n THEN (SELECT min(other) FROM pairs p WHERE p.word = v.word AND p.n = top) END AS form FROM v LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root FROM forms UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.root WHERE form IS NOT NULL),
+ends AS (SELECT chain.word, root FROM chain JOIN forms ON forms.word = root WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants(vocabulary(table(spark, sf_dir, "documents")))
+
+
+@query("op13_batch_resampling", rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+words AS (SELECT doc_id, unnest(w) AS word FROM d),
+known AS (SELECT word, {crc32_sql("word")} % 10000 AS bucket FROM (SELECT word FROM words UNION SELECT word FROM b)),
+s AS (SELECT bucket, count(*) AS n FROM words JOIN known USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN known USING (word) GROUP BY bucket),
+gain AS (SELECT bucket, floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM words) + 10000)::DOUBLE)
+  / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM b) + 10000)::DOUBLE)))::BIGINT AS gain FROM s FULL JOIN t USING (bucket)),
+sums AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM words JOIN known USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scores AS (SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+  + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN sums USING (doc_id)),
+places AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scores WHERE n_features >= 20)
+SELECT scores.*, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM scores LEFT JOIN places USING (doc_id)""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
