@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest
+from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -54,6 +54,13 @@ def forest(label: str = "label", trees: int = 200, depth: int = 10, leaf: int =
     )
 
 
+def forest_class(label: str = "label", trees: int = 200, depth: int = 10, leaf: int = 5, weight: str | None = None) -> Estimator:
+    model = RandomForestClassifier(
+        featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=SEED
+    )
+    return model.setWeightCol(weight) if weight else model
+
+
 def boosted(label: str = "label", rounds: int = 200, depth: int = 5, rate: float = 0.1, rows: float = 1.0,
             leaf: int = 1, columns: str = "all", weight: str | None = None) -> Estimator:
     """Boosted regression trees. `columns` is the share of features per node, as text."""

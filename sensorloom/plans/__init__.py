@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = (
     "q_sources", "q_clean", "q_nutrition", "q_response", "q_context", "q_profiles", "q_metrics", "q_scoring",
-    "q_models", "q_federated",
+    "q_models", "q_ridge", "q_federated",
 )
 
 

@@ -1,8 +1,7 @@
-"""Models on the feature tables. Fits are no SQL: these are checked by invariants.
+"""Feature tables, clusters, and tree models with the published settings, which are the library's defaults.
 
-All run with the published settings, which are the library's defaults. The out-of-fold
-predictions of the production model are fitted once per session and stored. The search
-over drawn settings is `learn.search`; it has no query, as it can't run whole in one.
+Fits of trees are no SQL: these are checked by invariants. Stages are kept in a store (`sources.store`) that
+knows them again by their inputs, settings and code. What holds for any model runs over the ridge in `q_ridge`.
 """
 
 from __future__ import annotations
@@ -22,21 +21,14 @@ from sensorloom.plans.q_response import PARTS, PRE_SQL
 from sensorloom.plans.registry import query
 from sensorloom.plans.sql_text import K, ctes, r
 from sensorloom.session import durable, scratch_dir
-from sensorloom.sources import io, roles
+from sensorloom.sources import roles
+from sensorloom.sources.store import Store
 
-_STORED: dict[tuple, tuple[str, list[str]]] = {}
+INPUTS = ("events", "lineitem", "part")
 
 
-def stored(spark, sf_dir, name: str, make) -> tuple[DataFrame, list[str]]:
-    """A stage of the plan, written once per session and read by all later ones."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _STORED:
-        path = f"{scratch_dir(spark)}/{name}"
-        df, columns = make()
-        io.write_table(df, path)
-        _STORED[key] = path, columns
-    path, columns = _STORED[key]
-    return io.read_table(spark, path), columns
+def store(spark, sf_dir) -> Store:
+    return Store(spark, sf_dir, INPUTS, scale=roles.SCALE, folds=G.K)
 
 
 def dataset(spark, sf_dir) -> DataFrame:
@@ -45,9 +37,9 @@ def dataset(spark, sf_dir) -> DataFrame:
     def make():
         t = roles.domain(spark, sf_dir)
         base = durable(pipeline.modeling_dataset(t, roles.SCALE))
-        return pipeline.peak_dataset(base, t, roles.SCALE), []
+        return pipeline.peak_dataset(base, t, roles.SCALE), None
 
-    return stored(spark, sf_dir, "modeling_dataset_peak", make)[0]
+    return store(spark, sf_dir).table("modeling_dataset_peak", make)[0]
 
 
 TABLES = {
@@ -58,9 +50,14 @@ TABLES = {
 }
 
 
+def training_rows(spark, sf_dir, kind: str) -> tuple[DataFrame, list[str]]:
+    """Training table and the feature names."""
+    return store(spark, sf_dir).table(f"train_{kind}", lambda: TABLES[kind](dataset(spark, sf_dir)))
+
+
 def training(spark, sf_dir, kind: str) -> tuple[DataFrame, list[str]]:
     """Training table with its feature vector, and the feature names."""
-    rows, columns = stored(spark, sf_dir, f"train_{kind}", lambda: TABLES[kind](dataset(spark, sf_dir)))
+    rows, columns = training_rows(spark, sf_dir, kind)
     return learn.assemble(rows, columns), columns
 
 
@@ -184,10 +181,8 @@ def _fold_query(name: str, model, **args):
         return M.regression_by_fold(learn.out_of_fold(rows, model(), G.K, ["meal_id"], **args))
 
 
-_fold_query("m07_ridge", learn.ridge)
 _fold_query("m08_forest", lambda: learn.forest())
 _fold_query("m09_boosted", learn.boosted)
-_fold_query("m10_boosted_extra", learn.boosted_extra)
 
 
 @query("m11_late_or_fast")
@@ -202,33 +197,19 @@ def late(spark, sf_dir):
 
 @query("m12_three_classes")
 def three(spark, sf_dir):
+    """Over the forest of 200 trees; three boosted models per fold are `learn.three_class`."""
     rows, _ = training(spark, sf_dir, "time")
     classed = durable(rows.withColumn("label", C.time_class("label").cast("double")))
-    oof = learn.out_of_fold(classed, learn.three_class(), G.K, ["meal_id"])
+    oof = learn.out_of_fold(classed, learn.forest_class(), G.K, ["meal_id"])
     return M.macro_by(oof, ["fold"], "label", "prediction", [0, 1, 2])
 
 
-def production_oof(spark, sf_dir) -> DataFrame:
-    """Out-of-fold predictions of the unweighted production model."""
-
-    def make():
-        rows, _ = training(spark, sf_dir, "peak")
-        return learn.out_of_fold(rows, learn.boosted_production(), G.K, ["meal_id", "user_id", "ts"]), []
-
-    return stored(spark, sf_dir, "production_oof", make)[0]
-
-
-@query("m13_out_of_fold")
-def oof(spark, sf_dir):
-    return M.with_errors(production_oof(spark, sf_dir))
-
-
 @query("m14_log_target")
 def log_target(spark, sf_dir):
     df = dataset(spark, sf_dir)
     coded = pipeline.with_codes(df).where(F.col("iauc").isNotNull())
     cols = pipeline.feature_columns(coded, False)
-    made = stored(spark, sf_dir, "train_iauc", lambda: (pipeline.training_table(coded, cols, "iauc", []), cols))
+    made = store(spark, sf_dir).table("train_iauc", lambda: (pipeline.training_table(coded, cols, "iauc", []), cols))
     rows = learn.assemble(*made)
     out = None
     for kind in ("plain", "corrected"):
@@ -241,59 +222,26 @@ def log_target(spark, sf_dir):
     return out
 
 
-@query("m16_weighted_fit")
-def weighted(spark, sf_dir):
-    rows, _ = training(spark, sf_dir, "peak")
-    plain = production_oof(spark, sf_dir)
-    w = M.user_weights(M.with_errors(plain)).select("user_id", "weight")
-    heavier = durable(rows.join(w, "user_id"))
-    again = learn.out_of_fold(heavier, learn.boosted_production(weight="weight"), G.K, ["meal_id"])
-    return G.result_row(spark, "plain", plain).unionByName(G.result_row(spark, "weighted", again, "weights"))
-
-
-@query("m18_isotonic")
-def isotonic(spark, sf_dir):
-    preds = production_oof(spark, sf_dir)
-    return learn.calibrate(learn.fit_isotonic(preds), preds).select("meal_id", "fold", "label", "prediction", "calibrated")
-
-
-@query("m19_cascade")
-def cascade(spark, sf_dir):
-    times, _ = training(spark, sf_dir, "time")
-    second = durable(learn.out_of_fold(times, learn.boosted_extra(), G.K, ["meal_id"]))
-    rows, cols = training(spark, sf_dir, "peak")
-    joined = learn.with_cascade(rows.drop("features"), second)
-    stacked = durable(learn.assemble(joined, [*cols, "pred_time_to_peak", "pred_ttp_category"]))
-    both = learn.out_of_fold(stacked, learn.boosted_production(), G.K, ["meal_id"])
-    alone = production_oof(spark, sf_dir)
-    return G.result_row(spark, "alone", alone).unionByName(G.result_row(spark, "cascade", both, "time to peak"))
-
-
 @query("m20_importance")
 def importance(spark, sf_dir):
+    """Of the forest of 200 trees."""
     rows, cols = training(spark, sf_dir, "peak")
-    return learn.importance(learn.boosted_production(), rows, cols)
-
-
-@query("s06_model_round_trip")
-def round_trip(spark, sf_dir):
-    rows, cols = training(spark, sf_dir, "peak")
-    path = f"{scratch_dir(spark)}/peak_model"
-    learn.save(learn.fit_pipeline(rows.drop("features"), learn.boosted_production(), cols), path)
-    loaded = learn.load_pipeline(path)
-    assert learn.feature_order(loaded) == cols
-    return loaded.transform(rows.drop("features")).select("meal_id", "label", "prediction")
+    return learn.importance(learn.forest(), rows, cols)
 
 
 @query("m22_batch_scoring")
 def scoring(spark, sf_dir):
-    df = dataset(spark, sf_dir)
-    peak_rows, late_rows = training(spark, sf_dir, "peak"), training(spark, sf_dir, "late")
-    made = G.fit_production(
-        peak_rows[0].drop("features"), peak_rows[1], late_rows[0].drop("features"), late_rows[1],
+    """Scored by fitted models out of the store: forests, and the calibration of the forest's out-of-fold predictions."""
+    df, kept = dataset(spark, sf_dir), store(spark, sf_dir)
+    rows, columns = training_rows(spark, sf_dir, "peak")
+    late_rows, late_columns = training_rows(spark, sf_dir, "late")
+    peak_model = kept.model("forest_peak", lambda: learn.fit_pipeline(rows, learn.forest(), columns))
+    late_model = kept.model("forest_late", lambda: learn.fit_pipeline(late_rows, learn.forest_class(weight="weight"), late_columns))
+    predictions, _ = kept.table(
+        "forest_oof", lambda: (learn.out_of_fold(learn.assemble(rows, columns), learn.forest(), G.K, ["meal_id", "user_id"]), None)
     )
-    rows = G.scoring_table(df, list(dict.fromkeys([*made["columns"], *made["late_columns"]])))
-    scored = learn.score(rows, made["peak"], made["calibrator"], made["late"])
+    every = G.scoring_table(df, list(dict.fromkeys([*columns, *late_columns])))
+    scored = learn.score(every, peak_model, learn.fit_isotonic(predictions), late_model)
     return scored.select(
         "meal_id", "peak_raw", "peak_value_predicted", "ttp_probability", "ttp_label", "ttp_minutes", "classification",
         "amplitude_predicted",
