@@ -129,8 +129,7 @@ def user_stats(readings: DataFrame, user: str = "user_id", value: str = "r_value
 
 
 def rolling_user(events: DataFrame, readings: DataFrame, scale: int = 1, key: str = "meal_id",
-                 user: str = "user_id", safe: bool = False, meal_chunks: int = 1,
-                 reading_chunks: int = 1) -> DataFrame:
+                 user: str = "user_id", safe: bool = False) -> DataFrame:
     """Rolling response of earlier events (30 d) and rolling readings (14 d).
 
     `safe` admits an earlier event only once its response window has passed.
@@ -141,11 +140,11 @@ def rolling_user(events: DataFrame, readings: DataFrame, scale: int = 1, key: st
     meals = rolling_moments(
         events.select(key, user, (F.col("us") - delay + 1).alias("us")),
         past, key, [user], fixed.ROLL_MEALS_DAYS * US_PER_DAY - delay + 1,
-        ["peak_value", "time_to_peak_min"], meal_chunks,
+        ["peak_value", "time_to_peak_min"],
     )
     series = rolling_moments(
         events, readings.select(user, "r_us", "r_value"), key, [user],
-        fixed.ROLL_READINGS_DAYS * US_PER_DAY, ["r_value"], reading_chunks,
+        fixed.ROLL_READINGS_DAYS * US_PER_DAY, ["r_value"],
     )
 
     enough = F.col("n_rows") >= fixed.ROLL_MEALS_MIN

@@ -157,6 +157,9 @@ def previous_in_series(
     )
 
 
+CELLS = 4096  # of a rolling window's width
+
+
 def rolling_moments(
     events: DataFrame,
     series: DataFrame,
@@ -164,80 +167,119 @@ def rolling_moments(
     on: Sequence[str],
     width: int,
     values: Sequence[str],
-    chunks: int = 1,
     event_us: str = "us",
     series_us: str = "r_us",
+    cells: int = CELLS,
 ) -> DataFrame:
     """Rows, and n, mean and m2 (squared deviations) of each value, over [t - width, t).
 
-    The axis is cut into chunks of width / `chunks`. An event then needs the end
-    of the chunk holding t - width, the whole chunks in between and the start of
-    the chunk holding t. All three are running moments per (keys, chunk), so no
-    pair of event and reading is ever built. The parts are then merged without
-    differences of large sums. Raise `chunks` to make the groups finer; an event
-    adds `chunks` + 1 probe rows.
+    The axis is cut into blocks of the width, and each block into `cells` cells. t and
+    t - width lie at the same place of neighbouring blocks, so a window has four parts:
+    the end of the cell of t - width, the cells after it in its block, the cells before
+    that of t in the next block, and the start of t's cell. The inner two are running
+    moments over cells, of which a block has `cells` at most; the outer two are running
+    moments over the rows of one cell. So an event adds two probe rows whatever the data
+    are, no pair of event and reading is built, and no task sorts a user's whole window.
     """
-    if width % chunks:
-        raise ValueError("width must be a multiple of chunks")
-    step = width // chunks
-    pos = F.col("_i")
-    at = F.col(event_us) - width
-    probes = (
-        events.select(key, *on, event_us, F.explode(F.sequence(F.lit(0), F.lit(chunks))).alias("_i"))
-        .select(
-            *on,
-            F.when(pos == 0, at)
-            .when(pos == chunks, F.col(event_us))
-            .otherwise(bucket_start(at, step) + pos * step)
-            .alias("_us"),
-            F.col(key).alias("_key"),
-            F.when(pos == 0, "end").when(pos == chunks, "start").otherwise("whole").alias("_part"),
-            *[F.lit(None).cast("double").alias(v) for v in values],
+    fine = -(-width // cells)
+    rows = _probes(events, key, on, width, fine, event_us, values).unionByName(
+        series.select(
+            *on, *_position(F.col(series_us), width, fine), F.col(series_us).alias("_us"),
+            F.lit(None).cast(events.schema[key].dataType).alias("_key"), F.lit(None).cast("string").alias("_part"),
+            *[F.col(v).cast("double").alias(v) for v in values],
         )
     )
-    readings = series.select(
-        *on,
-        F.col(series_us).alias("_us"),
-        F.lit(None).cast(events.schema[key].dataType).alias("_key"),
-        F.lit(None).cast("string").alias("_part"),
-        *[F.col(v).cast("double").alias(v) for v in values],
+    place = [*on, "_block", "_cell"]
+    up = Window.partitionBy(*place).orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
+    down = Window.partitionBy(*place).orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, 0)
+    outer = rows.select(
+        *place, "_key", "_part", _moments(values, lambda c: c.over(up)).alias("_up"),
+        _moments(values, lambda c: c.over(down)).alias("_down"),
+    ).where(F.col("_part").isNotNull())
+    inner = _running(rows.groupBy(*place).agg(_moments(values, lambda c: c).alias("_m")), on, values)
+    first = F.col("_part") == "start"
+    parts = outer.join(inner, place).select(
+        F.col("_key").alias(key),
+        F.explode(F.array(F.when(first, F.col("_up")).otherwise(F.col("_down")),
+                          F.when(first, F.col("_before")).otherwise(F.col("_after")))).alias("_m"),
+    )
+    # four parts per event
+    merged = parts.groupBy(key).agg(F.collect_list("_m").alias("_p"))
+    out = {"n_rows": F.aggregate("_p", F.lit(0).cast("long"), lambda s, p: s + p["rows"])}
+    for v in values:
+        out[v] = _merge_moments(F.col("_p"), v)
+    wide = merged.select(key, *[c.alias(n) for n, c in out.items()])
+    return wide.select(
+        key, "n_rows", *[F.col(v)[f].alias(f"{v}_{f}") for v in values for f in ("n", "mean", "m2")]
+    )
+
+
+def _position(us: Column, width: int, fine: int) -> list[Column]:
+    block = bucket_start(us, width)
+    return [block.alias("_block"), F.floor((us - block) / F.lit(fine)).cast("long").alias("_cell")]
+
+
+def _probes(events: DataFrame, key: str, on: Sequence[str], width: int, fine: int, us: str, values: Sequence[str]) -> DataFrame:
+    """Each event twice: at t and at t - width."""
+    ends = F.array(
+        F.struct(F.lit("start").alias("part"), F.col(us).alias("at")),
+        F.struct(F.lit("end").alias("part"), (F.col(us) - width).alias("at")),
+    )
+    at = F.col("_e")["at"]
+    return events.select(*on, key, F.explode(ends).alias("_e")).select(
+        *on, *_position(at, width, fine), at.alias("_us"), F.col(key).alias("_key"), F.col("_e")["part"].alias("_part"),
+        *[F.lit(None).cast("double").alias(v) for v in values],
+    )
+
+
+def _moments(values: Sequence[str], over) -> Column:
+    """Rows, and n, mean and m2 of each value; equal values have exactly their value as mean."""
+    fields = [over(F.count(F.when(F.col("_part").isNull(), F.lit(1)))).alias("rows")]
+    for v in values:
+        n, lo, hi = over(F.count(v)), over(F.min(v)), over(F.max(v))
+        mean = F.when(lo == hi, lo).otherwise(over(F.avg(v)))
+        fields += [
+            n.alias(f"{v}_n"), F.coalesce(mean, F.lit(0.0)).alias(f"{v}_mean"),
+            F.coalesce(over(F.var_pop(v)) * n, F.lit(0.0)).alias(f"{v}_m2"), lo.alias(f"{v}_lo"), hi.alias(f"{v}_hi"),
+        ]
+    return F.struct(*fields)
+
+
+def _running(cells: DataFrame, on: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Moments of all cells before and of all cells after each one in its block.
+
+    Sums are taken from the block's least cell mean, so that little is lost in the difference of squares.
+    """
+    block = Window.partitionBy(*on, "_block")
+    based = cells.select(
+        *on, "_block", "_cell", "_m",
+        *[F.min(F.when(F.col("_m")[f"{v}_n"] > 0, F.col("_m")[f"{v}_mean"])).over(block).alias(f"_base_{v}") for v in values],
     )
-    rows = probes.unionByName(readings).withColumn("_chunk", bucket_start("_us", step))
-    up = Window.partitionBy(*on, "_chunk").orderBy("_us")
-    down = Window.partitionBy(*on, "_chunk").orderBy(F.desc("_us"))
     frames = {
-        "start": up.rangeBetween(Window.unboundedPreceding, -1),
-        "end": down.rangeBetween(Window.unboundedPreceding, 0),
+        "_before": block.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1),
+        "_after": block.orderBy("_cell").rowsBetween(1, Window.unboundedFollowing),
     }
-    if chunks > 1:
-        frames["whole"] = Window.partitionBy(*on, "_chunk")
-    is_row = F.when(F.col("_part").isNull(), F.lit(1))
 
-    def moments(frame) -> Column:
-        fields = [F.count(is_row).over(frame).alias("rows")]
+    def run(frame) -> Column:
+        fields = [F.coalesce(F.sum(F.col("_m")["rows"]).over(frame), F.lit(0)).alias("rows")]
         for v in values:
-            n = F.count(v).over(frame)
+            count, base = F.col("_m")[f"{v}_n"], F.coalesce(F.col(f"_base_{v}"), F.lit(0.0))
+            gap = F.when(count > 0, F.col("_m")[f"{v}_mean"] - base).otherwise(0.0)
+            n = F.coalesce(F.sum(count).over(frame), F.lit(0))
+            s = F.coalesce(F.sum(count * gap).over(frame), F.lit(0.0))
+            q = F.coalesce(F.sum(F.col("_m")[f"{v}_m2"] + count * gap * gap).over(frame), F.lit(0.0))
+            lo, hi = F.min(F.col("_m")[f"{v}_lo"]).over(frame), F.max(F.col("_m")[f"{v}_hi"]).over(frame)
             fields += [
                 n.alias(f"{v}_n"),
-                F.coalesce(F.avg(v).over(frame), F.lit(0.0)).alias(f"{v}_mean"),
-                F.coalesce(F.var_pop(v).over(frame) * n, F.lit(0.0)).alias(f"{v}_m2"),
+                F.when(lo == hi, lo).otherwise(base + F.coalesce(F.try_divide(s, n), F.lit(0.0))).alias(f"{v}_mean"),
+                F.when(lo == hi, 0.0).otherwise(
+                    F.greatest(q - F.coalesce(F.try_divide(s * s, n), F.lit(0.0)), F.lit(0.0))
+                ).alias(f"{v}_m2"),
+                lo.alias(f"{v}_lo"), hi.alias(f"{v}_hi"),
             ]
         return F.struct(*fields)
 
-    found = rows.select("_key", "_part", *[moments(f).alias(n) for n, f in frames.items()])
-    pick = F.col("end")
-    for n in frames:
-        pick = F.when(F.col("_part") == n, F.col(n)).otherwise(pick)
-    parts = found.where(F.col("_part").isNotNull()).select(F.col("_key").alias(key), pick.alias("_m"))
-    # chunks + 1 parts per event
-    merged = parts.groupBy(key).agg(F.collect_list("_m").alias("_p"))
-    out = {"n_rows": F.aggregate("_p", F.lit(0).cast("long"), lambda s, p: s + p["rows"])}
-    for v in values:
-        out[v] = _merge_moments(F.col("_p"), v)
-    wide = merged.select(key, *[c.alias(n) for n, c in out.items()])
-    return wide.select(
-        key, "n_rows", *[F.col(v)[f].alias(f"{v}_{f}") for v in values for f in ("n", "mean", "m2")]
-    )
+    return based.select(*on, "_block", "_cell", *[run(f).alias(n) for n, f in frames.items()])
 
 
 def _merge_moments(parts: Column, v: str) -> Column:
@@ -268,23 +310,6 @@ def centre(name: str) -> Column:
     return F.when(F.col(f"{name}_n") > 0, F.col(f"{name}_mean"))
 
 
-def chunks_for(series: DataFrame, on: Sequence[str], width: int, us: str, max_rows: int) -> int:
-    """Number of chunks that keeps a (keys, chunk) group near `max_rows` rows.
-
-    One aggregate over the series; only the largest count comes back.
-    """
-    biggest = (
-        series.groupBy(*on, bucket_start(us, width).alias("_b")).count().agg(F.max("count")).first()[0]
-    )
-    need = -(-(biggest or 1) // max_rows)
-    chunks = 1
-    while chunks < need or width % chunks:
-        chunks += 1
-        if chunks > 4096:
-            raise ValueError("no divisor of the width is fine enough")
-    return chunks
-
-
 def first_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the smallest by `order`. Merges map-side, so hot keys are fine."""
     rest = [c for c in df.columns if c not in keys]

@@ -16,13 +16,9 @@ from sensorloom.operators import clean, context, nutrition
 from sensorloom.operators.folds import group_folds, impute_user_median
 from sensorloom.operators.ranks import label_codes
 from sensorloom.operators.response import pre_window, response
-from sensorloom.operators.temporal import chunks_for
 from sensorloom.session import durable
 from sensorloom.sources import io
 
-# Longest group of readings a rolling window should sort.
-MAX_GROUP_ROWS = 1_000_000
-
 SLEEP_NAMES = {
     "sleep_time": "sleep_time_prev", "sleep_quality": "sleep_quality_prev", "tiredness": "tiredness",
     "fasting_hunger": "fasting_hunger", "resting_hr": "resting_hr_morning", "hr_variability": "hrv_morning",
@@ -94,8 +90,7 @@ def _present(df: DataFrame, names: dict[str, str]) -> dict[str, str]:
     return {c: n for c, n in names.items() if c in df.columns}
 
 
-def peak_dataset(base: DataFrame, t: Tables, scale: int = 1, safe: bool = False,
-                 reading_chunks: int = 1) -> DataFrame:
+def peak_dataset(base: DataFrame, t: Tables, scale: int = 1, safe: bool = False) -> DataFrame:
     """Adds the windows before the meal, interactions, rolling and same-day state.
 
     The multi-window activity columns are in `base` already: they come out of the
@@ -103,7 +98,7 @@ def peak_dataset(base: DataFrame, t: Tables, scale: int = 1, safe: bool = False,
     """
     delay = fixed.POST_MIN * C.US_PER_MIN * scale if safe else 0
     pre = pre_window(base, t.readings, scale)
-    rolled = context.rolling_user(pre, t.readings, scale, safe=safe, reading_chunks=reading_chunks)
+    rolled = context.rolling_user(pre, t.readings, scale, safe=safe)
     day = context.same_day(rolled, safe_delay=delay)
     return nutrition.interactions_late(nutrition.interactions_peak(day))
 
@@ -179,11 +174,7 @@ def run_batch(spark: SparkSession, source: str, target: str, scale: int = 1) ->
     tables = from_clean(stored)
     io.write_table(modeling_dataset(tables, scale), f"{target}/modeling_dataset")
     base = io.read_table(spark, f"{target}/modeling_dataset")
-    # rolling windows in groups of bounded length, whatever a user's share of the readings
-    chunks = chunks_for(
-        tables.readings, ["user_id"], fixed.ROLL_READINGS_DAYS * C.US_PER_DAY, "r_us", MAX_GROUP_ROWS
-    )
-    peak = peak_dataset(base, tables, scale, reading_chunks=chunks)
+    peak = peak_dataset(base, tables, scale)
     io.write_table(peak, f"{target}/modeling_dataset_peak")
     names = [*cleaned, "cleaning_log", "row_counts", "user_quality", "modeling_dataset", "modeling_dataset_peak"]
     return {n: io.read_table(spark, f"{target}/{n}") for n in names}

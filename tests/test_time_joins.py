@@ -102,13 +102,13 @@ def test_previous_row_crosses_buckets(make_readings):
                     (1, 800): None, (2, 3): None}
 
 
-@pytest.mark.parametrize("chunks", [1, 2, 6])
-def test_rolling_moments_equal_the_join(make_meals, make_readings, chunks):
+@pytest.mark.parametrize("cells", [1, 7, T.CELLS])
+def test_rolling_moments_equal_the_join(make_meals, make_readings, cells):
     rng = random.Random(5)
     meals = make_meals([(i, rng.randint(1, 2), rng.randint(0, 2000)) for i in range(80)])
     readings = make_readings([(rng.choice([1, 1, 2]), rng.randint(-600, 2000), rng.choice([5, rng.random() * 90])) for _ in range(500)])
     width = 360 * MIN
-    got = T.rolling_moments(meals, readings, "meal_id", ["user_id"], width, ["r_value"], chunks).select(
+    got = T.rolling_moments(meals, readings, "meal_id", ["user_id"], width, ["r_value"], cells=cells).select(
         "meal_id", "n_rows", T.centre("r_value").alias("m"), T.spread("r_value").alias("s")
     )
     want = T.plain_interval_join(meals, readings, ["user_id"], -width, 0, "left").groupBy("meal_id").agg(
@@ -132,10 +132,27 @@ def test_rolling_edges_and_constant_series(make_meals, make_readings):
         assert (r.n_rows, r.m, r.s) == (2, 7.0, 0.0)
 
 
-def test_chunks_follow_the_largest_group(make_readings):
-    series = make_readings([(1, t, 1) for t in range(100)] + [(2, 0, 1)])
-    assert T.chunks_for(series, ["user_id"], 1440 * MIN, "r_us", 1000) == 1
-    assert T.chunks_for(series, ["user_id"], 1440 * MIN, "r_us", 30) == 4
+def test_rolling_windows_of_a_hot_user(spark, make_meals):
+    """One user has 90 % of the rows; no task of the plan holds their window whole, and the moments are those of the rows."""
+    from tests.conftest import US0
+
+    n = 50_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 300 + 2).otherwise(1).alias("user_id"),
+        (F.lit(US0) - F.col("id") * 1_000_000).alias("r_us"),
+        F.when(F.col("id") % 10 == 0, 0.1).otherwise(1e6 + F.col("id") % 13).alias("r_value"),
+    )
+    meals = make_meals([(1, 1, 0), (2, 1, -200), (3, 2, 0.5), (4, 9999, 0)])
+    width = 300 * MIN
+    got = {r.meal_id: r for r in T.rolling_moments(meals, rows, "meal_id", ["user_id"], width, ["r_value"]).collect()}
+    for meal, at in ((1, 0), (2, -200)):
+        own = [1e6 + i % 13 for i in range(n) if i % 10 and at * MIN - width <= -i * 1_000_000 < at * MIN]
+        mean = sum(own) / len(own)
+        assert got[meal].n_rows == len(own)
+        assert got[meal].r_value_mean == pytest.approx(mean, rel=1e-12)
+        assert got[meal].r_value_m2 == pytest.approx(sum((v - mean) ** 2 for v in own), rel=1e-6)
+    assert got[3].r_value_n > 1 and got[3].r_value_mean == 0.1 and got[3].r_value_m2 == 0
+    assert got[4].n_rows == 0
 
 
 def test_first_row_of_key(spark):
