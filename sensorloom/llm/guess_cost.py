@@ -24,7 +24,7 @@ from itertools import accumulate
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from sensorloom.llm.texts import hex_sha256, map_texts
+from sensorloom.llm.texts import hex_sha256, map_texts, ranked
 
 # The base patterns, with the least length of a match (of group 2 where it has one).
 BASE = [
@@ -231,7 +231,8 @@ def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> l
     """The most frequent ASCII words of all texts; `size` rows at most pass the driver."""
     words = docs.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(f"[a-z]{{3,{LONGEST_WORD}}}"), F.lit(0))).alias("word"))
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+    top = ranked(counts, F.desc("n"), F.asc("word")).filter(F.col("rank") <= size)
+    return [r.word for r in sorted(top.collect(), key=lambda r: r["rank"])]
 
 
 def secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", words: list[str] | None = None) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sensorloom.llm.texts import give_back, in_tasks, map_texts, pieces, stored, text_bytes
+from sensorloom.llm.texts import give_back, in_tasks, map_texts, pieces, ranked, stored, text_bytes
 
 BUCKETS = 10_000
 SEPARATOR = b"\x00"  # no word holds it
@@ -131,23 +131,6 @@ def gumbel(key: Column, seed: int) -> Column:
     return F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296))).cast("long")
 
 
-def ranked(rows: DataFrame, *order: Column) -> DataFrame:
-    """`rows` with `rank` 1, 2, 3, ... in `order`, without a sort in one task: partitions of a range-partitioned sort hold
-    consecutive rows, and each begins after the rows of those before it."""
-    names = rows.columns
-    cut = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    cut = stored(cut.select("*", F.monotonically_increasing_id().alias("_at")))
-    part, inside = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = cut.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect()  # the partitions
-    before, begins = 0, []
-    for r in counts:
-        begins.append((r["_part"], before))
-        before += r.n
-    begins = rows.sparkSession.createDataFrame(begins, "_part long, _before long")
-    numbered = cut.withColumn("_part", part).join(F.broadcast(begins), "_part")  # bounded by the number of partitions
-    return numbered.select(*names, (F.col("_before") + inside + 1).alias("rank"))
-
-
 def resampled(
     docs: DataFrame, target: DataFrame, plan: Plan = Plan(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:

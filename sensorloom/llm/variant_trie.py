@@ -58,7 +58,7 @@ def vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", noise:
 
 def coarse_groups(words: int) -> int:
     """Four, and twice as many for every 32-fold vocabulary above 2^24 words."""
-    return min(FINE, 4 << max(0, math.ceil(math.log(max(words, 1) / (1 << 24), 32))))
+    return min(16, 4 << max(0, math.ceil(math.log(max(words, 1) / (1 << 24), 32))))
 
 
 def levels(groups: int) -> np.ndarray:
