@@ -34,6 +34,9 @@ HIGH_PEAK = 160.0
 RECOVERY_MARGIN = 5.0
 SINCE_DATE = "2020-01-01"
 ITEM_LIMITS = {"calories": 3000.0, "protein": 150.0, "fat": 200.0, "carbs": 500.0, "amount": 2000.0}
+ACTIVITY_LIMIT = 300.0
+MORNING_BANDS = {"resting_hr": (30.0, 120.0), "glucose_basal": (40.0, 300.0)}
+MORNING_LIMITS = {"sleep_time": 840.0, "hr_variability": 300.0}
 ITEM_NON_NEGATIVE = ("protein", "fat", "carbs", "calories")
 QUALITY_MIN = {"readings": 500, "meals": 20, "sport": 5, "questionnaire": 5}
 FAST_BELOW, LATE_ABOVE = 45.0, 75.0

@@ -21,6 +21,24 @@ class Rule:
     always: bool = True  # log it even without a hit
 
 
+# What a rule does with a hit, and why there is the rule.
+DROP_ROW, DROP_VALUE, NOTE = "row goes", "value becomes null", "noted"
+REASONS = {
+    "range": "outside the values kept",
+    "sign": "amounts begin at 0",
+    "zero": "0 stands for no answer",
+    "day": "before the first day kept, or no time",
+    "time": "texts of all known forms are read",
+    "name": "one name for all its aliases",
+    "item": "no item has this key",
+}
+
+
+def said(column: str, test: str, effect: str) -> str:
+    """Name of a rule, from its column, its test and its effect."""
+    return f"{column} {test}: {effect}"
+
+
 def audit(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
     """One pass over the table, one log row per rule."""
     counts = df.agg(
@@ -62,8 +80,8 @@ def parse_rules(column: str = "timestamp") -> list[Rule]:
     """Rules to run on the raw text column."""
     ok = C.parse_timestamp(column).isNotNull()
     return [
-        Rule("timestamp parsed", ok, "offsets such as +00"),
-        Rule("timestamp not readable, set to null", ~ok, "unknown format", always=False),
+        Rule(said("time", "read", NOTE), ok, REASONS["time"]),
+        Rule(said("time", "not read", DROP_VALUE), ~ok, REASONS["time"], always=False),
     ]
 
 
@@ -88,9 +106,9 @@ def reading_rules(raw: DataFrame, value: str = "value_decimal", ts: str = "times
     start = F.lit(fixed.SINCE_DATE).cast(raw.schema[ts].dataType)
     old = v.between(fixed.VALUE_LO, fixed.VALUE_HI) & ((F.col(ts) < start) | F.col(ts).isNull())
     return [
-        Rule("readings < 40 excluded", v < fixed.VALUE_LO, "severe low or sensor error"),
-        Rule("readings > 400 excluded", v > fixed.VALUE_HI, "crisis or sensor error"),
-        Rule("before 2020 or no time excluded", old, "outside the study", always=False),
+        Rule(said("reading", f"< {fixed.VALUE_LO:g}", DROP_ROW), v < fixed.VALUE_LO, REASONS["range"]),
+        Rule(said("reading", f"> {fixed.VALUE_HI:g}", DROP_ROW), v > fixed.VALUE_HI, REASONS["range"]),
+        Rule(said("time", "too early or missing", DROP_ROW), old, REASONS["day"], always=False),
     ]
 
 
@@ -109,11 +127,11 @@ def clean_items(raw: DataFrame) -> DataFrame:
 
 def item_rules() -> list[Rule]:
     rules = [
-        Rule(f"{c} negative set to null", F.col(c) < 0, "platform error code", always=False)
+        Rule(said(c, "< 0", DROP_VALUE), F.col(c) < 0, REASONS["sign"], always=False)
         for c in fixed.ITEM_NON_NEGATIVE
     ]
     rules += [
-        Rule(f"{c} > {int(limit)} set to null", F.col(c) > limit, "impossible for one item", always=False)
+        Rule(said(c, f"> {limit:g}", DROP_VALUE), F.col(c) > limit, REASONS["range"], always=False)
         for c, limit in fixed.ITEM_LIMITS.items()
     ]
     return rules
@@ -130,7 +148,7 @@ def flag_exists(df: DataFrame, other: DataFrame, key: str, other_key: str, flag:
 
 
 def flag_rules(flag: str = "has_items") -> list[Rule]:
-    return [Rule("meals without items flagged", ~F.col(flag), "no food recorded")]
+    return [Rule(said("meal", "without items", NOTE), ~F.col(flag), REASONS["item"])]
 
 
 # --- activity ---------------------------------------------------------------------
@@ -140,7 +158,7 @@ def clean_activity(raw: DataFrame, ts: str = "timestamp", type_col: str = "type"
     duration = F.nullif("duration", F.lit(0.0))
     named = kept.withColumns(
         {
-            "duration": C.null_if(duration, duration > 300),
+            "duration": C.null_if(duration, duration > fixed.ACTIVITY_LIMIT),
             "type_original": F.col(type_col),
             "type_normalized": C.activity_name(type_col),
         }
@@ -153,10 +171,10 @@ def activity_rules(raw: DataFrame, ts: str = "timestamp", type_col: str = "type"
     start = F.lit(fixed.SINCE_DATE).cast(raw.schema[ts].dataType)
     old = (F.col(ts) < start) | F.col(ts).isNull()
     return [
-        Rule("duration = 0 set to null", d == 0, "session without duration"),
-        Rule("duration > 300 set to null", d > 300, "over five hours is an entry error"),
-        Rule("before 2020 or no time excluded", old, "wrong time", always=False),
-        Rule("types normalised", ~old & F.col(type_col).isNotNull(), "one name per activity"),
+        Rule(said("duration", "= 0", DROP_VALUE), d == 0, REASONS["zero"]),
+        Rule(said("duration", f"> {fixed.ACTIVITY_LIMIT:g}", DROP_VALUE), d > fixed.ACTIVITY_LIMIT, REASONS["range"]),
+        Rule(said("time", "too early or missing", DROP_ROW), old, REASONS["day"], always=False),
+        Rule(said("type", "given its common name", NOTE), ~old & F.col(type_col).isNotNull(), REASONS["name"]),
     ]
 
 
@@ -169,28 +187,19 @@ def two_sided(column: str, lo: float, hi: float) -> Column:
 
 
 def clean_morning(raw: DataFrame) -> DataFrame:
-    def tidy(column: str, bad: Column) -> Column:
-        return C.null_if(column, bad | (F.col(column) == 0))
-
-    return raw.withColumns(
-        {
-            "resting_hr": tidy("resting_hr", two_sided("resting_hr", 30, 120)),
-            "glucose_basal": tidy("glucose_basal", two_sided("glucose_basal", 40, 300)),
-            "sleep_time": C.null_if("sleep_time", F.col("sleep_time") > 840),
-            "hr_variability": C.null_if("hr_variability", F.col("hr_variability") > 300),
-        }
-    )
+    """Answers outside their limits become null; where there is a lower limit, 0 does as well."""
+    tidy = {c: C.null_if(c, two_sided(c, lo, hi) | (F.col(c) == 0)) for c, (lo, hi) in fixed.MORNING_BANDS.items()}
+    return raw.withColumns(tidy | {c: C.null_if(c, F.col(c) > hi) for c, hi in fixed.MORNING_LIMITS.items()})
 
 
 def morning_rules() -> list[Rule]:
-    return [
-        Rule("resting_hr = 0 set to null", F.col("resting_hr") == 0, "impossible"),
-        Rule("resting_hr extreme set to null", two_sided("resting_hr", 30, 120), "< 30 or > 120"),
-        Rule("glucose_basal = 0 set to null", F.col("glucose_basal") == 0, "impossible"),
-        Rule("glucose_basal extreme set to null", two_sided("glucose_basal", 40, 300), "< 40 or > 300"),
-        Rule("sleep_time > 840 set to null", F.col("sleep_time") > 840, "over fourteen hours"),
-        Rule("hr_variability > 300 set to null", F.col("hr_variability") > 300, "extreme"),
-    ]
+    rules = []
+    for c, (lo, hi) in fixed.MORNING_BANDS.items():
+        rules.append(Rule(said(c, "= 0", DROP_VALUE), F.col(c) == 0, REASONS["zero"]))
+        rules.append(Rule(said(c, f"not in {lo:g} to {hi:g}", DROP_VALUE), two_sided(c, lo, hi), REASONS["range"]))
+    for c, hi in fixed.MORNING_LIMITS.items():
+        rules.append(Rule(said(c, f"> {hi:g}", DROP_VALUE), F.col(c) > hi, REASONS["range"]))
+    return rules
 
 
 # --- users --------------------------------------------------------------------------

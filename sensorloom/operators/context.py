@@ -12,6 +12,7 @@ from sensorloom.functions.columns import US_PER_DAY, US_PER_HOUR, US_PER_MIN
 from sensorloom.operators.ranks import exact_quantiles
 from sensorloom.operators.response import time_in_range
 from sensorloom.operators.temporal import centre, first_row, interval_agg, rolling_moments, spread
+from sensorloom.session import durable
 
 
 def prior_activity(events: DataFrame, sport: DataFrame, scale: int = 1, key: str = "meal_id",
@@ -128,39 +129,47 @@ def user_stats(readings: DataFrame, user: str = "user_id", value: str = "r_value
     )
 
 
-def rolling_user(events: DataFrame, readings: DataFrame, scale: int = 1, key: str = "meal_id",
-                 user: str = "user_id", safe: bool = False) -> DataFrame:
-    """Rolling response of earlier events (30 d) and rolling readings (14 d).
+def rolling_response(events: DataFrame, scale: int = 1, key: str = "meal_id", user: str = "user_id",
+                     safe: bool = False) -> DataFrame:
+    """Key and rolling response of earlier events (30 d).
 
     `safe` admits an earlier event only once its response window has passed.
     """
     # [t - 30 d, t), or up to t - response window for `safe`
     delay = fixed.POST_MIN * US_PER_MIN * scale if safe else 1
     past = events.select(user, F.col("us").alias("r_us"), "peak_value", "time_to_peak_min")
-    meals = rolling_moments(
+    found = rolling_moments(
         events.select(key, user, (F.col("us") - delay + 1).alias("us")),
-        past, key, [user], fixed.ROLL_MEALS_DAYS * US_PER_DAY - delay + 1,
-        ["peak_value", "time_to_peak_min"],
-    )
-    series = rolling_moments(
-        events, readings.select(user, "r_us", "r_value"), key, [user],
-        fixed.ROLL_READINGS_DAYS * US_PER_DAY, ["r_value"],
+        past, key, [user], fixed.ROLL_MEALS_DAYS * US_PER_DAY - delay + 1, ["peak_value", "time_to_peak_min"],
     )
-
     enough = F.col("n_rows") >= fixed.ROLL_MEALS_MIN
-    m = meals.select(
+    return found.select(
         key,
         F.when(enough, centre("peak_value")).alias("user_peak_mean_roll"),
         F.when(enough, spread("peak_value")).alias("user_peak_std_roll"),
         F.when(enough, centre("time_to_peak_min")).alias("user_ttp_mean_roll"),
     )
+
+
+def rolling_readings(events: DataFrame, readings: DataFrame, key: str = "meal_id", user: str = "user_id") -> DataFrame:
+    """Key and rolling readings (14 d) before each event."""
+    found = rolling_moments(
+        events, readings.select(user, "r_us", "r_value"), key, [user], fixed.ROLL_READINGS_DAYS * US_PER_DAY, ["r_value"]
+    )
     enough = F.col("n_rows") >= fixed.ROLL_READINGS_MIN
-    r = series.select(
+    return found.select(
         key,
         F.when(enough, centre("r_value")).alias("user_glucose_mean_roll"),
         F.when(enough, spread("r_value")).alias("user_glucose_std_roll"),
     )
-    return events.join(m, key, "left").join(r, key, "left")
+
+
+def rolling_user(events: DataFrame, readings: DataFrame, scale: int = 1, key: str = "meal_id",
+                 user: str = "user_id", safe: bool = False) -> DataFrame:
+    """Both rolling states beside the events' own columns."""
+    events = durable(events)  # read by both windows and the result
+    meals = rolling_response(events, scale, key, user, safe)
+    return events.join(meals, key, "left").join(rolling_readings(events, readings, key, user), key, "left")
 
 
 def same_day(events: DataFrame, user: str = "user_id", ts: str = "ts", carbs: str = "total_carbs",

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorloom.functions.columns import bucket_start
+from sensorloom.session import durable
 
 CLOSED = ("both", "left", "right", "neither")
 
@@ -190,15 +191,18 @@ def rolling_moments(
         )
     )
     place = [*on, "_block", "_cell"]
-    up = Window.partitionBy(*place).orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
-    down = Window.partitionBy(*place).orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, 0)
-    outer = rows.select(
+    cell = Window.partitionBy(*place)
+    up = cell.orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
+    down = cell.orderBy(F.desc("_us")).rangeBetween(Window.unboundedPreceding, 0)
+    # of each cell, its moments once, and the probes with theirs; stored, as both are read from here
+    found = durable(rows.select(
         *place, "_key", "_part", _moments(values, lambda c: c.over(up)).alias("_up"),
-        _moments(values, lambda c: c.over(down)).alias("_down"),
-    ).where(F.col("_part").isNotNull())
-    inner = _running(rows.groupBy(*place).agg(_moments(values, lambda c: c).alias("_m")), on, values)
+        _moments(values, lambda c: c.over(down)).alias("_down"), _moments(values, lambda c: c.over(cell)).alias("_m"),
+        (F.row_number().over(cell.orderBy("_us")) == 1).alias("_one"),
+    ).where(F.col("_one") | F.col("_part").isNotNull()))
+    inner = _running(found.where("_one").select(*place, "_m"), on, values)
     first = F.col("_part") == "start"
-    parts = outer.join(inner, place).select(
+    parts = found.where(F.col("_part").isNotNull()).drop("_m").join(inner, place).select(
         F.col("_key").alias(key),
         F.explode(F.array(F.when(first, F.col("_up")).otherwise(F.col("_down")),
                           F.when(first, F.col("_before")).otherwise(F.col("_after")))).alias("_m"),
@@ -257,7 +261,8 @@ def _running(cells: DataFrame, on: Sequence[str], values: Sequence[str]) -> Data
     )
     frames = {
         "_before": block.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1),
-        "_after": block.orderBy("_cell").rowsBetween(1, Window.unboundedFollowing),
+        # from the other end, since a frame that shrinks is summed anew for each row
+        "_after": block.orderBy(F.desc("_cell")).rowsBetween(Window.unboundedPreceding, -1),
     }
 
     def run(frame) -> Column:

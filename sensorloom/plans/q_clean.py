@@ -263,8 +263,8 @@ def audit_sql(source: str, table: str, rules: list[tuple[str, str, str, bool]])
     "a01_audit_items",
     audit_sql(
         ctes("raw_items") + "SELECT * FROM raw_items", "meal_item",
-        [(f"{c} negative set to null", f"{c} < 0", "platform error code", False) for c in fixed.ITEM_NON_NEGATIVE]
-        + [(f"{c} > {int(t)} set to null", f"{c} > {t}", "impossible for one item", False) for c, t in fixed.ITEM_LIMITS.items()],
+        [(L.said(c, "< 0", L.DROP_VALUE), f"{c} < 0", L.REASONS["sign"], False) for c in fixed.ITEM_NON_NEGATIVE]
+        + [(L.said(c, f"> {t:g}", L.DROP_VALUE), f"{c} > {t}", L.REASONS["range"], False) for c, t in fixed.ITEM_LIMITS.items()],
     ),
 )
 def audit_items(spark, sf_dir):
@@ -275,8 +275,8 @@ def audit_items(spark, sf_dir):
     "a01_audit_times",
     audit_sql(
         TIMES, "glucose",
-        [("timestamp parsed", "t IS NOT NULL", "offsets such as +00", True),
-         ("timestamp not readable, set to null", "t IS NULL", "unknown format", False)],
+        [("time read: noted", "t IS NOT NULL", L.REASONS["time"], True),
+         ("time not read: value becomes null", "t IS NULL", L.REASONS["time"], False)],
     ),
 )
 def audit_times(spark, sf_dir):
@@ -287,10 +287,10 @@ def audit_times(spark, sf_dir):
     "a01_audit_readings",
     audit_sql(
         TIMES, "glucose",
-        [("readings < 40 excluded", "value_decimal < 40", "severe low or sensor error", True),
-         ("readings > 400 excluded", "value_decimal > 400", "crisis or sensor error", True),
-         ("before 2020 or no time excluded", "value_decimal BETWEEN 40 AND 400 AND (t IS NULL OR t < DATE '2020-01-01')",
-          "outside the study", False)],
+        [("reading < 40: row goes", "value_decimal < 40", L.REASONS["range"], True),
+         ("reading > 400: row goes", "value_decimal > 400", L.REASONS["range"], True),
+         ("time too early or missing: row goes", "value_decimal BETWEEN 40 AND 400 AND (t IS NULL OR t < DATE '2020-01-01')",
+          L.REASONS["day"], False)],
     ),
 )
 def audit_readings(spark, sf_dir):
@@ -302,9 +302,9 @@ def audit_readings(spark, sf_dir):
     "a01_audit_activity",
     audit_sql(
         SPORT, "sport",
-        [("duration = 0 set to null", "duration = 0", "session without duration", True),
-         ("duration > 300 set to null", "duration > 300", "over five hours is an entry error", True),
-         ("types normalised", "type IS NOT NULL", "one name per activity", True)],
+        [("duration = 0: value becomes null", "duration = 0", L.REASONS["zero"], True),
+         ("duration > 300: value becomes null", "duration > 300", L.REASONS["range"], True),
+         ("type given its common name: noted", "type IS NOT NULL", L.REASONS["name"], True)],
     ),
 )
 def audit_activity(spark, sf_dir):
@@ -316,12 +316,12 @@ def audit_activity(spark, sf_dir):
     "a01_audit_morning",
     audit_sql(
         MORNING, "quest_morning",
-        [("resting_hr = 0 set to null", "resting_hr = 0", "impossible", True),
-         ("resting_hr extreme set to null", "resting_hr > 120 OR (resting_hr > 0 AND resting_hr < 30)", "< 30 or > 120", True),
-         ("glucose_basal = 0 set to null", "glucose_basal = 0", "impossible", True),
-         ("glucose_basal extreme set to null", "glucose_basal > 300 OR (glucose_basal > 0 AND glucose_basal < 40)", "< 40 or > 300", True),
-         ("sleep_time > 840 set to null", "sleep_time > 840", "over fourteen hours", True),
-         ("hr_variability > 300 set to null", "hr_variability > 300", "extreme", True)],
+        [("resting_hr = 0: value becomes null", "resting_hr = 0", L.REASONS["zero"], True),
+         ("resting_hr not in 30 to 120: value becomes null", "resting_hr > 120 OR (resting_hr > 0 AND resting_hr < 30)", L.REASONS["range"], True),
+         ("glucose_basal = 0: value becomes null", "glucose_basal = 0", L.REASONS["zero"], True),
+         ("glucose_basal not in 40 to 300: value becomes null", "glucose_basal > 300 OR (glucose_basal > 0 AND glucose_basal < 40)", L.REASONS["range"], True),
+         ("sleep_time > 840: value becomes null", "sleep_time > 840", L.REASONS["range"], True),
+         ("hr_variability > 300: value becomes null", "hr_variability > 300", L.REASONS["range"], True)],
     ),
 )
 def audit_morning(spark, sf_dir):
@@ -330,7 +330,7 @@ def audit_morning(spark, sf_dir):
 
 @query(
     "a01_audit_meals",
-    audit_sql(FLAGGED, "meal", [("meals without items flagged", "NOT has_items", "no food recorded", True)]),
+    audit_sql(FLAGGED, "meal", [("meal without items: noted", "NOT has_items", L.REASONS["item"], True)]),
 )
 def audit_meals(spark, sf_dir):
     return L.audit(flagged(spark, sf_dir), "meal", L.flag_rules())

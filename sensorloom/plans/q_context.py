@@ -10,6 +10,7 @@ from sensorloom.operators.ranks import label_codes
 from sensorloom.operators.temporal import first_row
 from sensorloom.plans.q_response import PARTS, both, r6, responses
 from sensorloom.plans.registry import query
+from sensorloom.session import durable
 from sensorloom.plans.sql_text import HOUR, ctes, r
 from sensorloom.sources import roles
 
@@ -132,18 +133,19 @@ def digits(column: str) -> int:
     return 9 if column in ("user_peak_mean_roll", "user_glucose_mean_roll") else 6
 
 
-def _roll(name, *cols):
+def _roll(name, roll, *cols):
     sql = ROLL + "SELECT " + ", ".join(["meal_id", *[f"{r(c, digits(c))} AS {c}" for c in cols]]) + " FROM roll"
 
     @query(name, sql)
     def run(spark, sf_dir):
         _, readings = both(spark, sf_dir)
-        rolled = X.rolling_user(responses(spark, sf_dir), readings, SCALE)
-        return rolled.select("meal_id", *[(F.round(c, digits(c)) + F.lit(0.0)).alias(c) for c in cols])
+        return roll(durable(responses(spark, sf_dir)), readings).select(
+            "meal_id", *[(F.round(c, digits(c)) + F.lit(0.0)).alias(c) for c in cols]
+        )
 
 
-_roll("w04_rolling_response", "user_peak_mean_roll", "user_peak_std_roll", "user_ttp_mean_roll")
-_roll("w05_rolling_readings", "user_glucose_mean_roll", "user_glucose_std_roll")
+_roll("w04_rolling_response", lambda events, readings: X.rolling_response(events, SCALE), "user_peak_mean_roll", "user_peak_std_roll", "user_ttp_mean_roll")
+_roll("w05_rolling_readings", X.rolling_readings, "user_glucose_mean_roll", "user_glucose_std_roll")
 
 
 @query(

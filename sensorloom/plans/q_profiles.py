@@ -149,7 +149,7 @@ def medians(spark, sf_dir):
 )
 def quantiles(spark, sf_dir):
     e = roles.table(spark, sf_dir, "events")
-    q = exact_quantiles(e, ["value"], [0.05, 0.25, 0.5, 0.75, 0.95], ["event_type"], levels=2)
+    q = exact_quantiles(e, ["value"], [0.05, 0.25, 0.5, 0.75, 0.95], ["event_type"])
     return r6(q, "value").select("event_type", "q", "n", "value")
 
 

@@ -57,6 +57,13 @@ ABSENT = {
 }
 
 
+# all columns of the peak feature table, under their names or as in FEATURE_SQL
+JOINED = (
+    " FROM ds JOIN (SELECT * EXCLUDE (user_id, ts, us, carbs, meal_type) FROM prew) p USING (meal_id)"
+    " LEFT JOIN rm USING (meal_id) LEFT JOIN rg USING (meal_id) JOIN sd USING (meal_id)"
+)
+
+
 def features(production: bool = True, late: bool = False) -> list[str]:
     """The feature list of `pipeline.feature_columns` on the given tables."""
     pre = fixed.PRE_BEST_FEATURES if production else fixed.PRE_FEATURES
@@ -73,8 +80,7 @@ def table_parts(columns: list[str], target: str, where: str) -> dict[str, str]:
         **PEAK_PARTS,
         "ft": "SELECT ds.meal_id, ds.user_id, ds.ts, ds.peak_value, ds.time_to_peak_min, ds.iauc, "
         + ", ".join(f"CAST({FEATURE_SQL.get(c, c)} AS DOUBLE) AS f_{c}" for c in columns)
-        + " FROM ds JOIN (SELECT * EXCLUDE (user_id, ts, us, carbs, meal_type) FROM prew) p USING (meal_id)"
-        " LEFT JOIN rm USING (meal_id) LEFT JOIN rg USING (meal_id) JOIN sd USING (meal_id)",
+        + JOINED,
         "fl": f"SELECT * FROM ft WHERE {where}",
         "u1": "SELECT meal_id, user_id, ts, " + f"CAST({target} AS DOUBLE) AS y, "
         + ", ".join(f"coalesce(f_{c}, median(f_{c}) OVER (PARTITION BY user_id)) AS f_{c}" for c in columns) + " FROM fl",

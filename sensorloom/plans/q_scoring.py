@@ -9,7 +9,9 @@ from sensorloom.functions import fixed
 from sensorloom.functions.curve import curve_points
 from sensorloom.operators.profiles import default_row
 from sensorloom.operators.scoring import feature_rows
+from sensorloom.plans import q_ridge as Q
 from sensorloom.plans.q_metrics import PRED, predictions
+from sensorloom.plans.q_models import dataset
 from sensorloom.plans.q_nutrition import nutrition
 from sensorloom.plans.q_response import PARTS, r6, responses
 from sensorloom.plans.registry import query
@@ -53,7 +55,9 @@ REQ = {
     + " ".join(f"WHEN '{p}' THEN {fixed.MEAL_PERIOD_HOURS[n]}" for p, n in PRIORITY_PERIOD.items())
     + " END AS hr, CASE o_orderpriority "
     + " ".join(f"WHEN '{p}' THEN {fixed.MEAL_PERIOD_CODES[n]}" for p, n in PRIORITY_PERIOD.items())
-    + " END AS pc, greatest(total_protein * 4 + total_fat * 9 + total_carbs * 4, 1.0) AS kcal"
+    + " END AS pc, CASE o_orderpriority "
+    + " ".join(f"WHEN '{p}' THEN {fixed.MEAL_TYPE_CODES[n]}" for p, n in PRIORITY_PERIOD.items())
+    + " END AS tc, (o_custkey % 5) * 15 AS sport_6h, greatest(total_protein * 4 + total_fat * 9 + total_carbs * 4, 1.0) AS kcal"
     " FROM nutr n JOIN orders ON o_orderkey = meal_id",
 }
 WANTED = {
@@ -67,38 +71,78 @@ WANTED = {
 }
 
 
-@query(
-    "e23_feature_rows",
-    ctes("readings", "meals", extra={**PARTS, **REQ}) + "SELECT meal_id, "
-    + ", ".join(f"{r(e)} AS {n}" for n, e in WANTED.items()) + " FROM req",
-)
-def features(spark, sf_dir):
-    from sensorloom.operators.ranks import wide_medians
+# columns of the feature table that are no feature of the production models
+OTHER_NUMERIC = [
+    *fixed.TARGETS, *fixed.USER_FEATURES, "n_sugar_added", "cgm_slope_60m", "cgm_delta_60m", "cgm_window_used",
+]
+FEATURES = Q.features(late=True)
+NUMERIC = list(dict.fromkeys([*OTHER_NUMERIC, *FEATURES]))
+# stand-ins take the place of these medians
+STOOD_IN = {c: (other, fixed.STAND_INS[c]) for c, other in fixed.STAND_IN_OF.items()}
+
+
+def default_parts() -> dict[str, str]:
+    """`dr`: one row with the default of each numeric column."""
+    ratio = {"fat_carb_ratio_meal": "total_fat / nullif(total_carbs, 0)"}
+    columns = {c: Q.FEATURE_SQL.get(c, c) for c in NUMERIC} | {"n_sugar_added": "0"} | ratio
+    parts = {n: body for n, body in Q.PEAK_PARTS.items() if n != "pk"}
+    parts["nums"] = "SELECT " + ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in columns.items()) + Q.JOINED
+    parts["dr"] = "SELECT " + ", ".join(
+        f"coalesce(median({STOOD_IN[c][0]}), {STOOD_IN[c][1]}) AS {c}" if c in STOOD_IN else f"median({c}) AS {c}" for c in NUMERIC
+    ) + " FROM nums"
+    return parts
+
+
+DEFAULTS = default_parts()
+# what a request says or implies
+STATED = {
+    "glucose_preprandial": "g0", "total_calories": "kcal", "total_protein": "protein", "total_fat": "fat", "total_carbs": "carbs",
+    "total_fibre": "fibre", "n_items": "req.n_items", "n_high_gi": "req.n_high_gi", "n_ultraprocessed": "req.n_ultraprocessed",
+    "avg_saturated_fat": "req.avg_saturated_fat", "pct_cal_carbs": "carbs * 4 / kcal * 100", "pct_cal_protein": "protein * 4 / kcal * 100",
+    "pct_cal_fat": "fat * 9 / kcal * 100", "fibre_carb_ratio": "CASE WHEN carbs > 0 THEN fibre / carbs ELSE 0 END",
+    "net_carbs": "greatest(carbs - fibre, 0)", "pct_high_gi_items": "coalesce(req.n_high_gi / nullif(req.n_items, 0), 0)",
+    "fat_delay_score": "fat * carbs", "effective_gi_score": "req.n_high_gi * (1 - fat * 9 / kcal)",
+    "carbs_per_item": "coalesce(carbs / nullif(req.n_items, 0), carbs)", "hour_of_day": "hr", "meal_period_enc": "pc", "meal_type_enc": "tc",
+    **{f"cgm_slope_{w}": "slope" for w in ("best", "30m", "90m")},
+    **{f"cgm_delta_{w}": f"slope * {m}" for w, m in (("best", 60), ("30m", 30), ("90m", 90))},
+    "cgm_tir_pre": "CASE WHEN g0 BETWEEN 70 AND 140 THEN 100 ELSE 0 END", "cgm_pct_above_target": "CASE WHEN g0 > 140 THEN 100 ELSE 0 END",
+    "n_readings_pre_60m": "12", "sport_2h_duration": "sport_2h", "sport_6h_duration": "sport_6h", "sport_intensity_score": "si",
+    "sport_2h_insulin_proxy": "sport_2h * si", "fat_carb_ratio_meal": "CASE WHEN carbs > 0 THEN fat / carbs ELSE 0 END",
+    "gi_fiber_interaction": "req.n_high_gi * (1 - least(greatest(coalesce(CASE WHEN carbs > 0 THEN fibre / carbs END, 0), 0), 1))",
+}
+WANTED = [*FEATURES, "glucose_2h", "recovery_time_min", "never_seen"]
 
-    defaults = wide_medians(responses(spark, sf_dir), ["glucose_2h", "recovery_time_min"])
-    return r6(feature_rows(requests(spark, sf_dir), defaults, list(WANTED)), *WANTED)
 
+def places(name: str) -> int:
+    """A quotient by 8 or 16 items ends on a 5 at the seventh digit or so."""
+    return 9 if name == "carbs_per_item" else 6
 
-DEFAULTS = {
-    "peak_value": "median(peak_value)", "carbs": "median(carbs)", "day_of_week": "3", "n_readings_pre_60m": "12",
-    "cgm_slope_best": "0.007", "meal_period_enc": "median(code)",
-}
-PERIOD = (
-    "CASE WHEN hour(ts) BETWEEN 5 AND 9 THEN 'breakfast' WHEN hour(ts) BETWEEN 10 AND 12 THEN 'mid_morning' WHEN hour(ts)"
-    " BETWEEN 13 AND 15 THEN 'lunch' WHEN hour(ts) BETWEEN 16 AND 18 THEN 'snack' WHEN hour(ts) BETWEEN 19 AND 22 THEN"
-    " 'dinner' ELSE 'night' END"
+
+def wanted_sql(name: str) -> str:
+    if name in STATED:
+        return f"coalesce({STATED[name]}, 0)"
+    return f"coalesce((SELECT {name} FROM dr), {fixed.STAND_INS.get(name, 0) if name in fixed.SPREADS else 0})" if name in NUMERIC else "0"
+
+
+@query(
+    "e23_feature_rows",
+    ctes("readings", "meals", "sport", "answers", "nutrition", extra={**DEFAULTS, **{n: REQ[n] for n in ("req",)}})
+    + "SELECT meal_id, " + ", ".join(f"{r(wanted_sql(n), places(n))} AS {n}" for n in WANTED) + " FROM req",
 )
+def features(spark, sf_dir):
+    """The whole feature list, for each request."""
+    rows = feature_rows(requests(spark, sf_dir), default_row(dataset(spark, sf_dir)), WANTED)
+    return rows.withColumns({c: F.round(c, places(c)) + F.lit(0.0) for c in WANTED})
 
 
 @query(
     "a28_default_row",
-    ctes("readings", "meals", extra=PARTS) + f", c AS (SELECT *, dense_rank() OVER (ORDER BY {PERIOD}) - 1 AS code FROM resp)"
-    " SELECT " + ", ".join(f"{r(e)} AS {n}" for n, e in DEFAULTS.items()) + " FROM c",
+    ctes("readings", "meals", "sport", "answers", "nutrition", extra=DEFAULTS)
+    + "SELECT " + ", ".join(f"{r(c)} AS {c}" for c in NUMERIC) + " FROM dr",
 )
 def defaults(spark, sf_dir):
-    df = responses(spark, sf_dir).withColumn("meal_period", C.day_period(F.hour("ts")))
-    row = default_row(df, ["peak_value", "carbs"], ["meal_period"])
-    return r6(row, *DEFAULTS).select(*DEFAULTS)
+    """Every numeric column of the feature table, and the codes of its categories."""
+    return r6(default_row(dataset(spark, sf_dir)), *NUMERIC).select(*NUMERIC)
 
 
 @query(

@@ -142,8 +142,8 @@ def test_item_cleaning(spark):
     assert (a.amount, a.calories, a.protein, a.fat, a.carbs) == (None, None, None, 200, None)
     assert (b.amount, b.calories, b.protein, b.fat, b.carbs) == (2000, 3000, 150, None, None)
     log = {r.action: r.n_affected for r in clean.audit(it, "meal_item", clean.item_rules()).collect()}
-    assert log == {"calories negative set to null": 1, "protein > 150 set to null": 1, "fat > 200 set to null": 1,
-                   "carbs > 500 set to null": 1, "amount > 2000 set to null": 1}
+    assert log == {"calories < 0: value becomes null": 1, "protein > 150: value becomes null": 1, "fat > 200: value becomes null": 1,
+                   "carbs > 500: value becomes null": 1, "amount > 2000: value becomes null": 1}
 
 
 def test_bad_time_texts(spark):
@@ -154,7 +154,7 @@ def test_bad_time_texts(spark):
     got = [C_ts(r) for r in clean.parse_times(df).select(C.micros("timestamp").alias("us")).collect()]
     assert got[0] == got[1] == got[2] is not None and got[3:] == [None] * 3
     log = {r.action: r.n_affected for r in clean.audit(df, "t", clean.parse_rules()).collect()}
-    assert log == {"timestamp parsed": 3, "timestamp not readable, set to null": 3}
+    assert log == {"time read: noted": 3, "time not read: value becomes null": 3}
 
 
 def C_ts(r):
@@ -204,8 +204,9 @@ def test_impute_chain(spark):
     assert {r.x for r in folds.impute_user_median(empty, ["x"]).collect()} == {0.0}
 
 
-@pytest.mark.parametrize("levels", [1, 2, 3])
-def test_exact_quantiles(spark, levels):
+@pytest.mark.parametrize("settings", [{}, {"sketch": 16}, {"sketch": 16, "slack": 0.0}, {"sketch": 16, "slack": 0.2, "most": 9}])
+def test_exact_quantiles(spark, settings):
+    """From the sketch alone, from brackets, from brackets that miss, from brackets cut into bins."""
     import numpy as np
 
     rng = np.random.default_rng(1)
@@ -214,10 +215,12 @@ def test_exact_quantiles(spark, levels):
     b = rng.integers(0, 5, 80).astype(float)
     df = spark.createDataFrame([("a", float(v)) for v in a] + [("b", float(v)) for v in b] + [("b", None)], "g string, v double")
     qs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {(r.g, r.q): r.value for r in ranks.exact_quantiles(df, ["v"], qs, ["g"], bins=16, levels=levels).collect()}
+    got = {(r.g, r.q): r.value for r in ranks.exact_quantiles(df, ["v"], qs, ["g"], **settings).collect()}
     for g, x in (("a", a), ("b", b)):
         for q in qs:
             assert got[g, q] == pytest.approx(np.quantile(x, q), rel=1e-12)
+    whole = ranks.exact_quantiles(df.withColumn("w", F.lit(None).cast("double")), ["v", "w"], qs, **settings)
+    assert {(r.feature, r.q): pytest.approx(r.value, rel=1e-12) for r in whole.collect()} == {("v", q): np.quantile(np.concatenate([a, b]), q) for q in qs}
 
 
 def test_hash_rank_is_a_row_number(spark):
@@ -299,3 +302,10 @@ def test_window_scale_moves_the_edges(make_meals, make_readings):
     got = pre_window(make_meals([(1, 1, 0)]), make_readings([(1, -60 * 60, 1), (1, -60, 3)]), scale=60).collect()[0]
     assert got.n_readings_pre_60m == 2 and got.cgm_slope_60m == pytest.approx(2 / 59)
     assert MIN == 60_000_000
+
+
+def test_label_codes_over_many_partitions(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 7 > 0, F.concat(F.lit("l"), F.col("id") % 700)).alias("label"), "id").repartition(9)
+    got = {(r.label or "unknown"): r.code for r in ranks.label_codes(df, "label", "code").collect()}
+    assert got == {label: i for i, label in enumerate(sorted(got))} and len(got) == 601
+    assert ranks.label_codes(df.limit(0), "label", "code").count() == 0

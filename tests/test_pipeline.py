@@ -56,10 +56,10 @@ def test_batch_from_csv(spark, source, tmp_path):
     assert out["readings"].count() == 1800
     assert out["meals"].where("not has_items").count() == 1
     log = {(r.table, r.action): r.n_affected for r in out["cleaning_log"].collect()}
-    assert log["glucose", "timestamp not readable, set to null"] == 1
-    assert log["glucose", "readings < 40 excluded"] == log["glucose", "readings > 400 excluded"] == 1
-    assert log["glucose", "before 2020 or no time excluded"] == 2
-    assert log["meal_item", "carbs negative set to null"] == 1
+    assert log["glucose", "time not read: value becomes null"] == 1
+    assert log["glucose", "reading < 40: row goes"] == log["glucose", "reading > 400: row goes"] == 1
+    assert log["glucose", "time too early or missing: row goes"] == 2
+    assert log["meal_item", "carbs < 0: value becomes null"] == 1
     quality = {r.user_id: r for r in out["user_quality"].collect()}
     assert quality[1].has_glucose and not quality[1].has_meals and quality[1].has_sport
     base = {r.meal_id: r for r in out["modeling_dataset"].collect()}
