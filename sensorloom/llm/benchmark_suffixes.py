@@ -7,7 +7,8 @@ shortest window is left out of the array, which changes no result.
 
 The benchmark is read in blocks of `BLOCK_CHARS`; each block goes to the tasks with the function, and documents pass all
 blocks in one stage. Null or empty text: no words, no hits; null or empty item: no windows. Items of fewer words than a
-window are one window. Repeated items count once by id. Documents repeated are judged each by itself.
+window are one window. Repeated items count once by id; items without an id count as one, which has no name in the list.
+Documents repeated are judged each by itself. Columns of the documents may have any names.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ class Block:
     """Part of the benchmark: its words as small numbers, and all its windows."""
 
     def __init__(self, items: list[tuple[object, str | None]], window: int):
-        self.ids = [str(i) for i, _ in items]
+        self.ids = [None if i is None else str(i) for i, _ in items]
         data, at = text_bytes(pa.array([t for _, t in items], pa.string()))
         start, end, first = WORDS.cut(data, at)
         hashes = WORDS.hashes(data, start, end)
@@ -120,7 +121,7 @@ def _step(block: Block, again: bool):
                 change = np.bincount(position, minlength=len(codes) + 1) - np.bincount(position + size, minlength=len(codes) + 1)
                 hit = np.cumsum(change)[: len(codes)] > 0
                 text = np.searchsorted(first, position, "right") - 1
-                items: list[set[str]] = [set() for _ in range(piece.num_rows)]
+                items: list[set[str | None]] = [set() for _ in range(piece.num_rows)]
                 longest = np.zeros(piece.num_rows, np.int32)
                 np.maximum.at(longest, text, length.astype(np.int32))
                 for pair in np.unique(text * len(block.ids) + block.owner[which]) if len(which) else []:
@@ -132,7 +133,7 @@ def _step(block: Block, again: bool):
                     items = [i | set(o) for i, o in zip(items, old[1].to_pylist())]
                     longest = np.maximum(longest, old[2].to_numpy())
                 made = [
-                    pa.array(hits, pa.list_(pa.int32())), pa.array([sorted(i) for i in items], pa.list_(pa.string())),
+                    pa.array(hits, pa.list_(pa.int32())), pa.array([sorted(i, key=lambda x: (x is None, x or "")) for i in items], pa.list_(pa.string())),
                     pa.array(longest, pa.int32()), pa.array(np.diff(first).astype(np.int64)),
                 ]
                 kept = piece.columns[:-4] if again else piece.columns
@@ -143,12 +144,12 @@ def _step(block: Block, again: bool):
 
 
 def searched(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_text: str, window: int, block_chars: int) -> DataFrame:
-    """`docs` with hit words, items, longest match and number of words. Underscored names are this module's own."""
+    """`docs` with hit words, items, longest match and number of words. The columns of `docs` are named by their places."""
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"))
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block_chars) or 1
     numbered = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
-    out = docs.withColumn("_text", F.col(text))
+    out = docs.toDF(*_places(docs)).withColumn("_text", F.col(_places(docs)[docs.columns.index(text)]))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
     for b in range(n):
         part = [(r.item, r.text) for r in numbered.filter(F.col("block") == b).toLocalIterator()]  # about block_chars
@@ -156,6 +157,10 @@ def searched(docs: DataFrame, benchmark: DataFrame, text: str, item: str, item_t
     return out
 
 
+def _places(docs: DataFrame) -> list[str]:
+    return [f"c{i}" for i in range(len(docs.columns))]
+
+
 def _verdict(share: int):
     n = F.size("_hits").cast("long")
     return n, (n > 0) & (F.lit(share) * n >= F.col("_n_words"))
@@ -169,7 +174,7 @@ def contamination(
     found = searched(docs.select(key, text), benchmark, text, item, item_text, window, block_chars)
     n, bad = _verdict(share)
     return found.select(
-        key, F.col("_n_words").alias("n_words"), n.alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
+        F.col("c0").alias(key), F.col("_n_words").alias("n_words"), n.alias("n_hit"), F.size("_items").cast("long").alias("n_items"),
         F.sha2(F.array_join("_items", ","), 256).alias("items_sha256"), bad.alias("contaminated"),
         F.col("_hits").alias("hit_words"), F.col("_items").alias("items"), F.col("_longest").alias("longest_match"),
     )
@@ -179,6 +184,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
                    window: int = WINDOW, share: int = 20, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     found = searched(docs, benchmark, text, item, item_text, window, block_chars)
-    return found.filter(~_verdict(share)[1]).select(*docs.columns)
+    kept = found.filter(~_verdict(share)[1])
+    return kept.select(*[F.col(p).alias(c) for p, c in zip(_places(docs), docs.columns)])
 
 

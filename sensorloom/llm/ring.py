@@ -6,7 +6,9 @@ add up to the number of rows, so that counts differ by one at most.
 
 The ring is cut into `cells`, a fixed number. Spark counts rows per (cell, salt); only these counts, bounded by cells *
 salts, pass the driver, which walks the ring once. A cell that doesn't fit is split at a row number, so the walk is exact.
-Rows are numbered within (cell, salt): a key that holds a third of all rows is spread over the salts.
+Place and salt come from the rows' content alone, so no result depends on files or partitions. Rows that are equal in key,
+size and checksum are one counted row until the end: they take the next numbers of their (cell, salt), whatever task had
+them, and are dealt out in chunks, so a key with a third of all rows is neither numbered nor written by one task.
 
 Null key: a key of its own. Null text: no bytes. Repeated rows are rows of their own. Empty table: empty result.
 Further columns are not carried.
@@ -24,6 +26,7 @@ from sensorloom.llm.texts import stored
 CELLS = 1 << 12
 SALTS = 16
 NODES = 64  # virtual nodes of a shard
+CHUNK = 100_000  # equal rows written by one task at once
 
 
 def place(name: str) -> int:
@@ -73,24 +76,31 @@ def ring_shards(
     """Key, size, checksum, law, shard and slot of every row."""
     spark = docs.sparkSession
     raw = F.coalesce(F.col(text), F.lit(""))
-    name = F.coalesce(F.col(key).cast("string"), F.lit("null"))
-    checksum = F.crc32(raw.cast("binary"))
-    rows = stored(
-        docs.select(
-            F.col(key), (F.octet_length(raw) + F.lit(8)).cast("long").alias("size"), checksum.alias("text_crc32"),
-            F.pmod(F.xxhash64(name), F.lit(CELLS)).cast("int").alias("cell"),
-            F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int").alias("salt"),
-        )
-    )  # stored: the salt of a row stays what it is
-    counts = [tuple(r) for r in rows.groupBy("cell", "salt").count().collect()]  # CELLS * SALTS at most
+    alike = docs.select(
+        F.col(key).alias("_key"), (F.octet_length(raw) + F.lit(8)).cast("long").alias("size"),
+        F.crc32(raw.cast("binary")).alias("text_crc32"),
+    ).groupBy("_key", "size", "text_crc32").agg(F.count("*").alias("n"))
+    own = F.coalesce(F.col("_key").cast("string"), F.lit("null"))
+    placed = stored(
+        alike.withColumn("cell", F.pmod(F.xxhash64(own), F.lit(CELLS)).cast("int"))
+        .withColumn("mixed", F.xxhash64(F.lit(1), own, "size", "text_crc32"))
+        .withColumn("salt", F.pmod("mixed", F.lit(SALTS)).cast("int"))
+    )
+    counts = [tuple(r) for r in placed.groupBy("cell", "salt").agg(F.sum("n")).collect()]  # CELLS * SALTS at most
     made = spark.createDataFrame(
         walk(counts, shards, slack), "cell int, salt int, from_row long, to_row long, shard int, first_slot long"
     )
-    order = Window.partitionBy("cell", "salt").orderBy(F.xxhash64(F.col(key)), F.col(key), F.col("text_crc32"))
-    numbered = rows.withColumn("row", (F.row_number().over(order) - 1).cast("long"))
-    inside = (F.col("row") >= F.col("from_row")) & (F.col("row") < F.col("to_row"))
-    placed = numbered.join(F.broadcast(made), ["cell", "salt"]).filter(inside)  # bounded as the counts are
-    return placed.select(
-        key, "size", "text_crc32", F.lit("rows").alias("law"), "shard",
+    order = Window.partitionBy("cell", "salt").orderBy("mixed", "_key", "size", "text_crc32")
+    begun = placed.withColumn("begin", F.sum("n").over(order) - F.col("n"))
+    chunks = begun.select(
+        "_key", "size", "text_crc32", "cell", "salt", (F.col("begin") + F.col("n")).alias("end"),
+        F.explode(F.sequence(F.col("begin"), F.col("begin") + F.col("n") - 1, F.lit(CHUNK).cast("long"))).alias("at"),
+    ).repartition("cell", "salt", "at")
+    upto = F.least("end", F.col("at") + CHUNK, "to_row")
+    since = F.greatest("at", "from_row")
+    parts = chunks.join(F.broadcast(made), ["cell", "salt"]).filter(since < upto)  # bounded as the counts are
+    rows = parts.select("*", F.explode(F.sequence(since, upto - 1)).alias("row"))
+    return rows.select(
+        F.col("_key").alias(key), "size", "text_crc32", F.lit("rows").alias("law"), "shard",
         (F.col("first_slot") + F.col("row") - F.col("from_row")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-    )
+    )

@@ -94,6 +94,38 @@ def test_ring_is_even_and_moves_little(spark, docs):
     assert sum(one[k] != more[k] for k in one) < 0.3 * len(one)
 
 
+def plain_ring(rows, shards):
+    """Rows walked one by one: each goes clockwise from its cell to the first shard with room."""
+    places, owner = ring.clockwise(shards)
+    room, used, out = ring.capacities(len(rows), shards, 0.0), [0] * shards, Counter()
+    for cell, salt, _, key, size, crc in sorted(
+        rows, key=lambda r: (ring.blake2b(f"cell {r[0]}.{r[1]}".encode(), digest_size=8).digest(), r[2], r[3] is not None, r[3] or 0, r[4], r[5])
+    ):
+        at = ring.bisect.bisect_left(places, cell)
+        while not room[owner[at % len(owner)]]:
+            at += 1
+        shard = owner[at % len(owner)]
+        out[key, size, crc, shard, used[shard]] += 1
+        room[shard] -= 1
+        used[shard] += 1
+    return out
+
+
+def test_ring_equals_a_walk_and_not_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(ring, "CHUNK", 7)
+    rows = [*ROWS, *[(100 + i % 60, f"text {i % 90}") for i in range(150)], *[(5000, "same")] * 80, *[(None, None)] * 3]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, n int, size int")
+    own = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    raw = F.coalesce("text", F.lit(""))
+    size, crc = (F.octet_length(raw) + 8).cast("long"), F.crc32(raw.cast("binary"))
+    mixed = F.xxhash64(F.lit(1), own, size, crc)
+    known = df.select(F.pmod(F.xxhash64(own), F.lit(ring.CELLS)), F.pmod(mixed, F.lit(ring.SALTS)), mixed, "doc_id", size, crc)
+    want = plain_ring([tuple(r) for r in known.collect()], 24)
+    for parts in (3, 7):
+        found = ring.ring_shards(df.repartition(parts), 24)
+        assert rows_of(found, "doc_id", "size", "text_crc32", "shard", "slot") == want
+
+
 def shingles(text):
     w = WORD.findall(lower(text))
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
@@ -198,7 +230,7 @@ def test_lines(docs, least):
 
 
 def test_benchmark(spark, docs):
-    items = [(1, words(6, 40)), (2, "ONE two"), (2, "ONE two"), (3, None), (4, "!!"), (5, words(1, 14))]
+    items = [(1, words(6, 40)), (2, "ONE two"), (2, "ONE two"), (3, None), (4, "!!"), (5, words(1, 14)), (None, words(2, 20)), (None, words(3, 20))]
     bench = spark.createDataFrame(items, "item_id long, text string")
     windows = defaultdict(set)
     for i, text in items:
@@ -214,11 +246,15 @@ def test_benchmark(spark, docs):
                 if own := windows.get(tuple(w[k : k + n])):
                     hit |= set(range(k, k + n))
                     found |= own
-        want[key, len(w), len(hit), len(found), digest(",".join(sorted(map(str, found)))), bool(hit) and 20 * len(hit) >= len(w)] += 1
+        names = sorted(str(i) for i in found if i is not None)  # items without an id count once, and have no name
+        want[key, len(w), len(hit), len(found), digest(",".join(names)), bool(hit) and 20 * len(hit) >= len(w)] += 1
     for size in (4_000_000, 100):  # one block, several blocks
         got = benchmark_suffixes.contamination(docs, bench, block_chars=size)
         assert rows_of(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == want
-    assert benchmark_suffixes.decontaminated(docs, bench).columns == docs.columns
+    named = docs.withColumnsRenamed({"kept": "_text", "n_words": "_hits", "digest": "c0"})
+    for df in (docs, named):
+        clean = benchmark_suffixes.decontaminated(df, bench)
+        assert clean.columns == df.columns and clean.count() == sum(not r.contaminated for r in got.collect())
     assert {r.doc_id: r.longest_match for r in got.collect()}[13] == 40
 
 
