@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from sensorloom.federated import partition as P
@@ -22,18 +24,65 @@ def iid(spark, sf_dir):
     return P.iid(roles.arrays(spark, sf_dir), ["id"], 5).select("id", "label", "partition_id")
 
 
-@query("l02_dirichlet")
+def uniform_sql(*parts: str) -> str:
+    text = " || ':' || ".join(parts)
+    return f"((('0x' || md5({text})[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)"
+
+
+def dirichlet_sql(alpha: float, least: int, balance: bool, k: int = 5) -> str:
+    """The shares as P.dirichlet draws them, label by label; then the moves that give each client `least` rows."""
+    d = alpha + 2 / 3
+    of = ("'dirichlet:42'", "label", "c", "t")
+    give = f"greatest(s - {least}, 0)"
+    rows = f"SELECT rk.id, rk.label, len([e for e in ends if e < p]) AS client FROM rk JOIN f ON f.label = rk.label AND f.i > 0"
+    moved = (
+        "SELECT id, label, CAST(CASE WHEN j > s - give THEN len([u for u in upto if u < give_before + j - (s - give)]) ELSE client END"
+        " AS INTEGER) AS partition_id FROM nb JOIN mv USING (client), (SELECT list(take_upto ORDER BY client) AS upto FROM mv)"
+    )
+    return (
+        "WITH RECURSIVE lab AS (SELECT label, count(*) AS n, row_number() OVER (ORDER BY label) AS i FROM embeddings GROUP BY label),"
+        f" x AS (SELECT label, c, t, sqrt(-2 * ln({uniform_sql(*of, chr(39) + 'a' + chr(39))})) * cos({2 * math.pi!r} * {uniform_sql(*of, chr(39) + 'b' + chr(39))}) AS x,"
+        f" ln({uniform_sql(*of, chr(39) + 'c' + chr(39))}) AS lu FROM lab, range(0, {k}) a(c), range(1, {P.TRIES + 1}) b(t)),"
+        f" v AS (SELECT *, pow(1 + {1 / math.sqrt(9 * d)!r} * x, 3.0) AS v FROM x),"
+        f" g AS (SELECT label, c, arg_min({d!r} * v, t) * any_value(pow({uniform_sql(*of[:3], chr(39) + 'd' + chr(39))}, {1 / alpha!r})) AS g FROM v"
+        f" WHERE v > 0 AND lu < 0.5 * x * x + {d!r} - {d!r} * v + {d!r} * ln(CASE WHEN v > 0 THEN v END) GROUP BY label, c),"
+        " gs AS (SELECT i, label, n, list(g ORDER BY c) AS g FROM g JOIN lab USING (label) GROUP BY i, label, n),"
+        " ev AS (SELECT sum(n) / " + f"{k}.0 AS even FROM lab),"
+        f" f AS (SELECT 0::BIGINT AS i, NULL::INTEGER AS label, [0.0::DOUBLE for z in range({k})] AS sizes, []::DOUBLE[] AS ends"
+        " UNION ALL SELECT i, label, [sizes[z] + ends[z] - (CASE WHEN z > 1 THEN ends[z - 1] ELSE 0 END) for z in range(1, " + f"{k + 1})] AS sizes, ends FROM ("
+        f" SELECT i, label, sizes, [CASE WHEN z = {k} THEN n ELSE floor((CASE WHEN list_sum(o) > 0 THEN list_sum(o[1:z]) / list_sum(o) ELSE z / {k}.0 END) * n + 1e-9) END"
+        f" for z in range(1, {k + 1})]::DOUBLE[] AS ends FROM (SELECT gs.i, gs.label, gs.n, f.sizes,"
+        f" [CASE WHEN {str(not balance).lower()} OR f.sizes[z] < even THEN gs.g[z] ELSE 0 END for z in range(1, {k + 1})] AS o FROM f JOIN gs ON gs.i = f.i + 1, ev))),"
+        " rk AS (SELECT vec_id AS id, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || vec_id), vec_id) AS p FROM embeddings),"
+        f" dl AS ({rows}),"
+        f" sz AS (SELECT c AS client, count(id) AS s FROM range(0, {k}) a(c) LEFT JOIN dl ON dl.client = c GROUP BY c),"
+        f" td AS (SELECT least(sum(greatest({least} - s, 0)), sum({give})) AS total, sum({give}) AS spare FROM sz),"
+        f" gv AS (SELECT client, s, total * sum({give}) OVER (ORDER BY client) // greatest(spare, 1) AS give_upto,"
+        f" least(sum(greatest({least} - s, 0)) OVER (ORDER BY client), total) AS take_upto FROM sz, td),"
+        " mv AS (SELECT *, coalesce(lag(give_upto) OVER (ORDER BY client), 0) AS give_before,"
+        " give_upto - coalesce(lag(give_upto) OVER (ORDER BY client), 0) AS give FROM gv),"
+        " nb AS (SELECT *, row_number() OVER (PARTITION BY client ORDER BY md5('42:move:' || id), id) AS j FROM dl) " + moved
+    )
+
+
+@query("l02_dirichlet", dirichlet_sql(0.1, 0, False))
 def dirichlet(spark, sf_dir):
     return P.dirichlet(roles.arrays(spark, sf_dir), ["id"], "label", 5, 0.1).select("id", "label", "partition_id")
 
 
-@query("l02_dirichlet_balanced")
+@query("l02_dirichlet_balanced", dirichlet_sql(0.5, 10, True))
 def dirichlet_balanced(spark, sf_dir):
     return P.dirichlet(
         roles.arrays(spark, sf_dir), ["id"], "label", 5, 0.5, least=10, balance=True
     ).select("id", "label", "partition_id")
 
 
+@query("l02_dirichlet_filled", dirichlet_sql(0.1, 60, False))
+def dirichlet_filled(spark, sf_dir):
+    """Strong skew and a least size that the draw alone does not give."""
+    return P.dirichlet(roles.arrays(spark, sf_dir), ["id"], "label", 5, 0.1, least=60).select("id", "label", "partition_id")
+
+
 @query(
     "l03_pathological",
     "WITH lab AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS i FROM (SELECT DISTINCT label FROM embeddings)),"

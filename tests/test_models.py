@@ -134,6 +134,30 @@ def test_sizes_and_labels_of_clients(labelled):
     assert even.groupBy("label").agg((F.max("count") - F.min("count")).alias("d")).where("d > 2").count() == 0
 
 
+def test_moves_fill_up_small_clients():
+    for sizes, least in (([44, 109, 156, 47, 144], 60), ([0, 500, 1, 0], 100), ([10, 10], 10), ([1, 2, 3], 50), ([0, 0], 5)):
+        give, take = P.moves(sizes, least)
+        after = [s - g + t for s, g, t in zip(sizes, give, take)]
+        assert sum(give) == sum(take) and sum(after) == sum(sizes)
+        assert min(after) >= min(least, sum(sizes) // len(sizes), *[max(s, 0) for s in after]) and all(s - g >= least for s, g in zip(sizes, give) if g)
+        if sum(sizes) >= least * len(sizes):
+            assert min(after) >= least
+
+
+def test_gamma_variates(spark):
+    for alpha in (0.1, 0.5, 3.0):
+        got = spark.range(20000).select(P.gamma(alpha, "test", F.col("id").cast("string")).alias("g")).agg(F.avg("g"), F.var_pop("g"), F.min("g")).first()
+        assert got[0] == pytest.approx(alpha, rel=0.1) and got[1] == pytest.approx(alpha, rel=0.2) and got[2] >= 0
+
+
+def test_dirichlet_keeps_rows_without_a_label(spark, labelled):
+    odd = labelled.select("id", F.when(F.col("id") % 50 > 0, F.col("label")).alias("label"))
+    for least in (0, 110):
+        got = P.dirichlet(odd, ["id"], "label", 5, 0.1, least=least)
+        sizes = {r.partition_id: r["count"] for r in got.groupBy("partition_id").count().collect()}
+        assert sum(sizes.values()) == 600 and (not least or min(sizes.values()) >= 110 and len(sizes) == 5)
+
+
 def test_dirichlet_does_not_depend_on_layout(labelled):
     a = P.dirichlet(labelled, ["id"], "label", 5, 0.1).select("id", "partition_id")
     b = P.dirichlet(labelled.repartition(13), ["id"], "label", 5, 0.1).select("id", "partition_id")
