@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from sensorloom.functions import columns as C
 from sensorloom.functions import fixed
@@ -39,12 +39,38 @@ def said(column: str, test: str, effect: str) -> str:
     return f"{column} {test}: {effect}"
 
 
+def _counts(rules: Sequence[Rule]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n_total"), *[F.count_if(r.hit).alias(f"_r{i}") for i, r in enumerate(rules)]]
+
+
 def audit(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
     """One pass over the table, one log row per rule."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("n_total"),
-        *[F.count_if(r.hit).alias(f"_r{i}") for i, r in enumerate(rules)],
-    )
+    return _log(df.agg(*_counts(rules)), table, rules)
+
+
+class Watch:
+    """Counts of a table's rules, taken while something else reads it: no pass of their own."""
+
+    def __init__(self, table: str, rules: Sequence[Rule] = ()):
+        self.table, self.rules, self.seen = table, list(rules), Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        """`df`, to be written or read once as a whole."""
+        return df.observe(self.seen, *_counts(self.rules))
+
+    @property
+    def rows(self) -> int:
+        """Waits for the first job over the watched frame."""
+        return self.seen.get["n_total"]
+
+    def log(self, spark: SparkSession) -> DataFrame:
+        found = self.seen.get
+        names = ["n_total", *[f"_r{i}" for i in range(len(self.rules))]]
+        counts = spark.createDataFrame([tuple(found[n] for n in names)], ", ".join(f"{n} long" for n in names))
+        return _log(counts, self.table, self.rules)
+
+
+def _log(counts: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
     rows = F.array(
         *[
             F.struct(

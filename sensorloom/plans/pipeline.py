@@ -16,7 +16,7 @@ from sensorloom.operators import clean, context, nutrition
 from sensorloom.operators.folds import group_folds, impute_user_median
 from sensorloom.operators.ranks import label_codes
 from sensorloom.operators.response import pre_window, response
-from sensorloom.session import durable
+from sensorloom.session import durable, scratch_dir
 from sensorloom.sources import io
 
 SLEEP_NAMES = {
@@ -130,40 +130,50 @@ def training_table(df: DataFrame, columns: list[str], target: str, keep: list[st
 
 
 def run_batch(spark: SparkSession, source: str, target: str, scale: int = 1) -> dict[str, DataFrame]:
-    """Raw CSV folder to cleaned tables, audit log, quality flags and both feature tables."""
-    raw = {n: io.read_raw(spark, source, n) for n in io.RAW if n != "event"}
-    cleaned = io.load_clean(spark, source)
-    for name, df in cleaned.items():
-        path = f"{target}/{name}"
-        if name == "readings":
-            io.write_series(df, path, "user_id", "timestamp")
-        else:
-            io.write_table(df, path)
-    stored = {n: io.read_table(spark, f"{target}/{n}") for n in cleaned}
-    # text and parsed time side by side, so that each table is audited in one pass
-    timed = {
-        n: df.withColumn("_ts", C.parse_timestamp("timestamp")) if "timestamp" in df.columns else df
-        for n, df in raw.items()
-    }
+    """Raw CSV folder to cleaned tables, audit log, quality flags and both feature tables.
+
+    The audit log and the row counts are taken while the cleaned tables are written: each raw table is read once.
+    """
+    raw = {n: io.timed(io.read_raw(spark, source, n)) for n in io.RAW if n != "event"}
     parse = clean.parse_rules()
     rules = {
-        "glucose": parse + clean.reading_rules(timed["glucose"], ts="_ts"),
+        "glucose": parse + clean.reading_rules(raw["glucose"], ts="_ts"),
         "meal": parse,
         "meal_item": clean.item_rules(),
-        "sport": parse + clean.activity_rules(timed["sport"], ts="_ts"),
+        "sport": parse + clean.activity_rules(raw["sport"], ts="_ts"),
         "questionnaire_morning": parse + clean.morning_rules(),
         "questionnaire_night": parse,
     }
-    logs = [clean.audit(timed[n], n, rs) for n, rs in rules.items()]
-    logs.append(clean.audit(stored["meals"], "meal", clean.flag_rules()))
-    log = logs[0]
-    for part in logs[1:]:
-        log = log.unionByName(part)
+    before = {n: clean.Watch(n, rs) for n, rs in rules.items()}
+    made = io.cleaned({n: before[n].on(df) if n in before else df for n, df in raw.items()})
+    after = {"meals": clean.Watch("meal", clean.flag_rules())}
+    after |= {n: clean.Watch(n) for n in made if n != "meals"}
+    made = {n: df if n == "meals" else after[n].on(df) for n, df in made.items()}
+    stored = {}
+    for name, df in made.items():
+        path = f"{target}/{name}"
+        if name in ("readings", "meals"):
+            # a plain write first: a sort's sample or a stage run again would count rows twice
+            first = f"{scratch_dir(spark)}/{name}"
+            io.write_table(df, first)
+            df = io.read_table(spark, first)
+        if name == "readings":
+            io.write_series(df, path, "user_id", "timestamp")
+        elif name == "meals":  # the flag comes from the items that are written already
+            flagged = clean.flag_exists(df, stored["items"], "id", "meal_id")
+            io.write_table(after[name].on(flagged), path)
+        else:
+            io.write_table(df, path)
+        stored[name] = io.read_table(spark, path)
+    log = after["meals"].log(spark)
+    for watch in before.values():
+        log = log.unionByName(watch.log(spark))
     io.write_table(log, f"{target}/cleaning_log")
+    pairs = {"glucose": "readings", "meal": "meals", "meal_item": "items", "sport": "sport"}
     io.write_table(
-        clean.before_after(
-            {"glucose": (raw["glucose"], stored["readings"]), "meal": (raw["meal"], stored["meals"]),
-             "meal_item": (raw["meal_item"], stored["items"]), "sport": (raw["sport"], stored["sport"])}
+        spark.createDataFrame(
+            [(n, before[n].rows, after[m].rows, after[m].rows - before[n].rows) for n, m in pairs.items()],
+            'table string, n_before long, n_after long, delta long',
         ),
         f"{target}/row_counts",
     )
@@ -176,5 +186,5 @@ def run_batch(spark: SparkSession, source: str, target: str, scale: int = 1) ->
     base = io.read_table(spark, f"{target}/modeling_dataset")
     peak = peak_dataset(base, tables, scale)
     io.write_table(peak, f"{target}/modeling_dataset_peak")
-    names = [*cleaned, "cleaning_log", "row_counts", "user_quality", "modeling_dataset", "modeling_dataset_peak"]
+    names = [*made, "cleaning_log", "row_counts", "user_quality", "modeling_dataset", "modeling_dataset_peak"]
     return {n: io.read_table(spark, f"{target}/{n}") for n in names}

@@ -114,17 +114,28 @@ def reparse(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({c: C.parse_timestamp(c) for c in columns})
 
 
-def load_clean(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """All raw tables of a folder, parsed and cleaned (lazy)."""
-    raw = {n: read_raw(spark, folder, n) for n in RAW if n != "event"}
-    timed = {n: clean.parse_times(df) if "timestamp" in df.columns else df for n, df in raw.items()}
-    items = clean.clean_items(timed["meal_item"])
+def timed(df: DataFrame) -> DataFrame:
+    """A raw table with its time as text (`timestamp`) and parsed (`_ts`)."""
+    return df.withColumn("_ts", C.parse_timestamp("timestamp")) if "timestamp" in df.columns else df
+
+
+def cleaned(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Cleaned tables (lazy) of `timed` raw ones. Meals lack their flag, which needs the items."""
+    known = {
+        n: df.withColumn("timestamp", F.col("_ts")).drop("_ts") if "_ts" in df.columns else df for n, df in raw.items()
+    }
     return {
-        "readings": clean.clean_readings(timed["glucose"]),
-        "meals": clean.flag_exists(timed["meal"], items, "id", "meal_id"),
-        "items": items,
-        "foods": timed["food_composition"],
-        "sport": clean.clean_activity(timed["sport"]),
-        "morning": clean.clean_morning(timed["questionnaire_morning"]),
-        "night": timed["questionnaire_night"],
+        "items": clean.clean_items(known["meal_item"]),
+        "readings": clean.clean_readings(known["glucose"]),
+        "meals": known["meal"],
+        "foods": known["food_composition"],
+        "sport": clean.clean_activity(known["sport"]),
+        "morning": clean.clean_morning(known["questionnaire_morning"]),
+        "night": known["questionnaire_night"],
     }
+
+
+def load_clean(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All raw tables of a folder, parsed and cleaned (lazy)."""
+    made = cleaned({n: timed(read_raw(spark, folder, n)) for n in RAW if n != "event"})
+    return made | {"meals": clean.flag_exists(made["meals"], made["items"], "id", "meal_id")}
