@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 PRE_POINTS = 30
 MIN_RISE_POINTS = 20
 RISE_CENTRE = 0.45
 RISE_STEEPNESS = 8.0
-LN_TEN = 2.302585092994046  # a tenth of the rise is left at the end
+LN_TEN = math.log(10)  # a tenth of the rise is left at the end
 
 
 def curve_points(df: DataFrame, base: str, peak: str, minutes: str, pre_min: int = 30,

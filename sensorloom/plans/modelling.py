@@ -10,6 +10,8 @@ from sensorloom.functions import columns as C
 from sensorloom.functions import fixed
 from sensorloom.models import cluster, learn
 from sensorloom.operators import metrics as M
+from sensorloom.operators.folds import group_folds, impute_median
+from sensorloom.operators.nutrition import interactions_basic
 from sensorloom.operators.profiles import name_clusters, nutrition_profile, response_profile
 from sensorloom.operators.ranks import scalars, wide_medians
 from sensorloom.plans.pipeline import feature_columns, training_table, with_codes
@@ -63,6 +65,19 @@ def late_table(dataset: DataFrame) -> tuple[DataFrame, list[str]]:
     return learn.class_weight(rows), columns
 
 
+def iauc_table(dataset: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Training table for the incremental area, with the features of the first models; gaps take the column's median."""
+    coded = with_codes(interactions_basic(dataset)).where(F.col("iauc").isNotNull())
+    columns = C.existing(
+        coded.columns,
+        [*fixed.BASE_FEATURES, *fixed.USER_FEATURES, *[f"{c}_enc" for c in fixed.CATEGORICAL_FEATURES], *fixed.INTERACTION_FEATURES],
+    )
+    rows = durable(coded.select(
+        "meal_id", "user_id", *[F.col(c).cast("double").alias(c) for c in columns], F.col("iauc").cast("double").alias("label")
+    ))
+    return durable(group_folds(impute_median(rows, columns), K)), columns
+
+
 def result_row(spark, name: str, oof: DataFrame, extra: str = "") -> DataFrame:
     return M.regression_metrics(oof).select(F.lit(name).alias("model"), "mae", "rmse", "r2", F.lit(extra).alias("changes"))
 

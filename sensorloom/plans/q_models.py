@@ -47,6 +47,7 @@ TABLES = {
     "peak": G.peak_table,
     "time": G.time_table,
     "late": G.late_table,
+    "iauc": G.iauc_table,
 }
 
 
@@ -206,11 +207,7 @@ def three(spark, sf_dir):
 
 @query("m14_log_target")
 def log_target(spark, sf_dir):
-    df = dataset(spark, sf_dir)
-    coded = pipeline.with_codes(df).where(F.col("iauc").isNotNull())
-    cols = pipeline.feature_columns(coded, False)
-    made = store(spark, sf_dir).table("train_iauc", lambda: (pipeline.training_table(coded, cols, "iauc", []), cols))
-    rows = learn.assemble(*made)
+    rows, _ = training(spark, sf_dir, "iauc")
     out = None
     for kind in ("plain", "corrected"):
         preds = durable(learn.out_of_fold(rows, learn.boosted(), G.K, ["meal_id"], log=kind))

@@ -9,6 +9,7 @@ import re
 
 from pyspark.sql import DataFrame, functions as F
 
+from sensorloom.functions import columns as C
 from sensorloom.functions import fixed
 from sensorloom.models import learn, ridge, search
 from sensorloom.operators import metrics as M
@@ -217,6 +218,45 @@ def isotonic(spark, sf_dir):
     return rounded(made.select("meal_id", "fold", "label", "prediction", "calibrated"), "label", "prediction", "calibrated")
 
 
+IAUC = [
+    c for c in [*fixed.BASE_FEATURES, *fixed.USER_FEATURES, *[f"{c}_enc" for c in fixed.CATEGORICAL_FEATURES], *fixed.INTERACTION_FEATURES]
+    if c not in ABSENT and "cluster" not in c
+]
+IAUC_SQL = FEATURE_SQL | {
+    "net_carbs": "total_carbs - coalesce(total_fibre, 0)",
+    "carbs_x_hour": "total_carbs * hour_of_day",
+    "carbs_x_preprandial": "total_carbs * coalesce(glucose_preprandial, (SELECT median(glucose_preprandial) FROM ds))",
+    "fat_protein_ratio": "coalesce(total_fat / nullif(total_protein, 0), (SELECT median(total_fat / nullif(total_protein, 0)) FROM ds))",
+}
+IAUC_ROWS = {
+    **{n: body for n, body in PEAK_PARTS.items() if n != "pk"},
+    "u1": "SELECT meal_id, user_id, ts, iauc, " + ", ".join(f"CAST({IAUC_SQL.get(c, c)} AS DOUBLE) AS f_{c}" for c in IAUC) + " FROM ds",
+    **{n: PEAK_ROWS[n] for n in ("md", "us", "ud")},
+    "md": "SELECT " + ", ".join(f"median(f_{c}) AS m_{c}" for c in IAUC) + " FROM u1",
+    "tr": "SELECT meal_id, user_id, iauc, ln(1 + greatest(iauc, 0)) AS y, CASE WHEN t < 5 THEN t ELSE 9 - t END AS fold, "
+    + ", ".join(f"coalesce(f_{c}, m_{c}) AS f_{c}" for c in IAUC) + " FROM u1 JOIN ud USING (user_id), md",
+    **solve_parts(IAUC),
+    "back": "SELECT * EXCLUDE (y, p), iauc AS y, greatest(exp(p) - 1, 0) AS p FROM oof",
+}
+
+
+@query(
+    "m14_log_ridge",
+    # the way back from logs has a wide range: six digits of each number
+    with_sql(IAUC_ROWS) + f"SELECT printf('%.5e', avg(b.mae)) AS mae, printf('%.5e', avg(b.rmse)) AS rmse, printf('%.5e', avg(b.r2)) AS r2, {r('avg(l.r2)', 4)} AS r2_log"
+    f" FROM ({FOLDS_SQL.format(p='p', t='back')}) b JOIN ({FOLDS_SQL.format(p='p', t='oof')}) l USING (fold)",
+)
+def log_ridge(spark, sf_dir):
+    """The incremental area on the log scale and back, over the first models' features."""
+    rows, columns = training_rows(spark, sf_dir, "iauc")
+    logged = rows.withColumn("log_label", C.log_floor("label"))
+    found = durable(ridge.out_of_fold(logged, columns, ["meal_id", "label"], label="log_label").withColumnRenamed("prediction", "prediction_log"))
+    back = found.withColumn("prediction", C.unlog_floor("prediction_log"))
+    on_log = M.regression_metrics(back, "log_label", "prediction_log").select("r2").scalar()
+    digits = [F.format_string("%.5e", F.col(c)).alias(c) for c in ("mae", "rmse", "r2")]
+    return rounded(M.regression_metrics(back).select(*digits, on_log.alias("r2_log")), "r2_log")
+
+
 TIME_ROWS = table_parts(features(), "time_to_peak_min", "time_to_peak_min > 0 AND time_to_peak_min <= 180")
 CASCADE = ["pred_time_to_peak", "pred_ttp_category"]
 

@@ -162,7 +162,7 @@ def advice(spark, sf_dir):
 
 RISE_N = "greatest(m, 20)"
 CURVE_SQL = (
-    PRED + ", q AS (SELECT meal_id, coalesce(glucose_preprandial, 100.0) AS g, prediction AS pk,"
+    PRED + ", q AS (SELECT meal_id, coalesce(glucose_preprandial, 100.0) AS g, round(prediction, 9) AS pk,"
     " CASE WHEN p > 0.65 THEN 90 WHEN p < 0.35 THEN 35 ELSE 60 END AS m FROM pred),"
     " s AS (SELECT *, 8.0 / m AS k, 1 / (1 + exp(8.0 / m * 0.45 * m)) AS s0, 1 / (1 + exp(-8.0 / m * 0.55 * m)) AS s1 FROM q),"
     " c AS (SELECT meal_id, -30 + 30.0 * i / 29 AS minute, g AS value FROM q, range(0, 30) t(i)"
@@ -176,6 +176,8 @@ CURVE_SQL = (
 @query("e25_curve_points", CURVE_SQL)
 def curves(spark, sf_dir):
     df = predictions(spark, sf_dir).select(
-        "meal_id", F.coalesce("glucose_preprandial", F.lit(100.0)).alias("g"), "prediction", C.ttp_minutes("p").alias("m")
+        "meal_id", F.coalesce("glucose_preprandial", F.lit(100.0)).alias("g"),
+        F.round("prediction", 9).alias("prediction"),  # a mean over 2^n rows may end on a 5 at the seventh digit
+        C.ttp_minutes("p").alias("m"),
     )
     return r6(curve_points(df, "g", "prediction", "m").select("meal_id", "minute", "value"), "minute", "value")
