@@ -1,211 +1,187 @@
 """A gated recurrent language model in numpy, trained and applied by Spark tasks.
 
-One pass over the corpus packs the documents into blocks, one or more per task, and lists each block's distinct words with
-their counts. Spark sums the counts of all training documents and hands each block the counts and paths of its own words,
-so that no task and no driver holds the whole vocabulary.
-
-The model: a small GRU; its output is a softmax over classes and another within the class. The most frequent words have
-classes by frequency. All other words of the training documents share one class, which is factored further by a binary tree
-down to the single word: by powers of two of the count, then by the word's hash. Where a node has words on both sides, its
-odds are those of their smoothed counts, moved by the state through a learned row: the upper nodes have rows of their own,
-the lower ones share rows by hash. The probabilities add up to 1 with one place for unknown words. As input, a word
-outside the shortlist is the sum of a common row and two learned rows by hash. Training covers all training documents once, in `ROUNDS` parts:
-in each part every task goes on from the common parameters over its own documents by truncated backpropagation, and the
-parameters are averaged by tokens. For scoring, the state is carried through the whole document, window after window.
+One pass over the corpus cuts the documents into words once and packs them into blocks, one or more per task: documents as
+numbers of the block's words, and each word with its count in the block. Spark sums the counts over the blocks, numbers the
+words of like counts, and hands each block the counts and numbers of its own words, so that no task and no driver holds the
+whole vocabulary.
+
+The model: a small GRU; its output is factored by classes. The most frequent words share classes by frequency, with rows of
+their own. All other training words are put into steps by their counts (two steps for each power of two), each step a class;
+a word in a step is found by the digits of its number there, a softmax over `BASE` values for each digit, whose rows depend
+on the digit's place. Where the last node of a place has fewer words behind a digit, its share is smaller by as much, so
+that the probabilities add up to 1. The unknown word is half of the class of words seen once: what was seen once is the
+measure of what was never seen. As input, a word outside the shortlist is the row of its step and two learned rows by hash.
+
+Training covers all training documents once, in rounds whose number grows with the blocks: in each, every task goes on from
+the common parameters over its own documents by truncated backpropagation, and the parameters are averaged by tokens. For
+scoring, the state is carried through the whole document, window after window.
 
 Null or empty text: the end token alone. Repeated rows are learned and scored as often as they come. Without training
-documents the model is uniform over what it knows. Empty table: empty result. Further columns are not carried.
+documents all words are the unknown one. Empty table: empty result. Further columns are not carried.
 Memory: one block (`BLOCK_BYTES` of text, or the longest document) and its words.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from sensorloom.llm.texts import blank_words, constants, give_back, in_tasks, mix64, pieces, stored, text_bytes
 
 HIDDEN, SHORTLIST, CLASS_SIZE = 16, 512, 24
-ROUNDS = 2
+LEAST_ROUNDS = 2
 LANES, WINDOW = 256, 20  # documents side by side and steps of a training window
 SCORE_LANES, SCORE_WINDOW = 1024, 16
 RATE = 0.01
 BLOCK_BYTES = 24_000_000
+AT_ONCE = 4_000_000  # tokens learned together in a block
 END = int(constants(8, 1)[0].astype(np.int64))  # the end token's key among the words'
-CLASSES = -(-SHORTLIST // CLASS_SIZE)  # and one for all other words
+CLASSES = -(-SHORTLIST // CLASS_SIZE)  # of the shortlist
 CONTEXTS = 1024  # hashed input rows, of each of two kinds
-TOP = 10  # levels of the tree whose counts the driver holds
-OWN_NODES, NODES = 64, 256  # rows of the upper nodes; with those that the lower nodes share
-ODDS = 8  # steps of the stored log odds in 1
-UNDECIDED = 127
-LOG_ODDS = np.concatenate([np.arange(127), [60 * ODDS], np.arange(-128, 0)]).astype(np.float32) / ODDS  # by stored number; sure where undecided
+BASE = 32  # of the digits of a word's number in its step
+STEPS = 2  # for each power of two of the counts
+STEP_BIT = 48  # a word's code: its step above, its number in the step below; -1 if it is unknown
 CHUNK = 4096  # parameters in a row of the average
-SHAPES = {
-    "inputs": (SHORTLIST + 1, 3 * HIDDEN), "carry": (HIDDEN, 3 * HIDDEN), "classes": (HIDDEN, CLASSES + 1), "class_bias": (CLASSES + 1,),
-    "words": (SHORTLIST, HIDDEN), "word_bias": (SHORTLIST,), "contexts": (2 * CONTEXTS, 3 * HIDDEN), "nodes": (NODES, HIDDEN),
-}
 Params = dict[str, np.ndarray]
 
 
 @dataclass(frozen=True)
 class Counts:
-    """What all training tokens add up to. `short`: keys of the shortlist, most frequent first; unused places stay free.
-    `top`: (first bits, smoothed counts) of the other words."""
+    """What all training tokens add up to. `short`: codes of the shortlist, most frequent first; unused places stay free.
+    `steps`: (step, words outside the shortlist, their tokens), ascending; step 0 is always there."""
 
     tokens: int
     kinds: int
     short: tuple[int, ...]
     short_counts: tuple[int, ...]
-    top: tuple[tuple[int, int], ...] = ()
-
-    def known_log(self, count: np.ndarray) -> np.ndarray:
-        """Natural log of the share of all known words, or of the unknown one, among the words outside the shortlist."""
-        n = self.tokens - sum(self.short_counts)
-        v = self.kinds - sum(c > 0 for c in self.short_counts)
-        return np.log(np.where(count > 0, max(n + v, 1), 1) / (n + v + 1))
-
-
-def tree_keys(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A word's way from the root, first bit first: its count's power of two (frequent words first), then its hash."""
-    power = np.frexp(counts.astype(np.float64))[1] - 1
-    return (15 - np.clip(power, 0, 15)).astype(np.uint64) << np.uint64(60) | words.astype(np.uint64) >> np.uint64(4)
-
-
-def _level_odds(keys: np.ndarray, mass: np.ndarray, level: int) -> np.ndarray:
-    """Of sorted keys: log odds of the own side at the node of so many bits; the same number, negated, on the other side."""
-    node, side = (keys >> np.uint64(64 - level) if level else np.zeros_like(keys)), keys >> np.uint64(63 - level)
-    sums = []
-    for k in (node, side):
-        start = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-        sums.append(np.repeat(np.add.reduceat(mass, start), np.diff(np.append(start, len(k)))))
-    right = (side & np.uint64(1)).astype(bool)
-    a, b = np.where(right, sums[1], sums[0] - sums[1]), np.where(right, sums[0] - sums[1], sums[1])
-    decided = (a > 0) & (b > 0)
-    odds = np.clip(np.rint(ODDS * (np.log(np.maximum(a, 1)) - np.log(np.maximum(b, 1)))), -126, 126)
-    return np.where(decided, np.where(right, odds, -odds), UNDECIDED).astype(np.int8)
-
-
-def lower_odds(keys: np.ndarray, counts: np.ndarray) -> list[bytes]:
-    """Stored log odds below the top levels, of all words that share their first bits; each list ends at the last node
-    with words on both sides."""
-    order = np.argsort(keys)
-    k, mass = keys[order], counts[order] + 1
-    levels = 64 if len(k) < 2 else int(64 - np.frexp((k[1:] ^ k[:-1]).min().astype(np.float64))[1] + 2)
-    rows = [_level_odds(k, mass, level) for level in range(TOP, min(64, max(levels, TOP)))] if len(k) > 1 else []
-    out = [b""] * len(k)
-    if rows:
-        odds = np.stack(rows, axis=1)
-        used = odds.shape[1] - (odds[:, ::-1] != UNDECIDED).argmax(axis=1)
-        used[(odds == UNDECIDED).all(axis=1)] = 0
-        for at, row, n in zip(order.tolist(), odds, used.tolist()):
-            out[at] = row[:n].tobytes()
-    return out
-
-
-class Rest:
-    """The words of a block that are not in the shortlist: their nodes, sides and log odds, and their input rows."""
-
-    def __init__(self, words: np.ndarray, counts: np.ndarray, lower: list[bytes], totals: Counts):
-        keys, known = tree_keys(words, counts), counts > 0
-        first, mass = (np.array([t[i] for t in totals.top], np.uint64) for i in (0, 1))
-        upper = first << np.uint64(64 - TOP)
-        at = np.searchsorted(first, keys >> np.uint64(64 - TOP))
-        depth = TOP + max(map(len, lower), default=0)
-        odds = np.full((len(words), depth), UNDECIDED, np.int8)
-        for level in range(TOP if known.any() else 0):
-            odds[known, level] = _level_odds(upper, mass.astype(np.int64), level)[at[known]]
-        size = np.array([len(x) for x in lower], np.int64)
-        row = np.repeat(np.arange(len(words)), size)
-        column = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-        odds[row, TOP + column] = np.frombuffer(b"".join(lower), np.int8)
-        # nodes with words on both sides only, the upper ones first
-        decided = odds != UNDECIDED
-        self.many = decided.sum(axis=1)
-        shape = len(words), int(self.many.max(initial=0))
-        self.node, self.side, self.odds = np.zeros(shape, np.int16), np.zeros(shape, np.int8), np.full(shape, UNDECIDED, np.int8)
-        place = np.cumsum(decided, axis=1, dtype=np.int16) - 1
-        for level in range(depth):
-            w = np.flatnonzero(decided[:, level])
-            if len(w):
-                node = (keys[w] >> np.uint64(63 - level) >> np.uint64(1)) | np.uint64(1 << level)
-                own = node < OWN_NODES
-                self.node[w, place[w, level]] = np.where(own, node, OWN_NODES + mix64(node) % np.uint64(NODES - OWN_NODES))
-                self.side[w, place[w, level]] = 2 * (keys[w] >> np.uint64(63 - level) & np.uint64(1)).astype(np.int8) - 1
-                self.odds[w, place[w, level]] = odds[w, level]
-        self.fixed = totals.known_log(counts)
-        mixed = mix64(words.astype(np.uint64))
+    steps: tuple[tuple[int, int, int], ...] = ((0, 0, 0),)
+
+    @cached_property
+    def sizes(self) -> np.ndarray:
+        return np.array([s[1] for s in self.steps], np.int64)
+
+    @cached_property
+    def levels(self) -> int:
+        """Digits of the largest step's numbers."""
+        most, n = int(self.sizes.max()), 0
+        while BASE**n < most:
+            n += 1
+        return n
+
+    @cached_property
+    def tails(self) -> np.ndarray:
+        """(step, place of the digit, digit): log of the share of a full branch, in the last node of that place."""
+        place = BASE ** np.arange(self.levels, dtype=np.int64)[None, :, None]
+        n = self.sizes[:, None, None]
+        begin = np.maximum(n - 1, 0) // (place * BASE) * (place * BASE)
+        size = np.clip(n - begin - np.arange(BASE) * place, 0, place)
+        return np.where(size > 0, np.log(np.maximum(size, 1) / place), -1e4).astype(np.float32)
+
+    @cached_property
+    def shapes(self) -> dict[str, tuple[int, ...]]:
+        n = len(self.steps)
+        return {
+            "inputs": (SHORTLIST + n, 3 * HIDDEN), "carry": (HIDDEN, 3 * HIDDEN), "classes": (HIDDEN, CLASSES + n), "class_bias": (CLASSES + n,),
+            "words": (SHORTLIST, HIDDEN), "word_bias": (SHORTLIST,), "contexts": (2 * CONTEXTS, 3 * HIDDEN), "digits": (self.levels * BASE, HIDDEN),
+        }
+
+
+class Words:
+    """The words of a block as the model sees them."""
+
+    def __init__(self, code: np.ndarray, totals: Counts):
+        short = np.array(totals.short, np.int64)
+        order = np.argsort(short)
+        short = short[order]
+        at = np.searchsorted(short, code)
+        hit = np.zeros(len(code), bool)
+        inside = at < len(short)
+        hit[inside] = short[at[inside]] == code[inside]
+        step = np.where(code < 0, 0, code >> STEP_BIT)
+        index = np.searchsorted(np.array([s[0] for s in totals.steps]), step)
+        index[hit] = 0
+        # the shortlist's words leave no gaps in the numbers of their steps
+        number = (code & ((1 << STEP_BIT) - 1)) - (at - np.searchsorted(short, step << STEP_BIT))
+        number[code < 0] = 0
+        place = np.where(hit, 0, SHORTLIST + index)
+        place[hit] = order[at[hit]]
+        self.totals = totals
+        self.place = place.astype(np.int32)  # row among the inputs
+        self.kind = np.where(hit, self.place // CLASS_SIZE, CLASSES + index).astype(np.int32)
+        self.step = index.astype(np.int32)
+        self.fixed = np.where(~hit & (index == 0) & (totals.sizes[0] > 0), np.log(0.5), 0.0)
+        n = np.where(hit | (code < 0), 0, totals.sizes[index])
+        self.digit, self.has, self.last = [], [], []
+        for level in range(totals.levels):
+            power = BASE**level
+            self.digit.append((number // power % BASE).astype(np.int8))
+            self.has.append(n > power)
+            self.last.append(number // (power * BASE) == (n - 1) // (power * BASE))
+        mixed = mix64(code.astype(np.uint64) + np.uint64(1))
         self.context = np.stack([mixed % np.uint64(CONTEXTS), CONTEXTS + (mixed >> np.uint64(32)) % np.uint64(CONTEXTS)], axis=1).astype(np.int32)
 
-    def turns(self, logits: np.ndarray, words: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(rows, nodes, sides, log odds of the own side) of eight nodes at a time."""
-        for a in range(0, self.node.shape[1], 8):
-            rows = np.flatnonzero(self.many[words] > a)
-            if not len(rows):
-                break
-            w = words[rows]
-            node, side = self.node[w, a : a + 8], self.side[w, a : a + 8]
-            yield rows, node, side, LOG_ODDS[self.odds[w, a : a + 8]] + side * logits[rows[:, None], node]
-
-    def log(self, p: Params, state: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Natural log of each word's probability among the words outside the shortlist."""
-        out, logits = self.fixed[words], state @ p["nodes"].T
-        for rows, _, _, x in self.turns(logits, words):
-            out[rows] -= np.logaddexp(0, -x).sum(axis=1) if x.dtype == np.float64 else np.log1p(np.exp(-np.maximum(x, -60))).sum(axis=1)
-        return out
-
-    def gradient(self, p: Params, state: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Of the loss, by row and node."""
-        at, d = [], []
-        for rows, node, side, x in self.turns(state @ p["nodes"].T, words):
-            at.append((rows[:, None] * NODES + node).ravel())
-            d.append((-side / (1 + np.exp(np.clip(x, -60, 60)))).ravel())
-        if not at:
-            return np.zeros((len(words), NODES), state.dtype)
-        sums = np.bincount(np.concatenate(at), np.concatenate(d), minlength=len(words) * NODES)
-        return sums.reshape(-1, NODES).astype(state.dtype)
-
-
-def entering(p: Params, x: np.ndarray, rest: Rest | None) -> np.ndarray:
-    """Input rows of words."""
-    e = p["inputs"][np.minimum(x, SHORTLIST)]
-    if rest is not None:
-        rows = x >= SHORTLIST
-        c = rest.context[x[rows] - SHORTLIST]
+    def by_digit(self, p: Params, state: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray, np.ndarray]]:
+        """(rows, the place's parameters, digits, log softmax) of the rows whose words have a digit at that place."""
+        for level in range(self.totals.levels):
+            rows = np.flatnonzero(self.has[level][target])
+            if len(rows):
+                own, w = slice(level * BASE, (level + 1) * BASE), target[rows]
+                logits = state[rows] @ p["digits"][own].T
+                last = np.flatnonzero(self.last[level][w])
+                logits[last] += self.totals.tails[self.step[w[last]], level]
+                yield rows, own, self.digit[level][w], _log_softmax(logits)
+
+    def by_class(self, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
+        """(rows, the class's words, places in the class) of targets in the shortlist."""
+        kind = self.kind[target]
+        order = np.argsort(kind, kind="stable")
+        cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        for c in range(CLASSES):
+            rows = order[cut[c] : cut[c + 1]]
+            if len(rows):
+                yield rows, slice(c * CLASS_SIZE, min(SHORTLIST, (c + 1) * CLASS_SIZE)), self.place[target[rows]] - c * CLASS_SIZE
+
+    def entering(self, p: Params, x: np.ndarray) -> np.ndarray:
+        """Input rows of words."""
+        place = self.place[x]
+        e = p["inputs"][place]
+        rows = place >= SHORTLIST
+        c = self.context[x[rows]]
         e[rows] += p["contexts"][c[:, 0]] + p["contexts"][c[:, 1]]
-    return e
+        return e
 
 
 def first_params(counts: Counts) -> Params:
     """Small fixed numbers, and biases that make the frequencies of single words."""
     made = {}
-    for i, (name, shape) in enumerate(SHAPES.items()):
+    for i, (name, shape) in enumerate(counts.shapes.items()):
         n = int(np.prod(shape))
         even = constants(20 + i, n).astype(np.float64) / 2.0**64 - 0.5
         made[name] = (even * (0.5 if name in ("inputs", "carry") else 0.1)).reshape(shape).astype(np.float32)
-    made["nodes"][:] = 0  # the counts alone
-    own = np.array([*counts.short_counts, *[0] * (SHORTLIST - len(counts.short_counts))], np.float64)
-    own[: len(counts.short)] += 1
-    own += 1e-3
+    made["digits"][:] = 0  # all words of a step alike
+    own = np.full(SHORTLIST, 1e-9)
+    own[: len(counts.short)] = np.array(counts.short_counts) + 1
     made["word_bias"] = np.log(own).astype(np.float32)
     of_class = np.add.reduceat(own, np.arange(0, SHORTLIST, CLASS_SIZE))
-    made["class_bias"] = np.log([*of_class, counts.tokens - sum(counts.short_counts) + 1]).astype(np.float32)
+    made["class_bias"] = np.log([*of_class, *[mass + 1 for _, _, mass in counts.steps]]).astype(np.float32)
     return made
 
 
-def flat(params: Params) -> np.ndarray:
-    return np.concatenate([params[n].ravel() for n in SHAPES])
+def flat(params: Params, counts: Counts) -> np.ndarray:
+    return np.concatenate([params[n].ravel() for n in counts.shapes])
 
 
-def unflat(values: np.ndarray) -> Params:
+def unflat(values: np.ndarray, counts: Counts) -> Params:
     out, at = {}, 0
-    for name, shape in SHAPES.items():
+    for name, shape in counts.shapes.items():
         n = int(np.prod(shape))
         out[name] = np.asarray(values[at : at + n], np.float32).reshape(shape)
         at += n
@@ -217,29 +193,13 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def _by_class(target: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """(class, rows) of targets in the shortlist."""
-    kind = np.minimum(target, SHORTLIST) // CLASS_SIZE
-    order = np.argsort(kind, kind="stable")
-    cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        rows = order[cut[c] : cut[c + 1]]
-        rows = rows[target[rows] < SHORTLIST]
-        if len(rows):
-            yield c, rows
-
-
-def output_log(p: Params, state: np.ndarray, target: np.ndarray, rest: Rest | None = None) -> np.ndarray:
-    """Natural log of the class and of the word in it; without `rest`, of the class alone for words outside the shortlist."""
-    kind = np.where(target < SHORTLIST, target // CLASS_SIZE, CLASSES)
-    out = _log_softmax(state @ p["classes"] + p["class_bias"])[np.arange(len(target)), kind]
-    for c, rows in _by_class(target):
-        own = slice(c * CLASS_SIZE, min(SHORTLIST, (c + 1) * CLASS_SIZE))
-        logs = _log_softmax(state[rows] @ p["words"][own].T + p["word_bias"][own])
-        out[rows] += logs[np.arange(len(rows)), target[rows] - c * CLASS_SIZE]
-    if rest is not None:
-        rows = np.flatnonzero(target >= SHORTLIST)
-        out[rows] += rest.log(p, state[rows], target[rows] - SHORTLIST)
+def output_log(p: Params, state: np.ndarray, target: np.ndarray, words: Words) -> np.ndarray:
+    """Natural log of each word's probability: of its class, and of the word in it."""
+    out = _log_softmax(state @ p["classes"] + p["class_bias"])[np.arange(len(target)), words.kind[target]] + words.fixed[target]
+    for rows, own, place in words.by_class(target):
+        out[rows] += _log_softmax(state[rows] @ p["words"][own].T + p["word_bias"][own])[np.arange(len(rows)), place]
+    for rows, _, digit, logs in words.by_digit(p, state, target):
+        out[rows] += logs[np.arange(len(rows)), digit]
     return out
 
 
@@ -293,7 +253,7 @@ class Lanes:
         return x
 
 
-def log10_by_document(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, rest: Rest | None = None) -> np.ndarray:
+def log10_by_document(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, words: Words) -> np.ndarray:
     """Sum over each document's tokens of the log10 probabilities that the network gives."""
     lanes = Lanes.of(tokens, begin, SCORE_LANES)
     x = lanes.inputs(end)
@@ -301,52 +261,50 @@ def log10_by_document(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int
     h = np.zeros((x.shape[1], HIDDEN), np.float32)
     for a in range(0, len(x), SCORE_WINDOW):
         states, targets, documents = [], [], []
-        e = entering(p, x[a : a + SCORE_WINDOW, : int(lanes.live[a])], rest)
+        e = words.entering(p, x[a : a + SCORE_WINDOW, : int(lanes.live[a])])
         for t in range(a, min(a + SCORE_WINDOW, len(x))):
             n = int(lanes.live[t])
             # a copy: the states before are still to be read
             h = np.where(lanes.first[t, :n, None], np.float32(0), h[:n])
             h = step(p, h, e[t - a, :n])[0]
             states.append(h), targets.append(lanes.target[t, :n]), documents.append(lanes.document[t, :n])
-        logs = output_log(p, np.concatenate(states), np.concatenate(targets).astype(np.int64), rest)
+        logs = output_log(p, np.concatenate(states), np.concatenate(targets), words)
         out += np.bincount(np.concatenate(documents), logs, minlength=len(out))
     return out / np.log(10)
 
 
 def gradients(
-    p: Params, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray, used: np.ndarray, rest: Rest | None = None
+    p: Params, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray, used: np.ndarray, words: Words
 ) -> tuple[Params, np.ndarray]:
     """Of the summed loss of one window, backwards through it; and the state after it."""
-    steps, e = [], entering(p, x, rest)
+    steps, e = [], words.entering(p, x)
     for t in range(len(x)):
         before = np.where(first[t][:, None], np.float32(0), h)
         h, z, r, n, own = step(p, before, e[t])
         steps.append((before, z, r, n, own, h))
     state = np.stack([s[5] for s in steps])
     rows = np.flatnonzero(used.ravel())
-    flat_state, target = state.reshape(-1, HIDDEN)[rows], y.ravel()[rows].astype(np.int64)
+    flat_state, target = state.reshape(-1, HIDDEN)[rows], y.ravel()[rows]
     g = {name: np.zeros_like(v) for name, v in p.items()}
-    kind = np.where(target < SHORTLIST, target // CLASS_SIZE, CLASSES)
     d = np.exp(_log_softmax(flat_state @ p["classes"] + p["class_bias"]))
-    d[np.arange(len(rows)), kind] -= 1
+    d[np.arange(len(rows)), words.kind[target]] -= 1
     g["classes"], g["class_bias"] = flat_state.T @ d, d.sum(axis=0)
     back = d @ p["classes"].T
-    for c, own_rows in _by_class(target):
-        own = slice(c * CLASS_SIZE, min(SHORTLIST, (c + 1) * CLASS_SIZE))
-        s = flat_state[own_rows]
+    for at, own, place in words.by_class(target):
+        s = flat_state[at]
         d = np.exp(_log_softmax(s @ p["words"][own].T + p["word_bias"][own]))
-        d[np.arange(len(own_rows)), target[own_rows] - c * CLASS_SIZE] -= 1
+        d[np.arange(len(at)), place] -= 1
         g["words"][own], g["word_bias"][own] = d.T @ s, d.sum(axis=0)
-        back[own_rows] += d @ p["words"][own]
-    if rest is not None:
-        others = np.flatnonzero(target >= SHORTLIST)
-        d = rest.gradient(p, flat_state[others], target[others] - SHORTLIST)
-        g["nodes"] = d.T @ flat_state[others]
-        back[others] += d @ p["nodes"]
-    from_output = np.zeros((x.size, HIDDEN), np.float32)
+        back[at] += d @ p["words"][own]
+    for at, own, digit, logs in words.by_digit(p, flat_state, target):
+        d = np.exp(logs)
+        d[np.arange(len(at)), digit] -= 1
+        g["digits"][own] = d.T @ flat_state[at]
+        back[at] += d @ p["digits"][own]
+    from_output = np.zeros((x.size, HIDDEN), back.dtype)
     from_output[rows] = back
     from_output = from_output.reshape(state.shape)
-    entered = np.empty((*x.shape, 3 * HIDDEN), np.float32)
+    entered = np.empty((*x.shape, 3 * HIDDEN), back.dtype)
     later = np.zeros_like(h)
     for t in range(len(x) - 1, -1, -1):
         before, z, r, n, own, _ = steps[t]
@@ -358,12 +316,12 @@ def gradients(
         g["carry"] += before.T @ dg
         later = (dh * z + dg @ p["carry"].T) * ~first[t][:, None]
     flat_x, flat_e = x.ravel(), entered.reshape(-1, 3 * HIDDEN)
-    _add_rows(g["inputs"], np.minimum(flat_x, SHORTLIST), flat_e)
-    if rest is not None:
-        others = np.flatnonzero(flat_x >= SHORTLIST)
-        c, e = rest.context[flat_x[others] - SHORTLIST], flat_e[others]
-        for i in (0, 1):
-            _add_rows(g["contexts"], c[:, i], e)
+    place = words.place[flat_x]
+    _add_rows(g["inputs"], place, flat_e)
+    others = np.flatnonzero(place >= SHORTLIST)
+    c, e = words.context[flat_x[others]], flat_e[others]
+    for i in (0, 1):
+        _add_rows(g["contexts"], c[:, i], e)
     return g, h
 
 
@@ -391,7 +349,7 @@ class Adam:
             p[n] -= np.float32(RATE) * step_
 
 
-def trained(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, adam: Adam, rest: Rest | None = None) -> None:
+def trained(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, adam: Adam, words: Words) -> None:
     """One pass over the documents, window after window, the state carried from each to the next."""
     lanes = Lanes.of(tokens, begin, LANES)
     x, used = lanes.inputs(end), lanes.document >= 0
@@ -399,152 +357,147 @@ def trained(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, adam: Ad
     for a in range(0, len(x), WINDOW):
         n = int(lanes.live[a])
         w = slice(a, a + WINDOW)
-        g, h = gradients(p, h[:n], x[w, :n], lanes.target[w, :n], lanes.first[w, :n], used[w, :n], rest)
+        g, h = gradients(p, h[:n], x[w, :n], lanes.target[w, :n], lanes.first[w, :n], used[w, :n], words)
         adam.update(p, g, LANES * WINDOW)
 
 
 # ---- tables
 
 
+class Numbering:
+    """A block's words, numbered as they come, with their counts in training documents."""
+
+    def __init__(self):
+        self.keys, self.number, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def add(self, tokens: np.ndarray, learned: np.ndarray) -> np.ndarray:
+        """The tokens' numbers."""
+        kinds, place = np.unique(tokens, return_inverse=True)
+        at = np.searchsorted(self.keys, kinds)
+        old = np.zeros(len(kinds), bool)
+        inside = at < len(self.keys)
+        old[inside] = self.keys[at[inside]] == kinds[inside]
+        number = np.empty(len(kinds), np.int32)
+        number[old] = self.number[at[old]]
+        number[~old] = len(self.counts) + np.arange((~old).sum())
+        self.keys = np.insert(self.keys, at[~old], kinds[~old])
+        self.number = np.insert(self.number, at[~old], number[~old])
+        self.counts = np.concatenate([self.counts, np.zeros((~old).sum(), np.int64)])
+        self.counts[number] += np.bincount(place, learned, minlength=len(kinds)).astype(np.int64)
+        return number[place]
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, held_out, text) into rows of documents, and of words with their counts in training documents, by block."""
+    """(id, held_out, text) into rows of documents as numbers of their block's words, and rows of these words."""
     split, pack = blank_words(True), zstandard.ZstdCompressor(level=1)
-    task, number, size = TaskContext.get().partitionId(), 0, 0
-    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def block() -> int:
-        return task << 32 | number
+    task, block, size, held = TaskContext.get().partitionId(), 0, 0, Numbering()
 
     def rows(kind: str, many: int, **columns: pa.Array) -> pa.RecordBatch:
-        made = {"block": pa.array(np.full(many, block(), np.int64)), "kind": pa.array([kind] * many, pa.string())}
-        for name, sort in (("id", pa.int64()), ("held_out", pa.bool_()), ("packed", pa.binary()), ("word", pa.int64()), ("n", pa.int64())):
+        made = {"block": pa.array(np.full(many, task << 32 | block, np.int64)), "kind": pa.array([kind] * many, pa.string())}
+        sorts = {"id": pa.int64(), "held_out": pa.bool_(), "packed": pa.binary(), "at": pa.int32(), "word": pa.int64(), "n": pa.int64()}
+        for name, sort in sorts.items():
             made[name] = columns.get(name, pa.nulls(many, sort))
         return pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
 
-    def merge(new: np.ndarray, n: np.ndarray) -> None:
-        nonlocal keys, counts
-        keys, at = np.unique(np.concatenate([keys, new]), return_inverse=True)
-        counts = np.bincount(at, np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
+    def words() -> pa.RecordBatch:
+        return rows("word", len(held.keys), at=pa.array(held.number), word=pa.array(held.keys), n=pa.array(held.counts[held.number]))
 
     for batch in batches:
         for piece in pieces(batch, "text"):
             if size > BLOCK_BYTES:
-                yield rows("word", len(keys), word=pa.array(keys), n=pa.array(counts))
-                keys, counts, size, number = keys[:0], counts[:0], 0, number + 1
+                yield words()
+                block, size, held = block + 1, 0, Numbering()
             data, at = text_bytes(piece.column(2))
             start, end, first = split.cut(data, at)
-            words = split.hashes(data, start, end).astype(np.int64)
+            begin = first + np.arange(len(first))
+            tokens = np.full(begin[-1], END, np.int64)
+            tokens[np.arange(len(start)) + np.repeat(np.arange(piece.num_rows), np.diff(first))] = split.hashes(data, start, end).astype(np.int64)
             learn = ~piece.column(1).to_numpy(zero_copy_only=False)
-            kinds, place = np.unique(words, return_inverse=True)
-            merge(kinds, np.bincount(place, np.repeat(learn, np.diff(first)).astype(np.float64), minlength=len(kinds)))
-            merge(np.array([END]), np.array([int(learn.sum())]))
+            numbers = held.add(tokens, np.repeat(learn, np.diff(begin)).astype(np.float64))
             size += len(data)
-            raw = data.tobytes()
-            texts = [pack.compress(raw[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+            texts = [pack.compress(numbers[a:b].tobytes()) for a, b in zip(begin[:-1].tolist(), begin[1:].tolist())]
             yield rows("doc", piece.num_rows, id=piece.column(0), held_out=piece.column(1), packed=pa.array(texts, pa.binary()))
-    if len(keys):
-        yield rows("word", len(keys), word=pa.array(keys), n=pa.array(counts))
-
-
-PACKED = "block long, kind string, id long, held_out boolean, packed binary, word long, n long"
-
-
-def _tokens(packed: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Word keys of documents with the end token after each, piece by piece, and where each document begins."""
-    unpack, split = zstandard.ZstdDecompressor(), blank_words(True)
-    held: list[bytes] = []
+    if len(held.keys):
+        yield words()
 
-    def cut() -> tuple[np.ndarray, np.ndarray]:
-        data = np.frombuffer(b"".join(held), np.uint8)
-        at = np.concatenate([[0], np.cumsum([len(t) for t in held])]).astype(np.int64)
-        start, end, first = split.cut(data, at)
-        words = split.hashes(data, start, end).astype(np.int64)
-        begin = first + np.arange(len(first))
-        out = np.full(begin[-1], END, np.int64)
-        out[np.arange(len(words)) + np.repeat(np.arange(len(held)), np.diff(first))] = words
-        return out, begin
 
-    size = 0
-    for one in packed:
-        held.append(unpack.decompress(one))
-        size += len(held[-1])
-        if size > 2_000_000:
-            yield cut()
-            held, size = [], 0
-    if held:
-        yield cut()
+PACKED = "block long, kind string, id long, held_out boolean, packed binary, at int, word long, n long"
 
 
-def _joined(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    tokens = np.concatenate([t for t, _ in parts])
-    sizes = np.concatenate([np.diff(b) for _, b in parts])
-    return tokens, np.concatenate([[0], np.cumsum(sizes)])
-
-
-class Shortlist:
-    def __init__(self, counts: Counts):
-        short = np.array(counts.short, np.int64)
-        self.order = np.argsort(short)
-        self.sorted = short[self.order]
-
-    def numbers(self, keys: np.ndarray) -> np.ndarray:
-        """Place in the shortlist; SHORTLIST for all other words."""
-        if not len(self.sorted):
-            return np.full(len(keys), SHORTLIST, np.int16)
-        at = np.minimum(np.searchsorted(self.sorted, keys), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == keys, self.order[at], SHORTLIST).astype(np.int16)
+def _stepped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by word: each word's step by its count, and its number among the words of that step in this partition."""
+    part, last, met, before = TaskContext.get().partitionId(), None, np.zeros(64 * STEPS, np.int64), 0
+    for batch in batches:
+        word, count = (batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("word", "count"))
+        if not len(word):
+            continue
+        new = np.concatenate([[last is None or word[0] != last], word[1:] != word[:-1]])
+        step_ = np.where(count > 0, np.floor(STEPS * np.log2(np.maximum(count, 1))), -1).astype(np.int64)
+        number = np.empty(len(word), np.int64)
+        if not new[0]:
+            number[: int(new.argmax()) if new.any() else len(word)] = before
+        starts = np.flatnonzero(new & (count > 0))
+        order = starts[np.argsort(step_[starts], kind="stable")]
+        edge = np.searchsorted(step_[order], np.arange(64 * STEPS + 1))
+        own = np.empty(len(word), np.int64)
+        own[order] = np.arange(len(order)) - edge[step_[order]] + met[step_[order]]
+        met += np.diff(edge)
+        begins = np.flatnonzero(new)
+        if len(begins):
+            number[begins[0] :] = np.repeat(own[begins], np.diff(np.append(begins, len(word))))
+        number[step_ < 0] = 0
+        last, before = word[-1], number[-1]
+        yield pa.RecordBatch.from_pydict({
+            "block": batch.column("block"), "at": batch.column("at"), "count": pa.array(count), "step": pa.array(step_.astype(np.int32)),
+            "part": pa.array(np.full(len(word), part, np.int32)), "number": pa.array(number), "new": pa.array(new), "is_end": pa.array(word == END),
+        })
+
+
+STEPPED = "block long, at int, count long, step int, part int, number long, new boolean, is_end boolean"
 
 
 class Block:
-    """One block of documents, its words numbered: places in the shortlist, then the other words in the order of their keys."""
+    """One block of documents and its words."""
 
     def __init__(self, row: dict, counts: Counts):
         self.row = row
-        keys, number = np.array(row["words"], np.int64), np.array(row["counts"], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.count = keys[order], number[order]
-        place = Shortlist(counts).numbers(self.keys).astype(np.int32)
-        other = np.flatnonzero(place == SHORTLIST)
-        place[other] = SHORTLIST + np.arange(len(other))
-        self.place = place
-        self.rest = Rest(self.keys[other], self.count[other], [v.as_py() or b"" for v in row.pop("odds").take(pa.array(order[other]))], counts)
-        self.end = int(place[np.searchsorted(self.keys, END)])
+        order = np.argsort(row["words"])
+        self.count = row["counts"][order]
+        self.words = Words(row["codes"][order], counts)
+        self.end = int(row["end"][0])
+
+    def tokens(self, of: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Word numbers of documents, about `most` at once, and where each document begins."""
+        unpack, held, size = zstandard.ZstdDecompressor(), [], 0
+        for i, packed in enumerate(self.row["packed"].take(pa.array(of))):
+            held.append(np.frombuffer(unpack.decompress(packed.as_buffer()), np.int32))
+            size += len(held[-1])
+            if size > most or i == len(of) - 1:
+                yield np.concatenate(held), np.concatenate([[0], np.cumsum([len(t) for t in held])])
+                held, size = [], 0
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], counts: Counts) -> Iterator[Block]:
     for batch in batches:
         for i in range(batch.num_rows):
             row = {n: batch.column(n)[i].values for n in batch.schema.names}
-            row = {n: v if n in ("odds", "packed") else v.to_numpy(zero_copy_only=False) for n, v in row.items()}
-            yield Block(row, counts)
+            row = {n: v if n == "packed" else v.to_numpy(zero_copy_only=False) for n, v in row.items()}
+            if len(row["packed"]):
+                yield Block(row, counts)
             give_back()
 
 
-def _learner(params: np.ndarray, counts: Counts, part: int):
+def _learner(params: np.ndarray, counts: Counts, part: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, n = {k: v.copy() for k, v in unflat(params.copy()).items()}, 0
+        p, n = {k: v.copy() for k, v in unflat(params.copy(), counts).items()}, 0
         adam = Adam(p)
         for block in _blocks(batches, counts):
-            parts, size = [], 0
-
-            def go() -> None:
-                nonlocal n, parts, size
-                if parts:
-                    tokens, begin = _joined(parts)
-                    parts.clear()
-                    trained(p, tokens, begin, block.end, adam, block.rest)
-                    n += len(tokens)
-                    parts, size = [], 0
-
-            learn = np.flatnonzero(~block.row["held_out"].astype(bool) & (block.row["parts"] == part))
-            for keys, begin in _tokens(v.as_py() for v in block.row["packed"].take(pa.array(learn))):
-                parts.append((block.place[np.searchsorted(block.keys, keys)], begin))
-                size += len(keys)
-                if size > 4_000_000:
-                    go()
-            go()
+            learn = np.flatnonzero((block.row["held_out"] == 0) & (block.row["draws"] % rounds == part))
+            for tokens, begin in block.tokens(learn, AT_ONCE):
+                trained(p, tokens, begin, block.end, adam, block.words)
+                n += len(tokens)
         if n:
-            values = flat(p).astype(np.float32)
+            values = flat(p, counts).astype(np.float32)
             chunks = [values[a : a + CHUNK].tobytes() for a in range(0, len(values), CHUNK)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(chunks)), pa.int64()), pa.array(np.full(len(chunks), n), pa.int64()), pa.array(chunks, pa.binary())],
@@ -562,10 +515,11 @@ def _mean(rows: pa.Table) -> pa.Table:
 
 
 def train(blocks: DataFrame, counts: Counts) -> np.ndarray:
-    """blocks: as `ready` makes them; a document's part is the round in which it is learned."""
-    params = flat(first_params(counts))
-    for part in range(ROUNDS):
-        made = in_tasks(blocks, _learner(params, counts, part), "place long, tokens long, params binary")
+    """blocks: as `ready` makes them; a document's draw is the round in which it is learned."""
+    params = flat(first_params(counts), counts)
+    rounds = max(LEAST_ROUNDS, -(-blocks.count().bit_length() // 2))
+    for part in range(rounds):
+        made = in_tasks(blocks, _learner(params, counts, part, rounds), "place long, tokens long, params binary")
         mean = made.groupBy("place").applyInArrow(_mean, "place long, params binary").collect()
         if mean:  # as many numbers as the model has parameters
             params = np.concatenate([np.frombuffer(r["params"], np.float32) for r in sorted(mean, key=lambda r: r["place"])])
@@ -574,84 +528,82 @@ def train(blocks: DataFrame, counts: Counts) -> np.ndarray:
 
 def _scorer(params: np.ndarray, counts: Counts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = unflat(params)
+        p = unflat(params, counts)
         for block in _blocks(batches, counts):
-            row = block.row
-            if not len(row["packed"]):
-                continue
             base = np.log10((block.count + 1) / (counts.tokens + counts.kinds + 1))
-            parts, sums = [], []
-            for own, begin in _tokens(v.as_py() for v in row["packed"]):
-                at = np.searchsorted(block.keys, own)
-                parts.append((block.place[at], begin))
-                sums.append([np.add.reduceat(v[at], begin[:-1]) for v in (base, block.count > 0)])
-            tokens, begin = _joined(parts)
-            parts.clear()
-            of_base, known = (np.concatenate(v) for v in zip(*sums))
-            score = log10_by_document(p, tokens, begin, block.end, block.rest)
-            n = len(score)
-            yield pa.RecordBatch.from_pydict({
-                "id": pa.array(row["ids"], pa.int64(), mask=row["no_id"].astype(bool)), "held_out": pa.array(row["held_out"].astype(bool)),
-                "n_tokens": pa.array(np.diff(begin).astype(np.int64)), "n_known": pa.array(known.astype(np.int64)),
-                "train_tokens": pa.array(np.full(n, counts.tokens, np.int64)), "base_score": pa.array(of_base), "score": pa.array(score),
-            })
+            row, at = block.row, 0
+            for tokens, begin in block.tokens(np.arange(len(row["packed"])), AT_ONCE):
+                n = len(begin) - 1
+                of_base, known = (np.add.reduceat(v[tokens], begin[:-1]) for v in (base, (block.count > 0).astype(np.int64)))
+                score = log10_by_document(p, tokens, begin, block.end, block.words)
+                own = slice(at, at + n)
+                yield pa.RecordBatch.from_pydict({
+                    "id": pa.array(row["ids"][own], pa.int64(), mask=row["no_id"][own].astype(bool)), "held_out": pa.array(row["held_out"][own].astype(bool)),
+                    "n_tokens": pa.array(np.diff(begin).astype(np.int64)), "n_known": pa.array(known),
+                    "train_tokens": pa.array(np.full(n, counts.tokens, np.int64)), "base_score": pa.array(of_base), "score": pa.array(score),
+                })
+                at += n
 
     return run
 
 
-def _paths(words: pa.Table) -> pa.Table:
-    """Log odds of all words that share their first bits."""
-    word, count = (words.column(c).to_numpy() for c in ("word", "count"))
-    odds = lower_odds(tree_keys(word, count), count)
-    return pa.table({"word": words.column("word"), "count": words.column("count"), "odds": pa.array(odds, pa.binary())})
-
-
-READY = (
-    "packed array<binary>, ids array<long>, no_id array<int>, held_out array<int>, parts array<int>,"
-    " words array<long>, counts array<long>, odds array<binary>"
-)
+READY = {
+    "packed": ("array<binary>", pa.binary()), "ids": ("array<long>", pa.int64()), "no_id": ("array<int>", pa.int32()),
+    "held_out": ("array<int>", pa.int32()), "draws": ("array<long>", pa.int64()), "words": ("array<int>", pa.int32()),
+    "codes": ("array<long>", pa.int64()), "counts": ("array<long>", pa.int64()), "end": ("array<int>", pa.int32()),
+}
 
 
 def _ready(documents: pa.Table, words: pa.Table) -> pa.Table:
     """A block in one row."""
-    sorts = {"packed": pa.binary(), "ids": pa.int64(), "no_id": pa.int32(), "held_out": pa.int32(), "parts": pa.int32(),
-             "words": pa.int64(), "counts": pa.int64(), "odds": pa.binary()}
-    out = {}
-    for table, pairs in ((documents, ("packed", "ids", "no_id", "held_out", "parts")), (words, ("words", "counts", "odds"))):
-        for name in pairs:
+    out, end = {}, words.filter(words.column("is_end")).select(["words"]).rename_columns(["end"])
+    for table, names in ((documents, ("packed", "ids", "no_id", "held_out", "draws")), (words, ("words", "codes", "counts")), (end, ("end",))):
+        for name in names:
             values = table.column(name).combine_chunks()
             values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
-            values = values.cast(sorts[name])
+            values = values.cast(READY[name][1])
             out[name] = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
     return pa.table(out)
 
 
+def numbered(words: DataFrame) -> DataFrame:
+    """Block, word's number in the block, count over all blocks, code, and whether the row is the word's first."""
+    counted = words.select("block", "at", "word", F.sum("n").over(Window.partitionBy("word")).alias("count"))
+    stepped = stored(in_tasks(counted, _stepped, STEPPED))
+    # as many rows as steps times partitions
+    sizes = stepped.filter("new and step >= 0").groupBy("step", "part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("step").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    begins = stored(sizes.select("step", "part", F.coalesce(before, F.lit(0)).alias("begin")))
+    code = F.shiftleft(F.col("step").cast("long"), STEP_BIT) + F.col("begin") + F.col("number")
+    return stepped.join(begins, ["step", "part"], "left").select("block", "at", "count", "step", "new", "is_end", F.coalesce(code, F.lit(-1)).alias("code"))
+
+
+def totals_of(words: DataFrame) -> Counts:
+    seen = words.filter("new and count > 0")
+    steps = {r["step"]: [r["n"], r["mass"]] for r in seen.groupBy("step").agg(F.count("*").alias("n"), F.sum("count").alias("mass")).collect()}
+    tokens, kinds = (sum(v[i] for v in steps.values()) for i in (1, 0))
+    short = seen.orderBy(F.col("is_end").desc(), F.desc("count"), "code").limit(SHORTLIST).collect()
+    for r in short:
+        steps[r["step"]][0] -= 1
+        steps[r["step"]][1] -= r["count"]
+    left = {0: [0, 0], **{s: v for s, v in steps.items() if v[0]}}
+    return Counts(tokens, kinds, tuple(r["code"] for r in short), tuple(r["count"] for r in short), tuple((s, *left[s]) for s in sorted(left)))
+
+
 def scores(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key (a long), held_out, token counts, the score of single words and the score of the network, in log10."""
     plain = docs.select(F.col(key).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
     blocks = stored(in_tasks(plain, _packed, PACKED), "kind")
-    words = blocks.filter("kind = 'word'").select("block", "word", "n")
+    words = numbered(blocks.filter("kind = 'word'").select("block", "at", "word", "n"))
     documents = blocks.filter("kind = 'doc'").select("block", "id", "held_out", "packed")
-    totals = stored(words.groupBy("word").agg(F.sum("n").alias("count")))
-    seen = totals.filter("count > 0")
-    n, kinds = seen.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count("*")).first()
-    short = seen.orderBy((F.col("word") == END).desc(), F.desc("count"), "word").limit(SHORTLIST).collect()
-    in_tree = (F.col("count") > 0) & ~F.col("word").isin([r["word"] for r in short])
-    # as `tree_keys`, of its first bits
-    power = F.lit(15) - F.least(F.length(F.bin("count")) - 1, F.lit(15))
-    first = power * (1 << (TOP - 4)) + F.shiftrightunsigned("word", 64 - (TOP - 4))
-    grouped = totals.filter(in_tree).withColumn("first", first.cast("int"))
-    top = grouped.groupBy("first").agg(F.sum(F.col("count") + 1)).orderBy("first").collect()  # 1,024 rows at most
-    counts = Counts(n, kinds, tuple(r["word"] for r in short), tuple(r["count"] for r in short), tuple((r[0], r[1]) for r in top))
-    paths = grouped.groupBy("first").applyInArrow(_paths, "word long, count long, odds binary")
-    paths = stored(paths.unionByName(totals.filter(~in_tree).select("word", "count", F.lit(None).cast("binary").alias("odds"))))
-    looked_up = words.join(paths, "word").select(F.col("block").alias("of_block"), F.col("word").alias("words"), F.col("count").alias("counts"), "odds")
-    part = F.pmod(F.xxhash64("packed"), F.lit(ROUNDS)).cast("int")
+    counts = totals_of(words)
+    looked_up = words.select(F.col("block").alias("of_block"), F.col("at").alias("words"), F.col("code").alias("codes"), F.col("count").alias("counts"), "is_end")
     own = documents.select(
         "block", "packed", F.coalesce("id", F.lit(0)).alias("ids"), F.col("id").isNull().cast("int").alias("no_id"),
-        F.col("held_out").cast("int").alias("held_out"), part.alias("parts"),
+        F.col("held_out").cast("int").alias("held_out"), F.shiftrightunsigned(F.xxhash64("packed"), 32).alias("draws"),
     )
-    ready = stored(own.groupBy("block").cogroup(looked_up.groupBy("of_block")).applyInArrow(_ready, READY))
+    schema = ", ".join(f"{n} {sort}" for n, (sort, _) in READY.items())
+    ready = stored(own.groupBy("block").cogroup(looked_up.groupBy("of_block")).applyInArrow(_ready, schema))
     params = train(ready, counts)
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return in_tasks(ready, _scorer(params, counts), schema).withColumnRenamed("id", key)

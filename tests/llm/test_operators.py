@@ -285,96 +285,153 @@ def test_language_model_base(docs):
         assert a[:4] == b[:4] and abs(a[4] - b[4]) < 1e-6 * abs(b[4])
 
 
-def test_gradients_and_windows():
-    """Gradients by differences; the log-likelihood doesn't depend on lanes or windows; probabilities add up to 1."""
-    counts = gru.Counts(1000, 700, tuple(range(gru.SHORTLIST)), tuple([1] * gru.SHORTLIST))
-    p = {k: v.astype(np.float64) for k, v in gru.first_params(counts).items()}
-    rng = np.random.default_rng(1)
-    tokens = rng.integers(0, gru.SHORTLIST + 1, 60).astype(np.int16)
-    begin = np.array([0, 25, 26, 60])
-    lanes = gru.Lanes.of(tokens, begin, 2)
-    x, used = lanes.inputs(0), lanes.document >= 0
-    h = np.zeros((2, gru.HIDDEN))
-    g, _ = gru.gradients(p, h, x, lanes.target, lanes.first, used)
+def a_vocabulary():
+    """Words as a block sees them: a shortlist of 512 words, three of them from step 3, steps of 1,500, 32, 40 and one word
+    besides, and the unknown word last."""
+    code = [s << gru.STEP_BIT | i for s, n in ((0, 1500), (2, 32), (3, 43), (4, 1), (40, 509)) for i in range(n)]
+    short = [c for c in code if c >> gru.STEP_BIT == 40] + [3 << gru.STEP_BIT | i for i in (0, 7, 42)]
+    totals = gru.Counts(6000, len(code), tuple(short), (9,) * 509 + (3,) * 3, ((0, 1500, 1500), (2, 32, 64), (3, 40, 120), (4, 1, 4)))
+    return gru.Words(np.array([*code, -1]), totals), totals, np.array([*code, -1])
 
-    def loss():
-        return -gru.log10_by_document(p, tokens, begin, 0).sum() * np.log(10)
 
-    for name, at in (("carry", (3, 7)), ("carry", (5, 40)), ("inputs", (int(tokens[3]), 9)), ("classes", (2, 1)), ("word_bias", (int(tokens[0]) % 512,))):
-        old, eps = p[name][at], 1e-3
-        p[name][at] = old + eps
-        up = loss()
-        p[name][at] = old - eps
-        down = loss()
-        p[name][at] = old
-        assert abs((up - down) / (2 * eps) - g[name][at]) < 1e-2 * max(1, abs(g[name][at]))
-    state = rng.normal(size=(1, gru.HIDDEN))
-    every = np.exp(gru.output_log(p, np.repeat(state, gru.SHORTLIST + 1, 0), np.arange(gru.SHORTLIST + 1)))
-    assert abs(every.sum() - 1) < 1e-6
-
-
-def a_rest():
-    """300 words outside the shortlist, with their paths as Spark makes them, and one word that no training document has."""
-    rng = np.random.default_rng(5)
-    words, count = rng.integers(-(2**63), 2**63, 301), np.append(np.sort(rng.zipf(1.5, 300) % 5000 + 1), 0)
-    keys = gru.tree_keys(words[:-1], count[:-1])
-    lower, first = [b""] * 301, keys >> np.uint64(64 - gru.TOP)
-    for f in np.unique(first):
-        at = np.flatnonzero(first == f)
-        for i, odds in zip(at.tolist(), gru.lower_odds(keys[at], count[at])):
-            lower[i] = odds
-    top = tuple((int(f), int((count[:-1][first == f] + 1).sum())) for f in np.unique(first))
-    n = int(count.sum())
-    totals = gru.Counts(n + 512, 812, tuple(range(gru.SHORTLIST)), (1,) * gru.SHORTLIST, top)
-    return gru.Rest(words, count, lower, totals), count, totals
-
-
-def test_words_outside_the_shortlist():
-    """Each has a probability that depends on the state and not only through its class; all add up to 1; each is known as context."""
-    rest, count, totals = a_rest()
-    p = {k: v.astype(np.float64) for k, v in gru.first_params(totals).items()}
-    n, every = len(count), np.arange(gru.SHORTLIST + len(count))
+def a_model(totals):
     rng = np.random.default_rng(2)
-    state = rng.normal(size=(2, gru.HIDDEN))
-
-    def logs():
-        return np.stack([gru.output_log(p, np.repeat(s[None], len(every), 0), every, rest) for s in state])
-
-    plain = logs()[:, gru.SHORTLIST :]
-    shares = np.log((count + 1) / (count + 1).sum())
-    for own in plain:  # before training as the counts say
-        assert np.abs(own - np.log(np.exp(own).sum()) - shares).max() < 0.5
-    p["nodes"] = rng.normal(size=p["nodes"].shape)
-    moved = logs()
-    assert np.abs(np.exp(moved).sum(axis=1) - 1).max() < 1e-6
-    turn = moved[0, gru.SHORTLIST :] - moved[1, gru.SHORTLIST :]
-    assert len(np.unique(np.round(turn, 9))) > 0.9 * n
-    seen = gru.entering(p, every[gru.SHORTLIST :], rest)
-    assert len(np.unique(np.round(seen, 9), axis=0)) == n
-
-
-def test_gradients_outside_the_shortlist():
-    rest, count, totals = a_rest()
     p = {k: v.astype(np.float64) for k, v in gru.first_params(totals).items()}
-    rng = np.random.default_rng(4)
-    p["nodes"] = rng.normal(size=p["nodes"].shape)
-    tokens, begin = rng.integers(gru.SHORTLIST - 20, gru.SHORTLIST + len(count) - 1, 60), np.array([0, 25, 26, 60])
+    p["digits"] = rng.normal(size=p["digits"].shape)
+    return p, rng
+
+
+def softmax(x):
+    e = [np.exp(v - max(x)) for v in x]
+    return [v / sum(e) for v in e]
+
+
+def plain_probability(p, state, code, totals):
+    """Of one word, from the definition: the class, then the place in it or digit after digit."""
+    short = list(totals.short)
+    steps = [s for s, _, _ in totals.steps]
+    step, number = max(code, 0) >> gru.STEP_BIT, max(code, 0) & ((1 << gru.STEP_BIT) - 1)
+    classes = softmax([state @ p["classes"][:, c] + p["class_bias"][c] for c in range(p["classes"].shape[1])])
+    if code in short:
+        at = short.index(code)
+        own = range(at // 24 * 24, min(512, at // 24 * 24 + 24))
+        return classes[at // 24] * softmax([state @ p["words"][w] + p["word_bias"][w] for w in own])[at - own[0]]
+    i = steps.index(step)
+    out = classes[gru.CLASSES + i] * (0.5 if i == 0 else 1)
+    if code < 0:
+        return out
+    members = totals.steps[i][1]
+    number -= sum(c >> gru.STEP_BIT == step and c < code for c in short)
+    for level in reversed(range(totals.levels)):
+        power = 32**level
+        if members <= power:
+            continue
+        begin = number // (32 * power) * 32 * power
+        below = [len(range(begin + d * power, min(members, begin + (d + 1) * power))) for d in range(32)]
+        weight = [n * np.exp(state @ p["digits"][level * 32 + d]) for d, n in enumerate(below)]
+        out *= weight[number // power % 32] / sum(weight)
+    return out
+
+
+def test_probabilities():
+    """Every word's own, against the definition; all add up to 1; before training as the counts of the steps say."""
+    words, totals, code = a_vocabulary()
+    p, rng = a_model(totals)
+    every, state = np.arange(len(code)), rng.normal(size=gru.HIDDEN)
+    logs = gru.output_log(p, np.repeat(state[None], len(every), 0), every, words)
+    assert abs(np.exp(logs).sum() - 1) < 1e-6
+    for i in (0, 31, 32, 1023, 1024, 1488, 1499, 1500, 1531, 1532, 1533, 1539, 1540, 1573, 1574, 1575, 1576, 2000, len(code) - 1):
+        assert abs(np.exp(logs[i]) / plain_probability(p, state, int(code[i]), totals) - 1) < 1e-5, i
+    first = {k: v.astype(np.float64) for k, v in gru.first_params(totals).items()}
+    at_rest = np.exp(gru.output_log(first, np.zeros((len(every), gru.HIDDEN)), every, words))
+    assert len(np.unique(np.round(np.log(at_rest[:1500]), 6))) == 1 and at_rest[1600] > at_rest[1502] > at_rest[0]
+    seen = words.entering(p, every)
+    assert len(np.unique(np.round(seen, 9), axis=0)) > 0.99 * len(every)  # rows by two hashes
+
+
+def test_scores_by_brute_force():
+    """The recurrence and the sum of a document, step by step; lanes and windows change nothing."""
+    words, totals, code = a_vocabulary()
+    p, rng = a_model(totals)
+    tokens, begin = rng.integers(0, len(code), 60), np.array([0, 25, 26, 60])
+    got = gru.log10_by_document(p, tokens, begin, 5, words)
+
+    def gate(x):
+        return 1 / (1 + np.exp(-x))
+
+    for d in range(3):
+        h, last, total, n = np.zeros(gru.HIDDEN), 5, 0.0, gru.HIDDEN
+        for t in tokens[begin[d] : begin[d + 1]].tolist():
+            e = p["inputs"][words.place[last]].copy()
+            if words.place[last] >= gru.SHORTLIST:
+                e += sum(p["contexts"][c] for c in words.context[last])
+            g = h @ p["carry"]
+            z, r = gate(e[:n] + g[:n]), gate(e[n : 2 * n] + g[n : 2 * n])
+            h = (1 - z) * np.tanh(e[2 * n :] + r * g[2 * n :]) + z * h
+            total += np.log10(plain_probability(p, h, int(code[t]), totals))
+            last = t
+        assert abs(got[d] - total) < 1e-5 * abs(total)
+
+
+def test_gradients():
+    words, totals, code = a_vocabulary()
+    p, rng = a_model(totals)
+    tokens, begin = rng.integers(0, len(code), 60), np.array([0, 25, 26, 60])
+    tokens[:20] = rng.integers(1575, 2080, 20)
     lanes = gru.Lanes.of(tokens, begin, 2)
     x, used = lanes.inputs(0), lanes.document >= 0
-    g, _ = gru.gradients(p, np.zeros((2, gru.HIDDEN)), x, lanes.target, lanes.first, used, rest)
+    g, _ = gru.gradients(p, np.zeros((2, gru.HIDDEN)), x, lanes.target, lanes.first, used, words)
 
     def loss():
-        return -gru.log10_by_document(p, tokens, begin, 0, rest).sum() * np.log(10)
+        return -gru.log10_by_document(p, tokens, begin, 0, words).sum() * np.log(10)
 
-    row = rest.context[int(tokens[tokens >= gru.SHORTLIST][0]) - gru.SHORTLIST]
-    for name, at in (("nodes", (1, 3)), ("nodes", (5, 0)), ("nodes", (100, 2)), ("contexts", (int(row[0]), 9)), ("contexts", (int(row[1]), 20)), ("carry", (3, 7))):
+    row, short = words.context[tokens[tokens < 1500][0]], int(words.place[tokens[3]])
+    places = [("digits", (1, 3)), ("digits", (35, 0)), ("digits", (64, 2)), ("contexts", (int(row[0]), 9)), ("contexts", (int(row[1]), 20)), ("carry", (3, 7)),
+              ("carry", (5, 40)), ("inputs", (short, 9)), ("inputs", (gru.SHORTLIST, 3)), ("classes", (2, 1)), ("classes", (2, 23)), ("word_bias", (short,))]
+    for name, at in places:
         old, eps = p[name][at], 1e-3
         p[name][at] = old + eps
         up = loss()
         p[name][at] = old - eps
         down = loss()
         p[name][at] = old
-        assert abs((up - down) / (2 * eps) - g[name][at]) < 1e-2 * max(1, abs(g[name][at]))
+        assert abs((up - down) / (2 * eps) - g[name][at]) < 1e-2 * max(1, abs(g[name][at])), (name, at)
+
+
+def test_words_are_numbered_once(spark):
+    """Each word has one code in all blocks; the numbers of a step have no gap, over partitions and batches."""
+    rng = np.random.default_rng(3)
+    rows = [(int(b), i, int(w), int(n)) for b in range(7) for i, (w, n) in enumerate(zip(rng.choice(4000, 900, replace=False), rng.integers(0, 4, 900)))]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    words = spark.createDataFrame(rows, "block long, at int, word long, n long")
+    got = {(r.block, r["at"]): r for r in gru.numbered(words).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    count, codes = Counter(), {}
+    for _, _, w, n in rows:
+        count[w] += n
+    for b, i, w, _ in rows:
+        r = got[b, i]
+        assert r["count"] == count[w] and codes.setdefault(w, r.code) == r.code
+    assert sum(r.new for r in got.values()) == len(count) and len(got) == len(rows)
+    by_step = {}
+    for w, c in codes.items():
+        if count[w]:
+            by_step.setdefault(int(np.floor(2 * np.log2(count[w]))), []).append(c)
+        else:
+            assert c == -1
+    for s, own in by_step.items():
+        assert sorted(own) == [s << gru.STEP_BIT | i for i in range(len(own))]
+
+
+def test_language_model_learns(spark, docs, nothing):
+    """Held-out text of the learned kind scores above single words; without training documents there is one word, the unknown."""
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{(i * 31 + j * j) % 50}" for j in range(40))) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = gru.scores(df, F.col("doc_id") % 5 == 1).filter("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
+    none = gru.scores(docs, F.lit(True)).collect()
+    assert len(none) == len(ROWS) and all(r.n_known == r.train_tokens == r.base_score == 0 and abs(r.score) < 1e-3 for r in none if r.n_tokens < 100)
 
 
 def test_url_lists(spark):
