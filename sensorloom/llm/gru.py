@@ -129,15 +129,15 @@ class Words:
         self.context = np.stack([mixed % np.uint64(CONTEXTS), CONTEXTS + (mixed >> np.uint64(32)) % np.uint64(CONTEXTS)], axis=1).astype(np.int32)
 
     def by_digit(self, p: Params, state: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray, np.ndarray]]:
-        """(rows, the place's parameters, digits, log softmax) of the rows whose words have a digit at that place."""
+        """(rows, the place's parameters, digits, logits in columns) of the rows whose words have a digit at that place."""
         for level in range(self.totals.levels):
             rows = np.flatnonzero(self.has[level][target])
             if len(rows):
                 own, w = slice(level * BASE, (level + 1) * BASE), target[rows]
-                logits = state[rows] @ p["digits"][own].T
+                logits = p["digits"][own] @ state[rows].T
                 last = np.flatnonzero(self.last[level][w])
-                logits[last] += self.totals.tails[self.step[w[last]], level]
-                yield rows, own, self.digit[level][w], _log_softmax(logits)
+                logits[:, last] += self.totals.tails[self.step[w[last]], level].T
+                yield rows, own, self.digit[level][w], logits
 
     def by_class(self, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
         """(rows, the class's words, places in the class) of targets in the shortlist."""
@@ -188,18 +188,29 @@ def unflat(values: np.ndarray, counts: Counts) -> Params:
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Of each column, in place."""
+    x -= x.max(axis=0)
+    np.exp(x, out=x)
+    x /= x.sum(axis=0)
+    return x
+
+
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of each column, in the row that is asked for."""
+    x -= x.max(axis=0)
+    own = x[at, np.arange(len(at))]
+    np.exp(x, out=x)
+    return own - np.log(x.sum(axis=0))
 
 
 def output_log(p: Params, state: np.ndarray, target: np.ndarray, words: Words) -> np.ndarray:
     """Natural log of each word's probability: of its class, and of the word in it."""
-    out = _log_softmax(state @ p["classes"] + p["class_bias"])[np.arange(len(target)), words.kind[target]] + words.fixed[target]
+    out = _log_softmax_at(p["classes"].T @ state.T + p["class_bias"][:, None], words.kind[target]) + words.fixed[target]
     for rows, own, place in words.by_class(target):
-        out[rows] += _log_softmax(state[rows] @ p["words"][own].T + p["word_bias"][own])[np.arange(len(rows)), place]
-    for rows, _, digit, logs in words.by_digit(p, state, target):
-        out[rows] += logs[np.arange(len(rows)), digit]
+        out[rows] += _log_softmax_at(p["words"][own] @ state[rows].T + p["word_bias"][own][:, None], place)
+    for rows, _, digit, logits in words.by_digit(p, state, target):
+        out[rows] += _log_softmax_at(logits, digit)
     return out
 
 
@@ -277,44 +288,44 @@ def gradients(
     p: Params, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray, used: np.ndarray, words: Words
 ) -> tuple[Params, np.ndarray]:
     """Of the summed loss of one window, backwards through it; and the state after it."""
-    steps, e = [], words.entering(p, x)
+    e = words.entering(p, x)
+    before, z, r, n, own, state = (np.empty((*x.shape, HIDDEN), e.dtype) for _ in range(6))
     for t in range(len(x)):
-        before = np.where(first[t][:, None], np.float32(0), h)
-        h, z, r, n, own = step(p, before, e[t])
-        steps.append((before, z, r, n, own, h))
-    state = np.stack([s[5] for s in steps])
+        before[t] = np.where(first[t][:, None], np.float32(0), h)
+        h, z[t], r[t], n[t], own[t] = step(p, before[t], e[t])
+        state[t] = h
     rows = np.flatnonzero(used.ravel())
     flat_state, target = state.reshape(-1, HIDDEN)[rows], y.ravel()[rows]
     g = {name: np.zeros_like(v) for name, v in p.items()}
-    d = np.exp(_log_softmax(flat_state @ p["classes"] + p["class_bias"]))
-    d[np.arange(len(rows)), words.kind[target]] -= 1
-    g["classes"], g["class_bias"] = flat_state.T @ d, d.sum(axis=0)
-    back = d @ p["classes"].T
-    for at, own, place in words.by_class(target):
+    d = _softmax(p["classes"].T @ flat_state.T + p["class_bias"][:, None])
+    d[words.kind[target], np.arange(len(rows))] -= 1
+    g["classes"], g["class_bias"] = (d @ flat_state).T, d.sum(axis=1)
+    back = (p["classes"] @ d).T
+    for at, of, place in words.by_class(target):
         s = flat_state[at]
-        d = np.exp(_log_softmax(s @ p["words"][own].T + p["word_bias"][own]))
-        d[np.arange(len(at)), place] -= 1
-        g["words"][own], g["word_bias"][own] = d.T @ s, d.sum(axis=0)
-        back[at] += d @ p["words"][own]
-    for at, own, digit, logs in words.by_digit(p, flat_state, target):
-        d = np.exp(logs)
-        d[np.arange(len(at)), digit] -= 1
-        g["digits"][own] = d.T @ flat_state[at]
-        back[at] += d @ p["digits"][own]
+        d = _softmax(p["words"][of] @ s.T + p["word_bias"][of][:, None])
+        d[place, np.arange(len(at))] -= 1
+        g["words"][of], g["word_bias"][of] = d @ s, d.sum(axis=1)
+        back[at] += (p["words"][of].T @ d).T
+    for at, of, digit, logits in words.by_digit(p, flat_state, target):
+        d = _softmax(logits)
+        d[digit, np.arange(len(at))] -= 1
+        g["digits"][of] = d @ flat_state[at]
+        back[at] += (p["digits"][of].T @ d).T
     from_output = np.zeros((x.size, HIDDEN), back.dtype)
     from_output[rows] = back
     from_output = from_output.reshape(state.shape)
-    entered = np.empty((*x.shape, 3 * HIDDEN), back.dtype)
-    later = np.zeros_like(h)
+    of_n, of_z, of_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), own * r * (1 - r)
+    entered, dg, later = np.empty_like(e), np.empty_like(e), np.zeros_like(h)
+    back_to = np.ascontiguousarray(p["carry"].T)
     for t in range(len(x) - 1, -1, -1):
-        before, z, r, n, own, _ = steps[t]
         dh = from_output[t] + later
-        dn = dh * (1 - z) * (1 - n * n)
-        dg = np.concatenate([dh * (before - n) * z * (1 - z), dn * own * r * (1 - r), dn * r], axis=1)
-        entered[t] = dg
+        dn = dh * of_n[t]
         entered[t, :, 2 * HIDDEN :] = dn
-        g["carry"] += before.T @ dg
-        later = (dh * z + dg @ p["carry"].T) * ~first[t][:, None]
+        dg[t, :, :HIDDEN], dg[t, :, HIDDEN : 2 * HIDDEN], dg[t, :, 2 * HIDDEN :] = dh * of_z[t], dn * of_r[t], dn * r[t]
+        later = (dh * z[t] + dg[t] @ back_to) * ~first[t][:, None]
+    entered[:, :, : 2 * HIDDEN] = dg[:, :, : 2 * HIDDEN]
+    g["carry"] = before.reshape(-1, HIDDEN).T @ dg.reshape(-1, 3 * HIDDEN)
     flat_x, flat_e = x.ravel(), entered.reshape(-1, 3 * HIDDEN)
     place = words.place[flat_x]
     _add_rows(g["inputs"], place, flat_e)
@@ -342,11 +353,20 @@ class Adam:
     def update(self, p: Params, g: Params, size: int) -> None:
         self.t += 1
         for n in p:
-            d = g[n] / size
-            self.m[n] += 0.1 * (d - self.m[n])
-            self.v[n] += 0.01 * (d * d - self.v[n])
-            step_ = self.m[n] / (1 - 0.9**self.t) / (np.sqrt(self.v[n] / (1 - 0.99**self.t)) + 1e-8)
-            p[n] -= np.float32(RATE) * step_
+            d, m, v = g[n], self.m[n], self.v[n]
+            d *= np.float32(1 / size)
+            m *= np.float32(0.9)
+            m += np.float32(0.1) * d
+            d *= d
+            d *= np.float32(0.01)
+            v *= np.float32(0.99)
+            v += d
+            np.multiply(v, np.float32(1 / (1 - 0.99**self.t)), out=d)
+            np.sqrt(d, out=d)
+            d += np.float32(1e-8)
+            np.divide(m, d, out=d)
+            d *= np.float32(RATE / (1 - 0.9**self.t))
+            p[n] -= d
 
 
 def trained(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, adam: Adam, words: Words) -> None:
