@@ -462,6 +462,30 @@ def test_empty_tables(spark, nothing):
     assert [df.count() for df in made] == [0] * len(made)
 
 
+def test_empty_classifier_and_lists(spark, docs, nothing):
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    model = compressor.fit(nothing, labels.limit(0), F.lit(True))
+    assert compressor.scored(nothing, model).count() == 0
+    assert compressor.scored(nothing, compressor.fit(docs, labels, F.lit(True))).count() == 0
+    captures = spark.createDataFrame([(1, "http://a.org/" + "x/" * 2_000, date(2024, 1, 2)), (2, None, None)], "page_id long, url string, fetched date")
+    entries = spark.createDataFrame([("a.org/x", date(2024, 1, 1), "add")], "pattern string, dated date, action string")
+    assert url_lists.listed(captures.limit(0), entries).count() == 0
+    assert {r.page_id: r.blocked for r in url_lists.listed(captures, entries.limit(0)).collect()} == {1: False, 2: False}
+    assert {r.page_id: r.blocked for r in url_lists.listed(captures, entries).collect()} == {1: True, 2: False}
+
+
+def test_pipeline_on_empty_tables(spark, nothing, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    data = nothing.drop("n_words").withColumn("n_chars", F.length("text").cast("long"))
+    data.write.parquet(str(tmp_path / "documents.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, data, str(tmp_path))
+        assert out.columns == data.columns and out.count() == 0, name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_no_benchmark(spark, docs):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert benchmark_suffixes.contamination(docs, bench).filter("n_hit > 0").count() == 0
