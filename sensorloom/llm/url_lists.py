@@ -30,13 +30,13 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
 
 
-def patterns_of(url: Column) -> Column:
-    """All patterns that hold for a url: its host and parent domains, alone and with the path's first segments."""
+def patterns_of(url: Column, deepest: int) -> Column:
+    """All patterns that hold for a url: its host and parent domains, alone and with the path's first segments, `deepest` at most."""
     labels = F.split(host_of(url), r"\.", -1)
     n = F.size(labels)
     last = F.greatest(n - 2, F.lit(0))  # a parent domain has two labels at least
     hosts = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice(labels, i + 1, n), "."))
-    segments = F.filter(F.split(path_of(url), "/", -1), lambda s: s != "")
+    segments = F.slice(F.filter(F.split(path_of(url), "/", -1), lambda s: s != ""), 1, deepest)
     starts = F.transform(
         F.sequence(F.lit(0), F.size(segments)),
         lambda k: F.when(k == 0, F.lit("")).otherwise(F.concat(F.lit("/"), F.array_join(F.slice(segments, 1, k), "/"))),
@@ -57,8 +57,10 @@ def intervals(entries: DataFrame) -> DataFrame:
 def listed(captures: DataFrame, entries: DataFrame, key: str = "page_id", url: str = "url", fetched: str = "fetched") -> DataFrame:
     """Key, fetch time, number of entries active then, these entries, and the verdict, for every capture."""
     plain = captures.select(F.col(key).alias("_key"), F.col(url).alias("_url"), F.col(fetched).alias("_at"))
-    asked = plain.select("_url", "_at").distinct().select("_url", "_at", F.explode(patterns_of(F.col("_url"))).alias("pattern"))
     spans = intervals(entries)
+    # no pattern of the list goes deeper: a url with a thousand segments has as many patterns as can be met, and none is lost
+    deepest = spans.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0
+    asked = plain.select("_url", "_at").distinct().select("_url", "_at", F.explode(patterns_of(F.col("_url"), deepest)).alias("pattern"))
     active = (F.col("_at") >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col("_at") < F.col("valid_to")))
     hits = asked.join(spans, "pattern").filter(active)
     found = hits.groupBy(F.col("_url").alias("_u"), F.col("_at").alias("_t")).agg(
