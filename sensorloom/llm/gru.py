@@ -27,6 +27,7 @@ import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from sensorloom.llm.texts import blank_words, constants, give_back, in_tasks, mi
 HIDDEN, SHORTLIST, CLASS_SIZE = 16, 512, 24
 LEAST_ROUNDS = 2
 LANES, WINDOW = 256, 20  # documents side by side and steps of a training window
-SCORE_LANES, SCORE_WINDOW = 1024, 16
+SCORE_LANES, SCORE_WINDOW = 1024, 16  # a window of fewer lanes has as many steps more
 RATE = 0.01
 BLOCK_BYTES = 24_000_000
 AT_ONCE = 4_000_000  # tokens learned together in a block
@@ -116,49 +117,85 @@ class Words:
         self.totals = totals
         self.place = place.astype(np.int32)  # row among the inputs
         self.kind = np.where(hit, self.place // CLASS_SIZE, CLASSES + index).astype(np.int32)
-        self.step = index.astype(np.int32)
-        self.fixed = np.where(~hit & (index == 0) & (totals.sizes[0] > 0), np.log(0.5), 0.0)
         n = np.where(hit | (code < 0), 0, totals.sizes[index])
-        self.digit, self.has, self.last = [], [], []
-        for level in range(totals.levels):
-            power = BASE**level
-            self.digit.append((number // power % BASE).astype(np.int8))
-            self.has.append(n > power)
-            self.last.append(number // (power * BASE) == (n - 1) // (power * BASE))
+        power = BASE ** np.arange(totals.levels, dtype=np.int64)
+        self.digit, self.last = np.zeros((len(code), totals.levels), np.int8), np.zeros((len(code), totals.levels), bool)
+        for level, w in enumerate(power.tolist()):
+            self.digit[:, level] = number // w % BASE
+            self.last[:, level] = (n > w) & (number // (w * BASE) == (n - 1) // (w * BASE))
+        self.group = np.where(hit, self.kind, CLASSES + np.searchsorted(power, n)).astype(np.int8)  # class, or number of digits
         mixed = mix64(code.astype(np.uint64) + np.uint64(1))
         self.context = np.stack([mixed % np.uint64(CONTEXTS), CONTEXTS + (mixed >> np.uint64(32)) % np.uint64(CONTEXTS)], axis=1).astype(np.int32)
 
-    def by_digit(self, p: Params, state: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray, np.ndarray]]:
-        """(rows, the place's parameters, digits, logits in columns) of the rows whose words have a digit at that place."""
-        for level in range(self.totals.levels):
-            rows = np.flatnonzero(self.has[level][target])
-            if len(rows):
-                own, w = slice(level * BASE, (level + 1) * BASE), target[rows]
-                logits = p["digits"][own] @ state[rows].T
-                last = np.flatnonzero(self.last[level][w])
-                logits[:, last] += self.totals.tails[self.step[w[last]], level].T
-                yield rows, own, self.digit[level][w], logits
-
-    def by_class(self, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
-        """(rows, the class's words, places in the class) of targets in the shortlist."""
-        kind = self.kind[target]
-        order = np.argsort(kind, kind="stable")
-        cut = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            rows = order[cut[c] : cut[c + 1]]
-            if len(rows):
-                yield rows, slice(c * CLASS_SIZE, min(SHORTLIST, (c + 1) * CLASS_SIZE)), self.place[target[rows]] - c * CLASS_SIZE
-
     def entering(self, p: Params, x: np.ndarray) -> np.ndarray:
         """Input rows of words."""
         place = self.place[x]
-        e = p["inputs"][place]
-        rows = place >= SHORTLIST
-        c = self.context[x[rows]]
-        e[rows] += p["contexts"][c[:, 0]] + p["contexts"][c[:, 1]]
+        e = np.take(p["inputs"], place, axis=0)
+        rows = np.flatnonzero(place >= SHORTLIST)
+        c = np.take(self.context, x.ravel()[rows], axis=0)
+        own = np.take(p["contexts"], c[:, 0], axis=0)
+        own += np.take(p["contexts"], c[:, 1], axis=0)
+        flat_e = e.reshape(-1, e.shape[-1])
+        own += np.take(flat_e, rows, axis=0)
+        flat_e[rows] = own
         return e
 
 
+class Targets:
+    """Words to be found, in the order of their classes and, beyond the shortlist, of how many digits they have: what is
+    worked out together lies together. `rows`: which row of the states each has."""
+
+    def __init__(self, words: Words, target: np.ndarray):
+        group = words.group[target]
+        self.rows = np.argsort(group, kind="stable")
+        self.target, self.words = target[self.rows], words
+        self.cut = np.searchsorted(group[self.rows], np.arange(CLASSES + words.totals.levels + 2)).tolist()
+
+    @cached_property
+    def kind(self) -> np.ndarray:
+        return self.words.kind[self.target]
+
+    @property
+    def short(self) -> int:
+        """Those in the shortlist come first."""
+        return self.cut[CLASSES]
+
+    @cached_property
+    def in_class(self) -> np.ndarray:
+        return self.words.place[self.target[: self.short]] % CLASS_SIZE
+
+    def classes(self) -> Iterator[tuple[slice, slice]]:
+        """(the class's words, their targets)."""
+        for c in range(CLASSES):
+            a, b = self.cut[c : c + 2]
+            if a < b:
+                yield slice(c * CLASS_SIZE, min(SHORTLIST, (c + 1) * CLASS_SIZE)), slice(a, b)
+
+    def of_class(self, rows: np.ndarray, state: np.ndarray) -> np.ndarray:
+        """Logits of the shortlist's targets in columns, by place in the class. `rows`, `state`: as `joined` makes them."""
+        made = np.full((CLASS_SIZE, self.short), -1e4, state.dtype)
+        for of, at in self.classes():
+            np.matmul(rows[of], state[at].T, out=made[: of.stop - of.start, at])
+        return made
+
+    def by_digit(self, p: Params, state: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray, np.ndarray]]:
+        """Of the targets with one, two, ... digits: (targets, the digits' parameters, digits, logits: place, digit, target)."""
+        words, totals = self.words, self.words.totals
+        for n in range(1, totals.levels + 1):
+            at, of = slice(*self.cut[CLASSES + n : CLASSES + n + 2]), slice(0, n * BASE)
+            if at.start == at.stop:
+                continue
+            w, kind = self.target[at], self.kind[at] - CLASSES
+            logits = (p["digits"][of] @ state[at].T).reshape(n, BASE, -1)
+            # at their first digit all are in the last node, at the others a few
+            logits[n - 1] += np.take(totals.tails[:, n - 1].T, kind, axis=1)
+            last = np.take(words.last, w, axis=0)
+            for level in range(n - 1):
+                own = np.flatnonzero(last[:, level])
+                logits[level][:, own] += totals.tails[kind[own], level].T
+            yield at, of, np.take(words.digit, w, axis=0)[:, :n].T.astype(np.intp), logits
+
+
 def first_params(counts: Counts) -> Params:
     """Small fixed numbers, and biases that make the frequencies of single words."""
     made = {}
@@ -188,39 +225,82 @@ def unflat(values: np.ndarray, counts: Counts) -> Params:
     return out
 
 
+def joined(rows: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Rows with one more column: a bias of weights, or 1 of states."""
+    return np.concatenate([rows, np.broadcast_to(last, len(rows))[:, None].astype(rows.dtype)], axis=1)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     """Of each column, in place."""
-    x -= x.max(axis=0)
+    x -= x.max(axis=-2, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(axis=0)
+    x /= x.sum(axis=-2, keepdims=True)
+    return x
+
+
+def _own(at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Index of row `at` of each column."""
+    columns = np.arange(at.shape[-1])
+    return (at, columns) if at.ndim == 1 else (np.arange(len(at))[:, None], at, columns)
+
+
+def _loss(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Derivatives of the loss by each column's logits, in their place."""
+    _softmax(x)
+    x[_own(at)] -= 1
     return x
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of each column, in the row that is asked for."""
-    x -= x.max(axis=0)
-    own = x[at, np.arange(len(at))]
+    x -= x.max(axis=-2, keepdims=True)
+    own = x[_own(at)]
     np.exp(x, out=x)
-    return own - np.log(x.sum(axis=0))
+    return own - np.log(x.sum(axis=-2))
 
 
 def output_log(p: Params, state: np.ndarray, target: np.ndarray, words: Words) -> np.ndarray:
-    """Natural log of each word's probability: of its class, and of the word in it."""
-    out = _log_softmax_at(p["classes"].T @ state.T + p["class_bias"][:, None], words.kind[target]) + words.fixed[target]
-    for rows, own, place in words.by_class(target):
-        out[rows] += _log_softmax_at(p["words"][own] @ state[rows].T + p["word_bias"][own][:, None], place)
-    for rows, _, digit, logits in words.by_digit(p, state, target):
-        out[rows] += _log_softmax_at(logits, digit)
+    """Natural log of each word's probability: of its class, and of the word in it. States may have their 1 already."""
+    to, out = Targets(words, target), np.empty(len(target))
+    own = np.take(state if state.shape[1] > HIDDEN else joined(state, 1), to.rows, axis=0)
+    logs = _log_softmax_at(joined(p["classes"].T, p["class_bias"]) @ own.T, to.kind)
+    if words.totals.sizes[0]:
+        logs[to.kind == CLASSES] += np.log(0.5)  # words seen once, and the unknown one
+    logs[: to.short] += _log_softmax_at(to.of_class(joined(p["words"], p["word_bias"]), own), to.in_class)
+    for at, _, digit, logits in to.by_digit(p, own[:, :HIDDEN]):
+        logs[at] += _log_softmax_at(logits, digit).sum(axis=0)
+    out[to.rows] = logs
     return out
 
 
-def step(p: Params, h: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, ...]:
-    g = h @ p["carry"]
-    gates = 0.5 * np.tanh(0.5 * (e[:, : 2 * HIDDEN] + g[:, : 2 * HIDDEN])) + 0.5
-    z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-    own = g[:, 2 * HIDDEN :]
-    n = np.tanh(e[:, 2 * HIDDEN :] + r * own)
-    return n + z * (h - n), z, r, n, own
+class Cell:
+    """The recurrence, lanes in columns. What the gates add up has its sign turned beforehand."""
+
+    def __init__(self, p: Params):
+        self.carry = p["carry"].T.copy()
+        self.carry[: 2 * HIDDEN] *= -1
+
+    @staticmethod
+    def entering(p: Params, x: np.ndarray, words: Words) -> np.ndarray:
+        """(step, input, lane)."""
+        e = words.entering(p, x).transpose(0, 2, 1).copy()
+        np.negative(e[:, : 2 * HIDDEN], out=e[:, : 2 * HIDDEN])
+        return e
+
+    def step(self, h: np.ndarray, e: np.ndarray, g: np.ndarray, n: np.ndarray, new: np.ndarray) -> None:
+        """Fills in both gates and what of the old state enters the candidate (`g`), the candidate and the new state."""
+        np.matmul(self.carry, h, out=g)
+        gates, own = g[: 2 * HIDDEN], g[2 * HIDDEN :]
+        gates += e[: 2 * HIDDEN]
+        np.exp(gates, out=gates)  # infinite where the gate is shut
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        np.multiply(gates[HIDDEN:], own, out=n)
+        n += e[2 * HIDDEN :]
+        np.tanh(n, out=n)
+        np.subtract(h, n, out=new)
+        new *= gates[:HIDDEN]
+        new += n
 
 
 @dataclass
@@ -233,8 +313,9 @@ class Lanes:
     live: np.ndarray  # lanes that go on, at each step
 
     @classmethod
-    def of(cls, tokens: np.ndarray, begin: np.ndarray, lanes: int) -> Lanes:
-        sizes = np.diff(begin)
+    def of(cls, tokens: np.ndarray, begin: np.ndarray, lanes: int, documents: np.ndarray | None = None) -> Lanes:
+        documents = np.arange(len(begin) - 1) if documents is None else documents
+        sizes = np.diff(begin)[documents]
         # no more lanes than the longest document leaves work for
         lanes = min(lanes, len(sizes), -(-int(sizes.sum()) // int(sizes.max())))
         heap = [(0, b) for b in range(lanes)]
@@ -250,8 +331,9 @@ class Lanes:
             at = 0
             for d in held[b]:
                 n = int(sizes[d])
-                target[at : at + n, lane] = tokens[begin[d] : begin[d + 1]]
-                document[at : at + n, lane] = d
+                own = int(documents[d])
+                target[at : at + n, lane] = tokens[begin[own] : begin[own + 1]]
+                document[at : at + n, lane] = own
                 first[at, lane] = True
                 at += n
         return cls(target, document, first, (document >= 0).sum(axis=1))
@@ -264,87 +346,109 @@ class Lanes:
         return x
 
 
+@np.errstate(over="ignore")
 def log10_by_document(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, words: Words) -> np.ndarray:
     """Sum over each document's tokens of the log10 probabilities that the network gives."""
-    lanes = Lanes.of(tokens, begin, SCORE_LANES)
-    x = lanes.inputs(end)
-    out = np.zeros(len(begin) - 1)
-    h = np.zeros((x.shape[1], HIDDEN), np.float32)
-    for a in range(0, len(x), SCORE_WINDOW):
-        states, targets, documents = [], [], []
-        e = words.entering(p, x[a : a + SCORE_WINDOW, : int(lanes.live[a])])
-        for t in range(a, min(a + SCORE_WINDOW, len(x))):
-            n = int(lanes.live[t])
-            # a copy: the states before are still to be read
-            h = np.where(lanes.first[t, :n, None], np.float32(0), h[:n])
-            h = step(p, h, e[t - a, :n])[0]
-            states.append(h), targets.append(lanes.target[t, :n]), documents.append(lanes.document[t, :n])
-        logs = output_log(p, np.concatenate(states), np.concatenate(targets), words)
-        out += np.bincount(np.concatenate(documents), logs, minlength=len(out))
+    out, cell, sizes = np.zeros(len(begin) - 1), Cell(p), np.diff(begin)
+    # a document longer than a lane would keep the others narrow
+    long = sizes * SCORE_LANES > sizes.sum()
+    for own in (np.flatnonzero(long), np.flatnonzero(~long)):
+        if not len(own):
+            continue
+        lanes = Lanes.of(tokens, begin, SCORE_LANES, own)
+        x, goes_on, a = lanes.inputs(end), ~lanes.first, 0
+        h = np.zeros((HIDDEN, x.shape[1]), np.float32)
+        while a < len(x):
+            n = int(lanes.live[a])
+            w = slice(a, a + SCORE_LANES * SCORE_WINDOW // n)
+            e = cell.entering(p, x[w, :n], words)
+            state, g, candidate = np.ones((len(e), HIDDEN + 1, n), e.dtype), np.empty(e.shape[1:], e.dtype), np.empty((HIDDEN, n), e.dtype)
+            for t in range(len(e)):
+                cell.step(h[:, :n] * goes_on[a + t, :n], e[t], g, candidate, state[t, :HIDDEN])
+                h = state[t, :HIDDEN]
+            rows = np.flatnonzero(lanes.document[w, :n].ravel() >= 0)
+            states = np.take(state.transpose(0, 2, 1).reshape(-1, HIDDEN + 1), rows, axis=0)
+            logs = output_log(p, states, lanes.target[w, :n].ravel()[rows], words)
+            out += np.bincount(lanes.document[w, :n].ravel()[rows], logs, minlength=len(out))
+            a += len(e)
     return out / np.log(10)
 
 
+@np.errstate(over="ignore")
 def gradients(
     p: Params, h: np.ndarray, x: np.ndarray, y: np.ndarray, first: np.ndarray, used: np.ndarray, words: Words
 ) -> tuple[Params, np.ndarray]:
     """Of the summed loss of one window, backwards through it; and the state after it."""
-    e = words.entering(p, x)
-    before, z, r, n, own, state = (np.empty((*x.shape, HIDDEN), e.dtype) for _ in range(6))
-    for t in range(len(x)):
-        before[t] = np.where(first[t][:, None], np.float32(0), h)
-        h, z[t], r[t], n[t], own[t] = step(p, before[t], e[t])
-        state[t] = h
+    steps, lanes = x.shape
+    cell, e, goes_on = Cell(p), Cell.entering(p, x, words), ~first
+    before, n, dn = (np.empty((steps, HIDDEN, lanes), e.dtype) for _ in range(3))
+    state = np.ones((steps, HIDDEN + 1, lanes), e.dtype)
+    g, now = np.empty(e.shape, e.dtype), h.T
+    for t in range(steps):
+        np.multiply(now, goes_on[t], out=before[t])
+        now = state[t, :HIDDEN]
+        cell.step(before[t], e[t], g[t], n[t], now)
+    z, r, own = g[:, :HIDDEN], g[:, HIDDEN : 2 * HIDDEN], g[:, 2 * HIDDEN :]
     rows = np.flatnonzero(used.ravel())
-    flat_state, target = state.reshape(-1, HIDDEN)[rows], y.ravel()[rows]
-    g = {name: np.zeros_like(v) for name, v in p.items()}
-    d = _softmax(p["classes"].T @ flat_state.T + p["class_bias"][:, None])
-    d[words.kind[target], np.arange(len(rows))] -= 1
-    g["classes"], g["class_bias"] = (d @ flat_state).T, d.sum(axis=1)
-    back = (p["classes"] @ d).T
-    for at, of, place in words.by_class(target):
-        s = flat_state[at]
-        d = _softmax(p["words"][of] @ s.T + p["word_bias"][of][:, None])
-        d[place, np.arange(len(at))] -= 1
-        g["words"][of], g["word_bias"][of] = d @ s, d.sum(axis=1)
-        back[at] += (p["words"][of].T @ d).T
-    for at, of, digit, logits in words.by_digit(p, flat_state, target):
-        d = _softmax(logits)
-        d[digit, np.arange(len(at))] -= 1
-        g["digits"][of] = d @ flat_state[at]
-        back[at] += (p["digits"][of].T @ d).T
+    to = Targets(words, y.ravel()[rows])
+    rows = rows[to.rows]
+    s = np.take(state.transpose(0, 2, 1).reshape(-1, HIDDEN + 1), rows, axis=0)
+    made = {name: np.zeros_like(v) for name, v in p.items()}
+    d = _loss(joined(p["classes"].T, p["class_bias"]) @ s.T, to.kind)
+    of_rows = d @ s
+    made["classes"][:], made["class_bias"][:] = of_rows[:, :HIDDEN].T, of_rows[:, HIDDEN]
+    back = p["classes"] @ d
+    d = _loss(to.of_class(joined(p["words"], p["word_bias"]), s), to.in_class)
+    of_rows = np.zeros((SHORTLIST, HIDDEN + 1), s.dtype)
+    for of, at in to.classes():
+        own_d = d[: of.stop - of.start, at]
+        np.matmul(own_d, s[at], out=of_rows[of])
+        back[:, at] += p["words"][of].T @ own_d
+    made["words"][:], made["word_bias"][:] = of_rows[:, :HIDDEN], of_rows[:, HIDDEN]
+    s = s[:, :HIDDEN]
+    for at, of, digit, logits in to.by_digit(p, s):
+        d = _loss(logits, digit).reshape(of.stop, -1)
+        made["digits"][of] += d @ s[at]
+        back[:, at] += p["digits"][of].T @ d
     from_output = np.zeros((x.size, HIDDEN), back.dtype)
-    from_output[rows] = back
-    from_output = from_output.reshape(state.shape)
+    from_output[rows] = back.T
+    from_output = from_output.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1).copy()
     of_n, of_z, of_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), own * r * (1 - r)
-    entered, dg, later = np.empty_like(e), np.empty_like(e), np.zeros_like(h)
-    back_to = np.ascontiguousarray(p["carry"].T)
-    for t in range(len(x) - 1, -1, -1):
-        dh = from_output[t] + later
-        dn = dh * of_n[t]
-        entered[t, :, 2 * HIDDEN :] = dn
-        dg[t, :, :HIDDEN], dg[t, :, HIDDEN : 2 * HIDDEN], dg[t, :, 2 * HIDDEN :] = dh * of_z[t], dn * of_r[t], dn * r[t]
-        later = (dh * z[t] + dg[t] @ back_to) * ~first[t][:, None]
-    entered[:, :, : 2 * HIDDEN] = dg[:, :, : 2 * HIDDEN]
-    g["carry"] = before.reshape(-1, HIDDEN).T @ dg.reshape(-1, 3 * HIDDEN)
-    flat_x, flat_e = x.ravel(), entered.reshape(-1, 3 * HIDDEN)
+    dg, later, begins = np.empty_like(e), np.zeros_like(now), first.any(axis=1).tolist()
+    for t in range(steps - 1, -1, -1):
+        dh, d = from_output[t], dg[t]
+        dh += later
+        np.multiply(dh, of_n[t], out=dn[t])
+        np.multiply(dh, of_z[t], out=d[:HIDDEN])
+        np.multiply(dn[t], of_r[t], out=d[HIDDEN : 2 * HIDDEN])
+        np.multiply(dn[t], r[t], out=d[2 * HIDDEN :])
+        np.matmul(p["carry"], d, out=later)
+        dh *= z[t]
+        later += dh
+        if begins[t]:
+            later *= goes_on[t]
+    made["carry"][:] = np.matmul(before, dg.transpose(0, 2, 1)).sum(axis=0)
+    dg[:, 2 * HIDDEN :] = dn
+    flat_x, rows = x.ravel(), np.ascontiguousarray(dg.transpose(0, 2, 1)).reshape(-1, 3 * HIDDEN)
     place = words.place[flat_x]
-    _add_rows(g["inputs"], place, flat_e)
+    _add_rows(made["inputs"], place, rows)
     others = np.flatnonzero(place >= SHORTLIST)
-    c, e = words.context[flat_x[others]], flat_e[others]
+    c, rows = np.take(words.context, flat_x[others], axis=0), np.take(rows, others, axis=0)
     for i in (0, 1):
-        _add_rows(g["contexts"], c[:, i], e)
-    return g, h
+        _add_rows(made["contexts"], c[:, i], rows)
+    return made, now.T
 
 
 def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """Sums of rows by place, into places that hold nothing yet."""
-    if len(at):
-        order = np.argsort(at, kind="stable")
-        starts = np.flatnonzero(np.concatenate([[True], np.diff(at[order]) != 0]))
-        to[at[order[starts]]] = np.add.reduceat(rows[order], starts, axis=0)
+    """Sums of rows by place. Two numbers at once, as one complex number, and in one dimension, where `add.at` is fast."""
+    pair = np.result_type(to, 1j)
+    width = rows.shape[1] // 2
+    np.add.at(to.view(pair).reshape(-1), (at.astype(np.intp)[:, None] * width + np.arange(width)).ravel(), rows.view(pair).ravel())
 
 
 class Adam:
+    """Sums are kept without the factors that all of them share."""
+
     def __init__(self, p: Params):
         self.m = {n: np.zeros_like(v) for n, v in p.items()}
         self.v = {n: np.zeros_like(v) for n, v in p.items()}
@@ -352,21 +456,20 @@ class Adam:
 
     def update(self, p: Params, g: Params, size: int) -> None:
         self.t += 1
-        for n in p:
-            d, m, v = g[n], self.m[n], self.v[n]
-            d *= np.float32(1 / size)
+        of_v = (1 - 0.99**self.t) ** 0.5
+        rate, least = np.float32(RATE * of_v / (1 - 0.9**self.t)), np.float32(1e-8 * 10 * size * of_v)
+        for name in p:
+            d, m, v = g[name], self.m[name], self.v[name]
             m *= np.float32(0.9)
-            m += np.float32(0.1) * d
+            m += d
             d *= d
-            d *= np.float32(0.01)
             v *= np.float32(0.99)
             v += d
-            np.multiply(v, np.float32(1 / (1 - 0.99**self.t)), out=d)
-            np.sqrt(d, out=d)
-            d += np.float32(1e-8)
+            np.sqrt(v, out=d)
+            d += least
             np.divide(m, d, out=d)
-            d *= np.float32(RATE / (1 - 0.9**self.t))
-            p[n] -= d
+            d *= rate
+            p[name] -= d
 
 
 def trained(p: Params, tokens: np.ndarray, begin: np.ndarray, end: int, adam: Adam, words: Words) -> None:
@@ -392,7 +495,12 @@ class Numbering:
 
     def add(self, tokens: np.ndarray, learned: np.ndarray) -> np.ndarray:
         """The tokens' numbers."""
-        kinds, place = np.unique(tokens, return_inverse=True)
+        met = pa.array(tokens).dictionary_encode()
+        kinds = met.dictionary.to_numpy()
+        order = np.argsort(kinds)
+        kinds, rank = kinds[order], np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        place = rank[met.indices.to_numpy()]
         at = np.searchsorted(self.keys, kinds)
         old = np.zeros(len(kinds), bool)
         inside = at < len(self.keys)
@@ -445,31 +553,34 @@ PACKED = "block long, kind string, id long, held_out boolean, packed binary, at
 
 
 def _stepped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by word: each word's step by its count, and its number among the words of that step in this partition."""
-    part, last, met, before = TaskContext.get().partitionId(), None, np.zeros(64 * STEPS, np.int64), 0
-    for batch in batches:
-        word, count = (batch.column(batch.schema.get_field_index(n)).to_numpy() for n in ("word", "count"))
-        if not len(word):
+    """Rows sorted by word: each word's count over all blocks, its step by that count, and its number among the words of that
+    step in this partition."""
+    part, met = TaskContext.get().partitionId(), np.zeros(64 * STEPS, np.int64)
+    held = {n: np.zeros(0, np.int64) for n in ("block", "at", "word", "n")}
+    for batch in chain(batches, (None,)):
+        if batch is not None:
+            held = {n: np.concatenate([v, batch.column(batch.schema.get_field_index(n)).to_numpy()]) for n, v in held.items()}
+        word = held["word"]
+        # the last word may go on in the next batch; it has a row for each block at most
+        whole = len(word) if batch is None or not len(word) else int(np.searchsorted(word, word[-1]))
+        if not whole:
             continue
-        new = np.concatenate([[last is None or word[0] != last], word[1:] != word[:-1]])
+        rows, held = {n: v[:whole] for n, v in held.items()}, {n: v[whole:] for n, v in held.items()}
+        word = rows["word"]
+        new = np.concatenate([[True], word[1:] != word[:-1]])
+        begins = np.flatnonzero(new)
+        size, count = np.diff(np.append(begins, whole)), np.add.reduceat(rows["n"], begins)
         step_ = np.where(count > 0, np.floor(STEPS * np.log2(np.maximum(count, 1))), -1).astype(np.int64)
-        number = np.empty(len(word), np.int64)
-        if not new[0]:
-            number[: int(new.argmax()) if new.any() else len(word)] = before
-        starts = np.flatnonzero(new & (count > 0))
-        order = starts[np.argsort(step_[starts], kind="stable")]
+        learned = np.flatnonzero(count > 0)
+        order = learned[np.argsort(step_[learned], kind="stable")]
         edge = np.searchsorted(step_[order], np.arange(64 * STEPS + 1))
-        own = np.empty(len(word), np.int64)
-        own[order] = np.arange(len(order)) - edge[step_[order]] + met[step_[order]]
+        number = np.zeros(len(begins), np.int64)
+        number[order] = np.arange(len(order)) - edge[step_[order]] + met[step_[order]]
         met += np.diff(edge)
-        begins = np.flatnonzero(new)
-        if len(begins):
-            number[begins[0] :] = np.repeat(own[begins], np.diff(np.append(begins, len(word))))
-        number[step_ < 0] = 0
-        last, before = word[-1], number[-1]
         yield pa.RecordBatch.from_pydict({
-            "block": batch.column("block"), "at": batch.column("at"), "count": pa.array(count), "step": pa.array(step_.astype(np.int32)),
-            "part": pa.array(np.full(len(word), part, np.int32)), "number": pa.array(number), "new": pa.array(new), "is_end": pa.array(word == END),
+            "block": pa.array(rows["block"]), "at": pa.array(rows["at"].astype(np.int32)), "count": pa.array(np.repeat(count, size)),
+            "step": pa.array(np.repeat(step_.astype(np.int32), size)), "part": pa.array(np.full(whole, part, np.int32)),
+            "number": pa.array(np.repeat(number, size)), "new": pa.array(new), "is_end": pa.array(word == END),
         })
 
 
@@ -481,9 +592,8 @@ class Block:
 
     def __init__(self, row: dict, counts: Counts):
         self.row = row
-        order = np.argsort(row["words"])
-        self.count = row["counts"][order]
-        self.words = Words(row["codes"][order], counts)
+        self.count = row["counts"]
+        self.words = Words(row["codes"], counts)
         self.end = int(row["end"][0])
 
     def tokens(self, of: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -569,15 +679,16 @@ def _scorer(params: np.ndarray, counts: Counts):
 
 READY = {
     "packed": ("array<binary>", pa.binary()), "ids": ("array<long>", pa.int64()), "no_id": ("array<int>", pa.int32()),
-    "held_out": ("array<int>", pa.int32()), "draws": ("array<long>", pa.int64()), "words": ("array<int>", pa.int32()),
+    "held_out": ("array<int>", pa.int32()), "draws": ("array<long>", pa.int64()),
     "codes": ("array<long>", pa.int64()), "counts": ("array<long>", pa.int64()), "end": ("array<int>", pa.int32()),
 }
 
 
 def _ready(documents: pa.Table, words: pa.Table) -> pa.Table:
-    """A block in one row."""
+    """A block in one row, its words in the order of their numbers."""
+    words = words.sort_by("words")
     out, end = {}, words.filter(words.column("is_end")).select(["words"]).rename_columns(["end"])
-    for table, names in ((documents, ("packed", "ids", "no_id", "held_out", "draws")), (words, ("words", "codes", "counts")), (end, ("end",))):
+    for table, names in ((documents, ("packed", "ids", "no_id", "held_out", "draws")), (words, ("codes", "counts")), (end, ("end",))):
         for name in names:
             values = table.column(name).combine_chunks()
             values = pa.concat_arrays(values.chunks) if isinstance(values, pa.ChunkedArray) else values
@@ -588,8 +699,8 @@ def _ready(documents: pa.Table, words: pa.Table) -> pa.Table:
 
 def numbered(words: DataFrame) -> DataFrame:
     """Block, word's number in the block, count over all blocks, code, and whether the row is the word's first."""
-    counted = words.select("block", "at", "word", F.sum("n").over(Window.partitionBy("word")).alias("count"))
-    stepped = stored(in_tasks(counted, _stepped, STEPPED))
+    by_word = words.select("block", "at", "word", "n").repartition("word").sortWithinPartitions("word")
+    stepped = stored(in_tasks(by_word, _stepped, STEPPED))
     # as many rows as steps times partitions
     sizes = stepped.filter("new and step >= 0").groupBy("step", "part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("step").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
@@ -613,7 +724,7 @@ def totals_of(words: DataFrame) -> Counts:
 def scores(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key (a long), held_out, token counts, the score of single words and the score of the network, in log10."""
     plain = docs.select(F.col(key).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text).alias("text"))
-    blocks = stored(in_tasks(plain, _packed, PACKED), "kind")
+    blocks = stored(in_tasks(plain, _packed, PACKED))
     words = numbered(blocks.filter("kind = 'word'").select("block", "at", "word", "n"))
     documents = blocks.filter("kind = 'doc'").select("block", "id", "held_out", "packed")
     counts = totals_of(words)

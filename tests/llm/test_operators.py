@@ -373,6 +373,32 @@ def test_scores_by_brute_force():
         assert abs(got[d] - total) < 1e-5 * abs(total)
 
 
+def test_long_document_among_short_ones(monkeypatch):
+    """It does not make the windows of all others narrow: few of them, and each document as if it were alone."""
+    words, totals, code = a_vocabulary()
+    p, rng = a_model(totals)
+    begin = np.concatenate([[0], np.cumsum([3000] + [10] * 2000)])
+    tokens, plain, calls = rng.integers(0, len(code), begin[-1]), gru.output_log, []
+    monkeypatch.setattr(gru, "output_log", lambda *a: calls.append(len(a[2])) or plain(*a))
+    got = gru.log10_by_document(p, tokens, begin, 5, words)
+    assert sum(calls) == len(tokens) and len(calls) < 20
+    for d in (0, 1, 777, 2000):
+        alone = gru.log10_by_document(p, tokens[begin[d] : begin[d + 1]], np.array([0, begin[d + 1] - begin[d]]), 5, words)
+        assert abs(got[d] / alone[0] - 1) < 1e-6
+
+
+def test_gradients_of_narrow_windows():
+    """One lane or one step: the same sums as those of the lanes side by side."""
+    words, totals, code = a_vocabulary()
+    p, rng = a_model(totals)
+    x, y, first = rng.integers(0, len(code), (1, 2)), rng.integers(0, len(code), (1, 2)), np.zeros((1, 2), bool)
+    h, used = rng.normal(size=(2, gru.HIDDEN)), np.ones((1, 2), bool)
+    both, _ = gru.gradients(p, h, x, y, first, used, words)
+    each = [gru.gradients(p, h[i : i + 1], *(v[:, i : i + 1] for v in (x, y, first, used)), words)[0] for i in (0, 1)]
+    for name in p:
+        assert np.allclose(both[name], each[0][name] + each[1][name], atol=1e-9), name
+
+
 def test_gradients():
     words, totals, code = a_vocabulary()
     p, rng = a_model(totals)
