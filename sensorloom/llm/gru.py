@@ -77,6 +77,13 @@ class Counts:
             n += 1
         return n
 
+    @cached_property
+    def by_digits(self) -> tuple[np.ndarray, np.ndarray]:
+        """Steps in the order of how many digits their words have, and where those with one, two, ... digits begin."""
+        n = np.searchsorted(BASE ** np.arange(self.levels, dtype=np.int64), self.sizes)
+        order = np.argsort(n, kind="stable")
+        return order, np.searchsorted(n[order], np.arange(1, self.levels + 2))
+
     @cached_property
     def tails(self) -> np.ndarray:
         """(step, place of the digit, digit): log of the share of a full branch, in the last node of that place."""
@@ -123,7 +130,10 @@ class Words:
         for level, w in enumerate(power.tolist()):
             self.digit[:, level] = number // w % BASE
             self.last[:, level] = (n > w) & (number // (w * BASE) == (n - 1) // (w * BASE))
-        self.group = np.where(hit, self.kind, CLASSES + np.searchsorted(power, n)).astype(np.int8)  # class, or number of digits
+        rank = np.empty(len(totals.steps), np.int64)
+        rank[totals.by_digits[0]] = np.arange(len(rank))
+        group = np.where(code < 0, CLASSES, CLASSES + 1 + rank[index])
+        self.group = np.where(hit, self.kind, group).astype(np.int16)  # class; the unknown word; step
         mixed = mix64(code.astype(np.uint64) + np.uint64(1))
         self.context = np.stack([mixed % np.uint64(CONTEXTS), CONTEXTS + (mixed >> np.uint64(32)) % np.uint64(CONTEXTS)], axis=1).astype(np.int32)
 
@@ -142,14 +152,14 @@ class Words:
 
 
 class Targets:
-    """Words to be found, in the order of their classes and, beyond the shortlist, of how many digits they have: what is
-    worked out together lies together. `rows`: which row of the states each has."""
+    """Words to be found, in the order of their classes, steps with few digits before those with more: what is worked out
+    together lies together. `rows`: which row of the states each has."""
 
     def __init__(self, words: Words, target: np.ndarray):
         group = words.group[target]
         self.rows = np.argsort(group, kind="stable")
         self.target, self.words = target[self.rows], words
-        self.cut = np.searchsorted(group[self.rows], np.arange(CLASSES + words.totals.levels + 2)).tolist()
+        self.cut = np.searchsorted(group[self.rows], np.arange(CLASSES + len(words.totals.steps) + 2)).tolist()
 
     @cached_property
     def kind(self) -> np.ndarray:
@@ -181,14 +191,17 @@ class Targets:
     def by_digit(self, p: Params, state: np.ndarray) -> Iterator[tuple[slice, slice, np.ndarray, np.ndarray]]:
         """Of the targets with one, two, ... digits: (targets, the digits' parameters, digits, logits: place, digit, target)."""
         words, totals = self.words, self.words.totals
+        order, begin = totals.by_digits
         for n in range(1, totals.levels + 1):
-            at, of = slice(*self.cut[CLASSES + n : CLASSES + n + 2]), slice(0, n * BASE)
+            cut = self.cut[CLASSES + 1 + begin[n - 1] : CLASSES + 2 + begin[n]]
+            at, of = slice(cut[0], cut[-1]), slice(0, n * BASE)
             if at.start == at.stop:
                 continue
-            w, kind = self.target[at], self.kind[at] - CLASSES
             logits = (p["digits"][of] @ state[at].T).reshape(n, BASE, -1)
             # at their first digit all are in the last node, at the others a few
-            logits[n - 1] += np.take(totals.tails[:, n - 1].T, kind, axis=1)
+            for step, a, b in zip(order[begin[n - 1] : begin[n]].tolist(), cut[:-1], cut[1:]):
+                logits[n - 1, :, a - at.start : b - at.start] += totals.tails[step, n - 1][:, None]
+            w, kind = self.target[at], self.kind[at] - CLASSES
             last = np.take(words.last, w, axis=0)
             for level in range(n - 1):
                 own = np.flatnonzero(last[:, level])
@@ -238,23 +251,25 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _own(at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Index of row `at` of each column."""
-    columns = np.arange(at.shape[-1])
-    return (at, columns) if at.ndim == 1 else (np.arange(len(at))[:, None], at, columns)
+def _own(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the row `at` of each column is among all numbers."""
+    flat = at * x.shape[-1] + np.arange(x.shape[-1])
+    if x.ndim == 3:
+        flat += np.arange(len(x))[:, None] * x[0].size
+    return flat
 
 
 def _loss(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Derivatives of the loss by each column's logits, in their place."""
     _softmax(x)
-    x[_own(at)] -= 1
+    x.reshape(-1)[_own(x, at)] -= 1
     return x
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Of each column, in the row that is asked for."""
     x -= x.max(axis=-2, keepdims=True)
-    own = x[_own(at)]
+    own = np.take(x, _own(x, at))
     np.exp(x, out=x)
     return own - np.log(x.sum(axis=-2))
 
