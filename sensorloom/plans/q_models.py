@@ -208,9 +208,9 @@ def three(spark, sf_dir):
 @query("m14_log_target")
 def log_target(spark, sf_dir):
     rows, _ = training(spark, sf_dir, "iauc")
-    out = None
+    out, fitted = None, learn.fold_models(rows, learn.boosted(), G.K, log=True)  # both turn the same fits back
     for kind in ("plain", "corrected"):
-        preds = durable(learn.out_of_fold(rows, learn.boosted(), G.K, ["meal_id"], log=kind))
+        preds = durable(learn.out_of_fold(rows, learn.boosted(), G.K, ["meal_id"], log=kind, fitted=fitted))
         both = M.regression_metrics(preds).select(
             F.lit(kind).alias("back_transform"), "mae", "rmse", "r2",
             M.regression_metrics(preds, "_fit_label", "prediction_log").select("r2").scalar().alias("r2_log"),
