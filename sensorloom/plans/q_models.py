@@ -6,7 +6,10 @@ knows them again by their inputs, settings and code. What holds for any model ru
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.sql import DataFrame, functions as F
+from pyspark.util import inheritable_thread_target
 
 from sensorloom.functions import columns as C
 from sensorloom.functions import fixed
@@ -232,11 +235,18 @@ def scoring(spark, sf_dir):
     df, kept = dataset(spark, sf_dir), store(spark, sf_dir)
     rows, columns = training_rows(spark, sf_dir, "peak")
     late_rows, late_columns = training_rows(spark, sf_dir, "late")
-    peak_model = kept.model("forest_peak", lambda: learn.fit_pipeline(rows, learn.forest(), columns))
-    late_model = kept.model("forest_late", lambda: learn.fit_pipeline(late_rows, learn.forest_class(weight="weight"), late_columns))
-    predictions, _ = kept.table(
-        "forest_oof", lambda: (learn.out_of_fold(learn.assemble(rows, columns), learn.forest(), G.K, ["meal_id", "user_id"]), None)
-    )
+
+    def out_of_fold():
+        return learn.out_of_fold(learn.assemble(rows, columns), learn.forest(), G.K, ["meal_id", "user_id"]), None
+
+    stages = [
+        lambda: kept.model("forest_peak", lambda: learn.fit_pipeline(rows, learn.forest(), columns)),
+        lambda: kept.model("forest_late", lambda: learn.fit_pipeline(late_rows, learn.forest_class(weight="weight"), late_columns)),
+        lambda: kept.table("forest_oof", out_of_fold)[0],
+    ]
+    # none needs another: while models are stored and read by the driver, trees of the next grow
+    with ThreadPool(len(stages)) as pool:
+        peak_model, late_model, predictions = pool.map(inheritable_thread_target(spark)(lambda stage: stage()), stages)
     every = G.scoring_table(df, list(dict.fromkeys([*columns, *late_columns])))
     scored = learn.score(every, peak_model, learn.fit_isotonic(predictions), late_model)
     return scored.select(
